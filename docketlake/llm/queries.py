@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docketlake.llm import packing, records
+from docketlake.llm import bpe, langid, media, packing, records
 from docketlake.session import scratch, table
 
 
@@ -14,14 +15,29 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip_digests(table(spark, sf_dir, "documents"))
+
+
 def op7_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "records")
     index = records.write_records(table(spark, sf_dir, "documents"), folder=folder)
     return records.with_global_start(records.read_records(index, folder), index).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out(F.col("doc_id")))
+    model = langid.learn(docs.where("not held_out"))
+    found = langid.predict(docs, model)
+    return found.withColumn("held_out", langid.held_out(F.col("doc_id"))).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.through_media(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op7_records)}
+    return {f.__name__: f for f in (op1_packing, op4_bpe, op7_records, op8_language, op10_media)}
 
 
 def oracle_sql() -> dict[str, str]:
