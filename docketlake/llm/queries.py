@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketlake.llm import bpe, langid, media, packing, records
+from docketlake.llm import bpe, extraction, langid, media, packing, records
 from docketlake.session import scratch, table
 
 
@@ -32,12 +32,16 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", langid.held_out(F.col("doc_id"))).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.through_media(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op4_bpe, op7_records, op8_language, op10_media)}
+    return {f.__name__: f for f in (op1_packing, op4_bpe, op7_records, op8_language, op9_main_text, op10_media)}
 
 
 def oracle_sql() -> dict[str, str]:
