@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketlake.llm import bpe, extraction, langid, media, packing, records
+from docketlake.llm import bpe, extraction, langid, media, packing, quality, records
 from docketlake.session import scratch, table
 
 
@@ -19,6 +19,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(table(spark, sf_dir, "documents")).drop("class_distance", "common_distance")
+
+
 def op7_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "records")
     index = records.write_records(table(spark, sf_dir, "documents"), folder=folder)
@@ -41,8 +45,8 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op4_bpe, op7_records, op8_language, op9_main_text, op10_media)}
+    return {f.__name__: f for f in (op1_packing, op4_bpe, op5_quality, op7_records, op8_language, op9_main_text, op10_media)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_quality": quality.oracle_sql()}
