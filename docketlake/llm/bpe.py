@@ -22,25 +22,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketlake.llm.tokens import default_path
+from docketlake.llm.tokens import Kept, byte_letters, default_path
 from docketlake.session import ship
 
 #: Fixed value: how byte-level files split text before merging.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def byte_letters() -> dict[str, int]:
-    """The printable letter that stands for each byte in byte-level vocabularies: bytes that print stand for themselves."""
-    shown = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
-    hidden = [b for b in range(256) if b not in shown]
-    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-
-
 class Transducer:
     """The merge list of a byte-level BPE file as a left-to-right machine over bytes."""
 
     def __init__(self, vocab: dict[str, int], merges: list, bound: int = 500_000):
-        letters = byte_letters()
+        letters = {c: b for b, c in byte_letters().items()}
         raw = {token: bytes(letters[c] for c in token) for token in vocab}
         self.bytes_of = {i: raw[token] for token, i in vocab.items()}
         self.id_of = {b: i for i, b in self.bytes_of.items()}
@@ -215,22 +208,6 @@ class Decoder:
         return self.machine.decode(b"", True)
 
 
-class _Pieces(dict):
-    """A space-led piece of text -> (ids joined by commas, their bytes); emptied when ``bound`` entries are held."""
-
-    def __init__(self, codec: Codec, bound: int):
-        super().__init__()
-        self.codec, self.bound = codec, bound
-
-    def __missing__(self, piece: str) -> tuple[str, bytes]:
-        got = self.codec.of(" " + piece)
-        if len(piece) <= 64:
-            if len(self) >= self.bound:
-                self.clear()
-            self[piece] = got
-        return got
-
-
 class Codec:
     """Encodes and decodes whole texts as the tokenizers library does with a byte-level BPE file.
 
@@ -238,7 +215,7 @@ class Codec:
     there; pieces and splits that come again are looked up.
     """
 
-    def __init__(self, path: str, bound: int = 300_000):
+    def __init__(self, path: str, bound: int = 400_000):
         import regex
 
         with open(path, encoding="utf-8") as f:
@@ -253,22 +230,16 @@ class Codec:
         self.at_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.odd = regex.compile(r" (?=\s|\z)").search
         self.starts_white = regex.compile(r"\s").match
-        self.bound, self.words, self.pieces = bound, {}, _Pieces(self, bound)
+        self.words = Kept(self._word, bound)
+        self.pieces = Kept(lambda piece: self.of(" " + piece), bound)
 
-    def word(self, word: str) -> tuple[str, bytes]:
-        got = self.words.get(word)
-        if got is None:
-            ids = self.machine.ids(word.encode())
-            got = ",".join(map(str, ids)), b"".join(map(self.bytes_of.__getitem__, ids))
-            if len(word) <= 64:
-                if len(self.words) >= self.bound:
-                    self.words.clear()
-                self.words[word] = got
-        return got
+    def _word(self, word: str) -> tuple[str, bytes]:
+        ids = self.machine.ids(word.encode())
+        return ",".join(map(str, ids)), b"".join(map(self.bytes_of.__getitem__, ids))
 
     def of(self, text: str) -> tuple[str, bytes]:
-        got = [self.word(w) for w in self.split(text)]
-        return ",".join([x[0] for x in got]), b"".join([x[1] for x in got])
+        got = [self.words[w] for w in self.split(text)]
+        return got[0] if len(got) == 1 else (",".join([x[0] for x in got]), b"".join([x[1] for x in got]))
 
     def plain(self, text: str) -> list[tuple[str, bytes]]:
         """(ids, bytes) of the pieces of a text without special tokens."""

@@ -31,28 +31,30 @@ HEAD = "<qII"
 
 
 @functools.cache
-def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """CRC tables for eight bytes at a time, and tables that carry a CRC over BLOCK zero bytes."""
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """CRC tables for eight bytes at a time, the same for byte pairs, and tables that carry a CRC over BLOCK zero bytes."""
     table = np.arange(256, dtype=np.uint32)
     for _ in range(8):
         table = np.where(table & 1, (table >> 1) ^ np.uint32(POLYNOMIAL), table >> 1).astype(np.uint32)
     eight = [table]
     for _ in range(7):
         eight.append(table[eight[-1] & 0xFF] ^ (eight[-1] >> 8))
+    pairs = np.arange(1 << 16, dtype=np.uint32)
+    wide = [eight[k + 1][pairs & 0xFF] ^ eight[k][pairs >> 8] for k in (6, 4, 2, 0)]
     skip = np.empty((4, 256), dtype=np.uint32)
     for k in range(4):
         crc = np.arange(256, dtype=np.uint32) << np.uint32(8 * k)
         for _ in range(BLOCK):
             crc = table[crc & 0xFF] ^ (crc >> np.uint32(8))
         skip[k] = crc
-    return np.array(eight), skip
+    return np.array(eight), np.array(wide), skip
 
 
 def crc32c(payloads: list[bytes]) -> np.ndarray:
     """CRC-32C of each payload; all payloads' blocks advance together, then a payload's blocks are combined."""
     if not payloads:
         return np.empty(0, dtype=np.uint32)
-    eight, skip = _tables()
+    eight, wide, skip = _tables()
     sizes = np.array([len(p) for p in payloads], dtype=np.int64)
     blocks = np.maximum(1, -(-sizes // BLOCK))
     ends = np.cumsum(blocks) * BLOCK
@@ -62,11 +64,11 @@ def crc32c(payloads: list[bytes]) -> np.ndarray:
     short = sizes < 4
     for k in range(4):  # the register's first value, 0xFFFFFFFF, goes into the first four bytes
         flat[(ends - sizes)[~short] + k] ^= 0xFF
-    words = flat.view("<u4").reshape(-1, BLOCK // 4)
+    words = np.ascontiguousarray(flat.view("<u4").reshape(-1, BLOCK // 4))
     crc = np.zeros(len(words), dtype=np.uint32)
     for k in range(0, BLOCK // 4, 2):
         low, high = crc ^ words[:, k], words[:, k + 1]
-        crc = eight[7][low & 0xFF] ^ eight[6][(low >> 8) & 0xFF] ^ eight[5][(low >> 16) & 0xFF] ^ eight[4][low >> 24] ^ eight[3][high & 0xFF] ^ eight[2][(high >> 8) & 0xFF] ^ eight[1][(high >> 16) & 0xFF] ^ eight[0][high >> 24]
+        crc = wide[0].take(low & 0xFFFF) ^ wide[1].take(low >> 16) ^ wide[2].take(high & 0xFFFF) ^ wide[3].take(high >> 16)
     out, at = np.zeros(len(payloads), dtype=np.uint32), np.cumsum(blocks) - blocks
     for step in range(int(blocks.max())):
         on = blocks > step
@@ -82,6 +84,15 @@ def crc32c(payloads: list[bytes]) -> np.ndarray:
     return out
 
 
+def crc32c_words(lengths: list[int]) -> np.ndarray:
+    """CRC-32C of each number's eight little-endian bytes."""
+    eight, _, _ = _tables()
+    x = np.array(lengths, dtype="<u8")
+    low, high = (x & 0xFFFFFFFF).astype(np.uint32) ^ np.uint32(0xFFFFFFFF), (x >> np.uint64(32)).astype(np.uint32)
+    crc = eight[7][low & 0xFF] ^ eight[6][(low >> 8) & 0xFF] ^ eight[5][(low >> 16) & 0xFF] ^ eight[4][low >> 24]
+    return crc ^ eight[3][high & 0xFF] ^ eight[2][(high >> 8) & 0xFF] ^ eight[1][(high >> 16) & 0xFF] ^ eight[0][high >> 24] ^ np.uint32(0xFFFFFFFF)
+
+
 def masked(crc: np.ndarray) -> np.ndarray:
     """The CRC rotated right by 15 bits plus a constant, so that a CRC of data holding CRCs stays sound."""
     crc = crc.astype(np.uint32)
@@ -90,14 +101,14 @@ def masked(crc: np.ndarray) -> np.ndarray:
 
 def frames(payloads: list[bytes]) -> list[bytes]:
     lengths = [struct.pack("<Q", len(p)) for p in payloads]
-    heads, bodies = masked(crc32c(lengths)), masked(crc32c(payloads))
+    heads, bodies = masked(crc32c_words([len(p) for p in payloads])), masked(crc32c(payloads))
     return [b"".join((n, struct.pack("<I", h), p, struct.pack("<I", b))) for n, h, p, b in zip(lengths, heads.tolist(), payloads, bodies.tolist(), strict=True)]
 
 
 def unframed(found: list[bytes]) -> list[bytes]:
     """Payloads of framed records; ValueError if a length or checksum does not hold."""
     payloads = [x[12:-4] for x in found]
-    heads, bodies = masked(crc32c([x[:8] for x in found])).tolist(), masked(crc32c(payloads)).tolist()
+    heads, bodies = masked(crc32c_words([struct.unpack("<Q", x[:8])[0] for x in found])).tolist(), masked(crc32c(payloads)).tolist()
     for x, p, h, b in zip(found, payloads, heads, bodies, strict=True):
         if struct.unpack("<Q", x[:8])[0] != len(p) or struct.unpack("<I", x[8:12])[0] != h or struct.unpack("<I", x[-4:])[0] != b:
             raise ValueError("a record's length or checksum does not hold")

@@ -15,44 +15,40 @@ import numpy as np
 
 #: The pre-tokenizer pattern for which chunks are independent: no alternative matches white space.
 _CHUNKED = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: A Latin word, then punctuation without digits, letters or apostrophes: both parts are tokens of the pattern above.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-;=?-@\[-`{}~]*)")
+#: A Latin word, then punctuation without digits, letters, apostrophes and "<": both parts are tokens of the pattern above.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:;=?@\[-`{-~]*)")
 
 
-class _Chunks(dict):
-    """bytes of a chunk -> bytes of its ids; emptied when ``bound`` entries are held, so memory stays constant."""
+class Kept(dict):
+    """What ``make`` gives for a key, kept in two generations of ``bound`` entries: constant memory, and what recurs stays."""
 
-    def __init__(self, encode, dtype: str, bound: int):
+    def __init__(self, make, bound: int, longest: int = 64):
         super().__init__()
-        self.encode, self.dtype, self.bound, self.words = encode, dtype, bound, {}
+        self.make, self.bound, self.longest, self.old = make, bound, longest, {}
 
-    def ids(self, text: str) -> bytes:
-        return np.array(self.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
-
-    def part(self, text: str) -> bytes:
-        got = self.words.get(text)
+    def __missing__(self, key):
+        got = self.old.get(key)
         if got is None:
-            if len(self.words) >= self.bound:
-                self.words.clear()
-            got = self.words[text] = self.ids(text)
+            got = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.bound:
+                self.old = self.copy()
+                self.clear()
+            self[key] = got
         return got
 
-    def __missing__(self, chunk: bytes) -> bytes:
-        text = chunk.decode()
-        if len(text) > 64:
-            return self.ids(text)
-        plain = _PLAIN.fullmatch(text)
-        got = b"".join(self.part(x) for x in (plain[1].lower(), plain[2]) if x) if plain else self.ids(text)
-        if len(self) >= self.bound:
-            self.clear()
-        self[chunk] = got
-        return got
+
+def byte_letters() -> dict[int, str]:
+    """The printable letter for each byte in byte-level vocabularies: bytes that print stand for themselves."""
+    shown = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
 class Encoder:
     """``encode(text)``: the text's ids as little-endian bytes of ``dtype`` (two bytes an id where the vocabulary allows)."""
 
-    def __init__(self, path: str, bound: int = 400_000):
+    def __init__(self, path: str, bound: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -71,14 +67,32 @@ class Encoder:
             and first.get("pattern", {}).get("Regex") == _CHUNKED
             and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"]) for t in spec["added_tokens"])
         )
-        self.chunks = _Chunks(self.tokenizer.encode, self.dtype, bound)
+        self.letters = byte_letters()
+        self.words = Kept(self._word, bound)
+        self.chunks = Kept(self._chunk, bound)
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """Ids of one lower-case word or run of punctuation, which is a single token of the pre-tokenizer."""
+        shown = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.tokenizer.model.tokenize(shown)], dtype=self.dtype).tobytes()
+
+    def _chunk(self, chunk: bytes) -> bytes:
+        text = chunk.decode()
+        plain = _PLAIN.fullmatch(text) if len(text) <= 64 else None
+        if not plain:
+            return self._ids(text)
+        word, marks = plain.groups()
+        return (self.words[word.lower()] if word else b"") + (self.words[marks] if marks else b"")
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if self.chunked:
             return b"".join(map(self.chunks.__getitem__, text.encode().split()))
-        return self.chunks.ids(text)
+        return self._ids(text)
 
     def array(self, text: str | None) -> np.ndarray:
         return np.frombuffer(self.encode(text), dtype=self.dtype)
