@@ -17,7 +17,6 @@ import hashlib
 import json
 from collections.abc import Iterator
 
-import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,13 +46,10 @@ class Transducer:
             self.rank[left, right] = rank
             self.made.setdefault(vocab[a + b], (rank, left, right))
         self.lookahead = self._lookahead()
-        self.bound, self._beside = bound, {}
-        self.sizes = {i: len(b) for i, b in self.bytes_of.items()}
-        automaton = ahocorasick.Automaton()
-        for i, b in self.bytes_of.items():
-            automaton.add_word(b.decode("latin-1"), i)
-        automaton.make_automaton()
-        self.found = automaton.iter
+        self.bound, self._beside, self._whole = bound, {}, {}
+        #: Tokens that merging their own bytes gives; no other can come out.
+        self.id_of = {b: i for b, i in self.id_of.items() if self._alone(i)}
+        self._states: dict[bytes, tuple[int, int]] = {}
 
     def _lookahead(self) -> int:
         """Bytes in the longest chain of merges in which each, of higher rank, takes the right part of the one before."""
@@ -143,24 +139,30 @@ class Transducer:
 
     def ids(self, word: bytes) -> list[int]:
         """Ids of one short split."""
-        whole = self.id_of.get(word)
-        if whole is not None and (len(word) == 1 or self._alone(whole)):
-            return [whole]
         if len(word) > 4 * self.lookahead:
             return list(self.stream(iter((word,))))
-        sides, sizes, n = self._beside.get, self.sizes, len(word)
-        token_at, start_at = [-1] * (n + 1), [-1] * (n + 1)
-        for end, token in self.found(word.decode("latin-1")):  # every token at every end, ends rising
-            end += 1
-            if token_at[end] >= 0:
-                continue
-            start = end - sizes[token]
-            if start:
-                left = token_at[start]
-                legal = sides((left, token))
-                if not (self.beside(left, token) if legal is None else legal):
-                    continue
-            token_at[end], start_at[end] = token, start
+        get, sides, known, longest = self.id_of.get, self._beside.get, self._states, self.longest
+        token_at, start_at = [-1], [-1]
+        for end in range(1, len(word) + 1):
+            got = known.get(word[:end])  # a state depends on the prefix alone, and words share prefixes
+            if got is None:
+                for start in range(max(0, end - longest), end):
+                    token = get(word[start:end])
+                    if token is None:
+                        continue
+                    if start:
+                        left = token_at[start]
+                        legal = sides((left, token))
+                        if not (self.beside(left, token) if legal is None else legal):
+                            continue
+                    got = token, start
+                    break
+                if end <= 10:
+                    if len(known) >= self.bound:
+                        known.clear()
+                    known[word[:end]] = got
+            token_at.append(got[0])
+            start_at.append(got[1])
         ids, end = [], len(word)
         while end:
             ids.append(token_at[end])
@@ -169,13 +171,11 @@ class Transducer:
 
     def _alone(self, token: int) -> bool:
         """Whether merging a token's own bytes gives that token: both halves do, and they may stand side by side up to its merge."""
-        made = self.made.get(token)
-        if made is None:
-            return len(self.bytes_of[token]) == 1
-        rank, a, b = made
-        got = self._beside.get((token, -1))
+        got = self._whole.get(token)
         if got is None:
-            got = self._beside[token, -1] = self._alone(a) and self._alone(b) and self._joins(rank, a, b)
+            made = self.made.get(token)
+            got = len(self.bytes_of[token]) == 1 if made is None else self._alone(made[1]) and self._alone(made[2]) and self._joins(*made)
+            self._whole[token] = got
         return got
 
     def _joins(self, rank: int, a: int, b: int) -> bool:
@@ -226,6 +226,7 @@ class Codec:
         self.machine = Transducer(model["vocab"], model["merges"])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.bytes_of = self.machine.bytes_of | {i: s.encode() for s, i in self.special.items()}
+        self.name_of = {i: str(i) for i in self.bytes_of}
         self.split = regex.compile(SPLIT).findall
         self.at_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.odd = regex.compile(r" (?=\s|\z)").search
@@ -235,7 +236,7 @@ class Codec:
 
     def _word(self, word: str) -> tuple[str, bytes]:
         ids = self.machine.ids(word.encode())
-        return ",".join(map(str, ids)), b"".join(map(self.bytes_of.__getitem__, ids))
+        return ",".join([self.name_of[i] for i in ids]), b"".join([self.bytes_of[i] for i in ids])
 
     def of(self, text: str) -> tuple[str, bytes]:
         got = [self.words[w] for w in self.split(text)]
