@@ -4,17 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketlake.llm import bpe, extraction, langid, media, packing, quality, records
+from docketlake.llm import bpe, extraction, langid, media, packing, quality, records, toxicity
 from docketlake.session import scratch, table
 
 
+def held_out(doc_id: Column) -> Column:
+    """Whether crc32 of the id as text, modulo 4, is 2."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
+
+
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.learn(docs, labels.where(~held_out(F.col("doc_id"))))
+    found = toxicity.score(docs, model).withColumn("held_out", held_out(F.col("doc_id")))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"))
 
@@ -30,10 +42,10 @@ def op7_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out(F.col("doc_id")))
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id")))
     model = langid.learn(docs.where("not held_out"))
     found = langid.predict(docs, model)
-    return found.withColumn("held_out", langid.held_out(F.col("doc_id"))).select("doc_id", "held_out", "lang_pred", "score")
+    return found.withColumn("held_out", held_out(F.col("doc_id"))).select("doc_id", "held_out", "lang_pred", "score")
 
 
 def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +57,7 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op4_bpe, op5_quality, op7_records, op8_language, op9_main_text, op10_media)}
+    return {f.__name__: f for f in (op1_packing, op2_toxicity, op4_bpe, op5_quality, op7_records, op8_language, op9_main_text, op10_media)}
 
 
 def oracle_sql() -> dict[str, str]:
