@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketlake.llm import bpe, extraction, langid, media, packing, quality, records, toxicity
+from docketlake.llm import bpe, extraction, langid, media, minhash, packing, quality, records, toxicity
 from docketlake.session import scratch, table
 
 
@@ -35,6 +35,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(table(spark, sf_dir, "documents")).drop("class_distance", "common_distance")
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), settings=minhash.Settings(words=4))
+
+
 def op7_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "records")
     index = records.write_records(table(spark, sf_dir, "documents"), folder=folder)
@@ -57,7 +61,7 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_toxicity, op4_bpe, op5_quality, op7_records, op8_language, op9_main_text, op10_media)}
+    return {f.__name__: f for f in (op1_packing, op2_toxicity, op4_bpe, op5_quality, op6_near_duplicates, op7_records, op8_language, op9_main_text, op10_media)}
 
 
 def oracle_sql() -> dict[str, str]:
