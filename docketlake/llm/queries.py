@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketlake.llm import bpe, extraction, langid, media, minhash, packing, quality, records, toxicity
+from docketlake.llm import bpe, extraction, langid, media, minhash, packing, quality, records, substring, toxicity
 from docketlake.session import scratch, table
 
 
@@ -27,6 +27,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"))
 
@@ -61,7 +65,7 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_toxicity, op4_bpe, op5_quality, op6_near_duplicates, op7_records, op8_language, op9_main_text, op10_media)}
+    return {f.__name__: f for f in (op1_packing, op2_toxicity, op3_substrings, op4_bpe, op5_quality, op6_near_duplicates, op7_records, op8_language, op9_main_text, op10_media)}
 
 
 def oracle_sql() -> dict[str, str]:
