@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketlake.llm.words import mix
@@ -43,3 +43,19 @@ def holds(packed: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which hashes may have been put in; never false for one that was."""
     at = places(hashes, len(packed).bit_length() - 1 + 5)
     return (packed[at >> 5] >> (at & 31).astype(np.uint32) & np.uint32(1)).all(axis=1)
+
+
+def may_hold(column: Column, shared) -> Column:
+    """Whether a filter that was broadcast may hold an id; only the id goes to Python. Null is not held."""
+
+    @F.pandas_udf("boolean")
+    def held(ids):
+        import pandas as pd
+
+        known = ids.notna().to_numpy()
+        out = np.zeros(len(ids), dtype=bool)
+        if known.any():
+            out[known] = holds(shared.value, ids[known].to_numpy().astype(np.int64).view(np.uint64))
+        return pd.Series(out)
+
+    return held(column.cast("long"))

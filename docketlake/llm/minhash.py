@@ -167,3 +167,17 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     out = signed.select("doc_id", "n_shingles", "key").join(grouped, "key", "left")
     out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", settings: Settings | None = None) -> DataFrame:
+    """``docs`` with one document, the one with the smallest id, of each near-duplicate group; all columns stay.
+
+    Only rows that a filter of the dropped ids may hold are joined with these; the others go on where they are.
+    """
+    s, spark = settings or Settings(), docs.sparkSession
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, settings=s)
+    dropped = written(found.where("not kept").select(F.col("doc_id").alias("_dropped")).distinct(), "dropped")
+    shared = spark.sparkContext.broadcast(filters.build(dropped, s.filter_bits))
+    marked = docs.withColumn("_may", filters.may_hold(F.col(id_col), shared))
+    rest = marked.where("_may").join(dropped, F.col(id_col).cast("long") == F.col("_dropped"), "left_anti")
+    return marked.where("not _may").unionByName(rest).select(*docs.columns)

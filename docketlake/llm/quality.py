@@ -80,9 +80,9 @@ def _repeated(df: DataFrame) -> DataFrame:
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, classes (characters a class), common (sorted
-    common words), for docs with doc_id and text."""
-    return _repeated(_with_words(docs)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "classes", "common")
+    """row, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, classes (characters a class), common (sorted
+    common words), for docs with row (anything to carry along) and text."""
+    return _repeated(_with_words(docs)).select("row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "classes", "common")
 
 
 def references(docs: DataFrame, rules: Rules) -> list[tuple[str, list[float], dict[str, float]]]:
@@ -90,19 +90,21 @@ def references(docs: DataFrame, rules: Rules) -> list[tuple[str, list[float], di
 
     At most languages x (classes + common words) numbers come to the driver.
     """
-    told = _with_words(docs.where(F.col("lang").isNotNull())).where((F.col("n_words") >= rules.min_words) & (10 * F.col("n_symbols") <= F.col("n_words")))
-    given = told.select("lang", "n_words", "classes", "common")
-    sums = [F.sum(F.get("classes", F.lit(k))).alias(f"c{k}") for k in range(len(CLASSES) + 1)]
-    pooled = given.groupBy("lang").agg(F.count("*").alias("docs"), F.sum("n_words").alias("n_words"), *sums)
-    words = given.select("lang", F.explode("common").alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
-    shares: dict[str, dict[str, int]] = {}
-    for r in words.collect():
-        shares.setdefault(r["lang"], {})[r["word"]] = r["n"]
+    told = _with_words(docs.where(F.col("lang").isNotNull()))
+    # one pass: a pair (key, amount) for every common word and every other sum; the test stands inside, as a filter would be copied below
+    sums = [("#docs", F.lit(1.0)), ("#words", F.col("n_words").cast("double")), *((f"#{k}", F.get("classes", F.lit(k))) for k in range(len(CLASSES) + 1))]
+    pairs = F.concat(F.transform("common", lambda w: F.struct(w.alias("key"), F.lit(1.0).alias("x"))), F.array(*(F.struct(F.lit(k).alias("key"), x.alias("x")) for k, x in sums)))
+    good = (F.col("n_words") >= rules.min_words) & (10 * F.col("n_symbols") <= F.col("n_words"))
+    rows = told.select("lang", F.explode_outer(F.when(good, pairs)).alias("pair")).groupBy("lang", F.col("pair.key").alias("key")).agg(F.sum("pair.x").alias("x")).collect()
+    by_lang: dict[str, dict[str, float]] = {}
+    for r in rows:
+        if r["key"] is not None:
+            by_lang.setdefault(r["lang"], {})[r["key"]] = r["x"]
     found = []
-    for r in pooled.orderBy("lang").collect():
-        total = sum(r[f"c{k}"] for k in range(len(CLASSES) + 1))
-        if r["docs"] >= rules.reference_docs and total and r["n_words"]:
-            found.append((r["lang"], [r[f"c{k}"] / total for k in range(len(CLASSES) + 1)], {w: n / r["n_words"] for w, n in sorted(shares.get(r["lang"], {}).items())}))
+    for lang, got in sorted(by_lang.items()):
+        classes = [got[f"#{k}"] for k in range(len(CLASSES) + 1)]
+        if got["#docs"] >= rules.reference_docs and sum(classes):
+            found.append((lang, [c / sum(classes) for c in classes], {w: n / got["#words"] for w, n in sorted(got.items()) if w[0] != "#"}))
     return found
 
 
@@ -149,14 +151,25 @@ def assess(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", l
     others but are in no reference. Where no language has enough documents, the base rules alone decide. Repeated rows give
     repeated rows, an empty table none; other columns are left out, whatever their names.
     """
-    rules = rules or Rules()
-    given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    out = _distances(features(given.drop("lang")), references(given, rules))
+    out = _judged(docs, F.col(id_col).alias("row"), text_col, lang_col, rules or Rules())
+    return out.select(F.col("row").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "common_distance")
+
+
+def keep_good(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", rules: Rules | None = None) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns; rows travel whole, so there is no join."""
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    out = _judged(docs, whole, text_col, lang_col, rules or Rules())
+    # the verdict is made a column that the optimizer does not move: else the filter is copied into every step below it
+    return out.select("row", F.when(F.spark_partition_id() >= 0, F.col("kept")).alias("kept")).where("kept").select("row.*")
+
+
+def _judged(docs: DataFrame, row: Column, text_col: str, lang_col: str, rules: Rules) -> DataFrame:
+    text, lang = F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")
+    out = _distances(features(docs.select(row, text)), references(docs.select(text, lang), rules))
     failed = (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.max_repeat * F.col("n_words"))
     far = (F.col("class_distance") > rules.max_class) | (F.col("common_distance") > rules.max_common)
     odd = (F.col("n_words") >= rules.short_words) & (F.col("class_distance") > rules.max_class_short) | (F.col("n_words") >= rules.long_words) & far
-    out = out.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & ~F.coalesce(odd, F.lit(False)))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "common_distance")
+    return out.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & ~F.coalesce(odd, F.lit(False)))
 
 
 def oracle_sql(rules: Rules | None = None) -> str:
