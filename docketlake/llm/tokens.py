@@ -48,7 +48,7 @@ def byte_letters() -> dict[int, str]:
 class Encoder:
     """``encode(text)``: the text's ids as little-endian bytes of ``dtype`` (two bytes an id where the vocabulary allows)."""
 
-    def __init__(self, path: str, bound: int = 500_000):
+    def __init__(self, path: str, bound: int = 200_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
