@@ -5,9 +5,11 @@ j plus its number to the place that the permutation names, and each place keeps
 signature has lower variance than independent minima, and a document is done once its largest place is below the next step.
 
 Documents with equal sets become one. The others meet in band buckets. In each bucket the smallest id is compared with all other
-members; what then is still in another component than the smallest is compared with every member outside its own component. So
-a link can only be missed where no band is shared; the number of comparisons follows the rows of a bucket, not its pairs, as long as its members
-are alike. All comparisons are on the full sets of 64-bit shingle hashes.
+members. Buckets whose members are then in more than one component stay open. There, shingles that only one document has are counted: they
+are in no intersection, so a document with too many of them can link with none and leaves. Of the rest the one with the fewest,
+the likest to what the bucket has in common, is compared with all others, and what even then is apart from it is compared with every
+member outside its own component. So a link can only be missed where no band is shared, and comparisons follow the rows of a
+bucket, not its pairs. All comparisons are on the full sets of 64-bit shingle hashes.
 """
 
 from __future__ import annotations
@@ -130,6 +132,34 @@ def _near(n: str, m: str, percent: int):
     return (100 * F.least(n, m) >= percent * F.greatest(n, m))
 
 
+def _open(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows of the buckets (bucket, rep, n, ..) whose members are in more than one component, with component, main (that of the
+    bucket's smallest id) and least_n (the smallest set's size)."""
+    placed = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    placed = written(placed, "placed")
+    mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("n").alias("least_n"), F.min(F.struct("rep", "component")).alias("first")).where("low <> high")
+    return written(placed.join(mixed.select("bucket", "least_n", F.col("first.component").alias("main")), "bucket"), "open")
+
+
+def _alive(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Open rows that may still link, with u, the number of the set's shingles that no other open document has.
+
+    A link needs an intersection of percent / (100 + percent) of both sizes together, and u shingles are in none."""
+    ids = open_.select(F.col("rep").alias("doc_id")).distinct()
+    grams = sets.join(ids, "doc_id", "left_semi").select("doc_id", F.explode("grams").alias("gram"))
+    single = grams.groupBy("gram").agg(F.count("*").alias("k"), F.min("doc_id").alias("rep")).where("k = 1").groupBy("rep").agg(F.count("*").alias("u"))
+    told = open_.join(single, "rep", "left").withColumn("u", F.coalesce("u", F.lit(0).cast("long")))
+    return written(told.where((100 + percent) * (F.col("n") - F.col("u")) >= percent * (F.col("n") + F.greatest(F.col("least_n"), F.col("n") * percent / 100))), "alive")
+
+
+def _late(rows: DataFrame, other: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the rows of a bucket and ``other`` rows of it in another component."""
+    may = lambda n, u: (100 + percent) * (F.col(n) - F.col(u)) >= percent * (F.col("n") + F.col("n2"))
+    met = rows.join(other, "bucket").where((F.col("component") != F.col("component2")) & _near("n", "n2", percent) & may("n", "u") & may("n2", "u2"))
+    pairs = written(met.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct(), "pairs")
+    return written(_linked(pairs, sets, percent), "links")
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", settings: Settings | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable over links, itself included), kept (doc_id = component_id).
 
@@ -153,16 +183,19 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     sets = written(given.where("doc_id is not null").mapInArrow(_chosen_sets(s, chosen), "doc_id long, grams array<long>").dropDuplicates(["doc_id"]), "sets")
     links = written(_linked(pairs, sets, s.percent), "links")
     found = written(connected_components(links), "components")
-    placed = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    placed = written(placed.select("bucket", "rep", "n", "component", "leader"), "placed")
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct("rep", "component")).alias("first")).where("low <> high").select("bucket", F.col("first.component").alias("main"))
-    open_ = written(placed.join(mixed, "bucket"), "open")
-    other = open_.select("bucket", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("component").alias("component2"))
-    apart = open_.where("component <> main and rep <> leader").join(other, "bucket").where((F.col("component") != F.col("component2")) & (F.col("rep2") != F.col("leader")) & _near("n", "n2", s.percent))
-    rest = apart.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
-    late = written(_linked(rest, sets, s.percent), "links")
-    stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    final = connected_components(stars.unionByName(late)) if late.limit(1).count() else found
+    open_ = _open(members.drop("leader_n"), found)
+    final = found
+    if open_.limit(1).count():
+        stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        alive = _alive(open_, sets, s.percent)
+        centre = alive.groupBy("bucket").agg(F.min(F.struct("u", "rep", "n", "component")).alias("c"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+        centre = centre.select("bucket", *(F.col(f"c.{x}").alias(f"{x}2") for x in ("rep", "n", "u", "component")))
+        late = _late(alive, centre, sets, s.percent)
+        found = written(connected_components(stars.unionByName(late)), "components")
+        rest = _open(alive.drop("component", "main", "least_n"), found)
+        other = rest.select("bucket", *(F.col(x).alias(f"{x}2") for x in ("rep", "n", "u", "component")))
+        last = _late(rest.where("component <> main"), other, sets, s.percent)
+        final = connected_components(stars.unionByName(late).unionByName(last)) if last.limit(1).count() else found
     grouped = reps.select("key", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left").select("key", F.coalesce("component", "rep").alias("component"))
     out = signed.select("doc_id", "n_shingles", "key").join(grouped, "key", "left")
     out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")))
