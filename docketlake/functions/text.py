@@ -15,6 +15,12 @@ def _c(x: Col) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def held(x: Col) -> Column:
+    """The same value, as a column that the optimizer neither copies nor moves: for costly arrays that later steps look into item by
+    item, where a filter pushed below them would compute the whole array anew for every item."""
+    return F.when(F.spark_partition_id() >= 0, _c(x))
+
+
 def or_null(x: Col) -> Column:
     """Null for the empty string."""
     return F.nullif(_c(x), F.lit(""))

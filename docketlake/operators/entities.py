@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketlake.functions.text import words
+from docketlake.functions.text import held, words
 
 
 def list_aliases(entities: DataFrame, column: str = "filtered_aliases") -> DataFrame:
@@ -33,7 +33,7 @@ def match(texts: DataFrame, aliases: DataFrame, *, blacklist: DataFrame | None =
     sizes = sorted(r["n"] for r in known.select("n").where(F.col("n") <= max_words).distinct().collect())
     if known.where(F.col("n") > max_words).limit(1).count():
         raise ValueError(f"an alias has more than {max_words} words")
-    tokens = texts.select("doc_id", words("text").alias("t"))
+    tokens = texts.select("doc_id", held(words("text")).alias("t"))
 
     def windows(n: int):
         at = F.when(F.size("t") >= n, F.sequence(F.lit(1), F.size("t") - (n - 1)))

@@ -10,13 +10,14 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docketlake.functions.text import ngrams, words
+from docketlake.functions.text import held, ngrams, words
 from docketlake.operators.components import connected_components
+from docketlake.session import written
 
 
 def gram_sets(docs: DataFrame, n: int = 4) -> DataFrame:
     """(doc_id, grams, size) of each document's distinct word n-grams."""
-    return docs.select("doc_id", words("text").alias("tokens")).select("doc_id", ngrams("tokens", n).alias("grams")).withColumn("size", F.size("grams"))
+    return docs.select("doc_id", held(words("text")).alias("tokens")).select("doc_id", held(ngrams("tokens", n)).alias("grams")).withColumn("size", F.size("grams"))
 
 
 def exact_classes(sets: DataFrame) -> DataFrame:
@@ -173,6 +174,7 @@ def gram_ids(sets: DataFrame) -> DataFrame:
     first = sets.select("doc_id", F.posexplode("grams").alias("pos", "gram")).groupBy("gram").agg(F.min(F.struct("doc_id", "pos")).alias("at"))
     ordered = first.repartitionByRange("at").sortWithinPartitions("at").withColumn("part", F.spark_partition_id())
     ordered = ordered.withColumn("k", F.monotonically_increasing_id() - F.shiftleft(F.col("part").cast("long"), 33))
+    ordered = written(ordered.select("gram", "part", "k"), "gram-ids")  # numbered once, so that both uses see the same partitions
     sizes = ordered.groupBy("part").agg(F.max("k").alias("last")).orderBy("part").collect()  # a row a partition
     bases, base = [(-1, 0)], 0
     for r in sizes:

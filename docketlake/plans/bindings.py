@@ -59,13 +59,14 @@ def views(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     yes = F.when(F.col("l_linestatus") == "O", "no").when(F.col("l_returnflag") == "A", "failed").otherwise("yes")
     done = F.when(F.col("l_returnflag") == "R", "failed_extraction").when(F.col("l_linestatus") == "O", "no").otherwise("yes")
-    url = F.concat(F.lit("http://files/"), F.col("l_orderkey").cast("string"), F.lit("/"), F.col("l_linenumber").cast("string"))
+    parts = (F.col(c).cast("int").cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"))
+    url = F.concat(F.lit("http://files/"), F.concat_ws("/", *parts))
     kind = F.when(F.col("l_partkey") % 3 == 0, "pdf").when(F.col("l_partkey") % 3 == 1, "html").otherwise("txt")
     view = F.struct(F.col("l_linenumber").alias("n"), url.alias("url"), kind.alias("type"), yes.alias("downloaded"), done.alias("extracted"), F.col("l_quantity").cast("int").alias("size"))
     return li.groupBy(F.col("l_orderkey").alias("doc_id")).agg(F.sort_array(F.collect_list(view)).alias("views"))
 
 
-VIEWS = """views as (select l_orderkey as doc_id, l_linenumber as n, 'http://files/' || cast(l_orderkey as varchar) || '/' || cast(l_linenumber as varchar) as url,
+VIEWS = """views as (select l_orderkey as doc_id, l_linenumber as n, 'http://files/' || concat_ws('/', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(l_quantity as int)) as url,
   case l_partkey % 3 when 0 then 'pdf' when 1 then 'html' else 'txt' end as type,
   case when l_linestatus = 'O' then 'no' when l_returnflag = 'A' then 'failed' else 'yes' end as downloaded,
   case when l_returnflag = 'R' then 'failed_extraction' when l_linestatus = 'O' then 'no' else 'yes' end as extracted, cast(l_quantity as int) as size from lineitem)"""

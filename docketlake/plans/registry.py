@@ -1,4 +1,4 @@
-"""All registered queries over the supplied tables, each with its SQL twin."""
+"""All registered queries over the supplied tables, each with its SQL twin where SQL can express it."""
 
 from __future__ import annotations
 
@@ -7,11 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 FLAGSHIP = "a1_docket_stats"
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def register(sql: str | None = None):
+    """Registers a query under its function's name."""
+
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _load() -> None:
+    from docketlake.plans import queries_records, queries_similarity, queries_stats, queries_text  # noqa: F401
+
+
+def queries() -> dict[str, Query]:
+    _load()
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    _load()
+    return dict(_SQL)
