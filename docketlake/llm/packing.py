@@ -155,7 +155,7 @@ def _packed(path: str, end_id: int, limits: Limits, keep_ids: bool):
         for batch in batches:
             columns = [batch.column(i) for i in range(batch.num_columns)]
             for i in range(batch.num_rows):
-                ids = np.append(enc.array(columns[1][i].as_py()), np.array([end_id], dtype=enc.dtype))
+                ids = np.append(enc.ids_of(columns[1][i].as_py()), np.array([end_id], dtype=enc.dtype))
                 held[serial] = [columns[0][i].as_py(), ids, 0]
                 for sequence in packer.add(serial, len(ids), columns[2][i].as_py() or 0):
                     put(sequence)

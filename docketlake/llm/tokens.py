@@ -10,6 +10,7 @@ import functools
 import json
 import os
 import re
+from array import array
 
 import numpy as np
 
@@ -48,7 +49,7 @@ def byte_letters() -> dict[int, str]:
 class Encoder:
     """``encode(text)``: the text's ids as little-endian bytes of ``dtype`` (two bytes an id where the vocabulary allows)."""
 
-    def __init__(self, path: str, bound: int = 200_000):
+    def __init__(self, path: str, bound: int = 150_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -67,17 +68,18 @@ class Encoder:
             and first.get("pattern", {}).get("Regex") == _CHUNKED
             and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"]) for t in spec["added_tokens"])
         )
+        self.kind = "H" if self.dtype == "<u2" else "I"  # executors are little-endian
         self.letters = byte_letters()
-        self.words = Kept(self._word, bound)
+        self.words = Kept(self._word, bound * 2 // 3)
         self.chunks = Kept(self._chunk, bound)
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+        return array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _word(self, word: str) -> bytes:
         """Ids of one lower-case word or run of punctuation, which is a single token of the pre-tokenizer."""
         shown = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(shown)], dtype=self.dtype).tobytes()
+        return array(self.kind, [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
 
     def _chunk(self, chunk: bytes) -> bytes:
         text = chunk.decode()
@@ -94,7 +96,7 @@ class Encoder:
             return b"".join(map(self.chunks.__getitem__, text.encode().split()))
         return self._ids(text)
 
-    def array(self, text: str | None) -> np.ndarray:
+    def ids_of(self, text: str | None) -> np.ndarray:
         return np.frombuffer(self.encode(text), dtype=self.dtype)
 
 
