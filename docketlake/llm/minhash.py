@@ -7,9 +7,10 @@ signature has lower variance than independent minima, and a document is done onc
 Documents with equal sets become one. The others meet in band buckets. In each bucket the smallest id is compared with all other
 members. Buckets whose members are then in more than one component stay open. There, shingles that only one document has are counted: they
 are in no intersection, so a document with too many of them can link with none and leaves. Of the rest the one with the fewest,
-the likest to what the bucket has in common, is compared with all others, and what even then is apart from it is compared with every
-member outside its own component. So a link can only be missed where no band is shared, and comparisons follow the rows of a
-bucket, not its pairs. All comparisons are on the full sets of 64-bit shingle hashes.
+the likest to what the bucket has in common, is compared with all others. What even then is apart from its bucket's component meets members of
+other components by an exact prefix join: with shingles in order of rising document frequency, a pair that links shares one among the
+first few of both sets, early enough for the rest to suffice. So a link can only be missed where no band is shared, and comparisons
+follow the rows of a bucket, not its pairs. All comparisons are on the full sets of 64-bit shingle hashes.
 """
 
 from __future__ import annotations
@@ -160,6 +161,26 @@ def _late(rows: DataFrame, other: DataFrame, sets: DataFrame, percent: int) -> D
     return written(_linked(pairs, sets, percent), "links")
 
 
+def _last(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of documents apart from the component of an open bucket with open documents of other components, by prefix join.
+
+    A link needs an intersection of a = percent / (100 + percent) of both sizes together. With n - a + 1 shingles, the rarest
+    first, both prefixes hold the first common one; at places i and j of sets of n and m it leaves 1 + min(n - i, m - j)."""
+    docs = rest.groupBy("rep").agg(F.first("n").alias("n"), F.first("component").alias("component"), F.min("least_n").alias("least_n"), F.max(F.col("component") != F.col("main")).alias("apart"))
+    docs = written(docs, "apart")
+    grams = sets.join(docs.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), F.explode("grams").alias("gram"))
+    common = grams.groupBy("gram").agg(F.count("*").alias("df"))
+    ordered = grams.join(common, "gram").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("g")).join(docs, "rep")
+    need = F.ceil(percent * (F.col("n") + F.greatest(F.col("least_n"), F.ceil(F.col("n") * percent / 100))) / (100 + percent))
+    first = F.slice("g", 1, F.greatest(F.col("n") - need + 1, F.lit(0)).cast("int"))
+    rows = written(ordered.select("rep", "n", "component", "apart", F.posexplode(first).alias("i", "x")).select("rep", "n", "component", "apart", (F.col("i") + 1).alias("i"), "x.gram"), "prefixes")
+    other = rows.select("gram", *(F.col(c).alias(f"{c}2") for c in ("rep", "n", "component", "i")))
+    room = (100 + percent) * (1 + F.least(F.col("n") - F.col("i"), F.col("n2") - F.col("i2"))) >= percent * (F.col("n") + F.col("n2"))
+    met = rows.where("apart").join(other, "gram").where((F.col("component") != F.col("component2")) & _near("n", "n2", percent) & room)
+    pairs = written(met.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct(), "pairs")
+    return written(_linked(pairs, sets, percent), "links")
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", settings: Settings | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable over links, itself included), kept (doc_id = component_id).
 
@@ -193,8 +214,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         late = _late(alive, centre, sets, s.percent)
         found = written(connected_components(stars.unionByName(late)), "components")
         rest = _open(alive.drop("component", "main", "least_n"), found)
-        other = rest.select("bucket", *(F.col(x).alias(f"{x}2") for x in ("rep", "n", "u", "component")))
-        last = _late(rest.where("component <> main"), other, sets, s.percent)
+        last = _last(rest, sets, s.percent)
         final = connected_components(stars.unionByName(late).unionByName(last)) if last.limit(1).count() else found
     grouped = reps.select("key", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left").select("key", F.coalesce("component", "rep").alias("component"))
     out = signed.select("doc_id", "n_shingles", "key").join(grouped, "key", "left")
