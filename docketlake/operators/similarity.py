@@ -151,9 +151,10 @@ def propose_growth(pairs: DataFrame, clusters: DataFrame, seed: int, step: int)
 def grow(pairs: DataFrame, clusters: DataFrame, seed: int, *, keep: float = 0.5, max_steps: int = 20) -> DataFrame:
     """Grows a cluster while the mean similarity stays at least ``keep`` of what it was: the step doubles when a growth is taken
     and falls to 1 when it is not; ends when a step of 1 is refused or nothing is new. Returns the members."""
+    pairs, clusters = written(pairs, "pairs"), written(clusters, "clusters")  # read in every step
     step, now = 1, cluster_of(clusters, seed)
     for _ in range(max_steps):
-        proposal = propose_growth(pairs, clusters, seed, step)
+        proposal = written(propose_growth(pairs, clusters, seed, step), "proposal")
         if not proposal.where("joins").limit(1).count():
             break
         before, after = (1 - pair_stats(pairs, x).first()["mean"] for x in (now, proposal))
@@ -164,6 +165,7 @@ def grow(pairs: DataFrame, clusters: DataFrame, seed: int, *, keep: float = 0.5,
             continue
         label = clusters.where(F.col("doc_id") == seed).first()["cluster_id"]
         clusters = clusters.join(proposal.select("doc_id", F.lit(True).alias("_in")), "doc_id", "left").select("doc_id", F.when(F.col("_in"), label).otherwise(F.col("cluster_id")).alias("cluster_id"))
+        clusters = written(clusters, "clusters")
         now, step = proposal.select("doc_id"), 2 * step
     return now
 
