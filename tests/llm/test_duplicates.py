@@ -126,6 +126,38 @@ def test_repeated_passages_are_found_and_nothing_else(repeats):
     assert any(r["source_id"] == 5 and r["end"] - r["start"] >= 80 for r in got if r["doc_id"] == 9)
 
 
+def test_exact_passages_of_lines_that_recur_elsewhere(spark):
+    lines = [prose(8) for _ in range(36)]
+    docs = {i: prose(30) + line + prose(30) for i, line in enumerate(lines)}  # each line stands in an earlier document of its own
+    want = {}
+    for k in range(6):
+        passage = [w for line in lines[6 * k : 6 * k + 6] for w in line]
+        docs[100 + k] = prose(70) + passage + prose(40)
+        docs[200 + k] = prose(40 + k) + passage + prose(60)
+        want[200 + k] = (100 + k, 40 + k, 88 + k)
+    docs[107] = prose(20) + docs[100][75:112] + prose(10) + docs[101][70:115] + prose(10)  # 37 words are too few, 45 are not
+    got = substring.repeated_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string").repartition(7)).collect()
+    assert {r["doc_id"]: (r["source_id"], r["start"], r["end"]) for r in got} == want | {107: (101, 67, 112)}
+
+
+def test_text_that_repeats_itself_gives_few_passages(spark):
+    rows = [(1, " ".join(prose(3) * 40)), (2, None)]
+    rows[1] = (2, " ".join([rows[0][1]] * 2))  # 240 words
+    got = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {k for r in got for k in range(r["start"], r["end"])} == set(range(240)) and len(got) <= 6
+    assert substring._cover([1, 1, 1, 1, 2, 2], [0, 1, 2, 60, 0, 44], [45, 46, 47, 105, 45, 89]) == [0, 2, 3, 4, 5]
+
+
+def test_repeated_seeds_over_batches():
+    import pyarrow as pa
+
+    rows = [(1, 1, 0), (1, 1, 9), (2, 1, 1), (2, 1, 5), (2, 3, 0), (2, 4, 0), (3, 1, 2), (4, 2, 2), (4, 3, 3)]
+    for size in range(1, 10):
+        batches = (pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[a : a + size], strict=True)], ["seed", "doc_id", "place"]) for a in range(0, 9, size))
+        got = [tuple(r.values()) for b in substring._repeated(batches) for r in b.to_pylist()]
+        assert got == [(1, 1), (1, 5), (3, 0), (4, 0), (2, 2), (3, 3)]
+
+
 def test_cut_out_passages(repeats, odd_docs, no_docs):
     docs, passage, _ = repeats
     before = {r["doc_id"]: r["text"] for r in docs.collect()}
