@@ -4,9 +4,13 @@ An item is a run of a document's token ids with three demands: tokens, one segme
 a bin with a limit on each. The next item for an open sequence is the one, among those that fit, whose demand has the largest
 dot product with what the sequence has left, both as shares of the limits. When nothing fits, an item is cut to fill it.
 
+Loss-bearing ids are those after a document's context (a prompt, or a document's first line), which is given as input.
+The default limits bind: of 4096 tokens at most 4032 bear loss and at most 16 segments share a sequence, both below
+what a window can offer; what is left beside a full load of loss goes to contexts, cut to fit.
+
 Each task packs the documents of its own partition from a window of bounded size, so there is no shuffle, no group and
-no driver state, and a lost task is simply run again. What is left at a partition's end is cut at powers of two,
-which need no padding.
+no driver state, and a lost task is simply run again. What is left at a partition's end, or where nothing fits any more, is cut at
+powers of two, which need no padding.
 """
 
 from __future__ import annotations
@@ -18,10 +22,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketlake.llm.tokens import default_path, encoder
+from docketlake.llm.tokens import blocks, default_path, encoder
 from docketlake.session import ship
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, segment int, loss_tokens long"
@@ -32,8 +36,8 @@ class Limits:
     """Limits of a sequence; window: items that wait at most; min_piece: shorter gaps are padded instead of cutting an item."""
 
     tokens: int = 4096
-    segments: int = 512
-    loss_tokens: int = 4096
+    segments: int = 16
+    loss_tokens: int = 4032
     window: int = 256
     min_piece: int = 4
 
@@ -52,15 +56,17 @@ class Packer:
     def add(self, key, n: int, loss_from: int = 0) -> Iterator[list[tuple]]:
         """Whole sequences that come free when a document of n ids is added."""
         cap, start = self.limits.tokens, 0
-        while n - start >= cap and self.loss(start, cap, loss_from) <= self.limits.loss_tokens:
-            yield [(key, start, cap, loss_from)]
-            start += cap
         while start < n:
             length = min(cap, n - start)
             while self.loss(start, length, loss_from) > self.limits.loss_tokens:
                 length -= self.loss(start, length, loss_from) - self.limits.loss_tokens
-            self.items.append((key, start, length, loss_from))
+            if length == cap:
+                yield [(key, start, cap, loss_from)]
+            else:
+                self.items.append((key, start, length, loss_from))
             start += length
+            if len(self.items) >= 2 * self.limits.window:  # of one very long document
+                yield from self.fill()
         if len(self.items) >= self.limits.window:
             while len(self.items) > self.limits.window // 2:
                 yield from self.fill()
@@ -88,23 +94,29 @@ class Packer:
             chosen.append(self.items[best])
         self.items = [x for x, keep in zip(self.items, free, strict=True) if keep]
         gap = int(left[0])
-        if gap >= lim.min_piece and left[1] and self.items:
-            best = max(range(len(self.items)), key=lambda i: self.items[i][2])
+        while gap >= lim.min_piece and left[1] and self.items:
+            cuts = [self.cut(x, gap, int(left[2])) for x in self.items]
+            best = max(range(len(cuts)), key=lambda i: (cuts[i], self.items[i][2]))
+            cut = cuts[best]
+            if cut < lim.min_piece:
+                break
             key, start, length, loss_from = self.items[best]
-            cut = min(gap, length)
-            while cut and self.loss(start, cut, loss_from) > left[2]:
-                cut -= int(self.loss(start, cut, loss_from) - left[2])
-            if cut > 0:
-                chosen.append((key, start, cut, loss_from))
-                self.items[best] = (key, start + cut, length - cut, loss_from)
-                if cut == length:
-                    self.items.pop(best)
-                gap -= cut
+            chosen.append((key, start, cut, loss_from))
+            self.items[best] = (key, start + cut, length - cut, loss_from)
+            if cut == length:
+                self.items.pop(best)
+            left -= (cut, 1, self.loss(start, cut, loss_from))
+            gap -= cut
         if gap < lim.min_piece:
             yield chosen
         else:
             yield from self.powers(chosen)
 
+    def cut(self, item: tuple, gap: int, loss_left: int) -> int:
+        """How many leading ids of an item fit into what is left."""
+        _, start, length, loss_from = item
+        return min(gap, length, max(0, loss_from - start) + loss_left)
+
     def powers(self, chosen: list[tuple]) -> Iterator[list[tuple]]:
         """The same ids as sequences of falling power-of-two lengths."""
         total = sum(x[2] for x in chosen)
@@ -125,6 +137,7 @@ class Packer:
 def _packed(path: str, end_id: int, limits: Limits, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, packer, held = encoder(path), Packer(limits), {}
+        end = np.array([end_id], dtype=enc.dtype)
         context = TaskContext.get()
         base = ((context.partitionId() if context else 0) << 32) - 1
         rows: list[tuple] = []
@@ -153,15 +166,18 @@ def _packed(path: str, end_id: int, limits: Limits, keep_ids: bool):
             return pa.RecordBatch.from_arrays(arrays, names)
 
         for batch in batches:
-            columns = [batch.column(i) for i in range(batch.num_columns)]
-            for i in range(batch.num_rows):
-                ids = np.append(enc.ids_of(columns[1][i].as_py()), np.array([end_id], dtype=enc.dtype))
-                held[serial] = [columns[0][i].as_py(), ids, 0]
-                for sequence in packer.add(serial, len(ids), columns[2][i].as_py() or 0):
-                    put(sequence)
-                serial += 1
-                if len(rows) >= 20_000:
-                    yield out()
+            texts, contexts = batch.column(1), batch.column(2)
+            for low, high in blocks(texts, contexts):
+                ids, bounds = enc.batch(texts.slice(low, high - low))
+                before, edges = enc.batch(contexts.slice(low, high - low))
+                for i, doc_id in enumerate(batch.column(0).slice(low, high - low).to_pylist()):
+                    own = np.concatenate((before[edges[i] : edges[i + 1]], ids[bounds[i] : bounds[i + 1]], end))
+                    held[serial] = [doc_id, own, 0]
+                    for sequence in packer.add(serial, len(own), int(edges[i + 1] - edges[i])):
+                        put(sequence)
+                    serial += 1
+                    if len(rows) >= 20_000:
+                        yield out()
         for sequence in packer.end():
             put(sequence)
         yield out()
@@ -169,18 +185,31 @@ def _packed(path: str, end_id: int, limits: Limits, keep_ids: bool):
     return run
 
 
-def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", loss_from_col: str | None = None, tokenizer: str | None = None, end_id: int = 2, limits: Limits | None = None, keep_ids: bool = False) -> DataFrame:
+def first_line(text: Column) -> tuple[Column, Column]:
+    """A text's first line, if more lines follow, and the rest: context and text for documents without a prompt."""
+    first = F.when(F.instr(text, "\n") > 0, F.substring_index(text, "\n", 1)).otherwise(F.lit(""))
+    return first, F.substring(text, F.length(first) + 1, F.length(text))
+
+
+def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", context_col: str | None = None, first_line_is_context: bool = False, tokenizer: str | None = None, end_id: int = 2, limits: Limits | None = None, keep_ids: bool = False) -> DataFrame:
     """Pieces of every document in sequences within ``limits``; each id of a document lies in exactly one piece.
 
+    A document's ids: those of its context (which bear no loss), of its text, and the end id. The context is context_col (a
+    conversation's prompt; null: empty), or the text's first line where first_line_is_context, which needs a tokenizer that drops
+    white space; else there is none and all ids bear loss.
+
     Columns: doc_id, start, length, ids_crc32 (of the piece's ids as little-endian 32-bit), doc_tokens, sequence_id, offset
-    (gapless from 0 in its sequence), segment, loss_tokens, and ids (binary, where keep_ids). loss_from_col holds how many
-    leading ids bear no loss (a prompt's length; null: none).
+    (gapless from 0 in its sequence), segment, loss_tokens, and ids (binary, where keep_ids).
 
     A null or empty text is one id, the end id. Repeated rows are separate documents that share a doc_id; a null doc_id
-    stays null. An empty table gives no rows. Other columns are left out, whatever their names.
+    stays null. An empty table gives no rows. Of items with equal dot products the one that came first is taken. Other columns are left out, whatever
+    their names.
     """
     ship(docs.sparkSession)
-    loss = F.col(loss_from_col).cast("long") if loss_from_col else F.lit(0).cast("long")
-    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), loss.alias("loss_from"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    context = F.coalesce(F.col(context_col).cast("string"), F.lit("")) if context_col else F.lit("")
+    if first_line_is_context:
+        context, text = first_line(text)
+    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), context.alias("context"))
     run = _packed(tokenizer or default_path("word_bpe_49k.json"), end_id, limits or Limits(), keep_ids)
     return given.mapInArrow(run, SCHEMA + (", ids binary" if keep_ids else ""))

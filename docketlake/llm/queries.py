@@ -17,7 +17,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    return packing.pack(table(spark, sf_dir, "documents"), first_line_is_context=True)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
