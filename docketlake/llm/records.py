@@ -1,8 +1,9 @@
 """Token-id output as length-delimited binary records, with a separate offset index for shuffled reads.
 
 A record on disk: length (uint64), masked CRC-32C of those eight bytes (uint32), payload, masked CRC-32C of the payload
-(uint32), all little-endian; this is the TFRecord framing. The payload: doc_id (int64), number of ids (uint32), bytes an
-id (uint32), then the ids. Shards are range partitions of doc_id, so shard by shard the files hold ascending doc_id.
+(uint32), all little-endian; this is the TFRecord framing. The payload: doc_id (int64), ids before it in its shard (int64), number
+of ids (uint32), bytes an id (uint16), 1 if the doc_id is null (uint16), then the ids. Shards are range partitions of
+doc_id, so shard by shard the files hold ascending doc_id.
 """
 
 from __future__ import annotations
@@ -20,14 +21,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketlake.llm.tokens import default_path, encoder
+from docketlake.llm.tokens import blocks, default_path, encoder
 from docketlake.session import scratch, ship
 
 #: Fixed values of the record format: the reflected Castagnoli polynomial and the mask's constant.
 POLYNOMIAL, MASK_DELTA = 0x82F63B78, 0xA282EAD8
 BLOCK = 512
 #: Layout of a payload before its ids.
-HEAD = "<qII"
+HEAD = "<qqIHH"
 
 
 @functools.cache
@@ -115,19 +116,6 @@ def unframed(found: list[bytes]) -> list[bytes]:
     return payloads
 
 
-def _in_bytes(rows: list, size, most: int = 8 << 20) -> Iterator[list]:
-    """Runs of rows of about ``most`` bytes in all."""
-    run, held = [], 0
-    for row in rows:
-        run.append(row)
-        held += size(row)
-        if held >= most:
-            yield run
-            run, held = [], 0
-    if run:
-        yield run
-
-
 def _writer(folder: str, path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, context = encoder(path), TaskContext.get()
@@ -135,21 +123,25 @@ def _writer(folder: str, path: str, end_id: int):
         store, root = fs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
         file = f"{root}/{shard:06d}-{context.taskAttemptId()}-{uuid.uuid4().hex[:8]}.records"  # only an attempt that ends well is in the index
+        end = np.array([end_id], dtype=enc.dtype).tobytes()
         names = ["doc_id", "shard", "file", "offset", "length", "start_in_shard", "n_tokens"]
         with store.open_output_stream(file) as out:
             at = start = 0
             for batch in batches:
-                ids, texts = batch.column(0).to_pylist(), batch.column(1)
-                for rows in _in_bytes(list(range(batch.num_rows)), lambda i: len(texts[i].as_py() or "")):
-                    got = [enc.encode(texts[i].as_py()) + np.array([end_id], dtype=enc.dtype).tobytes() for i in rows]
-                    width = np.dtype(enc.dtype).itemsize
-                    framed = frames([struct.pack(HEAD, ids[i] if ids[i] is not None else -1, len(g) // width, width) + g for i, g in zip(rows, got, strict=True)])
+                ids, texts, width = batch.column(0).to_pylist(), batch.column(1), np.dtype(enc.dtype).itemsize
+                for low, high in blocks(texts):
+                    got, bounds = enc.batch(texts.slice(low, high - low))
+                    own = ids[low:high]
+                    counts = np.diff(bounds) + 1
+                    starts = start + np.cumsum(counts) - counts
+                    heads = [struct.pack(HEAD, i or 0, s, n, width, i is None) for i, s, n in zip(own, starts.tolist(), counts.tolist(), strict=True)]
+                    framed = frames([h + got[a:b].tobytes() + end for h, a, b in zip(heads, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)])
                     out.write(b"".join(framed))
-                    sizes, counts = np.array([len(f) for f in framed]), np.array([len(g) // width for g in got])
-                    offsets, starts = at + np.cumsum(sizes) - sizes, start + np.cumsum(counts) - counts
+                    sizes = np.fromiter(map(len, framed), np.int64, len(framed))
+                    offsets = at + np.cumsum(sizes) - sizes
                     at, start = at + int(sizes.sum()), start + int(counts.sum())
-                    n = len(rows)
-                    yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in rows], pa.int64()), pa.array([shard] * n, pa.int32()), pa.array([file] * n), *(pa.array(x, pa.int64()) for x in (offsets, sizes, starts, counts))], names)
+                    n = high - low
+                    yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array([shard] * n, pa.int32()), pa.array([file] * n), *(pa.array(x, pa.int64()) for x in (offsets, sizes, starts, counts))], names)
 
     return run
 
@@ -157,23 +149,39 @@ def _writer(folder: str, path: str, end_id: int):
 INDEX = "doc_id long, shard int, file string, offset long, length long, start_in_shard long, n_tokens long"
 
 
-def write_records(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, end_id: int = 1, folder: str | None = None) -> DataFrame:
+def write_records(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, end_id: int = 1, folder: str | None = None, shard_bytes: int = 32 << 20) -> DataFrame:
     """Writes the record files and, beside them, the offset index as a Parquet table; returns the index.
 
-    Index columns: doc_id, shard, file, offset, length (of the framed record), start_in_shard (ids before it in its shard), n_tokens.
-    A null or empty text is the end id alone; a null doc_id is stored as -1 and sorts first; repeated rows are repeated
-    records; an empty table writes no record and an empty index. Other columns are left out.
+    Shards hold about shard_bytes of text, so their number grows with the table. Index columns: doc_id, shard, file, offset, length (of the framed
+    record), start_in_shard (ids before it in its shard), n_tokens.
+
+    A null or empty text is the end id alone; a null doc_id is marked in its record and sorts first. Rows with equal doc_id are in order
+    of a hash of their text, then of the text, so a lost task writes them again as they were, and many of them share shards. Repeated rows
+    are repeated records; an empty table writes no record and an empty index. Other columns are left out.
     """
     spark = docs.sparkSession
     ship(spark)
     folder = folder or scratch(spark, "records")
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = given.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
-    ordered.mapInArrow(_writer(f"{folder}/shards", tokenizer or default_path("word_bpe_49k.json"), end_id), INDEX).write.parquet(f"{folder}/index")
+    total = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ordered = given.withColumn("h", F.xxhash64("text")).repartitionByRange(max(1, -(-total // shard_bytes)), "doc_id", "h").sortWithinPartitions("doc_id", "h", "text")
+    ordered.select("doc_id", "text").mapInArrow(_writer(f"{folder}/shards", tokenizer or default_path("word_bpe_49k.json"), end_id), INDEX).write.parquet(f"{folder}/index")
     return spark.read.schema(INDEX).parquet(f"{folder}/index")
 
 
+def _in_bytes(rows: list, size, most: int = 8 << 20) -> Iterator[list]:
+    """Runs of rows of about ``most`` bytes in all."""
+    run, held = [], 0
+    for row in rows:
+        run.append(row)
+        held += size(row)
+        if held >= most:
+            yield run
+            run, held = [], 0
+    if run:
+        yield run
+
+
 def _reader(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, _ = fs.FileSystem.from_uri(folder)
@@ -188,11 +196,15 @@ def _reader(folder: str):
                             source.close()
                         file, source = path, store.open_input_file(path)
                     found.append(source.read_at(length, offset))
-                payloads, ids = unframed(found), []
-                for p in payloads:
-                    _, n, width = struct.unpack_from(HEAD, p)
+                ids, heads = [], []
+                for p in unframed(found):
+                    doc_id, start, n, width, none = struct.unpack_from(HEAD, p)
+                    heads.append((None if none else doc_id, start, n))
                     ids.append(np.frombuffer(p, dtype=f"<u{width}", count=n, offset=struct.calcsize(HEAD)).astype("<u4").tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in run_], pa.int64()), pa.array([r[1] for r in run_], pa.int32()), pa.array([r[5] for r in run_], pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([zlib.crc32(x) for x in ids], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "shard", "start_in_shard", "n_tokens", "ids_crc32", "ids"])
+                if any(h != (r[0], r[5], r[6]) for h, r in zip(heads, run_, strict=True)):
+                    raise ValueError("a record is not the one that the index names")
+                told = list(zip(*heads, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(told[0], pa.int64()), pa.array([r[1] for r in run_], pa.int32()), pa.array(told[1], pa.int64()), pa.array(told[2], pa.int64()), pa.array([zlib.crc32(x) for x in ids], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "shard", "start_in_shard", "n_tokens", "ids_crc32", "ids"])
         if source:
             source.close()
 
@@ -201,13 +213,18 @@ def _reader(folder: str):
 
 def read_records(index: DataFrame, folder: str) -> DataFrame:
     """The index's records, in whatever order the index has them: doc_id, shard, start_in_shard, n_tokens, ids_crc32, ids
-    (binary of little-endian 32-bit ids). Checksums are verified. ``folder`` names the file system the files are on."""
+    (binary of little-endian 32-bit ids), all but the shard from the records themselves.
+
+    A checksum that does not hold, or a record that is not the one the index names, is a ValueError. An empty index gives no rows.
+    ``folder`` names the file system the files are on."""
     ship(index.sparkSession)
     return index.select(*(x.split()[0] for x in INDEX.split(", "))).mapInArrow(_reader(folder), "doc_id long, shard int, start_in_shard long, n_tokens long, ids_crc32 long, ids binary")
 
 
 def with_global_start(records: DataFrame, index: DataFrame) -> DataFrame:
-    """Adds ``start``: ids of all documents before it. One row a shard is gathered, and shards are as many as partitions."""
+    """Adds ``start``: ids of all documents before it, null ids first. Repeated records have starts of their own; no records, no rows.
+
+    One row a shard, two numbers, is gathered; at 100 TB and shards of 32 MB these are three million rows, which larger shards lower."""
     totals = index.groupBy("shard").agg(F.sum("n_tokens").alias("n")).orderBy("shard").collect()
     bases, base = [], 0
     for row in totals:
