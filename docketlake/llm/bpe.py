@@ -2,28 +2,38 @@
 
 The encoding of a prefix ends in exactly one token, so one state a byte is enough: the last token of the prefix that ends
 there. It is the token that ends there and may follow the last token of what stands before it; two tokens may stand side by
-side when no merge across their border would have come before the merges that made them. A state depends on states at
-most one token's length back, so a token is final once the paths of all states that can still be reached run through it.
-The merge list bounds how far ahead that can be: a merge is upset only by a merge of higher rank that takes its right part,
-and ranks rise along such a chain. ``Transducer.lookahead`` is the longest such chain in bytes. Memory is the bytes
-since the last final token.
+side when no merge across their border would have come before the merges that made them.
+
+The merge list bounds how far ahead a token can still change. Compare the merging of a prefix with that of the prefix and more: left of
+some border both agree. That border only moves left when, in one of them, a merge (a, b) spans it, by the length of a. After
+that the token behind it begins with a, so the next such merge, of a later rank, has a right part whose left edge holds a. Bytes ahead
+that matter to a border are thus a sum over a chain of merges of rising rank; ``Transducer.ahead`` has the longest such chain for
+each token, over all merges that take a right edge of it, and ``lookahead`` is the largest. A token is emitted once more than
+its bytes have been read behind it. Memory is the bytes since the last one emitted.
 """
 
 from __future__ import annotations
 
 import codecs
-import functools
 import hashlib
 import json
+import re
+from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketlake.llm.tokens import Kept, byte_letters, default_path
+from docketlake.llm.tokens import Kept, blocks, byte_letters, default_path, worker_cache
 from docketlake.session import ship
 
+BLOCK = 4096
+#: States are kept for prefixes of so many bytes.
+SHORT = 6
+
 #: Fixed value: how byte-level files split text before merging.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -31,7 +41,7 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 class Transducer:
     """The merge list of a byte-level BPE file as a left-to-right machine over bytes."""
 
-    def __init__(self, vocab: dict[str, int], merges: list, bound: int = 500_000):
+    def __init__(self, vocab: dict[str, int], merges: list, bound: int = 100_000):
         letters = {c: b for b, c in byte_letters().items()}
         raw = {token: bytes(letters[c] for c in token) for token in vocab}
         self.bytes_of = {i: raw[token] for token, i in vocab.items()}
@@ -45,20 +55,38 @@ class Transducer:
             left, right = vocab[a], vocab[b]
             self.rank[left, right] = rank
             self.made.setdefault(vocab[a + b], (rank, left, right))
-        self.lookahead = self._lookahead()
+        self.ahead = self._ahead()
+        self.lookahead = 1 + max(self.ahead.values(), default=-1)
         self.bound, self._beside, self._whole = bound, {}, {}
         #: Tokens that merging their own bytes gives; no other can come out.
         self.id_of = {b: i for b, i in self.id_of.items() if self._alone(i)}
+        #: For the two bytes that a token ends with, the lengths of such tokens, the longest first.
+        self.sizes: dict[bytes, list[int]] = {}
+        for b in sorted(self.id_of, key=len, reverse=True):
+            known = self.sizes.setdefault(b[-2:], [])
+            if not known or known[-1] != len(b):
+                known.append(len(b))
+        #: States after short prefixes of splits, as the machine met them; bytes that went through the machine.
         self._states: dict[bytes, tuple[int, int]] = {}
+        self.streamed = 0
 
-    def _lookahead(self) -> int:
-        """Bytes in the longest chain of merges in which each, of higher rank, takes the right part of the one before."""
-        by_left: dict[int, int] = {}
-        for (left, right), _ in sorted(self.rank.items(), key=lambda x: x[1]):
-            chain = len(self.bytes_of[right]) + by_left.get(right, 0)
-            if chain > by_left.get(left, 0):
-                by_left[left] = chain
-        return self.longest + max(by_left.values(), default=0)
+    def _edge(self, token: int, side: int) -> Iterator[int]:
+        """The token, its left (1) or right (2) part, that part's, and so on."""
+        while True:
+            yield token
+            if token not in self.made:
+                return
+            token = self.made[token][side]
+
+    def _ahead(self) -> dict[int, int]:
+        """For each token, the bytes behind it by which its end can still go: more than these, and it is final; -1 if it always is."""
+        chain: dict[int, int] = {}  # for a left part, bytes of the longest chain that ends with a merge of it
+        beyond: dict[int, int] = {}  # the same without its own bytes
+        for (a, b), _ in sorted(self.rank.items(), key=lambda x: x[1]):
+            before = max((chain.get(x, 0) for x in self._edge(b, 1)), default=0)
+            beyond[a] = max(beyond.get(a, -1), before)
+            chain[a] = max(chain.get(a, 0), before + len(self.bytes_of[a]))
+        return {t: max(beyond.get(x, -1) for x in self._edge(t, 2)) for t in self.bytes_of}
 
     def beside(self, a: int, b: int) -> bool:
         """Whether b may follow a: undo the merges at the border, latest first; no earlier merge may reach across it."""
@@ -85,89 +113,62 @@ class Transducer:
                 limit, b = by_b[0] + 1, by_b[1]
 
     def stream(self, blocks: Iterator[bytes]) -> Iterator[int]:
-        """Ids of one split's bytes, given in blocks; each id comes as soon as it is final."""
-        held, last = b"", [(-1, -1)]  # bytes since the last final token; for each end: (token, its start)
-        last_before = -1  # the last final token
+        """Ids of one split's bytes, given in blocks; each id comes as soon as the bytes read behind it say that it is final."""
+        get, sides, known, sizes, ahead = self.id_of.get, self._beside, self._states, self.sizes, self.ahead
+        held, tokens, starts = b"", [-1], [0]  # bytes since the last cut; for each end: the last token, its start
+        low, due, whole = 0, 0, True  # the last final border; when to look for one again; whether held has the split's first byte
         for block in blocks:
-            for byte in block:
-                held += bytes((byte,))
-                end = len(held)
-                last.append(self._state(held, end, last, last_before))
-                if end > 2 * self.lookahead:
-                    cut, ids = self._final(last, end)
-                    if cut:
-                        yield from ids
-                        last_before = ids[-1]
-                        held = held[cut:]
-                        last = [(-1, -1)] + [(t, s - cut) for t, s in last[cut + 1 :]]
-        yield from self._back(last, len(held))
-
-    def _state(self, held: bytes, end: int, last: list, before: int) -> tuple[int, int]:
-        for size in range(min(end, self.longest), 0, -1):
-            token = self.id_of.get(held[end - size : end])
-            if token is None:
-                continue
-            start = end - size
-            left = last[start][0] if start else before
-            if start and left < 0:
-                continue
-            if left < 0 or self.beside(left, token):
-                return token, start
-        return -1, -1  # inside a token that has no ending here after a cut; never reached from the first byte
-
-    @staticmethod
-    def _back(last: list, end: int) -> list[int]:
-        ids = []
-        while end > 0:
-            token, end = last[end]
-            ids.append(token)
-        return ids[::-1]
-
-    def _final(self, last: list, end: int) -> tuple[int, list[int]]:
-        """The furthest border that the paths of all states still in reach share, and the ids before it."""
-        shared: set[int] | None = None
-        for at in range(max(1, end - self.longest + 1), end + 1):
-            if last[at][0] < 0:
-                continue
-            path = set()
-            while at > 0:
-                at = last[at][1]
-                path.add(at)
-            shared = path if shared is None else shared & path
-        cut = max(shared or {0})
-        return (cut, self._back(last, cut)) if cut else (0, [])
+            self.streamed += len(block)
+            at, held = len(held), held + block
+            for end in range(at + 1, len(held) + 1):
+                short = whole and end <= SHORT
+                got = known.get(held[:end]) if short else None  # a state depends on the prefix alone
+                if got is None:
+                    got = -2, 0  # no token ends here
+                    for size in (*sizes.get(held[end - 2 : end], ()), 1) if end > 1 else (1,):
+                        start = end - size
+                        if start < low:
+                            continue
+                        token = get(held[start:end])
+                        if token is None:
+                            continue
+                        left = tokens[start]
+                        if left == -2:
+                            continue
+                        if left >= 0:
+                            legal = sides.get((left, token))
+                            if not (self.beside(left, token) if legal is None else legal):
+                                continue
+                        got = token, start
+                        break
+                    if short:
+                        if len(known) >= self.bound:
+                            known.clear()
+                        known[held[:end]] = got
+                tokens.append(got[0])
+                starts.append(got[1])
+                if end >= due and got[0] >= 0:
+                    path = []  # of tokens that are not final, the last first
+                    now = end
+                    while now > low:
+                        path.append((now, tokens[now]))
+                        now = starts[now]
+                    final = next((k for k, (e, t) in enumerate(path) if end - e > ahead[t]), len(path))
+                    if final < len(path):
+                        yield from [t for _, t in reversed(path[final:])]
+                        low = path[final][0]
+                    due = min((e + ahead[t] + 1 for e, t in path[:final]), default=end + 1)
+            if low > BLOCK:
+                held, tokens, starts, due, low, whole = held[low:], tokens[low:], [x - low for x in starts[low:]], due - low, 0, False
+        ids, end = [], len(held)
+        while end > low:
+            ids.append(tokens[end])
+            end = starts[end]
+        yield from reversed(ids)
 
     def ids(self, word: bytes) -> list[int]:
-        """Ids of one short split."""
-        if len(word) > 4 * self.lookahead:
-            return list(self.stream(iter((word,))))
-        get, sides, known, longest = self.id_of.get, self._beside.get, self._states, self.longest
-        token_at, start_at = [-1], [-1]
-        for end in range(1, len(word) + 1):
-            got = known.get(word[:end])  # a state depends on the prefix alone, and words share prefixes
-            if got is None:
-                for start in range(max(0, end - longest), end):
-                    token = get(word[start:end])
-                    if token is None:
-                        continue
-                    if start:
-                        left = token_at[start]
-                        legal = sides((left, token))
-                        if not (self.beside(left, token) if legal is None else legal):
-                            continue
-                    got = token, start
-                    break
-                if end <= 10:
-                    if len(known) >= self.bound:
-                        known.clear()
-                    known[word[:end]] = got
-            token_at.append(got[0])
-            start_at.append(got[1])
-        ids, end = [], len(word)
-        while end:
-            ids.append(token_at[end])
-            end = start_at[end]
-        return ids[::-1]
+        """Ids of one split."""
+        return list(self.stream(word[at : at + BLOCK] for at in range(0, len(word), BLOCK)))
 
     def _alone(self, token: int) -> bool:
         """Whether merging a token's own bytes gives that token: both halves do, and they may stand side by side up to its merge."""
@@ -208,107 +209,145 @@ class Decoder:
         return self.machine.decode(b"", True)
 
 
+#: What stands between two spaces most often: a Latin word, marks, and the same after one line end.
+_PIECE = r"^(?P<a>[A-Za-zÀ-ÖØ-öø-ÿ]*)(?P<b>[!-&(-/:;=?@\[-`{-~]*)(?P<c>\n?)(?P<d>[A-Za-zÀ-ÖØ-öø-ÿ]*)(?P<e>[!-&(-/:;=?@\[-`{-~]*)$"
+
+
 class Codec:
     """Encodes and decodes whole texts as the tokenizers library does with a byte-level BPE file.
 
-    A space before a character that is no white space always begins a new split, so text falls into pieces
-    there; pieces and splits that come again are looked up.
+    A space before a character that is no white space always begins a new split, so text falls into pieces there. A block's
+    distinct splits go through the transducer; those that a bounded cache of earlier results holds do not again.
     """
 
-    def __init__(self, path: str, bound: int = 300_000):
+    def __init__(self, path: str, bound: int = 40 << 20):
         import regex
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, before = spec["model"], spec["pre_tokenizer"]
-        if model["type"] != "BPE" or spec["normalizer"] or before["type"] != "ByteLevel" or before["add_prefix_space"] or not before["use_regex"] or model.get("ignore_merges"):
-            raise ValueError("a byte-level BPE file without normalizer and prefix space is needed")
+        plain = model["type"] == "BPE" and not spec["normalizer"] and before["type"] == "ByteLevel" and not before["add_prefix_space"] and before["use_regex"]
+        if not plain or model.get("ignore_merges") or any(t["lstrip"] or t["rstrip"] or t["single_word"] or regex.search(r"\s", t["content"]) for t in spec["added_tokens"]):
+            raise ValueError("a byte-level BPE file without normalizer, prefix space and special tokens that take white space is needed")
         self.machine = Transducer(model["vocab"], model["merges"])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.bytes_of = self.machine.bytes_of | {i: s.encode() for s, i in self.special.items()}
-        self.name_of = {i: str(i) for i in self.bytes_of}
+        size = max(self.bytes_of) + 1
+        self.kind = "H" if size <= 1 << 16 else "I"  # executors are little-endian
+        self.names = pa.array([f",{i}".encode() for i in range(size)], pa.binary())
+        self.shown = pa.array([self.bytes_of.get(i, b"") for i in range(size)], pa.binary())
         self.split = regex.compile(SPLIT).findall
-        self.at_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.odd = regex.compile(r" (?=\s|\z)").search
-        self.starts_white = regex.compile(r"\s").match
-        self.words = Kept(self._word, bound)
-        self.pieces = Kept(lambda piece: self.of(" " + piece), bound)
-
-    def _word(self, word: str) -> tuple[str, bytes]:
-        ids = self.machine.ids(word.encode())
-        return ",".join([self.name_of[i] for i in ids]), b"".join([self.bytes_of[i] for i in ids])
-
-    def of(self, text: str) -> tuple[str, bytes]:
-        got = [self.words[w] for w in self.split(text)]
-        return got[0] if len(got) == 1 else (",".join([x[0] for x in got]), b"".join([x[1] for x in got]))
-
-    def plain(self, text: str) -> list[tuple[str, bytes]]:
-        """(ids, bytes) of the pieces of a text without special tokens."""
-        first, *rest = text.split(" ")
-        if not self.odd(text):
-            got = [self.of(first)] if first else []
-            got += map(self.pieces.__getitem__, rest)
-            return got
-        whole, now = [], [first]
-        for piece in rest:
-            if piece and not self.starts_white(piece):
-                whole.append(" ".join(now))
-                now = ["", piece]
-            else:
-                now.append(piece)
-        whole.append(" ".join(now))
-        return [self.pieces[x[1:]] if x[0] == " " else self.of(x) for x in whole if x]
-
-    def encode(self, text: str | None) -> list[tuple[str, bytes]]:
-        """(ids joined by commas, the bytes they decode to) of successive pieces."""
-        if not text:
-            return []
+        self.specials = "|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))
+        self.at_special = re.compile(f"({self.specials})") if self.special else None
+        self.border = regex.compile(r" (?=\S)").search
+        self.words = Kept(self._words, bound)
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of splits, packed."""
+        kind, ids = self.kind, self.machine.ids
+        return [array(kind, ids(word.encode())).tobytes() for word in words]
+
+    def splits(self, text: str) -> list[str]:
+        """Splits of a text, special tokens among them."""
         if not self.at_special or not self.at_special.search(text):
-            return self.plain(text)
-        got, at = [], 0
-        for m in self.at_special.finditer(text):
-            got += self.plain(text[at : m.start()]) if m.start() > at else []
-            got.append((str(self.special[m[0]]), m[0].encode()))
-            at = m.end()
-        return got + (self.plain(text[at:]) if at < len(text) else [])
+            return self.split(text)
+        return [w for k, part in enumerate(self.at_special.split(text)) for w in ([part] if k % 2 else self.split(part))]
+
+    def segments(self, text: str, most: int = 1 << 20) -> Iterator[str]:
+        """A long text in parts whose splits are those of the whole."""
+        at = 0
+        while len(text) - at > most and (m := self.border(text, at + most)):
+            yield text[at : m.start()]
+            at = m.start()
+        yield text[at:] if at else text
+
+    def of(self, splits: list[str]) -> list[bytes]:
+        special = self.special
+        if any(w in special for w in splits):
+            got = dict(zip(plain := [w for w in splits if w not in special], self.words.many(plain), strict=True))
+            return [got[w] if w in got else array(self.kind, [special[w]]).tobytes() for w in splits]
+        return self.words.many(splits)
+
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, which have no nulls, one after another, and where each text's begin (one more at the end)."""
+        odd = pc.match_substring_regex(texts, r" (\s|$)|[\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x1c-\x1f]" + ("|" + self.specials if self.special else ""))
+        lists = pc.split_pattern(pc.if_else(odd, "", texts), " ")
+        coded = lists.flatten().dictionary_encode()
+        pieces, at = coded.dictionary, coded.indices.to_numpy()
+        bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        told = pc.extract_regex(pieces, _PIECE)
+        a, b, c, d, e = (pc.fill_null(told.field(k), "") for k in "abcde")
+        bare = pc.equal(a, "")
+        parts = [pc.if_else(bare, "", pc.binary_join_element_wise(" ", a, "")), pc.if_else(pc.and_(bare, pc.not_equal(b, "")), pc.binary_join_element_wise(" ", b, ""), b), c, d, e]
+        whole = pa.concat_arrays(parts).dictionary_encode()
+        # entries of a store of ids: the distinct splits of pieces; then of each odd piece, and of each text's first piece, which has no space before it, or of an odd text
+        strange = np.flatnonzero(told.is_null().to_numpy(zero_copy_only=False))
+        own = [self.split(" " + p) for p in pieces.take(pa.array(strange)).to_pylist()] + [self.splits(t) for t in pc.if_else(odd, texts, pieces.take(pa.array(at[bounds[:-1]]))).to_pylist()]
+        made = iter(self.of([w for splits in own for w in splits]))
+        values = [*self.words.many(whole.dictionary.to_pylist()), *(b"".join([next(made) for _ in splits]) for splits in own)]
+        entries = np.zeros((len(pieces) + len(texts), len(parts)), dtype=np.int32)
+        entries[: len(pieces)] = whole.indices.to_numpy().reshape(len(parts), -1).T
+        empty = len(values)
+        values.append(b"")
+        entries[strange], entries[len(pieces) :] = empty, empty
+        entries[strange, 0] = len(whole.dictionary) + np.arange(len(strange))
+        entries[len(pieces) :, 0] = len(whole.dictionary) + len(strange) + np.arange(len(texts))
+        at = at.copy()
+        at[bounds[:-1]] = len(pieces) + np.arange(len(texts))
+        width = array(self.kind).itemsize
+        sizes = np.fromiter(map(len, values), np.int32, len(values)) // width
+        store = np.frombuffer(b"".join(values), dtype=f"<u{width}")
+        entry = entries[at].reshape(-1)
+        n = sizes[entry]
+        ends = np.append(0, np.cumsum(n, dtype=np.int64))
+        first = (np.cumsum(sizes) - sizes)[entry] - ends[:-1]
+        return store[np.repeat(first, n) + np.arange(ends[-1])], ends[len(parts) * bounds]
 
     def ids(self, text: str | None) -> list[int]:
-        return [int(i) for joined, _ in self.encode(text) for i in joined.split(",")]
+        return self.batch(pa.array([text or ""]))[0].tolist()
 
     def decode(self, ids: list[int]) -> str:
         machine = Decoder(self.bytes_of)
         return machine.feed(ids) + machine.end()
 
 
-@functools.lru_cache(maxsize=2)
+def _joined(values: pa.Array, bounds: np.ndarray) -> list[memoryview]:
+    """The bytes of each run of values, which have just been taken."""
+    _, offsets, data = values.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int32)[bounds].tolist() if len(values) else [0] * len(bounds)
+    view = memoryview(data) if data is not None else memoryview(b"")
+    return [view[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
+@worker_cache
 def codec(path: str) -> Codec:
     """One codec a worker and file."""
     return Codec(path)
 
 
-BLOCK = 4096
-
-
 def _digests(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = codec(path)
         for batch in batches:
-            texts, n, of_ids, of_text = batch.column(1), [], [], []
-            for value in texts:
-                pieces = known.encode(value.as_py())
-                ids_hash, text_hash = hashlib.sha256(), hashlib.sha256()
-                machine, count = codecs.getincrementaldecoder("utf-8")("replace"), 0
-                for at in range(0, len(pieces), BLOCK):  # the state machine goes over a text block by block
-                    block = pieces[at : at + BLOCK]
-                    joined = ",".join([x[0] for x in block])
-                    count += joined.count(",") + 1
-                    ids_hash.update(("," * (at > 0) + joined).encode())
-                    text_hash.update(machine.decode(b"".join([x[1] for x in block])).encode())
-                text_hash.update(machine.decode(b"", True).encode())
-                n.append(count)
-                of_ids.append(ids_hash.hexdigest())
-                of_text.append(text_hash.hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            texts, rows = pc.fill_null(batch.column(1), ""), batch.num_rows
+            n, hashes, machines = np.zeros(rows, dtype=np.int64), [None] * rows, {}
+            told: list[tuple[str, str]] = []
+            for low, high in blocks(texts):
+                parts = [(i, p) for i in range(low, high) for p in known.segments(texts[i].as_py())]
+                for a, b in blocks(pa.array([p for _, p in parts], pa.string())):
+                    ids, bounds = known.batch(pa.array([p for _, p in parts[a:b]], pa.string()))
+                    joined = [_joined(x.take(pa.array(ids)), bounds) for x in (known.names, known.shown)]
+                    for (i, _), names, shown, count in zip(parts[a:b], *joined, np.diff(bounds).tolist(), strict=True):
+                        if hashes[i] is None:
+                            hashes[i], machines[i] = (hashlib.sha256(), hashlib.sha256()), codecs.getincrementaldecoder("utf-8")("replace")
+                        hashes[i][0].update(names if n[i] else names[1:])
+                        hashes[i][1].update(machines[i].decode(shown).encode())
+                        n[i] += count
+                for i in range(low, high):
+                    hashes[i][1].update(machines.pop(i).decode(b"", True).encode())
+                    told.append((hashes[i][0].hexdigest(), hashes[i][1].hexdigest()))
+                    hashes[i] = None
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array([x[0] for x in told], pa.string()), pa.array([x[1] for x in told], pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return run
 
@@ -325,7 +364,8 @@ def round_trip_digests(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
 
 def encode(docs: DataFrame, *, text_col: str = "text", ids_col: str = "ids", tokenizer: str | None = None) -> DataFrame:
-    """``docs`` with the ids of each text as an array column; a null text has no ids."""
+    """``docs`` with the ids of each text as an array column; a null or empty text has none. Repeated rows stay, an empty table stays
+    empty, and ids_col replaces a column of that name."""
     ship(docs.sparkSession)
     path = tokenizer or default_path("byte_bpe_50k.json")
 
@@ -338,7 +378,8 @@ def encode(docs: DataFrame, *, text_col: str = "text", ids_col: str = "ids", tok
 
 
 def decode(rows: DataFrame, *, ids_col: str = "ids", text_col: str = "decoded", tokenizer: str | None = None) -> DataFrame:
-    """``rows`` with the text of each array of ids; a null array stays null."""
+    """``rows`` with the text of each array of ids; a null array stays null, an empty one is the empty text. Repeated rows stay, an
+    empty table stays empty, and text_col replaces a column of that name. An unknown id is an error."""
     ship(rows.sparkSession)
     path = tokenizer or default_path("byte_bpe_50k.json")
 
