@@ -1,17 +1,20 @@
 """Main text of web pages by tag-path ratios.
 
-A page's text nodes are grouped by tag path, the names (with class and id) of the elements from the root to the node. For each
-path: characters of text a node, punctuation a node, and the share of text outside links. These are smoothed over
-the paths in page order, fused as a product, and paths above the threshold (a share of the mean of what carries text)
-are content. The container that holds most content is the article; all its text nodes are
-kept, short ones too, but for those under elements that are never article text (navigation, footers, forms, notes
-that call themselves adverts, notices, comments and so on).
+A page's text nodes are grouped by tag path: the names (with class, id and role) of the block elements from the root to the node; inline
+elements share their block's path. For each path: characters of text a node, punctuation a node, the share of text outside links, and
+whether its names say that it is no article text (navigation, footers, forms, adverts, notices, comments and so on). The ratios are smoothed
+over the paths in page order and fused as a product. Two thresholds select: paths above a share of the mean are core, and the container that
+holds most of the core is the article; in it, nodes on paths above a much lower share are content, so headings and short paragraphs
+beside a long text stay. No path below the low share is content, wherever it stands.
+
+Parsing, paths and weights take one pass each over tags and nodes, however deep or broken a page is.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,37 +34,79 @@ ENDS_OWN = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
 SCOPES = frozenset("ul ol dl table div section article main aside nav footer header form body html".split())
 #: Elements that never hold article text, and words of class, id and role values that say the same.
 OUT = frozenset("nav footer aside form head button menu dialog label input search".split())
-OUT_WORDS = frozenset("ad ads adv advert adverts advertisement advertising adsbox banner sponsor sponsored sponsors promo promotion promoted nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar side aside complementary footer foot contentinfo copyright cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login comment comments commentlist comment-list disqus respond reply replies discussion related recommended recommendations share sharing social toolbar pagination pager widget masthead header site-header page-header main-header top-header topbar hidden".split())
+OUT_WORDS = frozenset("ad ads adv advert adverts advertisement advertising adsbox banner sponsor sponsored sponsors promo promotion promoted nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar side aside complementary footer foot contentinfo copyright cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login comment comments commentlist comment-list disqus respond reply replies pagination pager masthead header site-header page-header main-header top-header topbar hidden".split())
 WRAPS = frozenset("has with no without is".split())
 ARTICLE_OUT = frozenset("comment comments reply replies ad ads advert promo sponsored related teaser".split())
+#: Words that say so only of an element that is mostly links.
+SOFT_WORDS = frozenset("share sharing social toolbar widget related recommended recommendations promo side discussion".split())
 ROLES_OUT = frozenset("navigation banner contentinfo complementary search dialog alert".split())
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile(r"[>\"']")
+_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORDS = re.compile(r"[^a-z0-9]+")
 _MARKS = re.compile(r"[.,;:!?…。，、；：！？]")
 
 
 class Node:
-    __slots__ = ("name", "label", "parent", "out", "depth", "link")
+    """An element: out, if its names or those around it say that it is no article text; soft, if they do so should it be mostly links."""
+
+    __slots__ = ("name", "label", "parent", "out", "soft", "depth", "link", "path")
 
-    def __init__(self, name: str, label: str, parent: Node | None, out: bool):
-        self.name, self.label, self.parent, self.out = name, label, parent, out
+    def __init__(self, name: str, label: str, parent: Node | None, out: bool, soft: bool = False):
+        self.name, self.label, self.parent = name, label, parent
+        self.out, self.soft = out or bool(parent and parent.out), soft or bool(parent and parent.soft)
         self.depth = parent.depth + 1 if parent else 0
         self.link = name == "a" or bool(parent and parent.link)
+        self.path = 0
+
+
+class Stack:
+    """The open elements, with counts by name of all of them and of those in the innermost container."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.open, self.inner = [root], Counter(), [Counter()]
 
+    def push(self, node: Node) -> None:
+        self.nodes.append(node)
+        self.open[node.name] += 1
+        self.inner[-1][node.name] += 1
+        if node.name in SCOPES:
+            self.inner.append(Counter())
 
-def _marked_out(attributes: str) -> tuple[bool, str]:
-    """Whether class, id or role name something that is no article text; the element's class and id for its path."""
-    out, label = False, ""
+    def pop(self) -> str:
+        name = self.nodes.pop().name
+        if name in SCOPES:
+            self.inner.pop()
+        self.open[name] -= 1
+        self.inner[-1][name] -= 1
+        return name
+
+    def end(self, name: str) -> None:
+        """Ends the nearest open element of that name; one that is no block only inside the innermost container."""
+        if self.open[name] if name in BLOCK else self.inner[-1][name]:
+            while self.pop() != name:
+                pass
+
+    def end_any(self, names: set[str]) -> None:
+        """Ends the nearest open element with one of the names in the innermost container."""
+        if any(self.inner[-1][n] for n in names):
+            while self.pop() not in names:
+                pass
+
+
+def _marked(attributes: str) -> tuple[bool, bool, str]:
+    """Whether class, id or role name something that is no article text, or is not if it is mostly links; class, id and role for the path."""
+    out, soft, label = False, False, ""
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (a or b or c).lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in ROLES_OUT:
-            out = True
+            out, label = True, f"{label}#{name}"
         if name in ("class", "id"):
             label += "." + value
             out = out or any(_names_out(p) for p in value.split())
-    return out, label
+            soft = soft or any(w in SOFT_WORDS for w in _WORDS.split(value))
+    return out, soft, label
 
 
 def _names_out(token: str) -> bool:
@@ -74,138 +119,144 @@ def _names_out(token: str) -> bool:
     return parts[0] in OUT_WORDS - {"header", "side", "social"} or parts[-1] in OUT_WORDS - {"header"}
 
 
-def text_nodes(page: str) -> list[tuple[Node, str, int]]:
-    """(element, text with references decoded, number of its block) in page order; raw elements and comments are left out."""
+def _tag_end(page: str, at: int, gone: set[str]) -> int:
+    """Place of the tag's ">", or the page's end. A quote without an end (``gone`` keeps which occur no more) is a plain character."""
+    while (stop := _STOP.search(page, at)) and stop[0] != ">":
+        at = stop.end()
+        if stop[0] not in gone:
+            other = page.find(stop[0], at)
+            if other < 0:
+                gone.add(stop[0])
+            at = max(at, other + 1)
+    return stop.start() if stop else len(page)
+
+
+def text_nodes(page: str) -> tuple[list[tuple[Node, str, int]], list[Node]]:
+    """(element, text with references decoded, number of its block) in page order, and all elements, parents first; raw elements and
+    comments are left out."""
     root = Node("#root", "", None, False)
-    stack, found, block, at, size = [root], [], 0, 0, len(page)
-    lower = None
-    while at < size:
-        m = _TAG.search(page, at)
-        upto = m.start() if m else size
-        if upto > at:
-            found.append((stack[-1], entities.unescape(page[at:upto]), block))
+    stack, made, found, block, at, size = Stack(root), [root], [], 0, 0, len(page)
+    paths, gone, ends, lower, text_from = {}, set(), {}, None, 0
+
+    def text(upto: int) -> None:
+        if upto > text_from:
+            found.append((stack.nodes[-1], entities.unescape(page[text_from:upto]), block))
+
+    while (start := page.find("<", at)) >= 0:
+        m = _NAME.match(page, start + 1)
         if not m:
-            break
-        at = m.end()
-        if m[2] is None:
+            if not page.startswith(("!", "?"), start + 1):
+                at = start + 1  # a plain character
+                continue
+            mark = "-->" if page.startswith("<!--", start) else "]]>" if page.startswith("<![CDATA[", start) else ">"
+            end = page.find(mark, start + (4 if mark == "-->" else 2))
+            text(start)
+            at = text_from = size if end < 0 else end + len(mark)
             continue
-        name = m[2].lower()
+        stop = _tag_end(page, m.end(), gone)
+        text(start)
+        at = text_from = min(size, stop + 1)
+        name, attributes = m[2].lower(), page[m.end() : stop]
         if name in BLOCK:
             block += 1
         if m[1]:
-            if name == "p" or any(x.name == name for x in reversed(stack)):
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].name == name:
-                        del stack[k:]
-                        break
-                    if name not in BLOCK and stack[k].name in SCOPES:
-                        break  # an inline end tag closes nothing outside its block
+            stack.end(name)
             continue
+        closed = attributes.rstrip().endswith("/")
         if name in VOID:
             continue
-        if name in RAW and not m[3].rstrip().endswith("/"):
+        if name in RAW and not closed:
             lower = page.lower() if lower is None else lower
-            end = lower.find(f"</{name}", at)
-            at = size if end < 0 else (page.find(">", end) + 1 or size)
+            if ends.get(name, 0) >= 0 and ends.get(name, 0) < at:
+                ends[name] = lower.find(f"</{name}", at)
+            at = text_from = size if ends[name] < 0 else min(size, _tag_end(page, ends[name], gone) + 1)
             continue
         if name in ENDS_P:
-            _close(stack, {"p"})
+            stack.end_any({"p"})
         if name in ENDS_OWN:
-            _close(stack, ENDS_OWN[name])
-        out, label = _marked_out(m[3]) if m[3] else (False, "")
-        parent = stack[-1]
+            stack.end_any(ENDS_OWN[name])
+        if name == "a":
+            stack.end_any({"a"})
+        out, soft, label = _marked(attributes) if attributes else (False, False, "")
         if name in ("html", "body", "main"):
             out = False
         elif name == "article":
             out = out and any(w in ARTICLE_OUT for w in _WORDS.split(label))
-        page_head = name == "header" and not any(x.name in ("article", "main") for x in stack)
-        node = Node(name, name + label, parent, parent.out or out or page_head or name in OUT)
-        if name == "a" and parent.link:
-            _close(stack, {"a"})
-            node.parent, node.link = stack[-1], True
-        if not m[3].rstrip().endswith("/") or name in BLOCK:
-            stack.append(node)
-    return found
-
-
-def _close(stack: list[Node], names: set[str]) -> None:
-    """Ends the nearest open element with one of the names, if no container stands between."""
-    for k in range(len(stack) - 1, 0, -1):
-        if stack[k].name in names:
-            del stack[k:]
-            return
-        if stack[k].name in SCOPES:
-            return
-
-
-def path_scores(nodes: list[tuple[Node, str, int]]) -> tuple[list[tuple[str, ...]], np.ndarray]:
-    """Tag paths in page order and the fused, smoothed ratio of each."""
-    order: dict[tuple[str, ...], list[float]] = {}
-    memo: dict[int, tuple[str, ...]] = {}
+        elif name == "header":
+            out = out or not (stack.open["article"] or stack.open["main"])
+        parent = stack.nodes[-1]
+        node = Node(name, name + label, parent, out or name in OUT, soft)
+        inline = name not in BLOCK and node.out == parent.out and node.soft == parent.soft
+        node.path = parent.path if inline else paths.setdefault((parent.path, node.label), len(paths) + 1)
+        if not closed or name in BLOCK:
+            made.append(node)
+            stack.push(node)
+    text(size)
+    return found, made
+
+
+def path_scores(nodes: list[tuple[Node, str, int]]) -> tuple[list[int], np.ndarray]:
+    """Tag paths in page order and the fused, smoothed ratio of each.
+
+    With c characters and m punctuation marks a node on the path, s the share of its text outside links (0.05 at least) and p its prior (0 for names
+    that are no article text, or may be none where most of the text is links): smooth(c) * smooth(1 + m) * s * p * ln(1 + all characters)."""
+    order: dict[int, list[float]] = {}
     for node, text, _ in nodes:
-        path = _path(node, memo)
         n = len(text.strip())
         if not n:
             continue
-        got = order.setdefault(path, [0, 0, 0, 0])
+        got = order.setdefault(node.path, [0, 0, 0, 0, 0, 0])
         got[0] += n
         got[1] += len(_MARKS.findall(text))
         got[2] += 1
         got[3] += n if node.link else 0
+        got[4] |= node.out
+        got[5] |= node.soft
     if not order:
         return [], np.empty(0)
     t = np.array(list(order.values()), dtype=np.float64)
-    chars, marks, free = t[:, 0] / t[:, 2], t[:, 1] / t[:, 2], 1 - t[:, 3] / t[:, 0]
+    chars, marks, links = t[:, 0] / t[:, 2], t[:, 1] / t[:, 2], t[:, 3] / t[:, 0]
+    prior = (t[:, 4] == 0) & ((t[:, 5] == 0) | (links < 0.5))
     weights = np.array([0.1, 0.8, 0.1])
     smooth = (lambda x: np.convolve(np.pad(x, 1, mode="edge"), weights, mode="valid")) if len(t) > 1 else (lambda x: x)
-    return list(order), smooth(chars) * smooth(1 + marks) * free * np.log1p(t[:, 0])
-
-
-def _path(node: Node, memo: dict[int, tuple[str, ...]]) -> tuple[str, ...]:
-    got = memo.get(id(node))
-    if got is None:
-        got = memo[id(node)] = (_path(node.parent, memo) if node.parent else ()) + (node.label,)
-    return got
+    return list(order), smooth(chars) * smooth(1 + marks) * np.maximum(1 - links, 0.05) * prior * np.log1p(t[:, 0])
 
 
-def main_text(page: str | None, share: float = 0.5) -> str:
+def main_text(page: str | None, share: float = 0.5, low: float = 3e-4, low_elsewhere: float = 1e-2) -> str:
     """The article's text: blocks in page order joined by one space, white space inside a block turned into one space.
 
-    A null or empty page, or one without text outside menus, footers and the like, has the empty string.
+    share: of the mean score, from which a path is core; low: from which it is content inside an article or main element, low_elsewhere inside any
+    other container. A null or empty page, or one without text outside menus, footers and the like, has the empty string.
     """
     if not page:
         return ""
-    nodes = text_nodes(page)
-    fit = [x for x in nodes if not x[0].out]
-    paths, scores = path_scores(fit)
-    if not paths:
+    nodes, made = text_nodes(page)
+    paths, scores = path_scores(nodes)
+    mean = scores[scores > 0].mean() if (scores > 0).any() else 0.0
+    score = dict(zip(paths, scores.tolist(), strict=True))
+    weight = dict.fromkeys(map(id, made), 0)
+    for node, text, _ in nodes:
+        if score.get(node.path, 0.0) >= share * mean > 0:
+            weight[id(node)] += len(text.strip())
+    for node in reversed(made[1:]):
+        weight[id(node.parent)] += weight[id(node)]
+    total = weight[id(made[0])]
+    if not total:
         return ""
-    threshold = share * scores.mean()
-    content = {p for p, s in zip(paths, scores, strict=True) if s >= threshold}
-    memo: dict[int, tuple[str, ...]] = {}
-    weight: dict[Node, int] = {}
-    total = 0
-    for node, text, _ in fit:
-        if _path(node, memo) in content:
-            n = len(text.strip())
-            total += n
-            up = node
-            while up:
-                weight[up] = weight.get(up, 0) + n
-                up = up.parent
-    articles = [x for x in weight if x.name in ("article", "main") and weight[x] >= 0.5 * total]
-    if articles:  # the innermost one that holds most content
-        root = max(articles, key=lambda x: (x.depth, weight[x]))
-    else:
-        root = max((x for x in weight if weight[x] >= 0.8 * total), key=lambda x: x.depth)
-        while root.parent and root.name not in SCOPES and root.name != "#root":
-            root = root.parent
+    holders = [x for x in made if x.name in ("article", "main") and 2 * weight[id(x)] >= total] or [x for x in made if 10 * weight[id(x)] >= 8 * total]
+    root = max(holders, key=lambda x: (x.depth, weight[id(x)]))
+    while root.parent and root.name not in SCOPES:
+        root = root.parent
+    least = mean * (low if root.name in ("article", "main") else low_elsewhere)
+    inside: set[int] = set()
+    for node in made:
+        if node is root or node.parent and id(node.parent) in inside:
+            inside.add(id(node))
     blocks: dict[int, list[str]] = {}
-    for node, text, block in fit:
-        up = node
-        while up and up is not root:
-            up = up.parent
-        if up is root:
+    for node, text, block in nodes:
+        if id(node) in inside and score.get(node.path, 0.0) >= least:
+            blocks.setdefault(block, []).append(text)
+        elif id(node) in inside and not text.strip():
             blocks.setdefault(block, []).append(text)
     return " ".join(x for x in (" ".join("".join(b).split()) for b in blocks.values()) if x)
 
