@@ -1,4 +1,8 @@
-"""A Bloom filter of fixed size over 64-bit hashes: a bounded thing to broadcast, whatever the number of hashes."""
+"""A Bloom filter over 64-bit hashes: a bounded thing to broadcast, whatever the number of hashes.
+
+Its size follows their number, 16 bits a hash, up to 2**MOST_BITS bits (16 MB). Beyond eight million hashes it lets more through, all in the end: it only
+ever saves moving rows, and changes no result.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketlake.llm.words import mix
+from docketlake.session import written
 
 
 def places(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -31,6 +36,31 @@ def _words(bits: int):
     return run
 
 
+LEAST_BITS, MOST_BITS = 16, 27
+
+
+def bits_for(n: int) -> int:
+    """log2 of the bits for n hashes."""
+    return min(MOST_BITS, max(LEAST_BITS, (16 * n).bit_length()))
+
+
+def shared(hashes: DataFrame):
+    """The filter of a column of non-null longs, of a size that follows their number, as a broadcast."""
+    known = written(hashes, "filtered")
+    return hashes.sparkSession.sparkContext.broadcast(build(known, bits_for(known.count())))
+
+
+def names(docs: DataFrame, *wanted: str) -> list[str]:
+    """Names for helper columns that the table has not, in any case of letters."""
+    taken, got = {c.lower() for c in docs.columns}, []
+    for name in wanted:
+        name = "_" + name
+        while name in taken:
+            name = "_" + name
+        got.append(name)
+    return got
+
+
 def build(hashes: DataFrame, bits: int) -> np.ndarray:
     """The filter of a column of non-null longs. At most 2**(bits - 5) numbers come to the driver."""
     rows = hashes.mapInArrow(_words(bits), "word long, bits long").groupBy("word").agg(F.expr("bit_or(bits)").alias("bits")).toPandas()
@@ -45,7 +75,7 @@ def holds(packed: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (packed[at >> 5] >> (at & 31).astype(np.uint32) & np.uint32(1)).all(axis=1)
 
 
-def may_hold(column: Column, shared) -> Column:
+def may_hold(column: Column, packed) -> Column:
     """Whether a filter that was broadcast may hold an id; only the id goes to Python. Null is not held."""
 
     @F.pandas_udf("boolean")
@@ -55,7 +85,7 @@ def may_hold(column: Column, shared) -> Column:
         known = ids.notna().to_numpy()
         out = np.zeros(len(ids), dtype=bool)
         if known.any():
-            out[known] = holds(shared.value, ids[known].to_numpy().astype(np.int64).view(np.uint64))
+            out[known] = holds(packed.value, ids[known].to_numpy().astype(np.int64).view(np.uint64))
         return pd.Series(out)
 
     return held(column.cast("long"))

@@ -41,7 +41,6 @@ class Settings:
     percent: int = 80
     bands: int = 24
     rows: int = 4
-    filter_bits: int = 24
 
 
 def super_minhash(sets: list[np.ndarray], places: int) -> np.ndarray:
@@ -200,7 +199,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     members = written(rows.join(shared.select("bucket", F.col("leader.rep").alias("leader"), F.col("leader.n").alias("leader_n")), "bucket"), "members")
     pairs = written(members.where((F.col("rep") != F.col("leader")) & _near("n", "leader_n", s.percent)).select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
     involved = members.select("rep").distinct()
-    chosen = spark.sparkContext.broadcast(filters.build(involved, s.filter_bits))
+    chosen = filters.shared(involved)
     sets = written(given.where("doc_id is not null").mapInArrow(_chosen_sets(s, chosen), "doc_id long, grams array<long>").dropDuplicates(["doc_id"]), "sets")
     links = written(_linked(pairs, sets, s.percent), "links")
     found = written(connected_components(links), "components")
@@ -225,12 +224,12 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", settings: Settings | None = None) -> DataFrame:
     """``docs`` with one document, the one with the smallest id, of each near-duplicate group; all columns stay.
 
-    Only rows that a filter of the dropped ids may hold are joined with these; the others go on where they are.
+    Only rows that a filter of the dropped ids may hold are joined with these; the others go on where they are. Rows that share the kept
+    id all stay, as do rows with a null id or without words. An empty table stays empty. Helper columns have names that the table has not.
     """
-    s, spark = settings or Settings(), docs.sparkSession
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, settings=s)
-    dropped = written(found.where("not kept").select(F.col("doc_id").alias("_dropped")).distinct(), "dropped")
-    shared = spark.sparkContext.broadcast(filters.build(dropped, s.filter_bits))
-    marked = docs.withColumn("_may", filters.may_hold(F.col(id_col), shared))
-    rest = marked.where("_may").join(dropped, F.col(id_col).cast("long") == F.col("_dropped"), "left_anti")
-    return marked.where("not _may").unionByName(rest).select(*docs.columns)
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, settings=settings)
+    gone, may = filters.names(docs, "gone", "may")
+    dropped = written(found.where("not kept").select(F.col("doc_id").alias(gone)).distinct(), "dropped")
+    marked = docs.withColumn(may, filters.may_hold(F.col(id_col), filters.shared(dropped)))
+    rest = marked.where(F.col(may)).join(dropped, F.col(id_col).cast("long") == F.col(gone), "left_anti")
+    return marked.where(~F.col(may)).unionByName(rest).select(*(F.col(f"`{c}`") for c in docs.columns))
