@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketlake.llm.tokens import Kept
+from docketlake.llm.tokens import Kept, worker_cache
 from docketlake.session import ship
 
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”„‘’…–—¡¿"
@@ -31,10 +31,9 @@ PREFIXES = (3, 4, 5, 6)
 
 @dataclass(frozen=True)
 class Settings:
-    """max_labelled bounds the learning sample of each label; max_keys bounds the lexicon; both are parameters of the model."""
+    """max_labelled bounds the learning sample of each label, in rows, and so what is learned from it. least: of a key's score in the lexicon; drift: cost of any other token."""
 
     max_labelled: int = 20_000
-    max_keys: int = 50_000
     prior: float = 10.0
     least: float = 1.6
     drift: float = 0.5
@@ -85,31 +84,32 @@ def segments(scores: np.ndarray, drift: float) -> list[tuple[int, int, float]]:
 class Scorer:
     """Token scores of texts under a lexicon."""
 
-    def __init__(self, lexicon: dict[str, float], bound: int = 150_000):
-        self.lexicon = lexicon
-        self.tokens = Kept(self._token, bound)
+    def __init__(self, bound: int = 16 << 20):
+        self.lexicon: dict[str, float] = {}
+        self.tokens = Kept(self._tokens, bound)
 
-    def _token(self, chunk: str) -> float:
-        return max((self.lexicon.get(k, 0.0) for k in keys_of(chunk)), default=0.0)
+    def _tokens(self, chunks: list[str]) -> list[float]:
+        get = self.lexicon.get
+        return [max((get(k, 0.0) for k in keys_of(chunk)), default=0.0) for chunk in chunks]
 
     def scores(self, text: str | None) -> np.ndarray:
-        words = (text or "").split()
-        return np.fromiter(map(self.tokens.__getitem__, words), dtype=np.float64, count=len(words))
+        return np.array(self.tokens.many((text or "").split()), dtype=np.float64)
 
 
-_scorers: dict[str, Scorer] = {}
+@worker_cache
+def _scorer_of(uid: str) -> Scorer:
+    """One scorer a worker and model."""
+    return Scorer()
 
 
 def _scorer(uid: str, lexicon: dict[str, float]) -> Scorer:
-    """One scorer a worker: that of the model in use."""
-    if uid not in _scorers:
-        _scorers.clear()
-        _scorers[uid] = Scorer(lexicon)
-    return _scorers[uid]
+    scorer = _scorer_of(uid)
+    scorer.lexicon = lexicon
+    return scorer
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cache, counts = Kept(keys_of, 200_000), (Counter(), Counter())
+    cache, counts = Kept(lambda chunks: [keys_of(c) for c in chunks], 24 << 20), (Counter(), Counter())
 
     def out() -> pa.RecordBatch:
         keys = list(counts[0].keys() | counts[1].keys())
@@ -120,15 +120,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for text, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-            chunks = set((text.as_py() or "").split())
-            counts[toxic].update({k for c in chunks for k in cache[c]})
+            chunks = list(set((text.as_py() or "").split()))
+            counts[toxic].update({k for keys in cache.many(chunks) for k in keys})
             if len(counts[0]) + len(counts[1]) > 300_000:
                 yield out()
     yield out()
 
 
 def _lexicon(sample: DataFrame, n: tuple[int, int], s: Settings) -> dict[str, float]:
-    """Positive keys and their scores; n: documents labelled 0 and 1 in the sample."""
+    """Positive keys and their scores; n: documents labelled 0 and 1 in the sample. They are words of at most max_labelled toxic documents."""
     counted = sample.select("text", "toxic").mapInArrow(_count, "key string, toxic long, clean long").groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     share = (F.col("toxic") + F.col("clean")) / (n[0] + n[1])
     a = 0.5 + s.prior * share
@@ -137,23 +137,38 @@ def _lexicon(sample: DataFrame, n: tuple[int, int], s: Settings) -> dict[str, fl
         return F.log((y + a) / (docs + 1 + s.prior - y - a))
 
     score = odds(F.col("toxic"), n[1]) - odds(F.col("clean"), n[0]) - 2 * F.sqrt(1 / (F.col("toxic") + a) + 1 / (F.col("clean") + a))
-    best = counted.where("toxic >= 2").withColumn("score", score).where(F.col("score") > s.least).orderBy(F.desc("score"), "key").limit(s.max_keys)
+    best = counted.where("toxic >= 2").withColumn("score", score).where(F.col("score") > s.least)
     return {r["key"]: r["score"] for r in best.select("key", "score").collect()}
 
 
-def _observe(uid: str, shared, drift: float):
-    """Of each document: toxic, number of tokens, its segments' scores, and its positive tokens' scores."""
+def _tally(uid: str, shared, drift: float):
+    """Over whole texts: how many tokens have each positive score, rounded to 0.1 (kind token), and numbers of tokens and segments in all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer, words, found, positive = _scorer(uid, shared.value), 0, 0, Counter()
+        for batch in batches:
+            for text in batch.column(0):
+                scores = scorer.scores(text.as_py())
+                words += len(scores)
+                found += len(segments(scores, drift))
+                positive.update(scores[scores > 0].round(1).tolist())
+        rows = [("words", 0.0, words), ("segments", 0.0, found), *(("token", s, n) for s, n in positive.items())]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], pa.float64()), pa.array([r[2] for r in rows], pa.int64())], ["kind", "score", "n"])
+
+    return run
+
+
+def _evidence(uid: str, shared, drift: float, rate: float, k: float):
+    """(toxic, evidence) of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(uid, shared.value)
         for batch in batches:
-            n, found, tokens = [], [], []
+            found = []
             for text in batch.column(0):
                 scores = scorer.scores(text.as_py())
-                n.append(len(scores))
-                tokens.append(scores[scores > 0].round(1).tolist()[:2000])
-                found.append([x[2] for x in segments(scores, drift)])
-            yield pa.RecordBatch.from_arrays([batch.column(1).cast(pa.int32()), pa.array(n, pa.int64()), pa.array(found, pa.list_(pa.float64())), pa.array(tokens, pa.list_(pa.float64()))], ["toxic", "n", "found", "tokens"])
+                found.append(evidence(len(scores), [x[2] for x in segments(scores, drift)], rate, k))
+            yield pa.RecordBatch.from_arrays([batch.column(1).cast(pa.int32()), pa.array(found, pa.float64())], ["toxic", "evidence"])
 
     return run
 
@@ -218,13 +233,15 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     lexicon = _lexicon(sample.where("fit"), (counts.get(0, 0), counts.get(1, 0)), s) if counts.get(1) and counts.get(0) else {}
     model = Model(lexicon, 1.0, 1.0, (0.0, 0.0), s)
     shared = spark.sparkContext.broadcast(lexicon)
-    seen = sample.where("not fit").select("text", "toxic").mapInArrow(_observe(model.uid, shared, s.drift), "toxic int, n long, found array<double>, tokens array<double>").collect()
-    clean = [r for r in seen if r["toxic"] == 0]
-    positive = Counter(t for r in clean for t in r["tokens"]) or Counter({round(max(lexicon.values(), default=1.0), 1): 1})
-    tokens = max(1, sum(r["n"] for r in clean))
+    held = sample.where("not fit").select("text", "toxic")
+    told = held.where("toxic = 0").mapInArrow(_tally(model.uid, shared, s.drift), "kind string, score double, n long").groupBy("kind", "score").agg(F.sum("n").alias("n")).collect()
+    positive = Counter({r["score"]: r["n"] for r in told if r["kind"] == "token"}) or Counter({round(max(lexicon.values(), default=1.0), 1): 1})
+    sums = {r["kind"]: r["n"] for r in told if r["kind"] != "token"}
+    tokens = max(1, sums.get("words", 0))
     rate = _root(positive, max(1, tokens - sum(positive.values())), s.drift)
-    k = (0.5 + sum(len(r["found"]) for r in clean)) / (tokens * math.exp(-rate * s.least))
-    x = np.array([evidence(r["n"], r["found"], rate, k) for r in seen])
+    k = (0.5 + sums.get("segments", 0)) / (tokens * math.exp(-rate * s.least))
+    seen = held.mapInArrow(_evidence(model.uid, shared, s.drift, rate, k), "toxic int, evidence double").orderBy("toxic", "evidence").collect()  # two numbers a calibrating document
+    x = np.array([r["evidence"] for r in seen])
     y = np.array([float(r["toxic"]) for r in seen])
     weights = _logistic(x, y) if len(seen) else (-2.0, 1.0)
     return Model(lexicon, rate, k, weights, s, model.uid)
@@ -256,7 +273,7 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     """doc_id, score (0 to 1), predicted (1 from the threshold on), passages (words from start to before end, score, E value).
 
     A null or empty text has no passages and the score of a document without evidence. Repeated rows give repeated rows, an empty
-    table none; other columns are left out. The lexicon that every task gets has at most ``max_keys`` keys.
+    table none; other columns are left out, whatever their names. The lexicon that every task gets is bounded by the learning sample.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -265,7 +282,10 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
 
 
 def drop_toxic(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` below the threshold, with all their columns; rows travel whole, so there is no join."""
+    """The rows of ``docs`` below the threshold, with all their columns, whatever their names; rows travel whole, so there is no join.
+
+    A null or empty text has no evidence and stays, unless the model holds every text for toxic. Repeated rows are judged alike, so all or
+    none stay. An empty table stays empty. A score equal to the threshold goes."""
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model.lexicon)
     uid, rate, k, (bias, slope), s, at = model.uid, model.rate, model.k, model.weights, model.settings, docs.columns.index(text_col)
