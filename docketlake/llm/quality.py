@@ -2,17 +2,24 @@
 
 A document's histogram of character classes and its histogram of common words are compared with those of every language
 reference by the Jensen-Shannon distance (the root of the divergence to base 2, from 0 to 1); the nearest reference counts.
-References are the pooled histograms of all documents of a language that have enough words and few symbols. A test needs a least length: short texts have
+References are the pooled histograms of all documents of a language that have enough words and few symbols; a language has one from its
+first such document on, so no count of documents switches a rule. A test needs a least length: short texts have
 ragged histograms. The base rules come first: too few words, or too many words in repeated three-word windows.
+
+The features of every document are written once and read twice, for the references and for the verdicts. All references are one array of
+a constant, so the plan does not grow with the languages.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketlake.session import written
+
 WHITE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]+"
 #: Character classes in the order in which they are taken out of a text; what is left is the last class.
@@ -42,7 +49,6 @@ class Rules:
     long_words: int = 150
     max_class: float = 0.19
     max_common: float = 0.35
-    reference_docs: int = 20
 
 
 def _with_words(docs: DataFrame) -> DataFrame:
@@ -79,32 +85,37 @@ def _repeated(df: DataFrame) -> DataFrame:
     return out.withColumn("n_repeat_words", F.aggregate(covers, F.lit(0).cast("long"), lambda a, x: a + x))
 
 
+FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "classes", "common"]
+
+
 def features(docs: DataFrame) -> DataFrame:
     """row, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, classes (characters a class), common (sorted
     common words), for docs with row (anything to carry along) and text."""
-    return _repeated(_with_words(docs)).select("row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "classes", "common")
+    return _repeated(_with_words(docs)).select("row", *FEATURES)
 
 
-def references(docs: DataFrame, rules: Rules) -> list[tuple[str, list[float], dict[str, float]]]:
-    """A row a language with enough documents: (language, class shares, shares of each common word among all words).
+REFERENCES = "array<struct<lang:string,classes:array<double>,common:array<double>,covered:double>>"
 
-    At most languages x (classes + common words) numbers come to the driver.
+
+def references(told: DataFrame, rules: Rules) -> list[dict]:
+    """Of features with lang, a row a language: lang, class shares, each common word's share of all words, and the sum of these.
+
+    What comes to the driver is languages x (classes + common words) numbers.
     """
-    told = _with_words(docs.where(F.col("lang").isNotNull()))
     # one pass: a pair (key, amount) for every common word and every other sum; the test stands inside, as a filter would be copied below
-    sums = [("#docs", F.lit(1.0)), ("#words", F.col("n_words").cast("double")), *((f"#{k}", F.get("classes", F.lit(k))) for k in range(len(CLASSES) + 1))]
+    sums = [("#words", F.col("n_words").cast("double")), *((f"#{k}", F.get("classes", F.lit(k))) for k in range(len(CLASSES) + 1))]
     pairs = F.concat(F.transform("common", lambda w: F.struct(w.alias("key"), F.lit(1.0).alias("x"))), F.array(*(F.struct(F.lit(k).alias("key"), x.alias("x")) for k, x in sums)))
-    good = (F.col("n_words") >= rules.min_words) & (10 * F.col("n_symbols") <= F.col("n_words"))
-    rows = told.select("lang", F.explode_outer(F.when(good, pairs)).alias("pair")).groupBy("lang", F.col("pair.key").alias("key")).agg(F.sum("pair.x").alias("x")).collect()
+    good = F.col("lang").isNotNull() & (F.col("n_words") >= rules.min_words) & (10 * F.col("n_symbols") <= F.col("n_words"))
+    rows = told.select("lang", F.explode(F.when(good, pairs)).alias("pair")).groupBy("lang", F.col("pair.key").alias("key")).agg(F.sum("pair.x").alias("x")).collect()
     by_lang: dict[str, dict[str, float]] = {}
     for r in rows:
-        if r["key"] is not None:
-            by_lang.setdefault(r["lang"], {})[r["key"]] = r["x"]
+        by_lang.setdefault(r["lang"], {})[r["key"]] = r["x"]
     found = []
     for lang, got in sorted(by_lang.items()):
         classes = [got[f"#{k}"] for k in range(len(CLASSES) + 1)]
-        if got["#docs"] >= rules.reference_docs and sum(classes):
-            found.append((lang, [c / sum(classes) for c in classes], {w: n / got["#words"] for w, n in sorted(got.items()) if w[0] != "#"}))
+        if sum(classes):
+            common = [got.get(w, 0.0) / got["#words"] for w in COMMON]
+            found.append({"lang": lang, "classes": [c / sum(classes) for c in classes], "common": common, "covered": sum(common)})
     return found
 
 
@@ -114,41 +125,33 @@ def _part(p: Column, q: Column) -> Column:
     return F.when(p > 0, p * F.log2(p / m)).otherwise(0.0) / 2 + F.when(q > 0, q * F.log2(q / m)).otherwise(0.0) / 2
 
 
-def _distances(df: DataFrame, found: list[tuple[str, list[float], dict[str, float]]]) -> DataFrame:
+def _distances(df: DataFrame, found: list[dict]) -> DataFrame:
     """Adds class_distance and common_distance to the nearest reference; null where there is none or nothing to compare."""
-    if not found:
-        return df.withColumns({"class_distance": F.lit(None).cast("double"), "common_distance": F.lit(None).cast("double")})
-    total = F.aggregate("classes", F.lit(0.0), lambda a, x: a + x)
+    known = F.from_json(F.lit(json.dumps(found)), REFERENCES)  # a constant: worked out once, when the plan is made
+    total, words = F.aggregate("classes", F.lit(0.0), lambda a, x: a + x), F.when(F.col("n_words") > 0, F.col("n_words"))
     out = df.withColumn("total", total).withColumn("p", F.transform("classes", lambda x: x / F.when(F.col("total") > 0, F.col("total"))))
-    classes = F.array(*(F.array(*map(F.lit, c)) for _, c, _ in found))
-    near = F.transform(classes, lambda q: F.aggregate(F.zip_with("p", q, _part), F.lit(0.0), lambda a, x: a + x))
+    near = F.transform(known, lambda r: F.aggregate(F.zip_with("p", r.classes, _part), F.lit(0.0), lambda a, x: a + x))
     out = out.withColumn("class_distance", F.sqrt(F.greatest(F.array_min(near), F.lit(0.0))))
+    place = F.create_map(*(F.lit(x) for pair in zip(COMMON, range(len(COMMON)), strict=True) for x in pair))
     out = out.withColumn("distinct", F.array_distinct("common")).withColumn("first", F.transform("distinct", lambda w: F.array_position("common", w)))
     ends = F.transform("first", lambda x, i: F.coalesce(F.get("first", i + 1), F.size("common") + 1) - x)
-    out = out.withColumn("bins", F.transform(ends, lambda n, i: F.struct(F.get("distinct", i).alias("w"), (n / F.when(F.col("n_words") > 0, F.col("n_words"))).alias("p"))))
-    out = out.withColumn("other", 1.0 - F.size("common") / F.when(F.col("n_words") > 0, F.col("n_words")))
+    out = out.withColumn("bins", F.transform(ends, lambda n, i: F.struct(F.element_at(place, F.get("distinct", i)).alias("w"), (n / words).alias("p"))))
+    out = out.withColumn("other", F.greatest(1.0 - F.size("common") / words, F.lit(0.0)))
 
-    def words(shares: dict[str, float]) -> Column:
-        share = F.create_map(*(F.lit(x) for pair in (shares or {"": 0.0}).items() for x in pair))
-        told = F.transform("bins", lambda b: F.struct(b.p.alias("p"), F.coalesce(F.element_at(share, b.w), F.lit(0.0)).alias("q")))
-        both = F.aggregate(told, F.struct(F.lit(0.0).alias("d"), F.lit(0.0).alias("q")), lambda a, b: F.struct((a.d + _part(b.p, b.q)).alias("d"), (a.q + b.q).alias("q")))
-        covered = sum(shares.values())
-        return both, covered
+    def away(r: Column) -> Column:
+        start = F.struct(F.lit(0.0).alias("d"), F.lit(0.0).alias("q"))
+        both = F.aggregate("bins", start, lambda a, b: F.struct((a.d + _part(b.p, F.get(r.common, b.w))).alias("d"), (a.q + F.get(r.common, b.w)).alias("q")))
+        rest = F.greatest(r.covered - both.q, F.lit(0.0)) / 2  # common words that the document has not
+        return both.d + rest + _part(F.col("other"), F.greatest(1.0 - r.covered, F.lit(0.0)))
 
-    near = []
-    for k, (_, _, shares) in enumerate(found):
-        both, covered = words(shares)
-        out = out.withColumn(f"w{k}", both)
-        rest = F.greatest(F.lit(covered) - F.col(f"w{k}.q"), F.lit(0.0)) / 2  # common words that the document has not
-        near.append(F.col(f"w{k}.d") + rest + _part(F.greatest(F.col("other"), F.lit(0.0)), F.lit(max(0.0, 1.0 - covered))))
-    return out.withColumn("common_distance", F.sqrt(F.greatest(F.array_min(F.array(*near)), F.lit(0.0))))
+    return out.withColumn("common_distance", F.sqrt(F.greatest(F.array_min(F.transform(known, away)), F.lit(0.0))))
 
 
 def assess(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rules: Rules | None = None) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, class_distance, common_distance.
 
     A null or empty text has no words and fails the base rules. Documents without a language are compared like all
-    others but are in no reference. Where no language has enough documents, the base rules alone decide. Repeated rows give
+    others but are in no reference. Where there is no reference at all, the base rules alone decide. Repeated rows give
     repeated rows, an empty table none; other columns are left out, whatever their names.
     """
     out = _judged(docs, F.col(id_col).alias("row"), text_col, lang_col, rules or Rules())
@@ -156,7 +159,10 @@ def assess(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", l
 
 
 def keep_good(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", rules: Rules | None = None) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns; rows travel whole, so there is no join."""
+    """The rows of ``docs`` that the rules keep, with all their columns, whatever their names; rows travel whole, so there is no join.
+
+    Null and empty texts go, as too short. Repeated rows are judged alike, so all or none stay. An empty table stays empty. A null language
+    takes no part in references."""
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
     out = _judged(docs, whole, text_col, lang_col, rules or Rules())
     # the verdict is made a column that the optimizer does not move: else the filter is copied into every step below it
@@ -165,7 +171,8 @@ def keep_good(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang"
 
 def _judged(docs: DataFrame, row: Column, text_col: str, lang_col: str, rules: Rules) -> DataFrame:
     text, lang = F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")
-    out = _distances(features(docs.select(row, text)), references(docs.select(text, lang), rules))
+    told = written(features(docs.select(F.struct(row.alias("row"), lang).alias("row"), text)).select("row.row", "row.lang", *FEATURES), "features")
+    out = _distances(told, references(told, rules))
     failed = (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.max_repeat * F.col("n_words"))
     far = (F.col("class_distance") > rules.max_class) | (F.col("common_distance") > rules.max_common)
     odd = (F.col("n_words") >= rules.short_words) & (F.col("class_distance") > rules.max_class_short) | (F.col("n_words") >= rules.long_words) & far
@@ -204,7 +211,7 @@ cov as (select doc_id, count(distinct i + o.o) as n from win join rep using (doc
 cw as (select doc_id, lower(x) as word from (select doc_id, unnest(words) as x from k) where lower(x) in ({common})),
 dw as (select doc_id, word, count(*) as n from cw group by doc_id, word),
 good as (select * from k where lang is not null and n_words >= {r.min_words} and 10 * n_symbols <= n_words),
-ref as (select lang, sum(n_words) as words, {", ".join(f"sum(c_{n}) / sum(n_chars) as q_{n}" for n in names)} from good group by lang having count(*) >= {r.reference_docs} and sum(n_chars) > 0),
+ref as (select lang, sum(n_words) as words, {", ".join(f"sum(c_{n}) / sum(n_chars) as q_{n}" for n in names)} from good group by lang having sum(n_chars) > 0),
 rw as (select g.lang, dw.word, sum(dw.n) / any_value(ref.words) as q from dw join good g using (doc_id) join ref on ref.lang = g.lang group by g.lang, dw.word),
 covered as (select ref.lang, coalesce(sum(q), 0) as q from ref left join rw using (lang) group by ref.lang),
 cd as (select doc_id, sqrt(greatest(min({" + ".join(part(f"(c_{n} / nullif(n_chars, 0))", f"q_{n}") for n in names)}), 0)) as x from k, ref group by doc_id),
