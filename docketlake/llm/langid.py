@@ -5,8 +5,8 @@ by its place: rotate(a, 2) * rotate(b, 1) * c. A text's vector bundles (adds) th
 prototype bundles those of all its learning texts. A text has the language whose prototype, after the mean of
 the prototypes is taken from all, has the largest cosine with it.
 
-Bundling is linear, so a prototype is made from the three-gram counts of its language, which Spark sums over all learning
-rows; counts are bounded by the number of three-gram codes, prototypes by languages x dimensions.
+Bundling is linear: each task bundles its own learning rows, a vector of whole numbers a language, and Spark adds these vectors up. What
+a task holds and what comes to the driver is languages x dimensions numbers, and languages are known by name (ISO 639 has under 8,000).
 """
 
 from __future__ import annotations
@@ -68,42 +68,49 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return own[inside], code[inside], has
 
 
-def _count(dimensions: int):
+def _bundle(dimensions: int, most: int = 32_768):
+    """(lang, place, value): the sum of a task's three-gram vectors for each language, from counts of the codes met since the last sum."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] = {}
+        sums: dict[str, np.ndarray] = {}
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        size = 0
+
+        def add() -> None:
+            for lang, parts in held.items():
+                codes, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+                counts = np.bincount(at, weights=np.concatenate([p[1] for p in parts]), minlength=len(codes))
+                total = sums.setdefault(lang, np.zeros(dimensions))
+                for low in range(0, len(codes), 4096):
+                    total += counts[low : low + 4096] @ gram_vectors(codes[low : low + 4096], dimensions)
+            held.clear()
+
         for batch in batches:
             langs, texts = np.array(batch.column(0).to_pylist(), dtype=object), batch.column(1)
-            for at in range(0, batch.num_rows, 512):
-                own, code, _ = grams(texts.slice(at, 512).to_pylist())
-                for lang in set(langs[at : at + 512]):
-                    counts = np.bincount(code[(langs[at : at + 512] == lang)[own]], minlength=CODES)
-                    held[lang] = held.get(lang, 0) + counts
-        for lang, counts in held.items():
-            codes = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes, pa.int32()), pa.array(counts[codes], pa.int64())], ["lang", "code", "n"])
+            for low in range(0, batch.num_rows, 512):
+                own, code, _ = grams(texts.slice(low, 512).to_pylist())
+                here = langs[low : low + 512]
+                for lang in set(here):
+                    codes, counts = np.unique(code[(here == lang)[own]], return_counts=True)
+                    held.setdefault(lang, []).append((codes, counts))
+                    size += len(codes)
+                if size > 16 * most:
+                    add()
+                    size = 0
+        add()
+        for lang, total in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * dimensions, pa.string()), pa.array(np.arange(dimensions), pa.int32()), pa.array(total.astype(np.int64))], ["lang", "place", "value"])
 
     return run
 
 
-def learn(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", dimensions: int = 1024, max_languages: int = 500) -> tuple[list[str], np.ndarray]:
-    """Languages and their prototypes (a row each) from all rows whose language is not null.
-
-    What comes to the driver has at most max_languages x 128**3 counts (only codes that occur); more languages are an error.
-    """
+def learn(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", dimensions: int = 1024) -> tuple[list[str], np.ndarray]:
+    """Languages and their prototypes (a row each) from all rows whose language and text are not null; none from an empty table."""
     ship(docs.sparkSession)
     given = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    counts = given.mapInArrow(_count(dimensions), "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
-    got = counts.orderBy("lang", "code").toPandas()
+    got = given.mapInArrow(_bundle(dimensions), "lang string, place int, value long").groupBy("lang", "place").agg(F.sum("value").alias("value")).orderBy("lang", "place").toPandas()
     langs = sorted(set(got["lang"]))
-    if len(langs) > max_languages:
-        raise ValueError(f"{len(langs)} languages; at most {max_languages} are expected")
-    prototypes = np.zeros((len(langs), dimensions))
-    for k, lang in enumerate(langs):
-        rows = got[got["lang"] == lang]
-        for at in range(0, len(rows), 8192):
-            part = rows.iloc[at : at + 8192]
-            prototypes[k] += part["n"].to_numpy(np.float64) @ gram_vectors(part["code"].to_numpy(), dimensions)
-    return langs, prototypes
+    return langs, got["value"].to_numpy(np.float64).reshape(len(langs), dimensions) if langs else np.zeros((0, dimensions))
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
