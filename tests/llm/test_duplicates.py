@@ -148,14 +148,79 @@ def test_text_that_repeats_itself_gives_few_passages(spark):
     assert substring._cover([1, 1, 1, 1, 2, 2], [0, 1, 2, 60, 0, 44], [45, 46, 47, 105, 45, 89]) == [0, 2, 3, 4, 5]
 
 
-def test_repeated_seeds_over_batches():
-    import pyarrow as pa
-
-    rows = [(1, 1, 0), (1, 1, 9), (2, 1, 1), (2, 1, 5), (2, 3, 0), (2, 4, 0), (3, 1, 2), (4, 2, 2), (4, 3, 3)]
-    for size in range(1, 10):
-        batches = (pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[a : a + size], strict=True)], ["seed", "doc_id", "place"]) for a in range(0, 9, size))
-        got = [tuple(r.values()) for b in substring._repeated(batches) for r in b.to_pylist()]
-        assert got == [(1, 1), (1, 5), (3, 0), (4, 0), (2, 2), (3, 3)]
+def test_fragments_that_recur_elsewhere_do_not_hide_a_passage(spark):
+    passage = prose(120)
+    docs = {i: prose(40) + passage[12 * i : 12 * i + 20] + prose(40) for i in range(10)}
+    docs |= {20: prose(50) + passage + prose(50), 21: prose(30) + passage + prose(70)}
+    got = substring.repeated_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string")).collect()
+    assert {k for r in got if (r["doc_id"], r["source_id"]) == (21, 20) for k in range(r["start"], r["end"])} >= set(range(30, 150))
+
+
+def test_recall_of_edited_passages_against_brute_force(spark):
+    """Pairs with 60 to 100 shared words of which one in twelve is replaced; brute force tells which are alike enough."""
+    docs, pairs = {}, []
+    for k in range(60):
+        passage = prose(rnd.randint(60, 100))
+        docs[2 * k], docs[2 * k + 1] = prose(60) + passage + prose(60), prose(50) + edited(passage, len(passage) // 12) + prose(70)
+        pairs.append((2 * k + 1, 2 * k, passage))
+    texts = {i: " ".join(w) for i, w in docs.items()}
+    found = {(r["doc_id"], r["source_id"]) for r in substring.repeated_passages(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+
+    def alike(a, b):
+        """Whether some diagonal of the two texts has 45 words of which 80 % are equal, from the first equal word to the last."""
+        x, y = docs[a], docs[b]
+        for shift in range(-len(y), len(x)):
+            same = [i for i in range(max(0, shift), min(len(x), len(y) + shift)) if x[i] == y[i - shift]]
+            if same and same[-1] - same[0] + 1 >= 45 and len(same) >= 0.8 * (same[-1] - same[0] + 1):
+                return True
+        return False
+
+    truth = {(a, b) for a, b, _ in pairs if alike(a, b)}
+    assert len(truth) >= 50 and len(found & truth) >= 0.95 * len(truth)
+    assert found <= {(a, b) for a, b, _ in pairs}
+
+
+def test_passages_within_a_document_only_where_asked(spark):
+    passage = prose(60)
+    docs = spark.createDataFrame([(1, " ".join(prose(30) + passage + prose(30) + passage)), (2, " ".join(prose(200)))], "doc_id long, text string")
+    assert substring.repeated_passages(docs).collect() == []
+    got = substring.repeated_passages(docs, settings=substring.Settings(within=True)).collect()
+    assert {(r["doc_id"], r["source_id"]) for r in got} == {(1, 1)}
+    assert any((r["start"], r["end"], r["source_start"], r["source_end"]) == (120, 180, 30, 90) for r in got)
+
+
+def test_chains_have_the_best_value():
+    """Of matches that do not overlap."""
+    s = substring.Settings()
+    for _ in range(60):
+        x = np.array(sorted(rnd.sample(range(0, 120, 5), 6)))
+        y = np.array([rnd.randrange(0, 120, 5) for _ in x])
+
+        def value(chain):
+            total = s.words
+            for i, j in zip(chain, chain[1:]):
+                gain = min(s.words, x[j] - x[i], y[j] - y[i])
+                total += gain - s.gap_cost * (x[j] - x[i] + y[j] - y[i] - 2 * gain)
+            return total
+
+        every = [[]]
+        for i in range(len(x)):
+            every += [c + [i] for c in every if not c or y[c[-1]] < y[i]]
+        assert value(substring.chains(x, y, s)[0]) == pytest.approx(max(value(c) for c in every if c))
+        assert sorted(i for c in substring.chains(x, y, s) for i in c) == list(range(len(x)))
+
+
+CLASH = ["_gone", "_may", "_cut_id", "_cuts", "doc.id", "bucket", "seed"]
+
+
+def test_helper_columns_do_not_clash(repeats):
+    docs, passage, _ = repeats
+    wide = docs.select("*", *(F.lit(c).alias(c) for c in CLASH))
+    for out in (minhash.keep_one(wide), substring.deduplicate(wide)):
+        rows = out.collect()
+        assert out.columns == wide.columns and len(rows) >= docs.count() - 1
+        assert all([r[c] for c in CLASH] == CLASH for r in rows)
+    assert minhash.keep_one(wide.where("false")).collect() == substring.deduplicate(wide.where("false")).collect() == []
 
 
 def test_cut_out_passages(repeats, odd_docs, no_docs):
@@ -179,3 +244,13 @@ def test_pipeline(spark, sf_dir):
     assert rows and {r["doc_id"] for r in rows} < {r["doc_id"] for r in docs.collect()}
     for _, stage in corpus_pipeline.STAGES[:2]:
         assert stage(spark, docs, sf_dir).columns == docs.columns
+
+
+def test_pipeline_stages_take_odd_tables(spark, sf_dir, odd_docs, no_docs):
+    import corpus_pipeline
+
+    for docs in (odd_docs, no_docs):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, sf_dir)
+            assert out.columns == docs.columns and out.count() <= docs.count()
+        assert {r["doc_id"] for r in corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()} == {r["doc_id"] for r in docs.collect()}

@@ -62,6 +62,42 @@ def test_toxicity_learns_and_ranks(labelled, odd_docs, no_docs):
     assert all(r["predicted"] == 0 for r in toxicity.score(odd_docs, empty).collect())
 
 
+def test_calibration_is_that_of_plain_sums(spark):
+    import math
+
+    texts = ["scum here and there", "fine words only", "scum scum " + "x " * 5000 + "scum", ""]
+    lexicon = {"=scum": 3.0}
+    scorer = toxicity.Scorer()
+    scorer.lexicon = lexicon
+    rows = spark.createDataFrame([(t, 0) for t in texts], "text string, toxic int").coalesce(1)
+    shared = spark.sparkContext.broadcast(lexicon)
+    got = {(r["kind"], r["score"]): r["n"] for r in rows.mapInArrow(toxicity._tally("u", shared, 0.5), "kind string, score double, n long").collect()}
+    assert got == {("words", 0.0): sum(len(t.split()) for t in texts), ("segments", 0.0): 3, ("token", 3.0): 4}
+    found = [r["evidence"] for r in rows.mapInArrow(toxicity._evidence("u", shared, 0.5, 1.0, 0.1), "toxic int, evidence double").collect()]
+    want = [math.log1p(sum(max(0.0, v - math.log(0.1 * len(t.split()))) for _, _, v in toxicity.segments(scorer.scores(t), 0.5))) if t else 0.0 for t in texts]
+    assert found == pytest.approx(want)
+    rate = toxicity._root(__import__("collections").Counter({3.0: 4}), 96, 0.5)
+    assert 0.96 * math.exp(-0.5 * rate) + 0.04 * math.exp(3 * rate) == pytest.approx(1, abs=1e-6)
+
+
+def test_log_odds_have_the_stated_prior(spark):
+    import math
+
+    rows = spark.createDataFrame([("bad good", 1)] * 6 + [("good", 0)] * 20, "text string, toxic int")
+    got = toxicity._lexicon(rows, (20, 6), toxicity.Settings(least=0.1))
+    a = 0.5 + 10 * 6 / 26
+    odds = math.log((6 + a) / (6 + 11 - 6 - a)) - math.log((0 + a) / (20 + 11 - 0 - a)) - 2 * math.sqrt(1 / (6 + a) + 1 / a)
+    assert got == pytest.approx({"=bad": odds, "bad": odds})
+
+
+def test_a_language_with_one_document_has_a_reference(spark):
+    rnd = random.Random(3)
+    rows = [(i, " ".join(rnd.choice("the of and house river stone".split()) for _ in range(200)), "en") for i in range(30)]
+    rows.append((99, " ".join("".join(rnd.choice("абвгдежз") for _ in range(5)) for _ in range(200)), "ru"))
+    got = {r["doc_id"]: r for r in quality.assess(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[99]["kept"] and got[99]["class_distance"] < 0.01
+
+
 def test_quality_counts_and_guards(spark, odd_docs, no_docs):
     text = "one two three one two three\nfour five\n\nfour five\n # $$ x"
     got = quality.assess(spark.createDataFrame([(1, text, None)], "doc_id long, text string, lang string")).first()
@@ -102,6 +138,15 @@ def test_language_profiles(spark, odd_docs, no_docs):
     assert {r["lang_pred"] for r in langid.predict(docs, nothing).collect()} == {"und"}
 
 
+def test_prototypes_are_sums_of_three_gram_vectors(spark):
+    import numpy as np
+
+    docs = spark.createDataFrame([(t, lang) for t in ("abc abd", "zyx", None) for lang in ("aa", "bb", None)], "text string, lang string").repartition(3)
+    langs, got = langid.learn(docs)
+    _, code, _ = langid.grams(["abc abd", "zyx"])
+    assert langs == ["aa", "bb"] and np.array_equal(got[0], langid.gram_vectors(code, 1024).sum(axis=0)) and np.array_equal(got[0], got[1])
+
+
 def test_three_grams_are_those_of_a_plain_count():
     texts = ["Ab c", "", None, "  d\n\nee ", "x1y"]
     own, code, has = langid.grams(texts)
@@ -123,6 +168,8 @@ PAGES = [
     ("<script>x</script>", ""),
     ("plain words", "plain words"),
     ("<p>open <i>and", "open and"),
+    ('<div><div class="nav"><a>Home</a></div><div class="body"><h2>Head</h2><p>A first text, long enough. With marks, too.<p>A <a href="x">linked</a> second, no less long.</div><ul class="related"><li><a>One</a><li><a>Two</a></ul><p class="cookie-notice">We use cookies, as all do.</p></div>', "Head A first text, long enough. With marks, too. A linked second, no less long."),
+    ('<article><p>Text, with a <span class="ad">buy now</span> part.</p><div class="post-share"><p>Words on sharing, said at length.</p></div><div class="share"><a>tweet</a></div></article>', "Text, with a part. Words on sharing, said at length."),
 ]
 
 
@@ -154,3 +201,54 @@ def test_repeated_chunks_are_stored_once(spark):
     chunks = spark.read.parquet(f"{folder}/chunks")
     assert chunks.count() == chunks.select("digest").distinct().count() == len(media.chunks_of(media.to_wav(media.payload(docs.first()["text"])[0])) and {media.digest(c) for c in media.chunks_of(media.to_wav(media.payload(docs.first()["text"])[0]))})
     assert spark.read.parquet(f"{folder}/media").where(F.exists("in_place", lambda c: c.isNotNull())).count() == 0
+
+
+def test_path_scores_are_those_of_plain_sums():
+    import math
+
+    page = "<article><h1>Head</h1><p>One, two. Three!</p><p>Four <a>five</a>.</p><ul><li><a>six</a></li></ul><div class=ad><p>Buy, now.</p></div></article>"
+    nodes, _ = extraction.text_nodes(page)
+    paths, got = extraction.path_scores(nodes)
+    groups = [(4, 0, 1, 0, 1), (16 + 4 + 4 + 1, 3 + 0 + 0 + 1, 4, 4, 1), (3, 0, 1, 3, 1), (9, 2, 1, 0, 0)]
+    chars, marks = [g[0] / g[2] for g in groups], [1 + g[1] / g[2] for g in groups]
+    smooth = lambda v, i: 0.1 * v[max(0, i - 1)] + 0.8 * v[i] + 0.1 * v[min(len(v) - 1, i + 1)]
+    assert len(paths) == 4
+    assert got.tolist() == pytest.approx([smooth(chars, i) * smooth(marks, i) * max(1 - g[3] / g[0], 0.05) * g[4] * math.log(1 + g[0]) for i, g in enumerate(groups)])
+
+
+def test_other_scores_select_other_nodes(monkeypatch):
+    page = "<body><nav><a>Menu</a></nav><article><h1>Head</h1><p>" + "Long text, with marks. " * 20 + "</p></article><footer>End, of it.</footer></body>"
+    before, real = extraction.main_text(page), extraction.path_scores
+    monkeypatch.setattr(extraction, "path_scores", lambda nodes: (real(nodes)[0], __import__("numpy").roll(real(nodes)[1], 1)))
+    assert before.startswith("Head Long text") and "End" not in before and extraction.main_text(page) != before
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "Deep, text.", "<div>a, b. " * 50_000, "<a x " * 20_000 + '"', "<i>" * 50_000 + "</b>" * 50_000 + "x", "<p>" + "<script>" * 50_000, "< " * 100_000, "<a b=\"'" * 30_000, "<!--" * 50_000, "</p>" * 100_000])
+def test_broken_pages_take_linear_time(page):
+    import time
+
+    start = time.process_time()
+    assert isinstance(extraction.main_text(page), str)
+    assert time.process_time() - start < 15
+
+
+def test_main_text_of_odd_tables(spark):
+    rows = [(1, None, None)] * 2 + [(None, "u", "<p>" + "Words, and more. " * 50_000 + "</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted(r["n_chars"] for r in extraction.extract(pages).collect())
+    assert got == [0, 0, 50_000 * 17 - 1] and extraction.extract(pages.where("false")).collect() == []
+
+
+def test_cut_points_are_those_of_a_hash_rolled_byte_by_byte():
+    data = bytes(random.Random(8).randrange(256) for _ in range(40_000))
+    gear, mask = media._gear().astype("uint64"), (1 << 32) - 1
+    cuts, last, h = [], 0, 0
+    for i, byte in enumerate(data):
+        h = (2 * h + int(gear[byte])) & mask
+        size = i + 1 - last
+        if size >= 8192 or size >= 256 and i >= 31 and h >> 22 == 0:
+            cuts.append(i + 1)
+            last = i + 1
+    if last < len(data):
+        cuts.append(len(data))
+    assert list(media.cut_points(data)) == cuts

@@ -56,6 +56,57 @@ def test_stream_is_stable_and_keeps_little():
     assert machine.lookahead < 1000
 
 
+def test_every_unknown_split_goes_through_the_machine():
+    codec = bpe.Codec(BYTE)
+    codec.ids("some words, some WORDS again.\nAnd ünder  more")
+    seen = {"some", " words", ",", " some", " WORDS", " again", ".", "\n", "And", " ünder", " ", " more"}
+    assert codec.machine.streamed == sum(len(w.encode()) for w in seen)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_lookahead_is_sufficient_for_any_merge_list(seed):
+    """Random merge lists over three letters: what comes before the whole is read is a prefix of what merging in rank order gives."""
+    rnd = random.Random(seed)
+    tokens, merges = ["a", "b", "c"], []
+    while len(merges) < 14:
+        pair = (rnd.choice(tokens), rnd.choice(tokens))
+        if pair[0] + pair[1] not in tokens:
+            merges.append(pair)
+            tokens.append(pair[0] + pair[1])
+    machine = bpe.Transducer({t: i for i, t in enumerate(tokens)}, [" ".join(m) for m in merges])
+
+    def merged(word):
+        parts = list(word)
+        for left, right in merges:
+            now, i = [], 0
+            while i < len(parts):
+                if i + 1 < len(parts) and (parts[i], parts[i + 1]) == (left, right):
+                    now.append(left + right)
+                    i += 2
+                else:
+                    now.append(parts[i])
+                    i += 1
+            parts = now
+        return parts
+
+    early = 0
+    for _ in range(150):
+        word = "".join(rnd.choice("abc") for _ in range(rnd.randint(1, 120)))
+        read, out = [0], []
+
+        def letters(word=word, read=read):
+            for c in word:
+                read[0] += 1
+                yield c.encode()
+
+        for i in machine.stream(letters()):
+            out.append(tokens[i])
+            early += read[0] < len(word)
+            assert sum(map(len, out)) <= read[0]
+        assert out == merged(word), (word, merges)
+    assert early > 100
+
+
 def test_round_trip_digests(odd_docs, no_docs):
     want = plain(BYTE)
     texts = sorted((r["doc_id"] is None, r["doc_id"], r["text"] or "") for r in odd_docs.collect())
@@ -122,6 +173,38 @@ def test_limits_on_segments_and_loss_tokens():
     assert [seen[k] for k in range(200)] == sizes
 
 
+def test_dot_product_differs_from_the_largest_that_fits():
+
+    # left: much loss, so of two that fit the shorter one without context has the larger dot product
+    packer = packing.Packer(packing.Limits())
+    packer.items = [(0, 0, 3000, 2600), (1, 0, 600, 600), (2, 0, 590, 0)]
+    first = next(packer.fill())
+    assert [x[0] for x in first[:2]] == [0, 2]
+
+
+def test_all_limits_bind_in_the_registered_query(spark, sf_dir):
+    from docketlake.llm.queries import op1_packing
+
+    by_sequence = {}
+    for r in op1_packing(spark, sf_dir).collect():
+        by_sequence.setdefault(r["sequence_id"], []).append(r)
+    totals = [(sum(r["length"] for r in x), len(x), sum(r["loss_tokens"] for r in x)) for x in by_sequence.values()]
+    limits = packing.Limits()
+    assert all(a <= limits.tokens and b <= limits.segments and c <= limits.loss_tokens for a, b, c in totals)
+    assert any(a == limits.tokens for a, _, _ in totals) and any(c == limits.loss_tokens for _, _, c in totals)
+
+
+def test_pack_prompts_and_answers(spark, sf_dir):
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    asked = turns.where("role = 'user'").select("conv_id", "turn", turns["text"].alias("prompt"))
+    answered = turns.where("role <> 'user'").select("conv_id", (turns["turn"] - 1).alias("turn"), "text")
+    pairs = asked.join(answered, ["conv_id", "turn"])
+    rows = packing.pack(pairs, id_col="conv_id", context_col="prompt").collect()
+    want = plain(WORD)
+    assert sum(r["loss_tokens"] for r in rows) == sum(len(want(r["text"])) + 1 for r in pairs.collect()) > 0
+    assert sum(r["length"] for r in rows) == sum(len(want(r["text"])) + len(want(r["prompt"])) + 1 for r in pairs.collect())
+
+
 def test_crc32c_of_known_values():
     known = records.crc32c([b"123456789", b"", b"\0" * 32, b"\xff" * 32, bytes(range(32))])
     assert [int(x) for x in known] == [0xE3069283, 0, 0x8A9136AA, 0x62A8AB43, 0x46DD794E]
@@ -138,6 +221,9 @@ def test_records_round_trip_and_damage_is_seen(spark, odd_docs, no_docs):
         ids = np.array([*want(t), 1], dtype="<u4")
         assert (r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) == (i, at, len(ids), zlib.crc32(ids.tobytes()))
         at += len(ids)
+    other = index.withColumn("doc_id", index["doc_id"] + 1)
+    with pytest.raises(Exception, match="not the one that the index names"):
+        records.read_records(other, folder).collect()
     with pytest.raises(ValueError, match="does not hold"):
         records.unframed([records.frames([b"abc"])[0][:-1] + b"\0"])
     assert records.write_records(no_docs).collect() == []
