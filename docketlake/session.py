@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,28 +28,53 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``; only where it is unset, as in tests, one of our own."""
+    """The folder that all executors share: ``spark.checkpoint.dir``. Only on a local master, as in tests, one of our own where it is unset;
+    on a cluster that is an error, for executors would write to folders of their own."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="docketlake-shared-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
-def scratch(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder, deleted when the application ends."""
+#: Paths made by ``scratch`` inside the innermost ``intermediate`` block.
+_made: list[list[str]] = []
+
+
+def _path(spark: SparkSession, path: str):
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath, jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def scratch(spark: SparkSession, label: str, keep: bool = False) -> str:
+    """A new path in the shared folder, deleted when the application ends; without ``keep`` at the end of an ``intermediate`` block."""
     path = f"{shared_dir(spark)}/docketlake-{label}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    jpath, store = _path(spark, path)
+    store.deleteOnExit(jpath)
+    if _made and not keep:
+        _made[-1].append(path)
     return path
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+@contextmanager
+def intermediate(spark: SparkSession):
+    """Deletes the tables made inside when it ends; what shall outlive it has to be written with ``keep``."""
+    _made.append([])
+    try:
+        yield
+    finally:
+        for path in _made.pop():
+            jpath, store = _path(spark, path)
+            store.delete(jpath, True)
+
+
+def written(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: lineage is cut and the rows survive lost executors."""
-    path = scratch(df.sparkSession, label)
+    path = scratch(df.sparkSession, label, keep)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
