@@ -27,6 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docketlake.llm.memory import mapped
 from docketlake.llm.tokens import Kept, blocks, byte_letters, default_path, worker_cache
 from docketlake.session import ship
 
@@ -360,7 +361,7 @@ def round_trip_digests(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     """
     ship(docs.sparkSession)
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return given.mapInArrow(_digests(tokenizer or default_path("byte_bpe_50k.json")), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return given.transform(mapped, _digests(tokenizer or default_path("byte_bpe_50k.json")), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def encode(docs: DataFrame, *, text_col: str = "text", ids_col: str = "ids", tokenizer: str | None = None) -> DataFrame:

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docketlake.llm.memory import mapped
 from docketlake.session import ship
 
 #: Fixed values from the HTML standard: elements without content, with raw content, and those that are blocks.
@@ -274,4 +275,4 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
     rows, an empty table none; other columns are left out."""
     ship(pages.sparkSession)
     given = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    return given.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
+    return given.transform(mapped, _extract, "page_id long, url string, text string, n_chars long")

@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketlake.llm.memory import mapped
 from docketlake.llm.words import mix
 from docketlake.session import written
 
@@ -63,9 +64,9 @@ def names(docs: DataFrame, *wanted: str) -> list[str]:
 
 def build(hashes: DataFrame, bits: int) -> np.ndarray:
     """The filter of a column of non-null longs. At most 2**(bits - 5) numbers come to the driver."""
-    rows = hashes.mapInArrow(_words(bits), "word long, bits long").groupBy("word").agg(F.expr("bit_or(bits)").alias("bits")).toPandas()
+    rows = hashes.transform(mapped, _words(bits), "word long, bits long").groupBy("word").agg(F.expr("bit_or(bits)").alias("bits")).toArrow()
     packed = np.zeros(1 << (bits - 5), dtype="<u4")
-    packed[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).astype("<u4")
+    packed[rows["word"].to_numpy()] = rows["bits"].to_numpy().astype("<u4")
     return packed
 
 

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docketlake.llm.memory import mapped
 from docketlake.session import ship
 
 #: Letter codes: 0 stands between words, a to z are 1 to 26, all other letters share the rest by their code point.
@@ -108,7 +109,7 @@ def learn(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", di
     """Languages and their prototypes (a row each) from all rows whose language and text are not null; none from an empty table."""
     ship(docs.sparkSession)
     given = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    got = given.mapInArrow(_bundle(dimensions), "lang string, place int, value long").groupBy("lang", "place").agg(F.sum("value").alias("value")).orderBy("lang", "place").toPandas()
+    got = given.transform(mapped, _bundle(dimensions), "lang string, place int, value long").groupBy("lang", "place").agg(F.sum("value").alias("value")).orderBy("lang", "place").toPandas()
     langs = sorted(set(got["lang"]))
     return langs, got["value"].to_numpy(np.float64).reshape(len(langs), dimensions) if langs else np.zeros((0, dimensions))
 
@@ -165,5 +166,5 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], *, id_col: str
     """
     ship(docs.sparkSession)
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return given.mapInArrow(_predict(*model), "doc_id long, lang_pred string, score double")
+    return given.transform(mapped, _predict(*model), "doc_id long, lang_pred string, score double")
 

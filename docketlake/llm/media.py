@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docketlake.llm.memory import mapped
 from docketlake.session import scratch, ship
 
 SEED, WINDOW = 64_206, 32
@@ -125,8 +126,8 @@ def _filter_words(bits: int):
 
 def repeated_filter(docs: DataFrame, bits: int) -> np.ndarray:
     """The Bloom filter of digests that occur more than once, as 2**bits bits; this size bounds what comes to the driver."""
-    found = docs.mapInArrow(_digests, "digest binary").groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
-    words = found.mapInArrow(_filter_words(bits), "word long, bits long").groupBy("word").agg(F.expr("bit_or(bits)").alias("bits")).toPandas()
+    found = docs.transform(mapped, _digests, "digest binary").groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
+    words = found.transform(mapped, _filter_words(bits), "word long, bits long").groupBy("word").agg(F.expr("bit_or(bits)").alias("bits")).toPandas()
     packed = np.zeros(1 << (bits - 5), dtype="<u4")
     packed[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype("<u4")
     return packed
@@ -184,8 +185,8 @@ def store(docs: DataFrame, folder: str, *, id_col: str = "doc_id", text_col: str
     ship(spark)
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     shared = spark.sparkContext.broadcast(repeated_filter(given, filter_bits))
-    given.mapInArrow(_store(shared), MEDIA).write.option("compression", "uncompressed").parquet(f"{folder}/media")
-    once = given.mapInArrow(_shared_chunks(shared), "digest binary, chunk binary").groupBy("digest").agg(F.first("chunk").alias("chunk"))
+    given.transform(mapped, _store(shared), MEDIA).write.option("compression", "uncompressed").parquet(f"{folder}/media")
+    once = given.transform(mapped, _shared_chunks(shared), "digest binary, chunk binary").groupBy("digest").agg(F.first("chunk").alias("chunk"))
     once.write.option("compression", "uncompressed").parquet(f"{folder}/chunks")
 
 
@@ -229,7 +230,7 @@ def read(spark, folder: str, *, keep_media: bool = False) -> DataFrame:
     lists = part.select("row", F.posexplode(F.arrays_zip("digests", "in_place")).alias("at", "c")).where(F.col("c.in_place").isNull()).select("row", "at", F.col("c.digests").alias("digest"))
     gathered = lists.join(chunks, "digest").groupBy("row").agg(F.collect_list(F.struct("at", "chunk")).alias("shared"))
     together = part.join(gathered, "row").drop("row")
-    return whole.unionByName(together).mapInArrow(_read(keep_media), READ)
+    return whole.unionByName(together).transform(mapped, _read(keep_media), READ)
 
 
 def through_media(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None, filter_bits: int = 23) -> DataFrame:

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketlake.llm import filters
+from docketlake.llm.memory import mapped
 from docketlake.llm.words import mix, shingles, word_hashes
 from docketlake.operators.components import connected_components
 from docketlake.session import ship, written
@@ -191,7 +192,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     ship(spark)
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    signed = written(given.mapInArrow(_signed(s), "doc_id long, n_shingles long, key binary, bands array<long>"), "signed")
+    signed = written(given.transform(mapped, _signed(s), "doc_id long, n_shingles long, key binary, bands array<long>"), "signed")
     usable = signed.where("key is not null and doc_id is not null")
     reps = written(usable.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "reps")
     rows = reps.select(F.explode("bands").alias("bucket"), "rep", "n")
@@ -200,7 +201,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     pairs = written(members.where((F.col("rep") != F.col("leader")) & _near("n", "leader_n", s.percent)).select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
     involved = members.select("rep").distinct()
     chosen = filters.shared(involved)
-    sets = written(given.where("doc_id is not null").mapInArrow(_chosen_sets(s, chosen), "doc_id long, grams array<long>").dropDuplicates(["doc_id"]), "sets")
+    sets = written(given.where("doc_id is not null").transform(mapped, _chosen_sets(s, chosen), "doc_id long, grams array<long>").dropDuplicates(["doc_id"]), "sets")
     links = written(_linked(pairs, sets, s.percent), "links")
     found = written(connected_components(links), "components")
     open_ = _open(members.drop("leader_n"), found)

@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketlake.llm.memory import mapped
 from docketlake.llm.tokens import blocks, default_path, encoder
 from docketlake.session import ship
 
@@ -212,4 +213,4 @@ def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", con
         context, text = first_line(text)
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), context.alias("context"))
     run = _packed(tokenizer or default_path("word_bpe_49k.json"), end_id, limits or Limits(), keep_ids)
-    return given.mapInArrow(run, SCHEMA + (", ids binary" if keep_ids else ""))
+    return given.transform(mapped, run, SCHEMA + (", ids binary" if keep_ids else ""))

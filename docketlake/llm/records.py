@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docketlake.llm.memory import mapped
 from docketlake.llm.tokens import blocks, default_path, encoder
 from docketlake.session import scratch, ship
 
@@ -165,7 +166,7 @@ def write_records(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     total = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ordered = given.withColumn("h", F.xxhash64("text")).repartitionByRange(max(1, -(-total // shard_bytes)), "doc_id", "h").sortWithinPartitions("doc_id", "h", "text")
-    ordered.select("doc_id", "text").mapInArrow(_writer(f"{folder}/shards", tokenizer or default_path("word_bpe_49k.json"), end_id), INDEX).write.parquet(f"{folder}/index")
+    ordered.select("doc_id", "text").transform(mapped, _writer(f"{folder}/shards", tokenizer or default_path("word_bpe_49k.json"), end_id), INDEX).write.parquet(f"{folder}/index")
     return spark.read.schema(INDEX).parquet(f"{folder}/index")
 
 
@@ -218,7 +219,7 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
     A checksum that does not hold, or a record that is not the one the index names, is a ValueError. An empty index gives no rows.
     ``folder`` names the file system the files are on."""
     ship(index.sparkSession)
-    return index.select(*(x.split()[0] for x in INDEX.split(", "))).mapInArrow(_reader(folder), "doc_id long, shard int, start_in_shard long, n_tokens long, ids_crc32 long, ids binary")
+    return index.select(*(x.split()[0] for x in INDEX.split(", "))).transform(mapped, _reader(folder), "doc_id long, shard int, start_in_shard long, n_tokens long, ids_crc32 long, ids binary")
 
 
 def with_global_start(records: DataFrame, index: DataFrame) -> DataFrame:

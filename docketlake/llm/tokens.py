@@ -7,7 +7,6 @@ file is encoded text by text.
 
 from __future__ import annotations
 
-import ctypes
 import functools
 import json
 import os
@@ -19,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from docketlake.llm.memory import free_memory
+
 #: The pre-tokenizer pattern for which chunks are independent: no alternative matches white space.
 _CHUNKED = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: A Latin word, then punctuation without digits, letters, apostrophes and "<": both parts are tokens of the pattern above.
@@ -83,15 +84,6 @@ def worker_cache(make):
     return get
 
 
-def free_memory() -> None:
-    """Gives what is free back to the system."""
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL(None).malloc_trim(0)
-    except (OSError, AttributeError):  # not every C library has it
-        pass
-
-
 def blocks(texts: pa.Array, *more: pa.Array, most: int = BLOCK) -> Iterator[tuple[int, int]]:
     """Runs (from, to) of rows of about ``most`` bytes of text, in all columns given; a longer text is a run of its own."""
     sizes = sum(pc.fill_null(pc.binary_length(x), 0).to_numpy(zero_copy_only=False).astype(np.int64) for x in (texts, *more))

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docketlake.llm.memory import mapped
 from docketlake.llm.tokens import Kept, worker_cache
 from docketlake.session import ship
 
@@ -129,7 +130,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _lexicon(sample: DataFrame, n: tuple[int, int], s: Settings) -> dict[str, float]:
     """Positive keys and their scores; n: documents labelled 0 and 1 in the sample. They are words of at most max_labelled toxic documents."""
-    counted = sample.select("text", "toxic").mapInArrow(_count, "key string, toxic long, clean long").groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    counted = sample.select("text", "toxic").transform(mapped, _count, "key string, toxic long, clean long").groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     share = (F.col("toxic") + F.col("clean")) / (n[0] + n[1])
     a = 0.5 + s.prior * share
 
@@ -234,13 +235,13 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     model = Model(lexicon, 1.0, 1.0, (0.0, 0.0), s)
     shared = spark.sparkContext.broadcast(lexicon)
     held = sample.where("not fit").select("text", "toxic")
-    told = held.where("toxic = 0").mapInArrow(_tally(model.uid, shared, s.drift), "kind string, score double, n long").groupBy("kind", "score").agg(F.sum("n").alias("n")).collect()
+    told = held.where("toxic = 0").transform(mapped, _tally(model.uid, shared, s.drift), "kind string, score double, n long").groupBy("kind", "score").agg(F.sum("n").alias("n")).collect()
     positive = Counter({r["score"]: r["n"] for r in told if r["kind"] == "token"}) or Counter({round(max(lexicon.values(), default=1.0), 1): 1})
     sums = {r["kind"]: r["n"] for r in told if r["kind"] != "token"}
     tokens = max(1, sums.get("words", 0))
     rate = _root(positive, max(1, tokens - sum(positive.values())), s.drift)
     k = (0.5 + sums.get("segments", 0)) / (tokens * math.exp(-rate * s.least))
-    seen = held.mapInArrow(_evidence(model.uid, shared, s.drift, rate, k), "toxic int, evidence double").orderBy("toxic", "evidence").collect()  # two numbers a calibrating document
+    seen = held.transform(mapped, _evidence(model.uid, shared, s.drift, rate, k), "toxic int, evidence double").orderBy("toxic", "evidence").collect()  # two numbers a calibrating document
     x = np.array([r["evidence"] for r in seen])
     y = np.array([float(r["toxic"]) for r in seen])
     weights = _logistic(x, y) if len(seen) else (-2.0, 1.0)
@@ -278,7 +279,7 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     spark = docs.sparkSession
     ship(spark)
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return given.mapInArrow(_score(model, spark.sparkContext.broadcast(model.lexicon)), f"doc_id long, score double, predicted int, passages {PASSAGES}")
+    return given.transform(mapped, _score(model, spark.sparkContext.broadcast(model.lexicon)), f"doc_id long, score double, predicted int, passages {PASSAGES}")
 
 
 def drop_toxic(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
@@ -300,4 +301,4 @@ def drop_toxic(docs: DataFrame, model: Model, *, text_col: str = "text") -> Data
                 keep.append(1 / (1 + math.exp(-(bias + slope * found))) < s.threshold)
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(mapped, run, docs.schema)

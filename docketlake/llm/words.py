@@ -57,11 +57,30 @@ def _factors(n: int) -> np.ndarray:
     return mix(np.arange(9_000, 9_000 + n, dtype=np.uint64) * _GOLD) | np.uint64(1)
 
 
+BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
+
+
+@functools.lru_cache(maxsize=8)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of BASE and of its inverse, modulo 2**64."""
+    inverse = pow(BASE, -1, 1 << 64)
+    told = []
+    for base in (BASE, inverse):
+        x = np.full(n, base, dtype=np.uint64)
+        x[0] = 1
+        told.append(np.cumprod(x, dtype=np.uint64))
+    return told[0], told[1]
+
+
 def shingles(words: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the runs of n words, in order; of the whole sequence where there are fewer; none without words."""
     size = min(n, len(words))
     if not size:
         return np.empty(0, np.uint64)
+    if n >= 16:  # long runs by differences of prefix sums
+        up, down = (x[: len(words)] for x in _powers(1 << max(12, (len(words) - 1).bit_length())))
+        sums = np.append(np.uint64(0), np.cumsum(words * up, dtype=np.uint64))
+        return mix((sums[size:] - sums[:-size]) * down[: len(words) - size + 1] + np.uint64(size))
     out = np.zeros(len(words) - size + 1, dtype=np.uint64)
     for k, factor in enumerate(_factors(size)):
         out += words[k : len(words) - size + 1 + k] * factor
