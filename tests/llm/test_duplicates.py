@@ -180,15 +180,6 @@ def test_recall_of_edited_passages_against_brute_force(spark):
     assert found <= {(a, b) for a, b, _ in pairs}
 
 
-def test_passages_within_a_document_only_where_asked(spark):
-    passage = prose(60)
-    docs = spark.createDataFrame([(1, " ".join(prose(30) + passage + prose(30) + passage)), (2, " ".join(prose(200)))], "doc_id long, text string")
-    assert substring.repeated_passages(docs).collect() == []
-    got = substring.repeated_passages(docs, settings=substring.Settings(within=True)).collect()
-    assert {(r["doc_id"], r["source_id"]) for r in got} == {(1, 1)}
-    assert any((r["start"], r["end"], r["source_start"], r["source_end"]) == (120, 180, 30, 90) for r in got)
-
-
 def test_chains_have_the_best_value():
     """Of matches that do not overlap."""
     s = substring.Settings()
