@@ -104,10 +104,11 @@ CROCKFORD = "0123456789ABCDEFGHJKMNPQRSTVWXYZ"
 
 def crockford_hash(x: Col) -> Column:
     """MD5 in Crockford's base 32: 26 characters for the 128 bits, the last padded with zero bits."""
-    bits = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(32)), lambda i: F.lpad(F.conv(F.substr(F.md5(_c(x)), i, F.lit(1)), 16, 2), 4, "0")), "")
-    padded = F.rpad(bits, 130, "0")
-    five = F.transform(F.sequence(F.lit(1), F.lit(126), F.lit(5)), lambda i: F.conv(F.substr(padded, i, F.lit(5)), 2, 10).cast("int"))
-    return F.array_join(F.transform(five, lambda v: F.substr(F.lit(CROCKFORD), v + 1, F.lit(1))), "")
+    # digest and bits are one-element arrays that a lambda opens, so each is worked out once a row
+    digest = F.array(F.md5(_c(x)))
+    bits = F.transform(digest, lambda d: F.rpad(F.array_join(F.transform(F.sequence(F.lit(1), F.lit(32)), lambda i: F.lpad(F.conv(F.substr(d, i, F.lit(1)), 16, 2), 4, "0")), ""), 130, "0"))
+    five = lambda b: F.transform(F.sequence(F.lit(1), F.lit(126), F.lit(5)), lambda i: F.substr(F.lit(CROCKFORD), F.conv(F.substr(b, i, F.lit(5)), 2, 10).cast("int") + 1, F.lit(1)))
+    return F.when(_c(x).isNotNull(), F.get(F.transform(bits, lambda b: F.array_join(five(b), "")), F.lit(0)))
 
 
 def docket_year(docket_id: Col) -> Column:

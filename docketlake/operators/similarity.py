@@ -108,9 +108,14 @@ def cluster_members(clusters: DataFrame) -> DataFrame:
 
 
 def cluster_ranking(clusters: DataFrame) -> DataFrame:
-    """Clusters of more than one document, numbered from 0 by falling size, ties by id: a rank over a table of clusters, not documents."""
+    """Clusters of more than one document, numbered from 0 by falling size, ties by id. They are sorted over range partitions, and a count of each gives
+    where its numbers begin, so no task sorts all of them."""
     big = cluster_members(clusters).where("size > 1")
-    return big.withColumn("number", F.row_number().over(Window.orderBy(F.desc("size"), "cluster_id")) - 1)
+    placed = written(big.repartitionByRange(F.desc("size"), F.col("cluster_id")).sortWithinPartitions(F.desc("size"), "cluster_id").withColumn("at", F.monotonically_increasing_id()), "placed")
+    placed = placed.withColumn("part", F.shiftright("at", 33)).withColumn("at", F.col("at").bitwiseAND((1 << 33) - 1))
+    counts = placed.groupBy("part").agg(F.count("*").alias("n"))
+    bases = counts.withColumn("base", F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))).select("part", F.coalesce("base", F.lit(0)).alias("base"))  # a row a partition
+    return placed.join(F.broadcast(bases), "part").select("cluster_id", "size", "first_doc", "last_doc", (F.col("base") + F.col("at")).cast("int").alias("number"))
 
 
 def pair_stats(pairs: DataFrame, ids: DataFrame) -> DataFrame:

@@ -292,10 +292,10 @@ def p5_normalize_v3(spark, sf_dir):
     return got.select("doc_id", "title", "docket_id", F.element_at("details", F.lit("Date_Posted")).isNotNull().alias("has_value"), "type")
 
 
-@register("select 'EPA-' || o_custkey || '-2012-' || o_orderkey as docket_id, o_orderpriority as title, cast(2012 as int) as year from orders")
+@register("select 'EPA-HQ' || o_custkey || '-' || year(o_orderdate) || '-' || o_orderkey as docket_id, o_orderpriority as title, cast(year(o_orderdate) as int) as year from orders")
 def p6_normalize_docket(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    docket = F.concat(F.lit("EPA-"), F.col("o_custkey").cast("string"), F.lit("-2012-"), F.col("o_orderkey").cast("string"))
+    docket = F.concat(F.lit("EPA-HQ"), F.col("o_custkey").cast("string"), F.lit("-"), F.year("o_orderdate").cast("string"), F.lit("-"), F.col("o_orderkey").cast("string"))
     raw = F.when(F.col("o_orderkey") % 2 == 0, F.to_json(F.struct(docket.alias("docketId"), F.col("o_orderpriority").alias("title")))).otherwise(F.to_json(F.struct(F.struct(F.lit("Docket").alias("label"), docket.alias("value")).alias("docketId"), F.struct(F.lit("Title").alias("label"), F.col("o_orderpriority").alias("value")).alias("title"))))
     return normalize.normalize_docket(o.select(raw.alias("json"))).select("docket_id", "title", "year")
 
