@@ -282,7 +282,7 @@ def is_us_date(x: Col) -> Column:
 
 def coerce_cell(x: Col) -> Column:
     """(date, flag, url, title, text) of a spreadsheet cell: dd/dd/dddd, Y or N, or a hyperlink formula."""
-    link = r'(?i)^=?hyperlink\("([^"]*)"\s*,\s*"([^"]*)"\)$'
+    link = r'(?i)^(?:of:)?=?hyperlink\("([^"]*)"\s*[,;]\s*"([^"]*)"\)$'
     return F.struct(
         F.when(_c(x).rlike(r"^\d\d/\d\d/\d{4}$"), F.try_to_timestamp(_c(x), F.lit("MM/dd/yyyy")).cast("date")).alias("date"),
         F.when(_c(x) == "Y", True).when(_c(x) == "N", False).alias("flag"),

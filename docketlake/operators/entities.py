@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docketlake.functions.text import held, words
+from docketlake.functions.text import held, submitter_string, words
 
 
 def list_aliases(entities: DataFrame, column: str = "filtered_aliases") -> DataFrame:
@@ -45,6 +45,15 @@ def match(texts: DataFrame, aliases: DataFrame, *, blacklist: DataFrame | None =
     return tokens.select("doc_id", F.explode(made).alias("window")).join(known.select("window", "entity_id"), "window").select("doc_id", "entity_id").distinct()
 
 
+def submitter_matches(docs: DataFrame, aliases: DataFrame, *, title_source: str | None = None, blacklist: DataFrame | None = None) -> DataFrame:
+    """(doc_id, entity_id) of the entities that a document's submitter may be: those of its organization, name, representative and what its title says
+    of the sender; for submissions and other documents of ``title_source`` those of the whole title. No match crosses from one to another."""
+    d = lambda k: F.element_at("details", F.lit(k))
+    whole = F.coalesce((F.col("source") == title_source) & F.col("type").isin("public_submission", "other"), F.lit(False)) if title_source else F.lit(False)
+    by = submitter_string(d("Organization_Name"), d("First_Name"), d("Last_Name"), d("Submitter_Representative"), F.col("title"), whole)
+    return match(docs.select("doc_id", by.alias("text")), aliases, blacklist=blacklist)
+
+
 def explode_matches(docs: DataFrame) -> DataFrame:
     """(doc_id, object_id, type, kind, entity_id) of the entities of every view and attachment view; a document view without an
     object id has its file's stem."""

@@ -16,23 +16,32 @@ def deep_get(column: str, dtype: str, default: object = None) -> Column:
     return F.when(truthy(column, dtype), F.col(column)).otherwise(F.lit(default))
 
 
-def export_metadata(docs: DataFrame) -> DataFrame:
-    """The twelve export columns of undeleted documents; details is a map."""
+def export_columns() -> dict[str, Column]:
+    """The export's columns by name, in the relation's order; details is a map. Text that is missing is empty, a missing date is null."""
     d = lambda k: F.element_at("details", F.lit(k))
-    return docs.where(~F.coalesce("deleted", F.lit(False))).select(
-        F.col("doc_id").alias("document_id"),
-        "docket_id",
-        "agency",
-        F.coalesce(F.to_date(d("Date_Posted")), F.lit(None)).alias("date_posted"),
-        F.to_date(d("Comment_Due_Date")).alias("date_due"),
-        "title",
-        "type",
-        F.col("comment_on.document_id").alias("on_id"),
-        F.col("comment_on.title").alias("on_title"),
-        or_null(full_name(d("First_Name"), d("Middle_Initial"), d("Last_Name"))).alias("submitter_name"),
-        or_null(d("Organization_Name")).alias("submitter_organization"),
-        or_null(d("Submitter_Representative")).alias("submitter_representative"),
-    )
+    text = lambda c: F.coalesce(c, F.lit(""))
+    on = lambda k: text(F.col(f"comment_on.{k}"))
+    return {
+        "document_id": F.col("doc_id"),
+        "docket_id": text(F.col("docket_id")),
+        "agency": text(F.col("agency")),
+        "date_posted": F.to_date(d("Date_Posted")),
+        "date_due": F.to_date(d("Comment_Due_Date")),
+        "title": text(F.col("title")),
+        "type": text(F.col("type")),
+        "org_name": text(d("Organization_Name")),
+        "submitter_name": full_name(d("First_Name"), d("Middle_Initial"), d("Last_Name")),
+        "on_type": on("type"),
+        "on_id": on("document_id"),
+        "on_title": on("title"),
+    }
+
+
+def export_metadata(docs: DataFrame, columns: dict[str, Column] | None = None, limit: int | None = None) -> DataFrame:
+    """The export columns (those of ``export_columns`` or others) of undeleted documents; ``limit`` is for test runs."""
+    kept = docs.where(~F.coalesce("deleted", F.lit(False)))
+    kept = kept if limit is None else kept.limit(limit)
+    return kept.select(*(c.alias(name) for name, c in (columns or export_columns()).items()))
 
 
 def project_search_results(dump: DataFrame, now: Column) -> DataFrame:
@@ -81,19 +90,32 @@ def normalize_v3(records: DataFrame, raw: str = "json", types: dict[str, str] |
     )
 
 
+def _urls(raw: Column) -> Column:
+    """Strings of a JSON list, or the one that stands without its list; none where there are none."""
+    return F.coalesce(F.when(F.startswith(raw, F.lit("[")), F.filter(F.from_json(raw, "array<string>"), lambda u: u != "")).otherwise(F.array_compact(F.array(or_null(raw)))), F.array().cast("array<string>"))
+
+
 def normalize_v1(records: DataFrame, raw: str = "json") -> DataFrame:
-    """Documents of the older form: metadata entries of "@name" and "$" become details; one entry may stand without its list."""
+    """Documents of the older form: metadata entries of "@name" and "$" become details; views from fileFormats, of the document and of each attachment.
+    One entry, file or attachment may stand without its list."""
     entries = F.get_json_object(raw, "$.metadata.entry")
     listed = F.from_json(F.when(F.startswith(entries, F.lit("[")), entries).otherwise(F.concat(F.lit("["), entries, F.lit("]"))), "array<map<string,string>>")
     pair = lambda m: F.struct(detail_key(F.element_at(m, F.lit("@name"))).alias("key"), F.element_at(m, F.lit("$")).alias("value"))
     pairs = F.filter(F.transform(listed, pair), lambda p: p["key"].isNotNull())
     get = lambda k: F.get_json_object(raw, f"$.{k}")
     on_id, on_type = get("commentOn.documentId"), get("commentOn.documentType")
+
+    def attachment(a: Column) -> Column:
+        inner = lambda k: F.get_json_object(a, f"$.{k}")
+        text = lambda k: F.coalesce(inner(k), F.lit(""))
+        return F.struct(text("title").alias("title"), text("abstract").alias("abstract"), F.transform(_urls(inner("fileFormats")), view_from_url).alias("views"))
+
     keys = F.array_distinct(F.transform(pairs, lambda p: p["key"]))
     details = F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.filter(pairs, lambda p: p["key"] == k), -1)["value"]))
     return records.select(
         get("documentId").alias("doc_id"), get("title").alias("title"), get("docketId").alias("docket_id"), get("agencyId").alias("agency"), mapped(get("documentType"), DOC_TYPES, "other").alias("type"), or_null(get("rin")).alias("rin"), details.alias("details"),
-        F.when(on_id.isNotNull() & on_type.isNotNull(), F.struct(on_id.alias("document_id"), get("commentOn.title").alias("title"), mapped(on_type, DOC_TYPES, "other").alias("type"))).alias("comment_on"),
+        F.when(or_null(on_id).isNotNull() & or_null(on_type).isNotNull(), F.struct(on_id.alias("document_id"), get("commentOn.title").alias("title"), mapped(on_type, DOC_TYPES, "other").alias("type"))).alias("comment_on"),
+        _urls(get("topics")).alias("topics"), or_null(get("commentText")).alias("abstract"), F.transform(_urls(get("fileFormats")), view_from_url).alias("views"), F.transform(listify(get("attachments.attachment"), "string"), attachment).alias("attachments"),
     )
 
 
@@ -104,6 +126,18 @@ def normalize_docket(records: DataFrame, raw: str = "json") -> DataFrame:
     return records.select(docket_id.alias("docket_id"), get("title.value", "title", "docketTitle").alias("title"), get("agencyAcronym.value", "agencyAcronym", "agencyId").alias("agency"), or_null(get("rin.value", "rin")).alias("rin"), docket_year(docket_id).alias("year"))
 
 
+def normalize_docket_record(records: DataFrame, agency: str, source: str) -> DataFrame:
+    """Docket records (id, title, url, type, subtype) of an agency, still to be scraped; of the details those that are given."""
+    details = F.create_map(F.lit("Source_ID"), "id", F.lit("Source_URL"), "url", F.lit("Type"), "type", F.lit("Subtype"), "subtype")
+    given = F.map_filter(details, lambda k, v: (k == "Source_ID") | F.coalesce(v != "", F.lit(False)))
+    return records.select(F.concat(F.lit(f"{agency}-X-"), "id").alias("docket_id"), F.lit(agency).alias("agency"), or_null("title").alias("title"), given.alias("details"), F.lit(source).alias("source"), F.lit("no").alias("scraped"))
+
+
+def docket_stub(ids: DataFrame, agency: str, source: str) -> DataFrame:
+    """Dockets of which only the id (docket_id) is known."""
+    return ids.select("docket_id", F.lit(agency).alias("agency"), F.lit(source).alias("source"), F.lit("no").alias("scraped")).distinct()
+
+
 def view_from_url(url: Column) -> Column:
     clean = url_without_fragment(url)
     return F.struct(clean.alias("url"), url_type(url).alias("type"), crockford_hash(clean).alias("object_id"), F.lit("no").alias("downloaded"), F.lit("no").alias("extracted"))

@@ -54,22 +54,26 @@ def lookup_agency_ids(agencies: DataFrame, fr_agencies: DataFrame) -> DataFrame:
 
 
 def guess_article(docs: DataFrame, articles: DataFrame, *, days: int = 90, ratio: float = 0.75, min_title: int = 10) -> DataFrame:
-    """(doc_id, article_id, similarity, days_apart) of the best article: same agency, published within ``days``, similar title;
-    nearest date first, then the most similar, then the smaller id.
+    """(doc_id, article_id, similarity, days_apart) of the best article: same agency, published within ``days``, similar title; nearest date first,
+    then the most similar, then the smaller id. A document without an agency or a date is not held to it; without a date, days_apart is null
+    and the most similar counts.
 
-    Both sides are keyed by agency and a date bucket of ``days``; an article is put in three neighbouring buckets, so equal keys hold all
+    Both sides are keyed by agency, a date bucket of ``days`` and a bucket of title length, each null where it does not matter: titles whose lengths
+    differ by more than (2 - ratio) / ratio cannot be similar enough. An article is put under the keys that documents may have, so equal keys hold all
     pairs in reach and no pair is met twice.
     """
-    day = lambda c: F.datediff(c, F.lit("1970-01-01").cast("date"))
-    d = docs.where(F.length("title") >= min_title).select("doc_id", "title", "agency", "date_posted", F.floor(day("date_posted") / days).alias("bucket"))
-    a = articles.where(F.length("title") >= min_title).select("article_id", F.col("title").alias("a_title"), "agency", F.col("date_posted").alias("published"))
-    a = a.withColumn("bucket", F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda k: F.floor(day("published") / days) + k)))
+    day = lambda c: F.floor(F.datediff(c, F.lit("1970-01-01").cast("date")) / days)
+    size = lambda c: F.floor(F.log(F.length(c)) / F.log(F.lit((2 - ratio) / ratio)))
+    either = lambda found: F.array_distinct(F.concat(F.array(F.lit(None)), found))
+    near = lambda c: F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda k: c + k)
+    d = docs.where(F.length("title") >= min_title).select("doc_id", "title", "agency", "date_posted", day("date_posted").alias("bucket"), F.explode(near(size("title"))).alias("size"))
+    a = articles.where(F.length("title") >= min_title).select("article_id", F.col("title").alias("a_title"), F.col("date_posted").alias("published"), size("title").alias("a_size"), "agency")
+    a = a.withColumn("a_agency", F.explode(either(F.array("agency")))).drop("agency").withColumn("a_bucket", F.explode(F.when(F.col("published").isNull(), F.array(F.lit(None).cast("bigint"))).otherwise(either(near(day("published"))))))
+    same = F.col("agency").eqNullSafe(F.col("a_agency")) & F.col("bucket").eqNullSafe(F.col("a_bucket")) & (F.col("size") == F.col("a_size"))
     apart = F.abs(F.datediff("date_posted", "published"))
-    longest = F.greatest(F.length("title"), F.length("a_title"))
-    reach = F.abs(F.length("title") - F.length("a_title")) < (1 - ratio) * (F.length("title") + F.length("a_title")) + 1
-    met = d.join(a, ["agency", "bucket"]).where((apart <= days) & reach & (longest > 0)).withColumn("similarity", levenshtein_ratio("title", "a_title")).where(F.col("similarity") > ratio)
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("days_apart", F.desc("similarity"), "article_id"))
-    return met.withColumn("days_apart", apart).withColumn("r", rank).where("r = 1").select("doc_id", "article_id", "similarity", "days_apart")
+    met = d.join(a, same).where(F.coalesce(apart <= days, F.lit(True))).withColumn("similarity", levenshtein_ratio("title", "a_title")).where(F.col("similarity") > ratio)
+    best = F.row_number().over(Window.partitionBy("doc_id").orderBy("days_apart", F.desc("similarity"), "article_id"))
+    return met.withColumn("days_apart", apart).withColumn("r", best).where("r = 1").select("doc_id", "article_id", "similarity", "days_apart")
 
 
 def article_by_citation(docs: DataFrame, articles: DataFrame) -> DataFrame:

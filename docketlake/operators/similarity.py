@@ -26,6 +26,7 @@ def exact_classes(sets: DataFrame) -> DataFrame:
     Classes are made by aggregation on a hash of the sorted set, so a class of any size is never in one task.
     """
     keyed = sets.select("doc_id", F.when(F.col("size") > 0, F.sha2(F.array_join(F.sort_array("grams"), "\n"), 256)).alias("key"))
+    keyed = written(keyed, "classes")
     top = keyed.where("key is not null").groupBy("key").agg(F.max("doc_id").alias("class_id"))
     return keyed.join(top, "key", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
 
@@ -45,6 +46,7 @@ def similar_pairs(sets: DataFrame, min_jaccard: float) -> DataFrame:
     by_rank = Window.partitionBy("doc_id").orderBy("df", "gram")
     placed = grams.join(common, "gram").withColumn("place", F.row_number().over(by_rank))
     prefix = placed.where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * (min_jaccard - 1e-9)) + 1).where("df > 1").select("doc_id", "size", "gram")
+    prefix = written(prefix, "prefix")
     x, y = prefix.toDF("a", "a_size", "gram"), prefix.toDF("b", "b_size", "gram")
     fits = (F.col("a") > F.col("b")) & (F.least("a_size", "b_size") >= F.greatest("a_size", "b_size") * (min_jaccard - 1e-9))
     met = x.join(y, "gram").where(fits).select("a", "b").distinct()

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketlake.functions.text import expanded_count
+from docketlake.session import written
 
 
 def week_start(date: Column | str) -> Column:
@@ -58,8 +59,16 @@ def recent(docs: DataFrame, key: str, k: int, types: tuple[str, ...] | None = No
 
 
 def fr_docs(docs: DataFrame, key: str, types: tuple[str, ...] = ("notice", "rule", "proposed_rule")) -> DataFrame:
-    """All rule-making documents of each key with their place by date, latest first."""
-    return recent(docs, key, (1 << 31) - 1, types)
+    """All rule-making documents of each key with their place by date, latest first. They are sorted over range partitions, and where a key's
+    places begin in each comes from counts, so no task ranks all of a large key."""
+    order = [F.col(key), F.col("date_posted").desc_nulls_last(), F.col("doc_id")]
+    given = docs.where(F.col(key).isNotNull() & F.col("type").isin(*types))
+    at = F.monotonically_increasing_id()
+    placed = written(given.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", at).withColumn("_part", F.shiftright("_at", 33)), "placed")
+    parts = placed.groupBy(key, "_part").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = F.sum("_n").over(Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))  # a row a key and partition
+    bases = parts.select(key, "_part", (F.coalesce(before, F.lit(0)) - F.col("_first") + 1).alias("_base"))
+    return placed.join(bases, [key, "_part"]).withColumn("rank", (F.col("_at") + F.col("_base")).cast("int")).drop("_at", "_part", "_base")
 
 
 def commented_docs(docs: DataFrame) -> DataFrame:
@@ -131,8 +140,8 @@ def high_water_date(docs: DataFrame, *by: str) -> DataFrame:
 
 def last_days(docs: DataFrame, key: str, days: int = 7) -> DataFrame:
     """Documents later than their key's last date less ``days``."""
-    last = F.max("date_posted").over(Window.partitionBy(key))
-    return docs.withColumn("last_date", last).where(F.col("date_posted") > F.date_sub("last_date", days))
+    last = docs.groupBy(key).agg(F.max("date_posted").alias("last_date"))
+    return docs.join(last, key).where(F.col("date_posted") > F.date_sub("last_date", days))
 
 
 def run_counters(actions: DataFrame, column: str = "action") -> DataFrame:

@@ -84,9 +84,9 @@ def u9_apply_scrape_results(spark, sf_dir):
     return reconcile.apply_scrape_results(d, results).select("doc_id", "title", "scraped", "renamed")
 
 
-@register(f"with {b.VIEWS} select doc_id, n, url from views where downloaded = 'yes' and extracted = 'no' and type = 'pdf'")
+@register(f"with {b.VIEWS} select doc_id, n, url from views where downloaded = 'failed' and extracted = 'yes' and type = 'pdf'")
 def p13_find_views(spark, sf_dir):
-    got = views.find_views(b.views(spark, sf_dir), lambda v: (v["downloaded"] == "yes") & (v["extracted"] == "no") & (v["type"] == "pdf"))
+    got = views.find_views(b.views(spark, sf_dir), lambda v: (v["downloaded"] == "failed") & (v["extracted"] == "yes") & (v["type"] == "pdf"))
     return got.select("doc_id", "view.n", "view.url")
 
 
@@ -234,46 +234,69 @@ def j8_lookup_agency_ids(spark, sf_dir):
     return resolve.lookup_agency_ids(n.select(F.col("n_nationkey").cast("string").alias("id")), fr).select(F.col("id").cast("int").alias("id"), "fr_id")
 
 
-@register("""with t as (select doc_id, left(text, 60) as title, lang as agency, date '2024-01-01' + cast(doc_id % 365 as int) as d from documents where lang = 'en'),
-  m as (select a.doc_id, b.doc_id as article_id, (length(a.title) + length(b.title) - levenshtein(a.title, b.title)) / (length(a.title) + length(b.title)) as s, abs(a.d - b.d) as apart from t a join t b
-    on a.doc_id % 2 = 1 and b.doc_id % 2 = 0 and abs(a.d - b.d) <= 90 and length(a.title) >= 10 and length(b.title) >= 10),
-  r as (select *, row_number() over (partition by doc_id order by apart, s desc, article_id) as r from m where s > 0.75) select doc_id, article_id, round(s, 6) as similarity, cast(apart as int) as days_apart from r where r = 1""")
+TITLED = """t as (select p_partkey as k, p_name || ' ' || p_type || ' ' || p_size as title, case when p_partkey % 10 <> 3 then p_brand end as agency,
+  case when p_partkey % 12 <> 5 then date '2024-01-01' + cast(p_partkey % 365 as int) end as d from part)"""
+RATIO = "(length(a.title) + length(b.title) - levenshtein(a.title, b.title)) / (length(a.title) + length(b.title))"
+GUESSED = f"""met as (select a.k as doc_id, b.k as article_id, {RATIO} as s, abs(a.d - b.d) as apart from t a join t b on a.k % 2 = 1 and b.k % 2 = 0
+    and (a.agency is null or a.agency = b.agency) and (a.d is null or abs(a.d - b.d) <= 90) and length(a.title) >= 10 and length(b.title) >= 10),
+  guessed as (select *, row_number() over (partition by doc_id order by apart, s desc, article_id) as r from met where s > 0.75)"""
+
+
+def _titled(spark, sf_dir):
+    """Parts as documents (odd keys) and articles (even keys): some documents have no agency, some no date, some neither."""
+    k = F.col("p_partkey")
+    title = F.concat_ws(" ", "p_name", "p_type", F.col("p_size").cast("string"))
+    t = table(spark, sf_dir, "part").select(k.alias("k"), title.alias("title"), F.when(k % 10 != 3, F.col("p_brand")).alias("agency"), F.when(k % 12 != 5, F.date_add(F.lit("2024-01-01").cast("date"), (k % 365).cast("int"))).alias("date_posted"))
+    return t.where("k % 2 = 1").withColumnRenamed("k", "doc_id"), t.where("k % 2 = 0").withColumnRenamed("k", "article_id")
+
+
+@register(f"with {TITLED}, {GUESSED} select doc_id, article_id, round(s, 6) as similarity, cast(apart as int) as days_apart from guessed where r = 1")
 def j9_guess_article(spark, sf_dir):
-    t = b.texts(spark, sf_dir).where("agency = 'en'").select("doc_id", F.left("text", F.lit(60)).alias("title"), "agency", "date_posted")
-    got = resolve.guess_article(t.where("doc_id % 2 = 1"), t.where("doc_id % 2 = 0").withColumnRenamed("doc_id", "article_id"))
-    return got.withColumn("similarity", F.round("similarity", 6))
+    docs, articles = _titled(spark, sf_dir)
+    return resolve.guess_article(docs, articles).withColumn("similarity", F.round("similarity", 6))
 
 
-@register(r"""with a as (select item_id as article_id, 'c' || item_id % 20 as citation, left(text, 30) as title from benchmark where not regexp_matches(left(text, 30), '[^\x00-\x7F]')), d as (select doc_id, 'c' || doc_id % 25 as citation, left(text, 30) as title from documents where not regexp_matches(left(text, 30), '[^\x00-\x7F]')),
-  r as (select doc_id, article_id, row_number() over (partition by doc_id order by (length(d.title) + length(a.title) - levenshtein(d.title, a.title)) / (length(d.title) + length(a.title)) desc, article_id) as r from d join a using (citation)) select doc_id, article_id from r where r = 1""")
+@register(f"""with {TITLED}, r as (select a.k as doc_id, b.k as article_id, row_number() over (partition by a.k order by {RATIO} desc, b.k) as r from t a join t b
+  on a.k % 2 = 1 and b.k % 2 = 0 and (a.k + 1) % 25 = b.k % 20) select doc_id, article_id from r where r = 1""")
 def j10_article_by_citation(spark, sf_dir):
-    ascii_ = ~F.left("text", F.lit(30)).rlike(r"[^\x00-\x7F]")
-    articles = table(spark, sf_dir, "benchmark").where(ascii_).select(F.col("item_id").alias("article_id"), F.concat(F.lit("c"), (F.col("item_id") % 20).cast("string")).alias("citation"), F.left("text", F.lit(30)).alias("title"))
-    docs = table(spark, sf_dir, "documents").where(ascii_).select("doc_id", F.concat(F.lit("c"), (F.col("doc_id") % 25).cast("string")).alias("citation"), F.left("text", F.lit(30)).alias("title"))
-    return resolve.article_by_citation(docs, articles)
+    docs, articles = _titled(spark, sf_dir)
+    return resolve.article_by_citation(docs.withColumn("citation", (F.col("doc_id") + 1) % 25), articles.withColumn("citation", F.col("article_id") % 20))
 
 
-@register()
+@register(f"""with {TITLED}, {GUESSED}, cited as (select a.k as doc_id, b.k as article_id, row_number() over (partition by a.k order by {RATIO} desc, b.k) as r
+    from t a join t b on a.k % 2 = 1 and b.k % 2 = 0 and (a.k + 1) % 60 = b.k % 40),
+  routes as (select a.k as doc_id, case when a.k % 3 = 0 then n.k end as n_id, case when a.k % 5 = 0 then c.article_id end as c_id, case when a.k % 7 = 0 then c.article_id end as t_id, case when a.k % 7 <> 0 then g.article_id end as g_id
+    from t a left join t n on n.k = a.k + 1 left join cited c on c.doc_id = a.k and c.r = 1 left join guessed g on g.doc_id = a.k and g.r = 1 where a.k % 2 = 1)
+  select doc_id, coalesce(n_id, c_id, t_id, g_id) as article_id, case when n_id is not null then 'number' when c_id is not null then 'citation' when t_id is not null then 'text' when g_id is not null then 'title' else 'none' end as route from routes""")
 def j11_annotate(spark, sf_dir):
-    t = b.texts(spark, sf_dir).where("agency = 'en'").select("doc_id", F.left("text", F.lit(60)).alias("title"), "agency", "date_posted")
-    docs = t.where("doc_id % 2 = 1").select("*", F.when(F.col("doc_id") % 3 == 0, (F.col("doc_id") + 1).cast("string")).alias("number"), F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("c"), (F.col("doc_id") % 40).cast("string"))).alias("citation"), F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit("c"), (F.col("doc_id") % 40).cast("string"))).alias("text_citation"))
-    articles = t.where("doc_id % 2 = 0").select(F.col("doc_id").alias("article_id"), "title", "agency", "date_posted", F.col("doc_id").cast("string").alias("number"), F.concat(F.lit("c"), (F.col("doc_id") % 40).cast("string")).alias("citation"))
-    return resolve.annotate(docs, articles)
+    docs, articles = _titled(spark, sf_dir)
+    k = F.col("doc_id")
+    cite = F.concat(F.lit("c"), ((k + 1) % 60).cast("string"))
+    docs = docs.select("*", F.when(k % 3 == 0, (k + 1).cast("string")).alias("number"), F.when(k % 5 == 0, cite).alias("citation"), F.when(k % 7 == 0, cite).alias("text_citation"))
+    a = F.col("article_id")
+    return resolve.annotate(docs, articles.select("*", a.cast("string").alias("number"), F.concat(F.lit("c"), (a % 40).cast("string")).alias("citation")))
 
 
-@register(r"select doc_id, cast(len(list_filter(string_split(text, chr(10)), lambda x: x <> '')) as bigint) as n_lines from documents where false")
+@register("select doc_id, case doc_id % 3 when 0 then '77 FR ' else '76 FR ' end || doc_id as citation from documents where doc_id % 3 <> 2")
 def w14_page_header_citation(spark, sf_dir):
-    """No page header occurs in the supplied texts; tests hold it against written lines."""
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return resolve.page_header_citation(lines).select("doc_id", F.lit(0).cast("long").alias("n_lines"))
+    """A page header is set above two thirds of the texts, its number on the line before or after it."""
+    d, key = table(spark, sf_dir, "documents"), F.col("doc_id").cast("string")
+    above = F.when(F.col("doc_id") % 3 == 0, F.concat(key, F.lit("\nFederal Register / Vol. 77, No. 3\n"))).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("Federal Register / Vol. 76, No. 3\n"), key, F.lit("\n"))).otherwise("")
+    lines = d.select("doc_id", F.posexplode(F.split(F.concat(above, F.coalesce("text", F.lit(""))), "\n")).alias("line_no", "line"))
+    return resolve.page_header_citation(lines)
 
 
-@register("select cast(doc_id as varchar) as document_id, source as docket_id, lang as agency, cast(date '2024-01-01' + cast(doc_id % 365 as int) as varchar) as date_posted, left(text, 20) as title, 'A' || doc_id % 9 || ' B' as submitter_name, case when doc_id % 2 = 0 then 'org' end as submitter_organization from documents where doc_id % 6 <> 0")
+@register("""select cast(doc_id as varchar) as document_id, source as docket_id, lang as agency, date '2024-01-01' + cast(doc_id % 365 as int) as date_posted, case when doc_id % 4 = 0 then date '2025-03-01' end as date_due, text as title,
+  'notice' as type, case when doc_id % 2 = 0 then 'org' else '' end as org_name, case when doc_id % 5 = 0 then '' else 'A' || doc_id % 9 || ' B' end as submitter_name, case when doc_id % 3 = 0 then 'rule' else '' end as on_type,
+  case when doc_id % 3 = 0 then source || '-1' else '' end as on_id, case when doc_id % 3 = 0 then 'On' else '' end as on_title from documents where doc_id % 6 <> 0""")
 def p2_export_metadata(spark, sf_dir):
     t = b.texts(spark, sf_dir)
-    details = F.create_map(F.lit("Date_Posted"), F.col("date_posted").cast("string"), F.lit("First_Name"), F.concat(F.lit("A"), (F.col("doc_id") % 9).cast("string")), F.lit("Middle_Initial"), F.lit(""), F.lit("Last_Name"), F.lit("B"), F.lit("Organization_Name"), F.when(F.col("doc_id") % 2 == 0, "org").otherwise(""))
-    docs = t.select(F.col("doc_id").cast("string").alias("doc_id"), "docket_id", "agency", F.left("text", F.lit(20)).alias("title"), F.lit("notice").alias("type"), (F.col("doc_id") % 6 == 0).alias("deleted"), details.alias("details"), F.lit(None).cast("struct<document_id:string,title:string>").alias("comment_on"))
-    return normalize.export_metadata(docs).select("document_id", "docket_id", "agency", F.col("date_posted").cast("string").alias("date_posted"), "title", "submitter_name", "submitter_organization")
+    k = F.col("doc_id")
+    named = k % 5 != 0
+    details = F.create_map(F.lit("Date_Posted"), F.col("date_posted").cast("string"), F.lit("Comment_Due_Date"), F.when(k % 4 == 0, "2025-03-01"), F.lit("First_Name"), F.when(named, F.concat(F.lit("A"), (k % 9).cast("string"))), F.lit("Middle_Initial"), F.lit(""), F.lit("Last_Name"), F.when(named, "B"), F.lit("Organization_Name"), F.when(k % 2 == 0, "org"))
+    on = F.when(k % 3 == 0, F.struct(F.concat("docket_id", F.lit("-1")).alias("document_id"), F.lit("On").alias("title"), F.lit("rule").alias("type")))
+    docs = t.select(k.cast("string").alias("doc_id"), "docket_id", "agency", F.col("text").alias("title"), F.lit("notice").alias("type"), (k % 6 == 0).alias("deleted"), details.alias("details"), on.alias("comment_on"))
+    return normalize.export_metadata(docs)
 
 
 @register("select cast(o_orderkey as varchar) as doc_id, case o_orderstatus when 'F' then 'rule' when 'O' then 'other' else 'public_submission' end as type, o_orderstatus = 'F' as fr_doc from orders")
@@ -283,13 +306,35 @@ def p3_project_search_results(spark, sf_dir):
     return normalize.project_search_results(dump, F.lit("2024-01-01").cast("timestamp")).select("doc_id", "type", "fr_doc")
 
 
-@register("select cast(event_id as varchar) as doc_id, event_type as title, cast(user_id as varchar) as docket_id, cast(value as varchar) is not null as has_value, 'rule' as type from events")
+@register("select cast(event_id as varchar) as doc_id, event_type as title, cast(user_id as varchar) as docket_id, cast(floor(value) as int) as posted, 'rule' as type from events")
 def p5_normalize_v3(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     field = lambda name, label, x: F.struct(F.lit(label).alias("label"), x.cast("string").alias("value")).alias(name)
-    raw = F.to_json(F.struct(F.col("event_id").cast("string").alias("documentId"), field("title", "Title", F.col("event_type")), F.col("user_id").cast("string").alias("docketId"), F.lit("FR").alias("documentType"), field("value", "Posted Date", F.col("value"))))
+    raw = F.to_json(F.struct(F.col("event_id").cast("string").alias("documentId"), field("title", "Title", F.col("event_type")), F.col("user_id").cast("string").alias("docketId"), F.lit("FR").alias("documentType"), field("value", "Posted Date", F.floor("value"))))
     got = normalize.normalize_v3(e.select(raw.alias("json")))
-    return got.select("doc_id", "title", "docket_id", F.element_at("details", F.lit("Date_Posted")).isNotNull().alias("has_value"), "type")
+    return got.select("doc_id", "title", "docket_id", F.element_at("details", F.lit("Date_Posted")).cast("int").alias("posted"), "type")
+
+
+@register("select 'SEC-X-' || s_suppkey as docket_id, 'SEC' as agency, case when s_suppkey % 3 <> 0 then s_name end as title, case when s_suppkey % 4 = 0 then 'http://x/' || s_suppkey end as url, 2 + case when s_suppkey % 4 = 0 then 1 else 0 end as n_details, 'other' as source, 'no' as scraped from supplier")
+def p9_normalize_docket_record(spark, sf_dir):
+    k = F.col("s_suppkey")
+    records = table(spark, sf_dir, "supplier").select(k.cast("string").alias("id"), F.when(k % 3 != 0, F.col("s_name")).otherwise("").alias("title"), F.when(k % 4 == 0, F.concat(F.lit("http://x/"), k.cast("string"))).alias("url"), F.lit("rule").alias("type"), F.lit("").alias("subtype"))
+    got = normalize.normalize_docket_record(records, "SEC", "other")
+    return got.select("docket_id", "agency", "title", F.element_at("details", F.lit("Source_URL")).alias("url"), F.size("details").alias("n_details"), "source", "scraped")
+
+
+@register("""select c_custkey as doc_id, n_nationkey as entity_id from customer join nation on c_nationkey = n_nationkey where c_custkey % 5 in (0, 1, 2)""")
+def j19_submitter_matches(spark, sf_dir):
+    """Customers as submitters: a nation named as organization, last name or in the title; or with its words in two parts, which is no match."""
+    from docketlake.operators import entities
+
+    nation = table(spark, sf_dir, "nation")
+    k, name = F.col("c_custkey"), F.concat(F.lit("Land "), F.translate("n_name", "_", " "), F.lit(" Office"))
+    c = table(spark, sf_dir, "customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))  # 25 rows
+    details = F.create_map(F.lit("Organization_Name"), F.when(k % 5 == 0, name).when(k % 5 == 3, "Land"), F.lit("First_Name"), F.lit("Ann"), F.lit("Last_Name"), F.when(k % 5 == 1, name).when(k % 5 == 3, F.translate("n_name", "_", " ")))
+    docs = c.select(k.alias("doc_id"), details.alias("details"), F.when(k % 5 == 2, F.concat(F.lit("Public comment from "), name)).otherwise(name).alias("title"), F.lit("a").alias("source"), F.lit("notice").alias("type"))
+    aliases = nation.select(F.concat(F.lit("Land "), F.translate("n_name", "_", " "), F.lit(" Office")).alias("alias"), F.col("n_nationkey").alias("entity_id"))
+    return entities.submitter_matches(docs, aliases)
 
 
 @register("select 'EPA-HQ' || o_custkey || '-' || year(o_orderdate) || '-' || o_orderkey as docket_id, o_orderpriority as title, cast(year(o_orderdate) as int) as year from orders")
@@ -323,18 +368,19 @@ def p15_search_dockets(spark, sf_dir):
 def _search(spark, sf_dir):
     v = F.struct(F.lit("o").alias("object_id"), F.col("text").alias("content"))
     d = b.texts(spark, sf_dir)
-    return search.search_documents(d.select(F.col("doc_id").cast("string").alias("doc_id"), "docket_id", F.lit("t").alias("title"), "agency", F.array_repeat(v, 7).alias("views"), F.array_repeat(F.struct(F.lit("a").alias("title"), F.array_repeat(v, 1).alias("views")), 2).alias("attachments"), (F.col("doc_id") % 9 == 0).alias("renamed"), F.lit(None).cast("string").alias("fr_number"), F.lit(None).cast("string").alias("rin"), F.array().cast("array<string>").alias("replaced_by")), characters=1000)
+    return search.search_documents(d.select(F.col("doc_id").cast("string").alias("doc_id"), "docket_id", F.lit("t").alias("title"), "agency", F.array_repeat(v, 7).alias("views"), F.array_repeat(F.struct(F.lit("a").alias("title"), F.array_repeat(v, 1).alias("views")), 2).alias("attachments"), (F.col("doc_id") % 9 == 0).alias("renamed"), F.lit(None).cast("string").alias("fr_number"), F.lit(None).cast("string").alias("rin"), F.array().cast("array<string>").alias("replaced_by")))
 
 
-@register("select cast(doc_id as varchar) as doc_id, case when text = '' then 0 else 7 end as n_files, cast(case when text = '' then 0 else 7 * length(left(text, 1000)) end as bigint) as n_chars from documents where doc_id % 9 <> 0")
+@register("select cast(doc_id as varchar) as doc_id, case when text = '' then 0 else 7 end as n_files, cast(case when text = '' then 0 else 7 * length(left(text, 100000)) end as bigint) as n_chars from documents where doc_id % 9 <> 0")
 def p16_search_documents(spark, sf_dir):
     return _search(spark, sf_dir).select("doc_id", F.size("files").alias("n_files"), F.aggregate("files", F.lit(0).cast("long"), lambda a, f: a + F.length(f["text"])).alias("n_chars"))
 
 
-@register("select cast(count(*) as bigint) as n from documents where doc_id % 9 <> 0")
+@register("select cast(doc_id as varchar) as doc_id, source as docket_id, lang as agency, case when text <> '' then left(text, 100000) end as text from documents where doc_id % 9 <> 0")
 def k6_search_feed(spark, sf_dir):
-    lines = sinks.search_lines(_search(spark, sf_dir), "document")
-    return lines.where(F.startswith("value", F.lit('{"index":{"_type":"document"'))).agg(F.count("*").alias("n"))
+    lines = sinks.search_lines(_search(spark, sf_dir), "document").select(F.split("value", "\n", 2).alias("l"))
+    command, record = (F.col("l")[i] for i in (0, 1))
+    return lines.select(F.get_json_object(command, "$.index._id").alias("doc_id"), F.get_json_object(command, "$.index._parent").alias("docket_id"), F.get_json_object(record, "$.agency").alias("agency"), F.get_json_object(record, "$.files[6].text").alias("text"))
 
 
 @register(r"select cast(doc_id as varchar) as document_id, case when doc_id % 5 = 0 then '\N' else source end as docket_id from documents")
@@ -343,10 +389,10 @@ def k1_export_text(spark, sf_dir):
     return sinks.as_text(d)
 
 
-@register("select doc_id, cast(doc_id % 3 as int) as kind, left(text, 20) as title from documents where lang = 'fr'")
+@register("select doc_id, lang as title, 'u' || doc_id as url, text from documents")
 def k4_doc_table(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").where("lang = 'fr'").select("doc_id", F.left("text", F.lit(20)).alias("title"), F.lit("u").alias("url"), "text")
-    return sinks.doc_table(d).select("doc_id", (F.col("doc_id") % 3).cast("int").alias("kind"), "title")
+    d = table(spark, sf_dir, "documents")
+    return sinks.doc_table(d.select("doc_id", F.col("lang").alias("title"), F.concat(F.lit("u"), "doc_id").alias("url"), "text", "source"))
 
 
 @register("select 'd' as what, count(*) as n from documents where lang = 'en' union all select 'f', count(distinct source) from documents where lang = 'en' union all select 'k', count(distinct source) from documents where lang = 'en'")

@@ -79,9 +79,16 @@ def m11_docket_year(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(k.alias("doc_id"), t.docket_year(docket).alias("year"))
 
 
-@register("select o_orderkey as doc_id, case when o_orderkey % 5 = 0 then null else strftime(cast(o_orderdate as date) + interval 17 hour + interval 30 minute, '%Y-%m-%d %H:%M') end as posted from orders where month(o_orderdate) in (1, 2, 12)")
+# the first Sunday of April to the last of October; from 2007 the second of March to the first of November
+POSTED = """with o as (select o_orderkey, cast(o_orderdate as date) as d, year(o_orderdate) as y from orders),
+  s as (select *, case when y < 2007 then make_date(y, 4, 1) + cast((7 - dayofweek(make_date(y, 4, 1))) % 7 as int) else make_date(y, 3, 8) + cast((7 - dayofweek(make_date(y, 3, 8))) % 7 as int) end as first,
+    case when y < 2007 then make_date(y, 10, 31) - cast(dayofweek(make_date(y, 10, 31)) as int) else make_date(y, 11, 1) + cast((7 - dayofweek(make_date(y, 11, 1))) % 7 as int) end as last from o)
+  select o_orderkey as doc_id, case when o_orderkey % 5 <> 0 then strftime(cast(d as timestamp) + interval 30 minute + case when d >= first and d < last then interval 16 hour else interval 17 hour end, '%Y-%m-%d %H:%M') end as posted from s"""
+
+
+@register(POSTED)
 def m12_parse_posted_date(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").where(F.month("o_orderdate").isin(1, 2, 12))
+    o = table(spark, sf_dir, "orders")
     raw = F.when(F.col("o_orderkey") % 5 == 0, "unknown").otherwise(F.concat(F.date_format("o_orderdate", "MMMM dd yyyy"), F.lit(", at 12:30 PM Eastern Standard Time")))
     return o.select(F.col("o_orderkey").alias("doc_id"), F.date_format(t.parse_posted_date(raw), "yyyy-MM-dd HH:mm").alias("posted"))
 
@@ -178,10 +185,9 @@ def m26_fr_citation(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), t.fr_citation_parts(x).alias("c")).select("doc_id", "c.volume", "c.page", "c.date")
 
 
-@register("select n_nationkey, 'The Bureau of ' || upper(substr(n_name, 1, 1)) || lower(substr(n_name, 2)) || ' and R & D' as name from nation where n_name not like '% %'")
+@register("select n_nationkey, 'The Bureau of ' || array_to_string(list_transform(string_split(n_name, ' '), lambda x: upper(x[1]) || lower(x[2:])), ' ') || ' and R & D' as name from nation")
 def m27_agency_name(spark, sf_dir):
-    n = table(spark, sf_dir, "nation").where(~F.col("n_name").contains(" "))
-    return n.select("n_nationkey", t.normalize_agency_name(F.concat(F.lit("THE  BUREAU OF "), "n_name", F.lit(" AND R&D"))).alias("name"))
+    return table(spark, sf_dir, "nation").select("n_nationkey", t.normalize_agency_name(F.concat(F.lit("THE  BUREAU OF "), "n_name", F.lit(" AND R&D"))).alias("name"))
 
 
 @register(r"select o_orderkey as doc_id, regexp_replace('2012-00' || o_orderkey, '-0+([^-]*)$', '-\1') as number from orders")
@@ -224,16 +230,10 @@ def p20_coerce_cells(spark, sf_dir):
     return o.select(k.alias("doc_id"), date.alias("date"), flag.alias("flag"), link.alias("url"))
 
 
-@register("select event_id, case when value is null or value = 0 then -1 else value end as value from events")
-def p1_deep_get(spark, sf_dir):
-    e = table(spark, sf_dir, "events").select("event_id", F.struct(F.struct("value").alias("b")).alias("a"))
-    return e.select("event_id", normalize.deep_get("a.b.value", "double", -1.0).alias("value"))
-
-
-@register("select event_id, case when value is null or value = 0 then '{\"event_type\":\"' || event_type || '\"}' else null end as json from events where value is null or value = 0")
+@register("""select event_id, '{"event_type":"' || event_type || '"' || case when cast(floor(value) as bigint) % 3 <> 0 then ',"value":' || cast(floor(value) as bigint) % 3 else '' end || '}' as json from events""")
 def p10_keep_truthy(spark, sf_dir):
-    e = table(spark, sf_dir, "events").where("value is null or value = 0")
-    return e.select("event_id", normalize.truthy_json(e, ["event_type", "value"]).alias("json"))
+    e = table(spark, sf_dir, "events").select("event_id", "event_type", (F.floor("value") % 3).alias("value"), F.lit("").alias("note"))
+    return e.select("event_id", normalize.truthy_json(e, ["event_type", "value", "note"]).alias("json"))
 
 
 @register("select s_suppkey as doc_id, len(list_distinct(list_concat([s_suppkey % 3, s_suppkey % 5], [s_suppkey % 2]))) as n_union, case when s_suppkey % 3 = s_suppkey % 2 or s_suppkey % 5 = s_suppkey % 2 then 1 else 0 end as n_common from supplier")
@@ -248,7 +248,7 @@ def x2_intersect(spark, sf_dir):
     return table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k")).intersect(table(spark, sf_dir, "supplier").where("s_suppkey % 2 = 0").select("s_nationkey"))
 
 
-@register("select distinct p_partkey as k from part except select l_partkey from lineitem where l_returnflag = 'R'")
+@register("select distinct p_partkey as k from part except select l_partkey from lineitem where l_returnflag = 'R' and l_quantity > 45")
 def x3_difference(spark, sf_dir):
-    gone = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_partkey").alias("k"))
+    gone = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R' and l_quantity > 45").select(F.col("l_partkey").alias("k"))
     return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k")).distinct().join(gone, "k", "left_anti")

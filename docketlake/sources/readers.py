@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docketlake.functions.text import coerce_cell
+
 RESULT = "struct<documentId:string,title:string,docketId:string,agencyAcronym:string,documentType:string,documentStatus:string,attachmentCount:int>"
 
 
@@ -76,6 +78,16 @@ def spreadsheet(spark: SparkSession, path: str, row_tag: str = "Row") -> DataFra
     return given.where(F.col("row_no") != F.lit(top)).select("row_no", "field", "value")
 
 
+def spreadsheet_records(cells: DataFrame) -> DataFrame:
+    """(row_no, fields, documents) of a spreadsheet's cells: values by field as date, flag or text, and the linked documents (url, title) in the order of
+    their fields. A formula that is no link is an error."""
+    c = cells.select("row_no", "field", coerce_cell("value").alias("c"), F.col("value").rlike(r"^(?:of:)?=").alias("formula"))
+    link = F.when(F.col("c.url").isNotNull(), F.struct("field", "c.url", "c.title")).when(F.col("formula"), F.raise_error(F.concat(F.lit("not a link: "), F.col("c.text"))))
+    plain = F.when(~F.col("formula"), F.struct("field", F.struct("c.date", "c.flag", F.when(F.col("c.date").isNull() & F.col("c.flag").isNull(), F.col("c.text")).alias("text")).alias("value")))
+    rows = c.select("row_no", link.alias("link"), plain.alias("plain")).groupBy("row_no").agg(F.collect_list("plain").alias("p"), F.sort_array(F.collect_list("link")).alias("l"))
+    return rows.select("row_no", F.map_from_entries("p").alias("fields"), F.transform("l", lambda x: F.struct(x["url"].alias("url"), x["title"].alias("title"))).alias("documents"))
+
+
 def id_list(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id) of a file with one id a line."""
     return spark.read.text(path).select(F.trim("value").alias("doc_id")).where("doc_id <> ''").distinct()

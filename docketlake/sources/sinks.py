@@ -7,20 +7,46 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docketlake.functions.text import escape_export
+from docketlake.operators.normalize import truthy_json
 
-#: Target relations of the export, with the longest value of each text column.
+
+def _relation(*fields: tuple) -> T.StructType:
+    return T.StructType([T.StructField(name, T.VarcharType(kind) if isinstance(kind, int) else kind, not required) for name, kind, required in fields])
+
+
+# The target relations of the export with the longest value of each text column and whether it must be given.
 SCHEMAS = {
-    "comments_full": T.StructType([T.StructField(n, t, null) for n, t, null in (("document_id", T.StringType(), False), ("docket_id", T.StringType(), True), ("agency", T.StringType(), True), ("date_posted", T.DateType(), True), ("date_due", T.DateType(), True), ("title", T.StringType(), True), ("type", T.StringType(), True), ("on_id", T.StringType(), True), ("on_title", T.StringType(), True), ("submitter_name", T.StringType(), True), ("submitter_organization", T.StringType(), True), ("submitter_representative", T.StringType(), True))]),
-    "dockets": T.StructType([T.StructField("docket_id", T.StringType(), False), T.StructField("title", T.StringType()), T.StructField("agency", T.StringType()), T.StructField("year", T.ShortType())]),
-    "text_matches": T.StructType([T.StructField("document_id", T.StringType(), False), T.StructField("object_id", T.StringType(), False), T.StructField("file_type", T.StringType(), False), T.StructField("view_type", T.StringType(), False), T.StructField("entity_id", T.StringType(), False)]),
-    "submitter_matches": T.StructType([T.StructField("document_id", T.StringType(), False), T.StructField("entity_id", T.StringType(), False)]),
+    "comments": _relation(("document_id", 32, True), ("docket_id", 32, True), ("agency", 8, True), ("date", T.DateType(), False), ("text", T.StringType(), True)),
+    "comments_full": _relation(
+        ("document_id", 64, True),
+        ("docket_id", 64, True),
+        ("agency", 8, True),
+        ("date_posted", T.DateType(), False),
+        ("date_due", T.DateType(), False),
+        ("title", 512, True),
+        ("type", 32, False),
+        ("org_name", 255, True),
+        ("submitter_name", 255, True),
+        ("on_type", 32, False),
+        ("on_id", 64, True),
+        ("on_title", 512, True),
+    ),
+    "dockets": _relation(("docket_id", 64, True), ("title", 512, True), ("agency", 8, True), ("year", T.ShortType(), False)),
+    # the relations let every column of a match be null; one without its document or entity is an error here
+    "text_matches": _relation(("document_id", 64, True), ("object_id", 32, False), ("file_type", 16, False), ("view_type", 16, False), ("entity_id", T.StringType(), True)),
+    "submitter_matches": _relation(("document_id", 64, True), ("entity_id", T.StringType(), True)),
 }
 
 
 def checked(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """``df`` cast to the relation's columns; a null in a column that may have none is an error when it is written."""
+    """``df`` cast to the relation's columns; when it is written, a null where a value must be given and a text that is too long are errors."""
+
     def value(f: T.StructField):
-        c = F.col(f.name).cast(f.dataType)
+        if isinstance(f.dataType, T.VarcharType):
+            c = F.col(f.name).cast("string")
+            c = F.when(F.length(c) > f.dataType.length, F.raise_error(F.lit(f"over {f.dataType.length} characters in {f.name}"))).otherwise(c)
+        else:
+            c = F.col(f.name).cast(f.dataType)
         return (c if f.nullable else F.when(c.isNull(), F.raise_error(F.lit(f"null in {f.name}"))).otherwise(c)).alias(f.name)
 
     return df.select(*(value(f) for f in schema.fields))
@@ -41,7 +67,7 @@ def export_tables(metadata: DataFrame, text_matches: DataFrame, submitter_matche
 
 
 def export_dockets(dockets: DataFrame, path: str) -> None:
-    write_csv(dockets.where("scraped = 'yes'").select("docket_id", "title", "agency", "year"), path)
+    write_csv(checked(dockets.where("scraped = 'yes'"), SCHEMAS["dockets"]), path)
 
 
 def cluster_table(ranking: DataFrame, clusters: DataFrame, docs: DataFrame) -> DataFrame:
@@ -54,11 +80,33 @@ def doc_table(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "title", "url", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
 
 
-def export_bulk_text(texts: DataFrame, folder: str) -> None:
-    """A text file set a docket: texts (agency, docket_id, doc_id, kind, file_name, text) as JSON lines partitioned by agency and docket,
-    the file name with underscores for dots."""
-    named = texts.withColumn("entry", F.concat("kind", F.lit("_"), F.translate("file_name", ".", "_"), F.lit(".txt")))
-    named.repartition("agency", "docket_id").sortWithinPartitions("doc_id").select("agency", "docket_id", "doc_id", "entry", "text").write.partitionBy("agency", "docket_id").mode("overwrite").json(folder)
+#: Fields of the metadata of dockets and documents in the bulk export; those that are missing or empty are left out.
+DOCKET_FIELDS = ("docket_id", "title", "agency", "rin", "details", "year")
+DOCUMENT_FIELDS = ("doc_id", "title", "agency", "docket_id", "type", "topics", "details", "comment_on", "rin")
+
+
+def bulk_parts(docs: DataFrame, dockets: DataFrame) -> dict[str, DataFrame]:
+    """The bulk export's tables, each with agency and docket_id: ``dockets`` and ``documents`` with their metadata as JSON, a document's with its files
+    (url, and the name where there is text), and ``texts`` with an entry for each extracted view of a document or of its attachments."""
+    entry = lambda kind: lambda v: F.struct(F.lit(kind).alias("kind"), v["url"].alias("url"), v["file_path"].alias("file_path"), (v["extracted"] == "yes").alias("extracted"), v["content"].alias("text"))
+    views = F.concat(F.transform("views", entry("view")), F.flatten(F.transform(F.coalesce("attachments", F.array()), lambda a: F.transform(a["views"], entry("attachment")))))
+    stem = lambda v: F.concat(v["kind"], F.lit("_"), F.translate(F.element_at(F.split(v["file_path"], "/"), -1), ".", "_"), F.lit(".txt"))
+    files = F.transform("_views", lambda v: F.struct(v["url"].alias("url"), F.when(v["extracted"], stem(v)).alias("filename")))
+    given = docs.withColumn("_views", views).withColumn("files", files)
+    known = lambda df, fields: [c for c in fields if c in df.columns]
+    texts = given.select("agency", "docket_id", "doc_id", F.explode("_views").alias("v")).where("v.extracted")
+    return {
+        "dockets": dockets.select("agency", "docket_id", truthy_json(dockets, known(dockets, DOCKET_FIELDS)).alias("metadata")),
+        "documents": given.select("agency", "docket_id", "doc_id", truthy_json(given, [*known(given, DOCUMENT_FIELDS), "files"]).alias("metadata")),
+        "texts": texts.select("agency", "docket_id", "doc_id", stem(F.col("v")).alias("entry"), F.col("v.text").alias("text")),
+    }
+
+
+def export_bulk_text(docs: DataFrame, dockets: DataFrame, folder: str) -> None:
+    """``bulk_parts`` as JSON lines partitioned by agency and docket. Ranges of agency, docket and id are written, so a large docket is split over tasks."""
+    for name, df in bulk_parts(docs, dockets).items():
+        keys = [c for c in ("agency", "docket_id", "doc_id") if c in df.columns]
+        df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.partitionBy("agency", "docket_id").mode("overwrite").json(f"{folder}/{name}")
 
 
 def search_lines(records: DataFrame, kind: str) -> DataFrame:
@@ -70,5 +118,6 @@ def search_lines(records: DataFrame, kind: str) -> DataFrame:
     return fed.select(F.concat(command, F.lit("\n"), body).alias("value"))
 
 
-def write_search_feed(records: DataFrame, kind: str, path: str) -> None:
-    search_lines(records, kind).write.text(path)
+def write_search_feed(records: DataFrame, kind: str, path: str, batch: int = 200) -> None:
+    """The feed in files of at most ``batch`` records; the ids of all ``records``, fed or not, are those to be flagged afterwards."""
+    search_lines(records, kind).write.option("maxRecordsPerFile", batch).mode("overwrite").text(path)

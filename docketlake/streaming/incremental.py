@@ -1,7 +1,8 @@
 """Incremental runs with Structured Streaming: statistics, harvest, tagging and search feed from a stream of documents.
 
 Nothing is ever closed: a week may get documents at any later time, so there is no watermark. Stored statistics are versioned tables; a
-batch writes the next version with its id, so a batch that runs again after a failure replaces its own work.
+batch writes the next version with its id, so a batch that runs again after a failure replaces its own work. Rows that bear their run's flag
+are left out, and the ids of what a batch has done are kept beside its result, for ``processed`` to flag.
 """
 
 from __future__ import annotations
@@ -12,22 +13,47 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from docketlake.operators import entities, stats
+from docketlake.functions.text import truthy
+from docketlake.operators import entities, stats, views
 
 
 def _version(folder: str, batch: int) -> str:
     return f"{folder}/batch={batch}"
 
 
-def _previous(spark: SparkSession, folder: str, batch: int) -> DataFrame | None:
-    """The stored table before this batch: that of the latest earlier batch."""
+def _folder(spark: SparkSession, folder: str):
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _batches(spark: SparkSession, folder: str) -> list[int]:
+    path, store = _folder(spark, folder)
     if not store.exists(path):
-        return None
-    found = [int(f.getPath().getName().split("=")[1]) for f in store.listStatus(path) if f.getPath().getName().startswith("batch=")]
-    earlier = [b for b in found if b < batch]
-    return spark.read.parquet(_version(folder, max(earlier))) if earlier else None
+        return []
+    return sorted(int(f.getPath().getName().split("=")[1]) for f in store.listStatus(path) if f.getPath().getName().startswith("batch="))
+
+
+def _previous(spark: SparkSession, folder: str, batch: int) -> DataFrame | None:
+    """The stored table before this batch: that of the latest earlier batch."""
+    earlier = [b for b in _batches(spark, folder) if b < batch]
+    return spark.read.parquet(_version(folder, earlier[-1])) if earlier else None
+
+
+def pending(docs: DataFrame, flag: str) -> DataFrame:
+    """Documents without the flag (a boolean, or the time of the last run)."""
+    return docs.where(~truthy(flag, dict(docs.dtypes)[flag])) if flag in docs.columns else docs
+
+
+def _flag_batch(batch: DataFrame, batch_id: int, target: str) -> None:
+    batch.select("doc_id").write.mode("overwrite").parquet(_version(f"{target}-processed", batch_id))
+
+
+def processed(docs: DataFrame, target: str, flag: str) -> DataFrame:
+    """``docs`` with the flag set on what the batches of ``target`` have done."""
+    spark = docs.sparkSession
+    found = _batches(spark, f"{target}-processed")
+    done = spark.read.parquet(*(_version(f"{target}-processed", b) for b in found)) if found else docs.limit(0)
+    return views.mark(docs, done, flag)
 
 
 def stored(spark: SparkSession, folder: str) -> DataFrame:
@@ -35,13 +61,21 @@ def stored(spark: SparkSession, folder: str) -> DataFrame:
     return _previous(spark, folder, 1 << 62)
 
 
-def merge_into(folder: str, delta: Callable[[DataFrame], DataFrame], merge: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function: the batch's partial result, merged into the stored one, as the next version."""
+def merge_into(folder: str, delta: Callable[[DataFrame], DataFrame], merge: Callable[[DataFrame, DataFrame], DataFrame], flag: str = "in_aggregates") -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function: the partial result of a batch's unflagged rows, merged into the stored one, as the next version. The version before is
+    kept for a batch that has to run again, older ones go."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        new = delta(batch)
-        old = _previous(batch.sparkSession, folder, batch_id)
+        spark = batch.sparkSession
+        rows = pending(batch, flag)
+        new = delta(rows)
+        old = _previous(spark, folder, batch_id)
         (merge(old, new) if old is not None else new).write.mode("overwrite").parquet(_version(folder, batch_id))
+        if "doc_id" in batch.columns:
+            _flag_batch(rows, batch_id, folder)
+        for gone in [b for b in _batches(spark, folder) if b < batch_id][:-1]:
+            path, store = _folder(spark, _version(folder, gone))
+            store.delete(path, True)
 
     return run
 
@@ -55,26 +89,46 @@ def stream_scalars(docs: DataFrame, folder: str, checkpoint: str, key: str = "do
     return docs.writeStream.foreachBatch(merge_into(folder, lambda d: stats.scalars(d, key), lambda a, b: stats.merge_scalars(a, b, key))).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def stream_new(feed: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """A harvest: each id once, whatever files it comes in."""
-    fresh = feed.where(F.coalesce("status", F.lit("")) != "Withdrawn").dropDuplicates(["doc_id"])
-    return fresh.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def stream_new(feed: DataFrame, target: str, checkpoint: str, known: Callable[[SparkSession], DataFrame] | None = None, days: int = 1) -> StreamingQuery:
+    """A harvest: each id once, whatever files it comes in, unless it is withdrawn, stored already (``known``: doc_id, date_posted) or dated more than
+    ``days`` before the latest stored date. What is stored is a table that each batch is held against, not state."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        fresh = batch.where(F.coalesce("status", F.lit("")) != "Withdrawn").dropDuplicates(["doc_id"])
+        stored_ids = [known(spark)] if known else []
+        earlier = [b for b in _batches(spark, target) if b < batch_id]
+        if earlier:
+            stored_ids.append(spark.read.schema(batch.schema).parquet(*(_version(target, b) for b in earlier)))
+        for there in stored_ids:
+            fresh = fresh.join(there.select("doc_id").distinct(), "doc_id", "left_anti")
+        if known and "date_posted" in batch.columns:
+            high = known(spark).agg(F.date_sub(F.max("date_posted"), days).alias("d")).first()["d"]
+            fresh = fresh.where(F.col("date_posted").isNull() | (F.col("date_posted") >= F.lit(high))) if high else fresh
+        fresh.write.mode("overwrite").parquet(_version(target, batch_id))
+
+    return feed.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def stream_matches(texts: DataFrame, aliases: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Tagging: each batch's texts matched with the alias table."""
+def stream_matches(texts: DataFrame, aliases: DataFrame, target: str, checkpoint: str, flag: str = "entities_last_extracted") -> StreamingQuery:
+    """Tagging: each batch's texts that were not tagged yet, matched with the alias table."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        entities.match(batch, aliases).write.mode("overwrite").parquet(_version(target, batch_id))
+        rows = pending(batch, flag)
+        entities.match(rows, aliases).write.mode("overwrite").parquet(_version(target, batch_id))
+        _flag_batch(rows, batch_id, target)
 
     return texts.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def stream_feed(records: DataFrame, kind: str, target: str, checkpoint: str) -> StreamingQuery:
-    """Search feed: each batch's records as lines."""
-    from docketlake.sources.sinks import search_lines
+def stream_feed(records: DataFrame, kind: str, target: str, checkpoint: str, flag: str = "in_search_index") -> StreamingQuery:
+    """Search feed: each batch's records that are not in the index, as lines."""
+    from docketlake.sources.sinks import write_search_feed
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        search_lines(batch, kind).write.mode("overwrite").text(_version(target, batch_id))
+        rows = pending(batch, flag)
+        write_search_feed(rows.drop(flag), kind, _version(target, batch_id))
+        if "doc_id" in rows.columns:
+            _flag_batch(rows, batch_id, target)
 
     return records.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -109,5 +109,121 @@ def test_streamed_statistics_equal_a_batch_run(spark, tmp_path):
     feed = spark.readStream.schema("doc_id long, docket_id long, status string").parquet(str(tmp_path / "in"))
     incremental.stream_new(feed, str(tmp_path / "new"), str(tmp_path / "cp2")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "new")).count() == 100
-    texts = spark.readStream.schema("doc_id long, text string").parquet(str(tmp_path / "texts")) if (tmp_path / "texts").exists() else None
-    assert texts is None
+
+
+def test_statistics_leave_out_flagged_rows_and_keep_two_versions(spark, tmp_path):
+    kind = "doc_id long, docket_id long, date_posted date, type string, in_aggregates boolean"
+    for k in range(4):
+        spark.range(10).select((F.col("id") + 10 * k).alias("doc_id"), (F.col("id") % 3).alias("docket_id"), F.lit("2024-01-01").cast("date").alias("date_posted"), F.lit("notice").alias("type"), (F.col("id") == 0).alias("in_aggregates")).write.mode("append").parquet(str(tmp_path / "in"))
+        feed = spark.readStream.schema(kind).parquet(str(tmp_path / "in"))
+        incremental.stream_histogram(feed, str(tmp_path / "weeks"), str(tmp_path / "cp")).awaitTermination()
+    assert incremental.stored(spark, str(tmp_path / "weeks")).agg(F.sum("n")).first()[0] == 36
+    assert len(list((tmp_path / "weeks").glob("batch=*"))) == 2
+    docs = spark.range(50).select(F.col("id").alias("doc_id"), (F.col("id") == 0).alias("in_aggregates"))
+    flagged = incremental.processed(docs, str(tmp_path / "weeks"), "in_aggregates").where("in_aggregates")
+    assert {r["doc_id"] for r in flagged.collect()} == {i for i in range(40) if i % 10} | {0}
+
+
+def test_a_batch_that_runs_again_replaces_its_own_work(spark, tmp_path):
+    run = incremental.merge_into(str(tmp_path / "t"), lambda d: stats.weeks(d, "docket_id"), stats.merge_histograms)
+    one = spark.createDataFrame([(1, 7, "notice")], "doc_id long, docket_id long, type string").withColumn("date_posted", F.lit("2024-01-01").cast("date"))
+    run(one, 0)
+    run(one, 1)
+    run(one, 1)
+    assert incremental.stored(spark, str(tmp_path / "t")).agg(F.sum("n")).first()[0] == 2
+
+
+def test_harvest_against_a_store(spark, tmp_path):
+    store = spark.createDataFrame([(1, "2024-03-10"), (2, "2024-03-01")], "doc_id long, d string").select("doc_id", F.col("d").cast("date").alias("date_posted"))
+    first = [(1, "2024-03-10", None), (3, "2024-03-09", None), (3, "2024-03-09", None), (4, "2024-03-08", None), (5, "2024-03-12", "Withdrawn"), (6, None, None)]
+    kind = "doc_id long, date_posted date, status string"
+    for rows_ in (first, [(3, "2024-03-09", None), (7, "2024-03-11", None)]):
+        spark.createDataFrame(rows_, "doc_id long, d string, status string").select("doc_id", F.col("d").cast("date").alias("date_posted"), "status").write.mode("append").parquet(str(tmp_path / "in"))
+        feed = spark.readStream.schema(kind).parquet(str(tmp_path / "in"))
+        incremental.stream_new(feed, str(tmp_path / "new"), str(tmp_path / "cp"), known=lambda s: store).awaitTermination()
+    assert rows(spark.read.parquet(str(tmp_path / "new")).select("doc_id")) == [(3,), (6,), (7,)]
+
+
+def test_tagging_and_feed_of_what_is_not_done(spark, tmp_path):
+    aliases = spark.createDataFrame([("Acme Corp", "e1")], "alias string, entity_id string")
+    texts = spark.createDataFrame([(1, "Acme Corp.", None), (2, "acme corp", "2024-01-01"), (3, "else", None)], "doc_id long, text string, t string").select("doc_id", "text", F.col("t").cast("timestamp").alias("entities_last_extracted"))
+    texts.write.parquet(str(tmp_path / "in"))
+    incremental.stream_matches(spark.readStream.schema(texts.schema).parquet(str(tmp_path / "in")), aliases, str(tmp_path / "tags"), str(tmp_path / "cp")).awaitTermination()
+    assert rows(incremental.stored(spark, str(tmp_path / "tags"))) == [(1, "e1")]
+    assert {r["doc_id"] for r in incremental.processed(texts.select("doc_id"), str(tmp_path / "tags"), "done").where("done").collect()} == {1, 3}
+    records = spark.range(450).select(F.col("id").cast("string").alias("doc_id"), F.lit("k").alias("docket_id"), (F.col("id") % 9 > 0).alias("in_feed"), (F.col("id") >= 440).alias("in_search_index")).coalesce(1)
+    records.write.parquet(str(tmp_path / "records"))
+    feed = spark.readStream.schema(records.schema).parquet(str(tmp_path / "records"))
+    incremental.stream_feed(feed, "document", str(tmp_path / "feed"), str(tmp_path / "cp2")).awaitTermination()
+    files = list((tmp_path / "feed" / "batch=0").glob("*.txt"))
+    assert len(files) == 2 and sum(f.read_text().count('"_parent":"k"') for f in files) == 391
+    assert incremental.processed(records, str(tmp_path / "feed"), "in_search_index").where("in_search_index").count() == 450
+
+
+def test_export_relations(spark, tmp_path):
+    docs = spark.createDataFrame([("a", "k", "EPA", None, None, False, {"First_Name": "A", "Last_Name": "B", "Date_Posted": "2024-01-02"}, None), ("b", "k", "EPA", "T", "rule", True, {}, None)], "doc_id string, docket_id string, agency string, title string, type string, deleted boolean, details map<string,string>, comment_on struct<document_id:string,title:string,type:string>")
+    got = sinks.checked(normalize.export_metadata(docs), sinks.SCHEMAS["comments_full"]).collect()
+    assert [(r["document_id"], r["title"], r["submitter_name"], r["on_id"], str(r["date_posted"]), r["date_due"]) for r in got] == [("a", "", "A B", "", "2024-01-02", None)]
+    assert normalize.export_metadata(docs.union(docs), limit=1).count() == 1
+    assert normalize.export_metadata(docs, {"x": F.col("title")}).columns == ["x"]
+    long = normalize.export_metadata(docs.withColumn("agency", F.lit("NINECHARS")))
+    with pytest.raises(Exception, match="over 8 characters in agency"):
+        sinks.checked(long, sinks.SCHEMAS["comments_full"]).collect()
+    dockets = spark.createDataFrame([("k", "T", "EPA", 2012, "yes"), ("l", "T", "EPA", 2012, "no")], "docket_id string, title string, agency string, year int, scraped string")
+    sinks.export_dockets(dockets, str(tmp_path / "dockets"))
+    assert [r["docket_id"] for r in spark.read.csv(str(tmp_path / "dockets"), header=True).collect()] == ["k"]
+    with pytest.raises(Exception, match="null in document_id"):
+        sinks.checked(spark.createDataFrame([(None, "k", "E", None, "t")], "document_id string, docket_id string, agency string, date date, text string"), sinks.SCHEMAS["comments"]).collect()
+
+
+def test_bulk_text(spark, tmp_path):
+    view = "struct<url:string,file_path:string,extracted:string,content:string>"
+    docs = spark.createDataFrame([("d1", "k", "EPA", "T", "", [("u1", "/x/a.pdf", "yes", "one"), ("u2", None, "no", None)], [([("u3", "/y/b.c.doc", "yes", "two")],)])], f"doc_id string, docket_id string, agency string, title string, rin string, views array<{view}>, attachments array<struct<views:array<{view}>>>")
+    dockets = spark.createDataFrame([("k", "EPA", "D", None)], "docket_id string, agency string, title string, year int")
+    sinks.export_bulk_text(docs, dockets, str(tmp_path))
+    read = lambda name: spark.read.json(str(tmp_path / name)).collect()
+    assert [json.loads(r["metadata"]) for r in read("dockets")] == [{"docket_id": "k", "title": "D", "agency": "EPA"}]
+    assert [json.loads(r["metadata"]) for r in read("documents")] == [{"doc_id": "d1", "title": "T", "agency": "EPA", "docket_id": "k", "files": [{"url": "u1", "filename": "view_a_pdf.txt"}, {"url": "u2"}, {"url": "u3", "filename": "attachment_b_c_doc.txt"}]}]
+    assert sorted((r["entry"], r["text"]) for r in read("texts")) == [("attachment_b_c_doc.txt", "two"), ("view_a_pdf.txt", "one")]
+
+
+def test_older_form_views_and_attachments(spark):
+    v1 = {"documentId": "D", "title": "T", "docketId": "K", "documentType": "Rule", "commentText": "c", "topics": ["x", ""], "fileFormats": "http://h/a?contentType=pdf", "attachments": {"attachment": {"title": "A", "fileFormats": ["http://h/b?contentType=pdf", "http://h/c?contentType=html"]}}}
+    got = normalize.normalize_v1(spark.createDataFrame([(json.dumps(v1),), (json.dumps({"documentId": "E"}),)], "json string")).orderBy("doc_id").collect()
+    assert (got[0]["abstract"], got[0]["topics"], [v["url"] for v in got[0]["views"]]) == ("c", ["x"], ["http://h/a?contentType=pdf"])
+    assert [(a["title"], a["abstract"], [v["url"] for v in a["views"]]) for a in got[0]["attachments"]] == [("A", "", ["http://h/b?contentType=pdf", "http://h/c?contentType=html"])]
+    assert (got[1]["views"], got[1]["attachments"], got[1]["comment_on"]) == ([], [], None)
+
+
+def test_docket_years_take_the_first_four_digits(spark):
+    got = normalize.normalize_docket(spark.createDataFrame([(json.dumps({"docketId": "EPA-2012-1999-0001"}),), (json.dumps({"docketId": {"value": "EPA"}}),)], "json string"))
+    assert rows(got.select("docket_id", "year")) == [("EPA", None), ("EPA-2012-1999-0001", 2012)]
+
+
+def test_spreadsheet_records(spark):
+    cells = spark.createDataFrame([(1, "when", "01/02/2013"), (1, "ok", "Y"), (1, "note", "hi"), (1, "file", 'of:=HYPERLINK("http://x/a";"A (1)")'), (2, "note", "N/A")], "row_no long, field string, value string")
+    got = {r["row_no"]: r for r in readers.spreadsheet_records(cells).collect()}
+    assert str(got[1]["fields"]["when"]["date"]) == "2013-01-02" and got[1]["fields"]["ok"]["flag"] is True and got[1]["fields"]["note"]["text"] == "hi"
+    assert [tuple(x) for x in got[1]["documents"]] == [("http://x/a", "A (1)")] and got[2]["documents"] == []
+    with pytest.raises(Exception, match="not a link"):
+        readers.spreadsheet_records(spark.createDataFrame([(1, "f", "of:=SUM(1)")], "row_no long, field string, value string")).collect()
+
+
+def test_places_of_rules_in_large_dockets(spark):
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), (F.col("id") % 2 + F.when(F.col("id") > 250, 1).otherwise(0)).alias("docket_id"), F.when(F.col("id") % 9 > 0, F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 11).cast("int"))).alias("date_posted"), F.lit("rule").alias("type"))
+    want = stats.recent(docs, "docket_id", 1 << 30).select("doc_id", "rank")
+    assert rows(stats.fr_docs(docs, "docket_id").select("doc_id", "rank")) == rows(want)
+    assert rows(stats.fr_docs(docs.limit(0), "docket_id")) == []
+
+
+def test_articles_without_date_or_agency(spark):
+    docs = spark.createDataFrame([(1, "a rule on air and water", "EPA", "2024-01-01"), (2, "a rule on air and water", None, "2024-01-01"), (3, "a rule on air and water", "EPA", None), (4, "a rule on air and water", None, None), (5, "short", None, None)], "doc_id int, title string, agency string, d string")
+    articles = spark.createDataFrame([(10, "a rule on air and waters", "EPA", "2024-02-01"), (11, "a rule on air and water", "FCC", "2024-01-20"), (12, "a rule on air and water", "EPA", None), (13, "a rule on air and water", "EPA", "2023-01-01")], "article_id int, title string, agency string, d string")
+    dated = lambda df: df.withColumn("date_posted", F.col("d").cast("date"))
+    assert rows(resolve.guess_article(dated(docs), dated(articles)).select("doc_id", "article_id", "days_apart")) == [(1, 10, 31), (2, 11, 19), (3, 12, None), (4, 11, None)]
+
+
+def test_submitters_do_not_cross_parts(spark):
+    docs = spark.createDataFrame([(1, {"Organization_Name": "Acme Corp"}, "x", "s", "other"), (2, {"Organization_Name": "Acme", "Last_Name": "Corp"}, "x", "s", "other"), (3, {}, "Comment from Acme Corp", "s", "rule"), (4, {}, "Acme Corp letter", "s", "other"), (5, {}, "Acme Corp letter", "t", "other"), (6, None, None, None, None)], "doc_id int, details map<string,string>, title string, source string, type string")
+    aliases = spark.createDataFrame([("Acme Corp", "e1")], "alias string, entity_id string")
+    assert rows(entities.submitter_matches(docs, aliases, title_source="s")) == [(1, "e1"), (3, "e1"), (4, "e1")]
