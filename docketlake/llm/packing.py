@@ -181,6 +181,7 @@ def _packed(path: str, end_id: int, limits: Limits, keep_ids: bool):
                         yield out()
         for sequence in packer.end():
             put(sequence)
+        enc.words.forget()  # tasks go round all idle workers of an executor, and each would keep its own
         yield out()
 
     return run

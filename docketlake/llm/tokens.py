@@ -7,7 +7,6 @@ file is encoded text by text.
 
 from __future__ import annotations
 
-import functools
 import json
 import os
 import re
@@ -18,14 +17,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from docketlake.llm.memory import free_memory
+from docketlake.llm.memory import free_memory, worker_cache
 
 #: The pre-tokenizer pattern for which chunks are independent: no alternative matches white space.
 _CHUNKED = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: A Latin word, then punctuation without digits, letters, apostrophes and "<": both parts are tokens of the pattern above.
 _PLAIN = r"^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]*)(?P<marks>[!-&(-/:;=?@\[-`{-~]*)$"
 #: Bytes of text that are encoded at once.
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 
 
 class Kept(dict):
@@ -62,35 +61,15 @@ class Kept(dict):
         self.old = {}
 
 
-#: The cached factories of this worker, by their name.
-_factories: dict[str, Callable] = {}
-
-
-def worker_cache(make):
-    """One object a worker and arguments. Asking for another one frees it: a reused worker never holds what an earlier stage kept."""
-    held: dict = {}
-
-    @functools.wraps(make)
-    def get(*args):
-        if args not in held:
-            for other in _factories.values():
-                other.held.clear()
-            free_memory()
-            held[args] = make(*args)
-        return held[args]
-
-    get.held = held
-    _factories[make.__qualname__] = get
-    return get
-
-
 def blocks(texts: pa.Array, *more: pa.Array, most: int = BLOCK) -> Iterator[tuple[int, int]]:
-    """Runs (from, to) of rows of about ``most`` bytes of text, in all columns given; a longer text is a run of its own."""
+    """Runs (from, to) of rows of about ``most`` bytes of text, in all columns given; a longer text is a run of its own. What a run's work has freed goes
+    back to the system before the next."""
     sizes = sum(pc.fill_null(pc.binary_length(x), 0).to_numpy(zero_copy_only=False).astype(np.int64) for x in (texts, *more))
     at, held = 0, 0
     for i, n in enumerate(sizes.tolist()):
         if held and held + n > most:
             yield at, i
+            free_memory()
             at, held = i, 0
         held += n
     if at < len(texts):
@@ -162,11 +141,20 @@ class Encoder:
         pair[odd, 0], pair[odd, 1] = 1 + len(words.dictionary) + len(marks.dictionary) + np.arange(len(odd)), 0
         sizes = np.fromiter(map(len, values), np.int32, len(values)) // self.width
         store = np.frombuffer(b"".join(values), dtype=self.dtype)
+        del values, words, marks, plain, chunks
+        # places in 32 bits: a column of texts has under 2^31 bytes, so no more ids
         entry = pair[at].reshape(-1)
+        del pair, at, coded, lists
         n = sizes[entry]
-        ends = np.append(0, np.cumsum(n, dtype=np.int64))
-        first = (np.cumsum(sizes) - sizes)[entry] - ends[:-1]
-        return store[np.repeat(first, n) + np.arange(ends[-1])], ends[2 * of_text]
+        ends = np.zeros(len(n) + 1, dtype=np.int32)
+        np.cumsum(n, out=ends[1:])
+        first = (np.cumsum(sizes, dtype=np.int32) - sizes)[entry]
+        del entry
+        first -= ends[:-1]
+        place = np.repeat(first, n)
+        del first, n
+        place += np.arange(len(place), dtype=np.int32)
+        return store[place], ends[2 * of_text].astype(np.int64)
 
     def ids_of(self, text: str | None) -> np.ndarray:
         return self.batch(pa.array([text], pa.string()))[0]
