@@ -156,22 +156,6 @@ def test_fragments_that_recur_elsewhere_do_not_hide_a_passage(spark):
     assert {k for r in got if (r["doc_id"], r["source_id"]) == (21, 20) for k in range(r["start"], r["end"])} >= set(range(30, 150))
 
 
-def test_hot_seeds_give_the_same_passages(spark, monkeypatch):
-    line, passage = prose(9), prose(70)
-    docs = {i: prose(60) + line * (1 + i % 3) + prose(30) + (passage if i % 4 == 0 else []) + line for i in range(40)}
-    docs |= {50: line * 12, 51: prose(40) + line * 12, 52: passage, 53: prose(5) * 30}
-    table = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()] + [(60, None), (None, " ".join(passage))], "doc_id long, text string").repartition(5)
-    plain = sorted(map(tuple, substring.repeated_passages(table).collect()))
-    monkeypatch.setattr(substring, "HOT_SAMPLE", 1)
-    monkeypatch.setattr(substring, "HOT_SHARE", 10**9)
-    given = table.where("doc_id is not null")
-    for least in (0, 6):
-        s = substring.Settings(hot_places=least)
-        hot = substring._hot(given, s, s.words, s.window)
-        assert hot and (not least or len(hot) < len(substring._hot(given, substring.Settings(hot_places=0), s.words, s.window)))
-        assert sorted(map(tuple, substring.repeated_passages(table, settings=s).collect())) == plain and plain
-
-
 def test_recall_of_edited_passages_against_brute_force(spark):
     """Pairs with 60 to 100 shared words of which one in twelve is replaced; brute force tells which are alike enough."""
     docs, pairs = {}, []
