@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketlake.llm import bpe, extraction, langid, media, minhash, packing, quality, records, substring, toxicity
+from docketlake.llm import bpe, conversations, extraction, langid, media, minhash, negatives, packing, quality, records, smallworld, substring, toxicity
 from docketlake.session import scratch, table
 
 
@@ -64,9 +64,24 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.through_media(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    return conversations.summaries(conversations.repair(conversations.damaged(given), given))
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors, label = table(spark, sf_dir, "embeddings"), F.col("label")
+    moved = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return negatives.mine(moved, F.col("vec_id") % 50 == 0)
+
+
+def op13_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return smallworld.near_vectors(table(spark, sf_dir, "embeddings")).links
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_toxicity, op3_substrings, op4_bpe, op5_quality, op6_near_duplicates, op7_records, op8_language, op9_main_text, op10_media)}
+    return {f.__name__: f for f in (op1_packing, op2_toxicity, op3_substrings, op4_bpe, op5_quality, op6_near_duplicates, op7_records, op8_language, op9_main_text, op10_media, op11_conversations, op12_negatives, op13_embeddings)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality": quality.oracle_sql()}
+    return {"op5_quality": quality.oracle_sql(), "op12_negatives": negatives.oracle_sql()}
