@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docketlake.functions.text import held, submitter_string, words
+from docketlake.operators.automaton import Automaton, matcher
+from docketlake.session import ship, written
 
 
 def list_aliases(entities: DataFrame, column: str = "filtered_aliases") -> DataFrame:
@@ -21,28 +24,50 @@ def filter_aliases(entities: DataFrame, common: DataFrame) -> DataFrame:
     return entities.drop("filtered_aliases").join(kept, "entity_id", "left").withColumn("filtered_aliases", F.coalesce("filtered_aliases", F.array().cast("array<string>")))
 
 
-def match(texts: DataFrame, aliases: DataFrame, *, blacklist: DataFrame | None = None, max_words: int = 12) -> DataFrame:
-    """(doc_id, entity_id), distinct: an alias matches where its words stand in a row in a text.
+#: Words of all aliases up to which they are one automaton: some 40 bytes a word, so 20 MB at most are broadcast.
+AUTOMATON_WORDS = 500_000
 
-    Aliases (alias, entity_id) are put in the text's own word form; windows are made for the lengths that aliases have (found in
-    one small aggregation, at most max_words of them) and joined on the words. Longer aliases are an error, not a gap.
+
+def match(texts: DataFrame, aliases: DataFrame, *, blacklist: DataFrame | None = None, most_words: int = AUTOMATON_WORDS) -> DataFrame:
+    """(doc_id, entity_id), distinct: an alias matches where its words, of any number, stand in a row in a text.
+
+    Aliases (alias, entity_id) are put in the text's own word form. Up to ``most_words`` words in all, and as many owners, they are broadcast as an automaton that
+    texts stream through; beyond that, texts and aliases meet in a join on first words (see ``match_by_join``). Null and empty texts and aliases match nothing.
     """
-    known = aliases.select("entity_id", words("alias").alias("w")).where(F.size("w") > 0).select("entity_id", F.size("w").alias("n"), F.array_join("w", " ").alias("window")).distinct()
-    if blacklist is not None:
-        known = known.join(blacklist.select(F.array_join(words("alias"), " ").alias("window")).distinct(), "window", "left_anti")
-    sizes = sorted(r["n"] for r in known.select("n").where(F.col("n") <= max_words).distinct().collect())
-    if known.where(F.col("n") > max_words).limit(1).count():
-        raise ValueError(f"an alias has more than {max_words} words")
-    tokens = texts.select("doc_id", held(words("text")).alias("t"))
-
-    def windows(n: int):
-        at = F.when(F.size("t") >= n, F.sequence(F.lit(1), F.size("t") - (n - 1)))
-        return F.transform(at, lambda i: F.array_join(F.slice("t", i, n), " "))
-
-    if not sizes:
-        return tokens.where("false").select("doc_id", F.lit(None).cast(known.schema["entity_id"].dataType).alias("entity_id"))
-    made = F.array_distinct(F.flatten(F.array(*(F.coalesce(windows(n), F.array().cast("array<string>")) for n in sizes))))
-    return tokens.select("doc_id", F.explode(made).alias("window")).join(known.select("window", "entity_id"), "window").select("doc_id", "entity_id").distinct()
+    known = _known(aliases, blacklist)
+    size = known.agg(F.count("*"), F.sum(F.size("w"))).first()
+    if max(size[0], size[1] or 0) > most_words:
+        return match_by_join(texts, known)
+    ship(texts.sparkSession)
+    kind = known.schema["entity_id"].dataType
+    table = known.groupBy("w").agg(F.collect_set("entity_id").alias("owners")).toArrow()  # at most most_words words and owners
+    owners = table["owners"].combine_chunks()
+    context = texts.sparkSession.sparkContext
+    automaton = context.broadcast(Automaton.build(table["w"].to_pylist()))
+    held_by = context.broadcast((owners.offsets.to_numpy().astype("int64"), owners.flatten()))
+    tokens = texts.select("doc_id", words("text").alias("t"))
+    schema = T.StructType([T.StructField("doc_id", texts.schema["doc_id"].dataType), T.StructField("entity_id", kind)])
+    return tokens.mapInArrow(matcher(automaton, held_by), schema).distinct()
+
+
+def _known(aliases: DataFrame, blacklist: DataFrame | None) -> DataFrame:
+    """(entity_id, w: an alias's words), distinct, without those of the blacklist."""
+    known = aliases.select("entity_id", words("alias").alias("w")).where((F.size("w") > 0) & F.col("entity_id").isNotNull()).distinct()
+    return known if blacklist is None else known.join(blacklist.select(words("alias").alias("w")).distinct(), "w", "left_anti")
+
+
+def match_by_join(texts: DataFrame, known: DataFrame) -> DataFrame:
+    """(doc_id, entity_id), distinct, for alias tables of any size: places where an alias's first two words stand are found by a join on these, and those of
+    a text are then held against its words. Only the two words of a place move, not windows of every length."""
+    known = written(known.withColumn("head", F.array_join(F.slice("w", 1, 2), " ")), "aliases")
+    tokens = written(texts.select("doc_id", held(words("text")).alias("t")).where(F.size("t") > 0), "tokens")
+    pairs = tokens.select("doc_id", "t", F.posexplode("t").alias("pos", "one"))
+    second = F.get("t", F.col("pos") + 1)
+    heads = pairs.select("doc_id", "pos", F.explode(F.array_distinct(F.array("one", F.coalesce(F.concat("one", F.lit(" "), second), F.col("one"))))).alias("head"))
+    places = heads.join(known.select("head", F.size("w").alias("n"), "w", "entity_id"), "head")
+    short = places.where("n <= 2").select("doc_id", "entity_id")
+    longer = places.where("n > 2").select("doc_id", "pos", "n", "w", "entity_id").join(tokens, "doc_id").where(F.slice("t", F.col("pos") + 1, F.col("n")) == F.col("w")).select("doc_id", "entity_id")
+    return short.unionByName(longer).distinct()
 
 
 def submitter_matches(docs: DataFrame, aliases: DataFrame, *, title_source: str | None = None, blacklist: DataFrame | None = None) -> DataFrame:

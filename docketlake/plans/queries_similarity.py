@@ -134,6 +134,13 @@ def j12_match_entities(spark, sf_dir):
     return entities.match(table(spark, sf_dir, "documents"), _aliases(spark, sf_dir))
 
 
+@register(rf"with {TOKENS}, a as (select item_id as entity_id, array_to_string(list_filter(string_split(regexp_replace(lower(text), '\W', ' ', 'g'), ' '), lambda x: x <> ''), ' ') as alias from benchmark) select distinct d.doc_id, a.entity_id from tokens d join a on contains(' ' || array_to_string(d.t, ' ') || ' ', ' ' || a.alias || ' ') where a.alias <> ''")
+def j12_match_passages(spark, sf_dir):
+    """Aliases of any length: whole passages, by the join that tables of any size take."""
+    aliases = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("entity_id"), F.col("text").alias("alias"))
+    return entities.match(table(spark, sf_dir, "documents"), aliases, most_words=0)
+
+
 @register("with w as (select distinct lower(split_part(p_name, ' ', 1)) as word from part where p_partkey % 3 = 0) select p_partkey as entity_id, p_name as alias from part where lower(p_name) not in (select word from w)")
 def j13_filter_aliases(spark, sf_dir):
     part = table(spark, sf_dir, "part")
