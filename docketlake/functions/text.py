@@ -60,6 +60,16 @@ def levenshtein_ratio(a: Col, b: Col) -> Column:
     return F.when(both > 0, (both - F.levenshtein(_c(a), _c(b))) / both).otherwise(F.when(both == 0, 1.0))
 
 
+def _most_edits(a: Col, b: Col, ratio: float) -> Column:
+    """The largest edit distance at which ``levenshtein_ratio`` is above ``ratio``."""
+    return (F.ceil((F.length(_c(a)) + F.length(_c(b))) * F.lit(1 - ratio)) - 1).cast("int")
+
+
+def within_ratio(a: Col, b: Col, ratio: float) -> Column:
+    """Whether ``levenshtein_ratio`` is above ``ratio``, by an edit distance that is given up beyond it."""
+    return F.call_function("levenshtein", _c(a), _c(b), _most_edits(a, b, ratio)) >= 0
+
+
 def extract_comment(raw: Col) -> Column:
     """What follows a comment marker, up to a rule of equals signs; the whole text where there is no marker."""
     pattern = r"(?s)Comments? ?(?:\*+|:)(.*?)(?:===+.*)?$"

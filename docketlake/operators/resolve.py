@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docketlake.functions.text import levenshtein_ratio, or_null, trim_fr_number
+from docketlake.functions.text import levenshtein_ratio, or_null, trim_fr_number, within_ratio
+from docketlake.session import written
 
 
 def resolve_comment_on(comments: DataFrame, fr_docs: DataFrame) -> DataFrame:
@@ -58,20 +61,32 @@ def guess_article(docs: DataFrame, articles: DataFrame, *, days: int = 90, ratio
     then the most similar, then the smaller id. A document without an agency or a date is not held to it; without a date, days_apart is null
     and the most similar counts.
 
-    Both sides are keyed by agency, a date bucket of ``days`` and a bucket of title length, each null where it does not matter: titles whose lengths
-    differ by more than (2 - ratio) / ratio cannot be similar enough. An article is put under the keys that documents may have, so equal keys hold all
-    pairs in reach and no pair is met twice.
+    An article has one key: its agency, a date bucket of ``days``, and a bucket of title length (titles whose lengths differ by more than
+    (2 - ratio) / ratio cannot be similar enough). A document is put under the keys in its reach: three date buckets by three lengths, and where it has no agency or
+    no date, those keys of articles that fit what it has. So what is missing makes a document more rows, and no key holds all articles. The edit
+    distance of a pair is given up once it is too large. Shared q-grams do not help here: at a ratio of 0.75 two of all bigrams of a title are all
+    that must be shared, which nearly any two titles do (measured, such a filter took longer than it saved).
     """
     day = lambda c: F.floor(F.datediff(c, F.lit("1970-01-01").cast("date")) / days)
     size = lambda c: F.floor(F.log(F.length(c)) / F.log(F.lit((2 - ratio) / ratio)))
-    either = lambda found: F.array_distinct(F.concat(F.array(F.lit(None)), found))
     near = lambda c: F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda k: c + k)
     d = docs.where(F.length("title") >= min_title).select("doc_id", "title", "agency", "date_posted", day("date_posted").alias("bucket"), F.explode(near(size("title"))).alias("size"))
-    a = articles.where(F.length("title") >= min_title).select("article_id", F.col("title").alias("a_title"), F.col("date_posted").alias("published"), size("title").alias("a_size"), "agency")
-    a = a.withColumn("a_agency", F.explode(either(F.array("agency")))).drop("agency").withColumn("a_bucket", F.explode(F.when(F.col("published").isNull(), F.array(F.lit(None).cast("bigint"))).otherwise(either(near(day("published"))))))
-    same = F.col("agency").eqNullSafe(F.col("a_agency")) & F.col("bucket").eqNullSafe(F.col("a_bucket")) & (F.col("size") == F.col("a_size"))
+    a = articles.where(F.length("title") >= min_title).select("article_id", F.col("title").alias("a_title"), F.col("date_posted").alias("published"), "agency", day("date_posted").alias("bucket"), size("title").alias("size"))
+    keys = written(a.groupBy("agency", "bucket", "size").count().drop("count"), "keys")
+    dated, undated = d.where("bucket is not null").withColumn("bucket", F.explode(near(F.col("bucket")))), d.where("bucket is null").drop("bucket")
+    reach = [
+        dated.where("agency is not null"),
+        dated.where("agency is null").drop("agency").join(keys, ["bucket", "size"]),
+        undated.where("agency is not null").join(keys, ["agency", "size"]),
+        undated.where("agency is null").drop("agency").join(keys, "size"),
+    ]
+    columns = ["doc_id", "title", "date_posted", F.col("agency").alias("d_agency"), F.col("bucket").alias("d_bucket"), F.col("size").alias("d_size")]
+    asked = reduce(DataFrame.unionByName, (r.select(*columns) for r in reach))
+    asked = asked.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id")  # few bytes, much work: spread by documents
+    same = F.col("d_agency").eqNullSafe(F.col("agency")) & F.col("d_bucket").eqNullSafe(F.col("bucket")) & (F.col("d_size") == F.col("size"))
     apart = F.abs(F.datediff("date_posted", "published"))
-    met = d.join(a, same).where(F.coalesce(apart <= days, F.lit(True))).withColumn("similarity", levenshtein_ratio("title", "a_title")).where(F.col("similarity") > ratio)
+    met = asked.join(a, same).where(F.coalesce(apart <= days, F.lit(True))).where(within_ratio("title", "a_title", ratio))
+    met = met.withColumn("similarity", levenshtein_ratio("title", "a_title")).where(F.col("similarity") > ratio)
     best = F.row_number().over(Window.partitionBy("doc_id").orderBy("days_apart", F.desc("similarity"), "article_id"))
     return met.withColumn("days_apart", apart).withColumn("r", best).where("r = 1").select("doc_id", "article_id", "similarity", "days_apart")
 

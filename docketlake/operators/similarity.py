@@ -6,6 +6,7 @@ Two documents that share no n-gram are at distance 1 and are in no table; every
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -71,6 +72,58 @@ def single_link(pairs: DataFrame, docs: DataFrame, max_distance: float) -> DataF
     return docs.select("doc_id").join(found, "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("cluster_id"))
 
 
+def merge_forest(pairs: DataFrame, *, max_rounds: int = 40) -> DataFrame:
+    """(a, b, distance): the pairs at which ever closest clusters merge, a minimum spanning forest of the pair table; one row fewer than documents at most.
+
+    Of equal distances the last pair by (a, b) merges first, as in ``min_link``, so no two pairs are equal and the forest is the only one. Each round, every
+    component takes its closest pair to another one; these are in the forest, and what they connect becomes one component (Borůvka), so components
+    at least halve. The pairs left are then those between components, the closest of each two; they, the forest and the components go to the shared folder every
+    round, and only a count comes to the driver. Distances at which a clustering is cut, and its merge order, all come from this one table.
+    """
+    between = written(pairs.where("a <> b").select("a", "b", (1 - F.col("jaccard")).alias("distance"), F.col("a").alias("x"), F.col("b").alias("y")), "between")
+    forest: list[DataFrame] = []
+    edge = F.struct("distance", (-F.col("a")).alias("na"), (-F.col("b")).alias("nb")).alias("e")
+    for _ in range(max_rounds):
+        both = between.select("x", "y", edge).unionByName(between.select(F.col("y").alias("x"), F.col("x").alias("y"), edge))
+        # a component's closest pair; both ends may choose the same one
+        chosen = written(both.groupBy("x").agg(F.min(F.struct("e", "y")).alias("m")).select("x", "m.y", "m.e"), "chosen")
+        if not chosen.limit(1).count():
+            break
+        forest.append(chosen.select((-F.col("e.na")).alias("a"), (-F.col("e.nb")).alias("b"), "e.distance").distinct())
+        found = written(connected_components(chosen.select("x", "y")), "components")
+        moved = between.join(found.toDF("x", "cx"), "x").join(found.toDF("y", "cy"), "y").where("cx <> cy")
+        least = moved.groupBy(F.least("cx", "cy").alias("x"), F.greatest("cx", "cy").alias("y")).agg(F.min(edge).alias("e"))
+        between = written(least.select((-F.col("e.na")).alias("a"), (-F.col("e.nb")).alias("b"), "e.distance", "x", "y"), "between")
+    else:
+        raise RuntimeError("the forest did not settle")
+    return written(reduce(DataFrame.unionByName, forest), "forest") if forest else between.select("a", "b", "distance")
+
+
+def merge_order(forest: DataFrame, docs: DataFrame) -> DataFrame:
+    """(step, a, b, distance): all merges from single documents to one cluster, numbered from 0: those of the forest, then, at distance 1, the last document with
+    the last one of each other component, the later ones first; that is what repeated ``min_link`` and ``merge`` do."""
+    found = docs.select("doc_id").distinct().join(written(connected_components(forest.select("a", "b")), "components"), F.col("doc_id") == F.col("node"), "left")
+    tops = written(found.groupBy(F.coalesce("component", "doc_id").alias("c")).agg(F.max("doc_id").alias("b")), "tops")
+    top = tops.agg(F.max("b").alias("a"))  # one row
+    tail = tops.join(F.broadcast(top), F.col("b") < F.col("a")).select("a", "b", F.lit(1.0).alias("distance"))
+    return numbered(forest.unionByName(tail), [F.col("distance"), F.desc("a"), F.desc("b")], "step").select("step", "a", "b", "distance")
+
+
+def numbered(rows: DataFrame, order: list, name: str) -> DataFrame:
+    """``rows`` with their place in an order, from 0. They are sorted over range partitions, and a count of each gives where its numbers begin, so no task
+    sorts all of them."""
+    placed = written(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), "placed")
+    placed = placed.withColumn("_part", F.shiftright("_at", 33)).withColumn("_at", F.col("_at").bitwiseAND((1 << 33) - 1))
+    counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
+    bases = counts.withColumn("_base", F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))).select("_part", F.coalesce("_base", F.lit(0)).alias("_base"))  # a row a partition
+    return placed.join(F.broadcast(bases), "_part").withColumn(name, F.col("_base") + F.col("_at")).drop("_part", "_at", "_base")
+
+
+def cut(forest: DataFrame, docs: DataFrame, max_distance: float) -> DataFrame:
+    """(doc_id, cluster_id) at any distance below 1 from the forest alone: as ``single_link`` over all pairs, with at most a link a document."""
+    return single_link(forest.select("a", "b", (1 - F.col("distance")).alias("jaccard")), docs, max_distance)
+
+
 def closest_neighbors(pairs: DataFrame, docs: DataFrame, seeds: DataFrame, n: int) -> DataFrame:
     """The n documents outside ``seeds`` with the smallest distance to any seed (1 where there is no pair), ties by id."""
     both = pairs.select("a", "b", "jaccard").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "jaccard"))
@@ -110,14 +163,9 @@ def cluster_members(clusters: DataFrame) -> DataFrame:
 
 
 def cluster_ranking(clusters: DataFrame) -> DataFrame:
-    """Clusters of more than one document, numbered from 0 by falling size, ties by id. They are sorted over range partitions, and a count of each gives
-    where its numbers begin, so no task sorts all of them."""
+    """Clusters of more than one document, numbered from 0 by falling size, ties by id."""
     big = cluster_members(clusters).where("size > 1")
-    placed = written(big.repartitionByRange(F.desc("size"), F.col("cluster_id")).sortWithinPartitions(F.desc("size"), "cluster_id").withColumn("at", F.monotonically_increasing_id()), "placed")
-    placed = placed.withColumn("part", F.shiftright("at", 33)).withColumn("at", F.col("at").bitwiseAND((1 << 33) - 1))
-    counts = placed.groupBy("part").agg(F.count("*").alias("n"))
-    bases = counts.withColumn("base", F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))).select("part", F.coalesce("base", F.lit(0)).alias("base"))  # a row a partition
-    return placed.join(F.broadcast(bases), "part").select("cluster_id", "size", "first_doc", "last_doc", (F.col("base") + F.col("at")).cast("int").alias("number"))
+    return numbered(big, [F.desc("size"), F.col("cluster_id")], "number").withColumn("number", F.col("number").cast("int"))
 
 
 def pair_stats(pairs: DataFrame, ids: DataFrame) -> DataFrame:

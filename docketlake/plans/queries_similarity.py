@@ -79,6 +79,69 @@ def w10_cluster_ranking(spark, sf_dir):
     return similarity.cluster_ranking(_clusters(spark, sf_dir))
 
 
+#: The pair table's edges taken one by one, the closest first, with the clusters' labels as a list.
+MERGES = f"""with recursive {PAIRS.replace("near as (", "near as materialized (").replace("reps as (", "reps as materialized (")}, nodes as materialized (select doc_id, row_number() over (order by doc_id) as k from reps),
+  e as materialized (select row_number() over (order by 1 - jaccard, a desc, b desc) as n, a, b, 1 - jaccard as distance, p.k as x, q.k as y from near join nodes p on p.doc_id = a join nodes q on q.doc_id = b),
+  taken(n, lab, took) as (select 0, (select list(k order by k) from nodes), false union all
+    select e.n, case when t.lab[e.x] <> t.lab[e.y] then list_transform(t.lab, lambda v: case when v = t.lab[e.y] then t.lab[e.x] else v end) else t.lab end, t.lab[e.x] <> t.lab[e.y] from taken t join e on e.n = t.n + 1),
+  forest as (select a, b, distance from e join taken t on t.n = e.n where t.took),
+  labels as (select unnest(lab) as c, generate_subscripts(lab, 1) as k from taken where n = (select max(n) from taken)),
+  tops as (select max(doc_id) as b from labels join nodes using (k) group by c),
+  merges as (select a, b, distance from forest union all select (select max(b) from tops), b, 1.0 from tops where b < (select max(b) from tops))"""
+
+
+@register(f"{MERGES} select row_number() over (order by distance, a desc, b desc) - 1 as step, a, b, round(distance, 6) as distance from merges")
+def c7_merge_order(spark, sf_dir):
+    _, reps, near = _base(spark, sf_dir)
+    reps = written(reps, "reps")
+    return similarity.merge_order(similarity.merge_forest(near), reps).withColumn("distance", F.round("distance", 6))
+
+
+#: Components at distance 0.3, as CLUSTERS at 0.5.
+CUT = CLUSTERS.replace("select a as x, b as y from near union select b, a from near", "select a as x, b as y from near where 1 - jaccard <= 0.3 union select b, a from near where 1 - jaccard <= 0.3")
+
+
+def _cut(spark, sf_dir):
+    _, reps, near = _base(spark, sf_dir)
+    reps, near = written(reps, "reps"), written(near, "near")
+    return near, written(similarity.cut(similarity.merge_forest(near), reps, 0.3), "clusters")
+
+
+@register(f"{CUT} select doc_id, cluster_id from comp")
+def c7_cut_forest(spark, sf_dir):
+    return _cut(spark, sf_dir)[1]
+
+
+LARGEST = "largest as (select cluster_id as seed from comp group by cluster_id order by count(*) desc, cluster_id limit 1)"
+
+
+def _largest(clusters):
+    return similarity.cluster_members(clusters).orderBy(F.desc("size"), "cluster_id").first()["first_doc"]
+
+
+@register(f"{CUT}, {LARGEST}, ends as (select max(doc_id) as other, (select cluster_id from comp where doc_id = (select max(doc_id) from comp)) as gone from comp) select doc_id, case when cluster_id = gone then seed else cluster_id end as cluster_id from comp, largest, ends")
+def c6_merge(spark, sf_dir):
+    """The largest cluster takes that of the last document."""
+    clusters = _cut(spark, sf_dir)[1]
+    return similarity.merge(clusters, _largest(clusters), clusters.agg(F.max("doc_id")).first()[0])
+
+
+@register(f"{CUT}, {LARGEST} select doc_id from comp, largest where cluster_id = seed")
+def c8_cluster_of(spark, sf_dir):
+    clusters = _cut(spark, sf_dir)[1]
+    return similarity.cluster_of(clusters, _largest(clusters))
+
+
+@register(f"""{CUT}, {LARGEST}, inside as materialized (select doc_id from comp, largest where cluster_id = seed), both_ as (select a, b, jaccard from near union all select b, a, jaccard from near),
+  d as (select a, min(1 - jaccard) as d from both_ where b in (select doc_id from inside) group by a),
+  next as (select c.cluster_id from comp c left join d on d.a = c.doc_id where c.doc_id not in (select doc_id from inside) order by coalesce(d.d, 1.0), c.doc_id limit 8)
+  select doc_id, false as joins from inside union all select doc_id, true from comp where cluster_id in (select cluster_id from next)""")
+def c10_propose_growth(spark, sf_dir):
+    """The largest cluster at distance 0.3 with the clusters of its eight closest outsiders."""
+    near, clusters = _cut(spark, sf_dir)
+    return similarity.propose_growth(near, clusters, _largest(clusters), 8)
+
+
 SEEDS = "seeds as (select doc_id from reps where doc_id % 50 = 7)"
 
 
