@@ -5,7 +5,7 @@ Histograms are rows (grain id, metric, key, count), never maps: a null month or
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from docketlake.functions.text import expanded_count
@@ -107,9 +107,25 @@ def merge_scalars(stored: DataFrame, delta: DataFrame, *keys: str) -> DataFrame:
     return both.groupBy(*keys).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_comments").alias("n_comments"), F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"))
 
 
+def recent_rows(docs: DataFrame, key: str, k: int, types: tuple[str, ...] | None = None) -> DataFrame:
+    """What ``merge_recent`` needs to know of the k latest documents: (key, doc_id, date_posted, rank)."""
+    return recent(docs, key, k, types).select(key, "doc_id", "date_posted", "rank")
+
+
 def merge_recent(stored: DataFrame, delta: DataFrame, key: str, k: int) -> DataFrame:
-    """The k latest of the two lists' rows."""
-    return recent(stored.drop("rank").unionByName(delta.drop("rank")).dropDuplicates(["doc_id"]), key, k)
+    """The k latest of the two lists' rows, each of k rows a key at most; a document that is in both counts as in ``delta``."""
+    both = stored.drop("rank").withColumn("_new", F.lit(0)).unionByName(delta.drop("rank").withColumn("_new", F.lit(1)))
+    rest = [c for c in both.columns if c not in (key, "doc_id", "_new")]
+    one = both.groupBy(key, "doc_id").agg(F.max_by(F.struct(*rest), "_new").alias("r")).select(key, "doc_id", "r.*")
+    return recent(one, key, k).select(*stored.columns)
+
+
+def observed_counters(rows: DataFrame, column: str, values: tuple[str, ...], name: str = "counters") -> tuple[DataFrame, Observation]:
+    """``rows`` that, wherever they are written next, are counted on the way by the values of a column: no second scan. The counts (``other`` for other values, null
+    included) are in the observation once that run has ended."""
+    told = Observation(name)
+    counts = [F.count(F.when(F.col(column) == v, 1)).alias(v) for v in values]
+    return rows.observe(told, *counts, F.count(F.when(~F.coalesce(F.col(column).isin(*values), F.lit(False)), 1)).alias("other")), told
 
 
 def upsert(target: DataFrame, new: DataFrame, key: str, *, clear_missing: bool) -> DataFrame:

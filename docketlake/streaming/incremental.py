@@ -1,20 +1,23 @@
 """Incremental runs with Structured Streaming: statistics, harvest, tagging and search feed from a stream of documents.
 
-Nothing is ever closed: a week may get documents at any later time, so there is no watermark. Stored statistics are versioned tables; a
-batch writes the next version with its id, so a batch that runs again after a failure replaces its own work. Rows that bear their run's flag
-are left out, and the ids of what a batch has done are kept beside its result, for ``processed`` to flag.
+A week may get documents at any later time, so statistics have no watermark: they are tables in hash buckets, of which a batch rewrites those of its keys. A harvest keeps
+the ids it has met as keyed state until its high-water date has passed them. A batch that runs again after a failure replaces its own work. Rows that
+bear their run's flag are left out, and the ids of what a batch has done are kept beside its result, for ``processed`` to flag.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from docketlake.functions.text import truthy
 from docketlake.operators import entities, stats, views
+from docketlake.streaming.store import BucketStore
 
 
 def _version(folder: str, batch: int) -> str:
@@ -57,57 +60,112 @@ def processed(docs: DataFrame, target: str, flag: str) -> DataFrame:
 
 
 def stored(spark: SparkSession, folder: str) -> DataFrame:
-    """The latest version of a stored table."""
-    return _previous(spark, folder, 1 << 62)
+    """The latest version of a stored table, in buckets or whole."""
+    found = BucketStore(spark, folder).read()
+    return _previous(spark, folder, 1 << 62) if found is None else found
 
 
-def merge_into(folder: str, delta: Callable[[DataFrame], DataFrame], merge: Callable[[DataFrame, DataFrame], DataFrame], flag: str = "in_aggregates") -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function: the partial result of a batch's unflagged rows, merged into the stored one, as the next version. The version before is
-    kept for a batch that has to run again, older ones go."""
+def merge_into(
+    folder: str, delta: Callable[[DataFrame], DataFrame], merge: Callable[[DataFrame, DataFrame], DataFrame], flag: str = "in_aggregates", key: str = "docket_id", buckets: int = 64
+) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function: the partial result of a batch's unflagged rows, merged into the stored table's buckets of their keys."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         rows = pending(batch, flag)
-        new = delta(rows)
-        old = _previous(spark, folder, batch_id)
-        (merge(old, new) if old is not None else new).write.mode("overwrite").parquet(_version(folder, batch_id))
+        BucketStore(batch.sparkSession, folder, key, buckets).merge(batch_id, delta(rows), merge)
         if "doc_id" in batch.columns:
             _flag_batch(rows, batch_id, folder)
-        for gone in [b for b in _batches(spark, folder) if b < batch_id][:-1]:
-            path, store = _folder(spark, _version(folder, gone))
-            store.delete(path, True)
 
     return run
 
 
+def _merged(docs: DataFrame, checkpoint: str, run: Callable[[DataFrame, int], None]) -> StreamingQuery:
+    """Runs until what is there is done."""
+    return docs.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def stream_histogram(docs: DataFrame, folder: str, checkpoint: str, key: str = "docket_id") -> StreamingQuery:
-    """Weekly counts of each key, merged batch by batch; runs until what is there is done."""
-    return docs.writeStream.foreachBatch(merge_into(folder, lambda d: stats.weeks(d, key), stats.merge_histograms)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    """Weekly counts of each key, merged batch by batch."""
+    return _merged(docs, checkpoint, merge_into(folder, lambda d: stats.weeks(d, key), stats.merge_histograms, key=key))
 
 
 def stream_scalars(docs: DataFrame, folder: str, checkpoint: str, key: str = "docket_id") -> StreamingQuery:
-    return docs.writeStream.foreachBatch(merge_into(folder, lambda d: stats.scalars(d, key), lambda a, b: stats.merge_scalars(a, b, key))).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return _merged(docs, checkpoint, merge_into(folder, lambda d: stats.scalars(d, key), lambda a, b: stats.merge_scalars(a, b, key), key=key))
+
+
+def stream_recent(docs: DataFrame, folder: str, checkpoint: str, k: int, types: tuple[str, ...] | None = None, key: str = "docket_id") -> StreamingQuery:
+    """The k latest documents of each key: k rows a key are stored, whatever has come."""
+    return _merged(docs, checkpoint, merge_into(folder, lambda d: stats.recent_rows(d, key, k, types), lambda a, b: stats.merge_recent(a, b, key, k), key=key))
+
+
+class _FirstSeen(StatefulProcessor):
+    """Lets the first row of an id through and keeps its id until the high-water date has passed its date: then a row of that date is late anyway."""
+
+    def __init__(self, columns: list[str]):
+        self.columns = columns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", "at timestamp")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator:  # noqa: N802, N803
+        every = pd.concat(list(rows)).set_axis(self.columns, axis=1)  # in this order; computed columns come without their names
+        if self.seen.exists():
+            return
+        first = every.sort_values([EVENT, *(c for c in self.columns if c != EVENT)], na_position="last", kind="stable").head(1)
+        at = first[EVENT].iloc[0]
+        self.seen.update((None if pd.isna(at) else at.to_pydatetime(),))
+        if not pd.isna(at):
+            self.handle.registerTimer(max(int(at.timestamp() * 1000), timerValues.getCurrentWatermarkInMs() + 1))
+        yield first[self.columns]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:  # noqa: N802, N803
+        self.seen.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+#: The column of event times, made from date_posted.
+EVENT = "_posted"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
 def stream_new(feed: DataFrame, target: str, checkpoint: str, known: Callable[[SparkSession], DataFrame] | None = None, days: int = 1) -> StreamingQuery:
-    """A harvest: each id once, whatever files it comes in, unless it is withdrawn, stored already (``known``: doc_id, date_posted) or dated more than
-    ``days`` before the latest stored date. What is stored is a table that each batch is held against, not state."""
+    """A harvest: each id once, whatever files it comes in, unless it is withdrawn, stored already (``known``: doc_id, date_posted) or dated more than ``days``
+    before the high-water date: the latest one stored when the run starts, or met since.
+
+    What has been met is keyed state, so a batch reads nothing of earlier ones. The high-water date is the stream's watermark; an id's state goes when the watermark
+    passes its date, for from then on a row of that date is late. Undated rows are never late, and their ids stay. A feed without dates has no watermark. A batch
+    that runs again replaces its own rows.
+    """
+    spark = feed.sparkSession
+    usable = feed.where(F.coalesce("status", F.lit("")) != "Withdrawn")
+    if known:
+        there = known(spark)
+        usable = usable.join(there.select("doc_id").distinct(), "doc_id", "left_anti")
+        high = there.agg(F.date_sub(F.max("date_posted"), days)).first()[0] if "date_posted" in feed.columns else None
+        usable = usable.where(F.col("date_posted").isNull() | (F.col("date_posted") >= F.lit(high))) if high else usable
+    posted = F.col("date_posted").cast("timestamp") if "date_posted" in feed.columns else F.lit(None).cast("timestamp")
+    timed = usable.withColumn(EVENT, posted)
+    if "date_posted" in feed.columns:
+        timed = timed.withWatermark(EVENT, f"{days} days 1 millisecond")  # a row at the watermark itself would be late
+    fields = [f for f in timed.schema.fields]
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
+    mode = "EventTime" if "date_posted" in feed.columns else "None"
+    fresh = timed.groupBy("doc_id").transformWithStateInPandas(_FirstSeen([f.name for f in fields]), outputStructType=schema, outputMode="Append", timeMode=mode).select(*feed.columns)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.where(F.coalesce("status", F.lit("")) != "Withdrawn").dropDuplicates(["doc_id"])
-        stored_ids = [known(spark)] if known else []
-        earlier = [b for b in _batches(spark, target) if b < batch_id]
-        if earlier:
-            stored_ids.append(spark.read.schema(batch.schema).parquet(*(_version(target, b) for b in earlier)))
-        for there in stored_ids:
-            fresh = fresh.join(there.select("doc_id").distinct(), "doc_id", "left_anti")
-        if known and "date_posted" in batch.columns:
-            high = known(spark).agg(F.date_sub(F.max("date_posted"), days).alias("d")).first()["d"]
-            fresh = fresh.where(F.col("date_posted").isNull() | (F.col("date_posted") >= F.lit(high))) if high else fresh
-        fresh.write.mode("overwrite").parquet(_version(target, batch_id))
-
-    return feed.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        batch.write.mode("overwrite").parquet(_version(target, batch_id))
+
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKS)  # a query keeps the provider that it started with
+    try:
+        return fresh.writeStream.foreachBatch(run).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
 
 
 def stream_matches(texts: DataFrame, aliases: DataFrame, target: str, checkpoint: str, flag: str = "entities_last_extracted") -> StreamingQuery:
