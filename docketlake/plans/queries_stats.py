@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from docketlake.operators import stats
 from docketlake.plans import bindings as b
 from docketlake.plans.registry import register
-from docketlake.session import table
+from docketlake.session import table, written
 
 WITH = f"with {b.DOCS}"
 BOTH = f"with {b.DOCS}, {b.ENTITIES}, mentions as (select distinct e.doc_id, e.entity_id, e.mention, d.agency, d.docket_id, d.date_posted, d.type from doc_entities e join docs d using (doc_id))"
@@ -141,6 +141,15 @@ def a17_run_counters(spark, sf_dir):
     return stats.run_counters(table(spark, sf_dir, "events").withColumnRenamed("event_type", "action"))
 
 
+@register("select event_type as action, count(*) as n from events group by event_type")
+def a17_observed_counters(spark, sf_dir):
+    """Counts that come with writing the rows elsewhere, without a second scan."""
+    kinds = ("view", "signup", "click", "error", "purchase")
+    counted, told = stats.observed_counters(table(spark, sf_dir, "events"), "event_type", kinds)
+    written(counted, "events")
+    return spark.createDataFrame([(k, n) for k, n in told.get.items() if n], "action string, n long")
+
+
 def _recent_sql(types: str, k: int, key: str = "docket_id") -> str:
     return f"{WITH}, r as (select {key}, doc_id, cast(date_posted as varchar) as date_posted, row_number() over (partition by {key} order by date_posted desc nulls last, doc_id) as rank from docs where type in ({types})) select {key}, doc_id, date_posted, cast(rank as int) as rank from r where rank <= {k}"
 
@@ -155,6 +164,14 @@ def w1_recent_comments(spark, sf_dir):
     return text_dates(stats.recent(b.docs(spark, sf_dir), "comment_on_id", 5, ("public_submission",)).select("comment_on_id", "doc_id", "date_posted", "rank"))
 
 
+@register(_recent_sql("'public_submission'", 5, "comment_on_id"))
+def a11_merged_recent(spark, sf_dir):
+    """The recent comments of even documents merged with those of odd ones: the same as one full run."""
+    docs = b.docs(spark, sf_dir)
+    old, new = (stats.recent_rows(docs.where(F.floor(F.col("doc_id") / 3) % 2 == k), "comment_on_id", 5, ("public_submission",)) for k in (0, 1))
+    return text_dates(stats.merge_recent(old, new, "comment_on_id", 5))
+
+
 @register(_recent_sql("'notice', 'rule', 'proposed_rule'", 2147483647))
 def w2_fr_docs(spark, sf_dir):
     return text_dates(stats.fr_docs(b.docs(spark, sf_dir), "docket_id").select("docket_id", "doc_id", "date_posted", "rank"))

@@ -25,7 +25,7 @@ def register(sql: str | None = None):
 
 
 def _load() -> None:
-    from docketlake.plans import queries_records, queries_similarity, queries_stats, queries_text  # noqa: F401
+    from docketlake.plans import queries_records, queries_similarity, queries_stats, queries_streams, queries_text  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,13 +109,17 @@ def export_bulk_text(docs: DataFrame, dockets: DataFrame, folder: str) -> None:
         df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.partitionBy("agency", "docket_id").mode("overwrite").json(f"{folder}/{name}")
 
 
-def search_lines(records: DataFrame, kind: str) -> DataFrame:
-    """(value): an index command and a record, a line each, for every record that is fed."""
+def search_line(records: DataFrame, kind: str) -> Column:
+    """An index command and a record, a line each."""
     key, parent = ("doc_id", "docket_id") if kind == "document" else ("docket_id", None)
     command = F.to_json(F.struct(F.struct(F.lit(kind).alias("_type"), F.col(key).alias("_id"), *([F.col(parent).alias("_parent")] if parent else [])).alias("index")))
-    body = F.to_json(F.struct(*(c for c in records.columns if c != "in_feed")))
+    return F.concat(command, F.lit("\n"), F.to_json(F.struct(*(c for c in records.columns if c != "in_feed"))))
+
+
+def search_lines(records: DataFrame, kind: str) -> DataFrame:
+    """(value): the lines of every record that is fed."""
     fed = records.where("in_feed") if "in_feed" in records.columns else records
-    return fed.select(F.concat(command, F.lit("\n"), body).alias("value"))
+    return fed.select(search_line(records, kind).alias("value"))
 
 
 def write_search_feed(records: DataFrame, kind: str, path: str, batch: int = 200) -> None:

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from docketlake.functions.text import truthy
 from docketlake.operators import entities, stats, views
+from docketlake.sources import feed, sinks
 from docketlake.streaming.store import BucketStore
 
 
@@ -133,7 +134,7 @@ ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
-def stream_new(feed: DataFrame, target: str, checkpoint: str, known: Callable[[SparkSession], DataFrame] | None = None, days: int = 1) -> StreamingQuery:
+def stream_new(harvest: DataFrame, target: str, checkpoint: str, known: Callable[[SparkSession], DataFrame] | None = None, days: int = 1) -> StreamingQuery:
     """A harvest: each id once, whatever files it comes in, unless it is withdrawn, stored already (``known``: doc_id, date_posted) or dated more than ``days``
     before the high-water date: the latest one stored when the run starts, or met since.
 
@@ -141,21 +142,21 @@ def stream_new(feed: DataFrame, target: str, checkpoint: str, known: Callable[[S
     passes its date, for from then on a row of that date is late. Undated rows are never late, and their ids stay. A feed without dates has no watermark. A batch
     that runs again replaces its own rows.
     """
-    spark = feed.sparkSession
-    usable = feed.where(F.coalesce("status", F.lit("")) != "Withdrawn")
+    spark = harvest.sparkSession
+    usable = harvest.where(F.coalesce("status", F.lit("")) != "Withdrawn")
     if known:
         there = known(spark)
         usable = usable.join(there.select("doc_id").distinct(), "doc_id", "left_anti")
-        high = there.agg(F.date_sub(F.max("date_posted"), days)).first()[0] if "date_posted" in feed.columns else None
+        high = there.agg(F.date_sub(F.max("date_posted"), days)).first()[0] if "date_posted" in harvest.columns else None
         usable = usable.where(F.col("date_posted").isNull() | (F.col("date_posted") >= F.lit(high))) if high else usable
-    posted = F.col("date_posted").cast("timestamp") if "date_posted" in feed.columns else F.lit(None).cast("timestamp")
+    posted = F.col("date_posted").cast("timestamp") if "date_posted" in harvest.columns else F.lit(None).cast("timestamp")
     timed = usable.withColumn(EVENT, posted)
-    if "date_posted" in feed.columns:
+    if "date_posted" in harvest.columns:
         timed = timed.withWatermark(EVENT, f"{days} days 1 millisecond")  # a row at the watermark itself would be late
     fields = [f for f in timed.schema.fields]
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
-    mode = "EventTime" if "date_posted" in feed.columns else "None"
-    fresh = timed.groupBy("doc_id").transformWithStateInPandas(_FirstSeen([f.name for f in fields]), outputStructType=schema, outputMode="Append", timeMode=mode).select(*feed.columns)
+    mode = "EventTime" if "date_posted" in harvest.columns else "None"
+    fresh = timed.groupBy("doc_id").transformWithStateInPandas(_FirstSeen([f.name for f in fields]), outputStructType=schema, outputMode="Append", timeMode=mode).select(*harvest.columns)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(_version(target, batch_id))
@@ -180,13 +181,10 @@ def stream_matches(texts: DataFrame, aliases: DataFrame, target: str, checkpoint
 
 
 def stream_feed(records: DataFrame, kind: str, target: str, checkpoint: str, flag: str = "in_search_index") -> StreamingQuery:
-    """Search feed: each batch's records that are not in the index, as lines."""
-    from docketlake.sources.sinks import write_search_feed
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        rows = pending(batch, flag)
-        write_search_feed(rows.drop(flag), kind, _version(target, batch_id))
-        if "doc_id" in rows.columns:
-            _flag_batch(rows, batch_id, target)
-
-    return records.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    """Search feed: the records that are not in the index, as lines, and the ids of all that were looked at, by a sink that commits both once a batch."""
+    feed.register(records.sparkSession)
+    rows = pending(records, flag).drop(flag)
+    line = sinks.search_line(rows, kind)
+    fed = F.when(F.coalesce("in_feed", F.lit(False)), line) if "in_feed" in rows.columns else line
+    key = F.col("doc_id" if kind == "document" else "docket_id").alias("doc_id")
+    return rows.select(key, fed.alias("value")).writeStream.format("search_feed").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
