@@ -72,6 +72,7 @@ def within_ratio(a: Col, b: Col, ratio: float) -> Column:
 
 def extract_comment(raw: Col) -> Column:
     """What follows a comment marker, up to a rule of equals signs; the whole text where there is no marker."""
+    # a fixed value: the marker before a comment and the rule after it
     pattern = r"(?s)Comments? ?(?:\*+|:)(.*?)(?:===+.*)?$"
     return strip(F.when(_c(raw).rlike(pattern), F.regexp_extract(_c(raw), pattern, 1)).otherwise(_c(raw)))
 
@@ -122,6 +123,7 @@ def crockford_hash(x: Col) -> Column:
 
 
 def docket_year(docket_id: Col) -> Column:
+    # a fixed value: how docket ids hold their year
     return or_null(F.regexp_extract(_c(docket_id), r"[_-](\d{4})[_-]", 1)).cast("int")
 
 
@@ -150,9 +152,25 @@ def dotted_key(label: Col) -> Column:
 
 #: Document types of the sources, by their own names.
 DOC_TYPES = {"FR": "rule", "PR": "proposed_rule", "N": "notice", "PS": "public_submission", "SR": "supporting_material", "O": "other", "Rule": "rule", "Proposed Rule": "proposed_rule", "Notice": "notice", "Public Submission": "public_submission", "Supporting & Related Material": "supporting_material", "Other": "other"}
+#: The names that records give the same types in capitals.
+RECORD_TYPES = {"PROPOSED_RULES": "proposed_rule", "RULES": "rule", "NOTICES": "notice", "OTHER": "other"}
+#: Document types of the second pair of sources, by their own names.
+IMPORT_TYPES = {
+    "notice": "notice", "other": "other", "proposed_rule": "proposed_rule", "public_submission": "public_submission", "rule": "rule", "General CFTC": "other", "Industry Filing": "other",
+    "Orders and Other Announcements": "other", "Press Release": "other", "Privacy Act Systems": "other", "Proposed Rule": "proposed_rule", "Public Information Collection": "notice", "Sunshine Act": "other",
+    "concept": "notice", "final": "rule", "interim-final-temp": "rule", "interp": "notice", "petitions": "other", "policy": "other", "proposed": "proposed_rule", "Federal Register Release": "notice",
+}
+#: File types by the ends of names.
+FILE_TYPES = {"pdf": "xpdf", "html": "html", "htm": "html"}
 FR_TYPES = ("notice", "rule", "proposed_rule")
 
 
+def file_type(url: Col) -> Column:
+    """The type of a file by the letters that its address ends in after a dot; other ends stay as they are; html where there is none."""
+    end = or_null(F.regexp_extract(_c(url), r"\.([A-Za-z]+)$", 1))
+    return F.coalesce(mapped(end, FILE_TYPES), end, F.lit("html"))
+
+
 def mapped(x: Col, pairs: dict[str, str], default: str | None = None) -> Column:
     """A value by a fixed map."""
     table = F.create_map(*(F.lit(v) for kv in pairs.items() for v in kv))

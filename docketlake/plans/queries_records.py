@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from docketlake.operators import normalize, reconcile, resolve, search, views
 from docketlake.plans import bindings as b
 from docketlake.plans.registry import register
-from docketlake.session import table
-from docketlake.sources import sinks
+from docketlake.session import scratch, table
+from docketlake.sources import collection, sinks
 
 def now():
     return F.lit("2024-06-01").cast("date")
@@ -36,6 +38,15 @@ def j1_reconcile(spark, sf_dir):
     return reconcile.reconcile(_store(spark, sf_dir), _dump(spark, sf_dir), now())
 
 
+@register("select doc_id, n_chars from documents where source = (select max(source) from documents) and lang = 'en' and doc_id % 7 <> 0")
+def s2_scan_docs(spark, sf_dir):
+    """A scope of the stored collection: a partition, a docket, undeleted, two columns."""
+    docs = table(spark, sf_dir, "documents").withColumnsRenamed({"lang": "agency", "source": "docket_id"}).withColumn("deleted", F.col("doc_id") % 7 == 0)
+    name = f"collection_{uuid.uuid4().hex}"
+    collection.write_collection(docs, name, path=scratch(spark, "collection"), buckets=8)
+    return collection.scan_docs(spark, name, agency="en", docket=docs.agg(F.max("docket_id")).first()[0], columns=("doc_id", "n_chars"))
+
+
 @register(f"with {RECONCILED} select coalesce(a.doc_id, s.doc_id) as doc_id, case when action in ('repaired', 'new') then 'no' else s.scraped end as scraped, case when action = 'deleted' then true when action = 'new' then false else coalesce(s.deleted, false) end as deleted, case when action in ('repaired', 'updated', 'new') then '2024-06-01' else '2024-01-01' end as last_seen from store s full join (select * from actions where action is not null) a on a.doc_id = s.doc_id")
 def j1_apply_actions(spark, sf_dir):
     store = _store(spark, sf_dir)

@@ -104,6 +104,21 @@ def m14_doc_type_map(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), t.mapped(F.when(F.col("o_orderstatus") == "F", "FR").otherwise(F.col("o_orderstatus")), t.DOC_TYPES, "unknown").alias("type"))
 
 
+@register("select page_id, case page_id % 5 when 0 then 'xpdf' when 1 then 'html' when 2 then 'html' when 3 then 'docx' else 'html' end as type from pages")
+def m14_file_type_map(spark, sf_dir):
+    """File types of pages' addresses with an end of a file's name put to them; a fifth has none."""
+    end = F.element_at(F.array(F.lit(".pdf"), F.lit(".htm"), F.lit("/index.txt?a=1.5"), F.lit(".docx"), F.lit("/")), (F.col("page_id") % 5 + 1).cast("int"))
+    return table(spark, sf_dir, "pages").select("page_id", t.file_type(F.concat(F.regexp_replace("url", r"\.", "-"), end)).alias("type"))
+
+
+@register("select page_id, c_type as type from (select page_id, case page_id % 6 when 0 then 'notice' when 1 then 'rule' when 2 then 'rule' when 3 then 'proposed_rule' when 4 then 'other' end as c_type from pages) where c_type is not null")
+def m14_import_type_map(spark, sf_dir):
+    """Types of the second pair of sources, and records' names in capitals."""
+    name = F.element_at(F.array(*map(F.lit, ("concept", "final", "RULES", "proposed", "OTHER", "no such type"))), (F.col("page_id") % 6 + 1).cast("int"))
+    found = F.coalesce(t.mapped(name, t.IMPORT_TYPES), t.mapped(name, t.RECORD_TYPES))
+    return table(spark, sf_dir, "pages").select("page_id", found.alias("type")).where("type is not null")
+
+
 @register("select page_id, regexp_replace(url, '#.*', '') as clean, coalesce(nullif(lower(regexp_extract(regexp_replace(url, '#.*', ''), '/[^/?]*\\.([A-Za-z]+)$', 1)), ''), 'html') as type from pages")
 def m15_view_from_url(spark, sf_dir):
     p = table(spark, sf_dir, "pages").select("page_id", normalize.view_from_url(F.col("url")).alias("v"))

@@ -6,7 +6,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from docketlake.operators import reconcile
 from docketlake.sources import dumps, feed, readers
+from docketlake.sources.collection import scan_docs, write_collection
 from docketlake.streaming import incremental
 
 
@@ -95,3 +97,45 @@ def test_a_stream_feeds_what_is_new_over_restarts(spark, tmp_path):
     assert run(0, 100) == 88 and run(100, 150) == 133
     docs = spark.range(200).select(F.col("id").alias("doc_id"))
     assert incremental.processed(docs, str(tmp_path / "feed"), "in_search_index").where("in_search_index").count() == 150
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def collection(spark, tmp_path):
+    docs = spark.range(200).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "EPA").otherwise("FCC").alias("agency"), F.concat(F.lit("k"), F.col("id") % 5).alias("docket_id"), F.lit("s").alias("source"), F.lit("rule").alias("type"), F.when(F.col("id") % 11 == 0, True).alias("deleted"), F.struct(F.col("id").cast("string").alias("org"), F.lit("x" * 50).alias("text")).alias("details"),
+        F.lit("yes").alias("scraped"), F.lit("2024-01-01").cast("date").alias("last_seen"), F.lit(1).alias("n_attachments"), F.lit(False).alias("failed_download"))
+    write_collection(docs, "docs_of_test", path=str(tmp_path / "docs"), buckets=8)
+    yield docs
+    spark.sql("drop table docs_of_test")
+
+
+def test_scans_by_scope_prune_files_and_columns(spark, collection):
+    got = scan_docs(spark, "docs_of_test", agency="EPA", docket="k2", columns=("doc_id", "details.org"))
+    assert rows(got) == sorted(((i, str(i)) for i in range(200) if i % 3 == 0 and i % 5 == 2 and i % 11), key=str)
+    text = plan(got)
+    assert "agency" in text.split("PartitionFilters:")[1].split("]")[0] and "EqualTo(docket_id,k2)" in text
+    read = text.split("ReadSchema:")[1].split("\n")[0]
+    assert "details:struct<org:string>" in read and "source" not in read and "type" not in read
+    assert scan_docs(spark, "docs_of_test", deleted=True).count() == 200 and scan_docs(spark, "docs_of_test", agency="none").count() == 0
+
+
+def test_joins_by_id_do_not_move_the_store(spark, collection):
+    """Reconciling and inserting what is absent: the only exchange is that of the rows that come in."""
+    dump = spark.range(100, 300).select(F.col("id").alias("doc_id"), F.lit("Posted").alias("status"), F.lit(1).alias("n_attachments"))
+    store = scan_docs(spark, "docs_of_test", deleted=True)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = reconcile.reconcile(store, dump, F.lit("2024-06-01").cast("date"))
+        assert plan(got).count("Exchange") == 1
+        assert rows(got) == rows(reconcile.reconcile(collection, dump, F.lit("2024-06-01").cast("date")))
+        fresh = dump.join(store.select("doc_id"), "doc_id", "left_anti")
+        assert plan(fresh).count("Exchange") == 1 and fresh.count() == 100
+        parent = store.select("doc_id", "agency").join(dump.select("doc_id", "status"), "doc_id", "left")
+        assert plan(parent).count("Exchange") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
