@@ -245,3 +245,16 @@ def test_pipeline_stages_take_odd_tables(spark, sf_dir, odd_docs, no_docs):
             out = stage(spark, docs, sf_dir)
             assert out.columns == docs.columns and out.count() <= docs.count()
         assert {r["doc_id"] for r in corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()} == {r["doc_id"] for r in docs.collect()}
+
+
+def test_one_id_with_different_texts_is_cut_by_one_of_them(spark):
+    a, b = " ".join(prose(200)), " ".join(prose(300))
+    rows = [(1, a), (2, a), (2, "short text here"), (2, b), (2, a), (3, b), (None, a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for _ in range(2):
+        got = [tuple(r) for r in substring.deduplicate(df.repartition(3), count_col=None).collect()]
+        own = sorted(t for i, t in got if i == 2)
+        assert len(got) == len(rows) and (1, a) in got and (None, a) in got and "short text here" in own
+        counted = substring._texts(df.where("doc_id is not null")).join(df.selectExpr("text", "xxhash64(text) as text_hash"), "text_hash").select("text").distinct().first()[0]
+        assert own == sorted(["", "short text here", b, ""] if counted == a else ["short text here", a, a, b])
+        assert (3, "") in got if counted == b else (3, b) in got
