@@ -33,7 +33,7 @@ class Settings:
     audited a shard; share of their links to be found; how far below the least cosine the flood still goes on."""
 
     cosine: float = 0.9
-    shard: int = 16_384
+    shard: int = 32_768
     links: int = 12
     build_beam: int = 40
     beam: int = 32
