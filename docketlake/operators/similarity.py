@@ -226,19 +226,9 @@ def grow(pairs: DataFrame, clusters: DataFrame, seed: int, *, keep: float = 0.5,
 
 
 def gram_ids(sets: DataFrame) -> DataFrame:
-    """(gram, gram_id): dense ids from 1 in order of first place (document, then position). For display: the numbering counts
-    rows a range partition first, so no task sees all grams."""
+    """(gram, gram_id): dense ids from 1 in order of first place (document, then position), numbered over range partitions."""
     first = sets.select("doc_id", F.posexplode("grams").alias("pos", "gram")).groupBy("gram").agg(F.min(F.struct("doc_id", "pos")).alias("at"))
-    ordered = first.repartitionByRange("at").sortWithinPartitions("at").withColumn("part", F.spark_partition_id())
-    ordered = ordered.withColumn("k", F.monotonically_increasing_id() - F.shiftleft(F.col("part").cast("long"), 33))
-    ordered = written(ordered.select("gram", "part", "k"), "gram-ids")  # numbered once, so that both uses see the same partitions
-    sizes = ordered.groupBy("part").agg(F.max("k").alias("last")).orderBy("part").collect()  # a row a partition
-    bases, base = [(-1, 0)], 0
-    for r in sizes:
-        bases.append((r["part"], base))
-        base += r["last"] + 1
-    start = F.element_at(F.create_map(*(F.lit(v) for kv in bases for v in kv)), F.col("part"))
-    return ordered.select("gram", (start + F.col("k") + 1).cast("long").alias("gram_id"))
+    return numbered(first, [F.col("at")], "k").select("gram", (F.col("k") + 1).cast("long").alias("gram_id"))
 
 
 def prefix_length(size: int, min_jaccard: float) -> int:
