@@ -68,14 +68,14 @@ def word_list(spark: SparkSession, dictionary: str, names: str | None = None) ->
 
 
 def spreadsheet(spark: SparkSession, path: str, row_tag: str = "Row") -> DataFrame:
-    """(row_no, field, value) of a spreadsheet's XML rows: the first row names the fields, rows without data are dropped."""
+    """(row_no, field, value) of the XML rows of a spreadsheet, or of several: each file's first row names its fields, rows without data are dropped."""
     rows = spark.read.format("xml").option("rowTag", row_tag).schema("Cell array<struct<Data:string,_Formula:string>>").load(path)
-    numbered = rows.withColumn("row_no", F.monotonically_increasing_id())
-    first = numbered.orderBy("row_no").limit(1).select(F.posexplode("Cell").alias("pos", "c")).select("pos", F.lower(F.regexp_replace(F.trim("c.Data"), r"\s+", "_")).alias("field"))
-    cells = numbered.select("row_no", F.posexplode("Cell").alias("pos", "c")).select("row_no", "pos", F.coalesce("c._Formula", "c.Data").alias("value"))
-    given = cells.where("value is not null and trim(value) <> ''").join(F.broadcast(first), "pos")  # one row's cells
-    top = numbered.agg(F.min("row_no").alias("top")).first()["top"]
-    return given.where(F.col("row_no") != F.lit(top)).select("row_no", "field", "value")
+    numbered = rows.select("Cell", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row_no"))
+    first = numbered.groupBy("file").agg(F.min(F.struct("block", "row_no", "Cell")).alias("top")).select("file", F.col("top.row_no").alias("top"), F.posexplode("top.Cell").alias("pos", "c"))
+    names = first.select("file", "top", "pos", F.lower(F.regexp_replace(F.trim("c.Data"), r"\s+", "_")).alias("field"))
+    cells = numbered.select("file", "row_no", F.posexplode("Cell").alias("pos", "c")).select("file", "row_no", "pos", F.coalesce("c._Formula", "c.Data").alias("value"))
+    given = cells.where("value is not null and trim(value) <> ''").join(names, ["file", "pos"])
+    return given.where(F.col("row_no") != F.col("top")).select("row_no", "field", "value")
 
 
 def spreadsheet_records(cells: DataFrame) -> DataFrame:

@@ -139,3 +139,17 @@ def test_joins_by_id_do_not_move_the_store(spark, collection):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_spreadsheets_of_several_files_have_their_own_headers(spark, tmp_path):
+    def sheet(name, *lines):
+        cells = lambda line: "".join(f"<Cell><Data>{x}</Data></Cell>" if x is not None else "<Cell></Cell>" for x in line)
+        (tmp_path / name).write_text("<Table>" + "".join(f"<Row>{cells(line)}</Row>" for line in lines) + "</Table>")
+
+    sheet("a.xml", ("First Name", "Zip"), ("Ann", "1"), (None, "2"))
+    sheet("b.xml", ("Zip", " First  Name ", "Note"), ("3", "Bob", "x"), (None, None, None))
+    got = readers.spreadsheet(spark, str(tmp_path)).collect()
+    by_row = {}
+    for r in got:
+        by_row.setdefault(r["row_no"], {})[r["field"]] = r["value"]
+    assert sorted(by_row.values(), key=str) == sorted([{"first_name": "Ann", "zip": "1"}, {"zip": "2"}, {"zip": "3", "first_name": "Bob", "note": "x"}], key=str)
