@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -180,6 +181,53 @@ def test_recall_of_edited_passages_against_brute_force(spark):
     assert found <= {(a, b) for a, b, _ in pairs}
 
 
+def test_recall_of_edited_passages_whose_slices_recur(spark):
+    """As above, but slices of each passage also stand in earlier documents, which hold the first place of its seeds; and in some between the two."""
+    docs, pairs, at = {}, {}, 0
+    for size in (15, 20, 30):
+        for k in range(30):
+            passage = prose(rnd.randint(60, 100))
+            slices = [passage[i : i + size] for i in range(0, len(passage), size)]
+            for part in slices:
+                docs[at] = prose(40) + part + prose(40)
+                at += 1
+            docs[at] = prose(60) + passage + prose(60)
+            if k % 2:
+                docs[at + 1] = prose(50) + slices[1] + prose(50)
+            docs[at + 2] = prose(50) + edited(passage, len(passage) // 12) + prose(70)
+            pairs[at + 2] = (at, size)
+            at += 3
+    got = substring.repeated_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string").repartition(5)).collect()
+    for size in (15, 20, 30):
+        asked = {b: a for b, (a, n) in pairs.items() if n == size}
+        found = {r["doc_id"] for r in got if asked.get(r["doc_id"]) == r["source_id"]}
+        assert len(found) >= 0.9 * len(asked), (size, len(found))
+    assert {r["doc_id"] for r in got} <= set(pairs)
+
+
+def test_matches_name_the_last_documents_before_a_place():
+    """Whatever the batches, against a plain loop."""
+    rows = sorted({(rnd.randrange(4), rnd.randrange(9), rnd.randrange(40)) for _ in range(150)})
+
+    def batches(size):
+        for i in range(0, len(rows), size):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[i : i + size], strict=True)], ["seed", "doc_id", "place"])
+
+    want = []
+    for seed, doc, place in rows:
+        firsts = {}
+        for s, d, p in rows:
+            if s == seed and d < doc:
+                firsts.setdefault(d, p)
+        if firsts:
+            anchor = min(firsts)
+            last = sorted(firsts.items(), reverse=True)[:2] + [(anchor, -1)] * 2
+            want.append((doc, anchor, place, firsts[anchor], *last[0], *last[1]))
+    for size in (1, 7, 1000):
+        found = [tuple(r.values()) for b in substring._matches(2)(batches(size)) for r in b.to_pylist()]
+        assert found == want
+
+
 def test_chains_have_the_best_value():
     """Of matches that do not overlap."""
     s = substring.Settings()
