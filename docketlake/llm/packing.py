@@ -2,11 +2,13 @@
 
 An item is a run of a document's token ids with three demands: tokens, one segment, and loss-bearing tokens. A sequence is
 a bin with a limit on each. The next item for an open sequence is the one, among those that fit, whose demand has the largest
-dot product with what the sequence has left, both as shares of the limits. When nothing fits, an item is cut to fill it.
+dot product with what the sequence has left, both as shares of the limits. All items need one segment, so the product alone leaves the short ones; where these
+would use up the segments, a sequence begins with half its segments of the shortest. When nothing fits, or one segment is left, an item is cut to fill it.
 
 Loss-bearing ids are those after a document's context (a prompt, or a document's first line), which is given as input.
-The default limits bind: of 4096 tokens at most 4032 bear loss and at most 16 segments share a sequence, both below
-what a window can offer; what is left beside a full load of loss goes to contexts, cut to fit.
+The default limits bind: of 4096 tokens at most 4092 bear loss and at most 16 segments share a sequence, both below
+what a window can offer; what is left beside a full load of loss goes to contexts, cut to fit. Where none wait, these last tokens are
+padded (0.1 % at most), for a sequence so full is never split.
 
 Each task packs the documents of its own partition from a window of bounded size, so there is no shuffle, no group and
 no driver state, and a lost task is simply run again. What is left at a partition's end, or where nothing fits any more, is cut at
@@ -34,13 +36,15 @@ SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 @dataclass(frozen=True)
 class Limits:
-    """Limits of a sequence; window: items that wait at most; min_piece: shorter gaps are padded instead of cutting an item."""
+    """Limits of a sequence; window: items that wait at most; min_piece: shorter gaps are padded instead of cutting an item, if they need not be; pad: gaps up to
+    this are padded where nothing that waits may fill them, instead of splitting the sequence."""
 
     tokens: int = 4096
     segments: int = 16
-    loss_tokens: int = 4032
+    loss_tokens: int = 4092
     window: int = 256
     min_piece: int = 4
+    pad: int = 4
 
 
 class Packer:
@@ -84,7 +88,13 @@ class Packer:
         left = np.array([lim.tokens, lim.segments, lim.loss_tokens], dtype=np.float64)
         caps = np.array([lim.tokens, lim.segments, lim.loss_tokens], dtype=np.float64)
         share, chosen = need / caps, []
-        while left[0] and left[1]:
+        if 2 * len(need) * lim.tokens > lim.segments * need[:, 0].sum():  # so many short ones wait that they would be left without long ones
+            for i in np.argsort(need[:, 0], kind="stable")[: lim.segments // 2].tolist():
+                if (need[i] <= left).all():
+                    free[i] = False
+                    left -= need[i]
+                    chosen.append(self.items[i])
+        while left[0] and left[1] > 1:  # the last segment is for what fills the sequence best
             fits = free & (need <= left).all(axis=1)
             if not fits.any():
                 break
@@ -95,20 +105,20 @@ class Packer:
             chosen.append(self.items[best])
         self.items = [x for x, keep in zip(self.items, free, strict=True) if keep]
         gap = int(left[0])
-        while gap >= lim.min_piece and left[1] and self.items:
+        while gap and left[1] and self.items:
             cuts = [self.cut(x, gap, int(left[2])) for x in self.items]
             best = max(range(len(cuts)), key=lambda i: (cuts[i], self.items[i][2]))
             cut = cuts[best]
-            if cut < lim.min_piece:
-                break
             key, start, length, loss_from = self.items[best]
+            if not cut or cut < min(lim.min_piece, length) and not gap > lim.pad >= gap - cut:
+                break
             chosen.append((key, start, cut, loss_from))
             self.items[best] = (key, start + cut, length - cut, loss_from)
             if cut == length:
                 self.items.pop(best)
             left -= (cut, 1, self.loss(start, cut, loss_from))
             gap -= cut
-        if gap < lim.min_piece:
+        if gap <= max(lim.pad, lim.min_piece - 1):
             yield chosen
         else:
             yield from self.powers(chosen)

@@ -182,6 +182,31 @@ def test_dot_product_differs_from_the_largest_that_fits():
     assert [x[0] for x in first[:2]] == [0, 2]
 
 
+@pytest.mark.parametrize("one_line", [False, True])
+def test_few_more_sequences_than_the_ids_fill(one_line):
+    """Many short documents beside long ones, with and without contexts."""
+    rnd, limits = random.Random(5), packing.Limits()
+    packer, out = packing.Packer(limits), []
+    sizes = [rnd.choice((rnd.randint(1, 60), rnd.randint(100, 1500), int(rnd.lognormvariate(6.5, 1.3)) + 1)) for _ in range(5000)]
+    for k, n in enumerate(sizes):
+        out += packer.add(k, n, 0 if one_line else rnd.randint(0, min(n, 20)))
+    out += packer.end()
+    assert len(out) <= 1.01 * sum(sizes) / limits.tokens + 10
+    assert any(sum(packing.Packer.loss(*x[1:]) for x in s) == limits.loss_tokens for s in out)
+
+
+def test_segments_bind_where_all_documents_are_short():
+    def sequences(limits):
+        packer, out = packing.Packer(limits), []
+        for k in range(3000):
+            out += packer.add(k, 1 + k % 40)
+        return [*out, *packer.end()]
+
+    out = sequences(packing.Limits())
+    assert max(map(len, out)) <= 16 and all(n & (n - 1) == 0 or n >= 4092 for n in (sum(x[2] for x in s) for s in out))
+    assert len(out) > 5 * len(sequences(packing.Limits(segments=4096)))
+
+
 def test_all_limits_bind_in_the_registered_query(spark, sf_dir):
     from docketlake.llm.queries import op1_packing
 
