@@ -6,9 +6,9 @@ dot product with what the sequence has left, both as shares of the limits. All i
 would use up the segments, a sequence begins with half its segments of the shortest. When nothing fits, or one segment is left, an item is cut to fill it.
 
 Loss-bearing ids are those after a document's context (a prompt, or a document's first line), which is given as input.
-The default limits bind: of 4096 tokens at most 4092 bear loss and at most 16 segments share a sequence, both below
+The default limits bind: of 4096 tokens at most 4072 bear loss and at most 16 segments share a sequence, both below
 what a window can offer; what is left beside a full load of loss goes to contexts, cut to fit. Where none wait, these last tokens are
-padded (0.1 % at most), for a sequence so full is never split.
+padded (0.6 % at most), for a sequence so full is never split.
 
 Each task packs the documents of its own partition from a window of bounded size, so there is no shuffle, no group and
 no driver state, and a lost task is simply run again. What is left at a partition's end, or where nothing fits any more, is cut at
@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +41,10 @@ class Limits:
 
     tokens: int = 4096
     segments: int = 16
-    loss_tokens: int = 4092
+    loss_tokens: int = 4072
     window: int = 256
     min_piece: int = 4
-    pad: int = 4
+    pad: int = 24
 
 
 class Packer:
@@ -208,7 +208,7 @@ def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", con
 
     A document's ids: those of its context (which bear no loss), of its text, and the end id. The context is context_col (a
     conversation's prompt; null: empty), or the text's first line where first_line_is_context, which needs a tokenizer that drops
-    white space; else there is none and all ids bear loss.
+    white space; else there is none and all ids bear loss; the limit on these is then that on tokens, if no limits are given.
 
     Columns: doc_id, start, length, ids_crc32 (of the piece's ids as little-endian 32-bit), doc_tokens, sequence_id, offset
     (gapless from 0 in its sequence), segment, loss_tokens, and ids (binary, where keep_ids).
@@ -218,10 +218,12 @@ def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", con
     their names.
     """
     ship(docs.sparkSession)
+    whole = Limits()
+    limits = limits or (whole if context_col or first_line_is_context else replace(whole, loss_tokens=whole.tokens))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     context = F.coalesce(F.col(context_col).cast("string"), F.lit("")) if context_col else F.lit("")
     if first_line_is_context:
         context, text = first_line(text)
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), context.alias("context"))
-    run = _packed(tokenizer or default_path("word_bpe_49k.json"), end_id, limits or Limits(), keep_ids)
+    run = _packed(tokenizer or default_path("word_bpe_49k.json"), end_id, limits, keep_ids)
     return given.transform(mapped, run, SCHEMA + (", ids binary" if keep_ids else ""))

@@ -203,7 +203,7 @@ def test_segments_bind_where_all_documents_are_short():
         return [*out, *packer.end()]
 
     out = sequences(packing.Limits())
-    assert max(map(len, out)) <= 16 and all(n & (n - 1) == 0 or n >= 4092 for n in (sum(x[2] for x in s) for s in out))
+    assert max(map(len, out)) <= 16 and all(n & (n - 1) == 0 or n >= 4072 for n in (sum(x[2] for x in s) for s in out))
     assert len(out) > 5 * len(sequences(packing.Limits(segments=4096)))
 
 
