@@ -83,7 +83,8 @@ class Packer:
     def fill(self) -> Iterator[list[tuple]]:
         """One sequence, or more of power-of-two lengths where it cannot be filled."""
         lim = self.limits
-        need = np.array([(x[2], 1, self.loss(*x[1:])) for x in self.items], dtype=np.float64)
+        start, length, loss_from = np.array([x[1:] for x in self.items], dtype=np.int64).T
+        need = np.stack([length, np.ones_like(length), np.minimum(length, np.maximum(0, start + length - loss_from))], axis=1).astype(np.float64)
         free = np.ones(len(need), dtype=bool)
         left = np.array([lim.tokens, lim.segments, lim.loss_tokens], dtype=np.float64)
         caps = np.array([lim.tokens, lim.segments, lim.loss_tokens], dtype=np.float64)
@@ -103,31 +104,25 @@ class Packer:
             free[best] = False
             left -= need[best]
             chosen.append(self.items[best])
-        self.items = [x for x, keep in zip(self.items, free, strict=True) if keep]
         gap = int(left[0])
-        while gap and left[1] and self.items:
-            cuts = [self.cut(x, gap, int(left[2])) for x in self.items]
-            best = max(range(len(cuts)), key=lambda i: (cuts[i], self.items[i][2]))
-            cut = cuts[best]
-            key, start, length, loss_from = self.items[best]
-            if not cut or cut < min(lim.min_piece, length) and not gap > lim.pad >= gap - cut:
+        while gap and left[1] and free.any():
+            cuts = np.where(free, np.minimum(np.minimum(gap, length), np.maximum(0, loss_from - start) + int(left[2])), -1)
+            best = int((cuts * (lim.tokens + 1) + length).argmax())  # the longest of those that fill most
+            key, at, n, edge = self.items[best]
+            cut = int(cuts[best])
+            if not cut or cut < min(lim.min_piece, n) and not gap > lim.pad >= gap - cut:
                 break
-            chosen.append((key, start, cut, loss_from))
-            self.items[best] = (key, start + cut, length - cut, loss_from)
-            if cut == length:
-                self.items.pop(best)
-            left -= (cut, 1, self.loss(start, cut, loss_from))
+            chosen.append((key, at, cut, edge))
+            self.items[best] = (key, at + cut, n - cut, edge)
+            start[best], length[best], free[best] = at + cut, n - cut, cut < n
+            left -= (cut, 1, self.loss(at, cut, edge))
             gap -= cut
+        self.items = [x for x, keep in zip(self.items, free, strict=True) if keep]
         if gap <= max(lim.pad, lim.min_piece - 1):
             yield chosen
         else:
             yield from self.powers(chosen)
 
-    def cut(self, item: tuple, gap: int, loss_left: int) -> int:
-        """How many leading ids of an item fit into what is left."""
-        _, start, length, loss_from = item
-        return min(gap, length, max(0, loss_from - start) + loss_left)
-
     def powers(self, chosen: list[tuple]) -> Iterator[list[tuple]]:
         """The same ids as sequences of falling power-of-two lengths."""
         total = sum(x[2] for x in chosen)
