@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketlake.session import table
+from docketlake.session import spread, table
 
 #: The same bindings in SQL, for the twins.
 DOCS = """docs as (select o.o_orderkey as doc_id, o.o_custkey as docket_id, n.n_name as agency,
@@ -43,10 +43,11 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities of each document, text and submitters in one pass over the line items, by document."""
     li = table(spark, sf_dir, "lineitem")
-    text = li.select(F.col("l_orderkey").alias("doc_id"), F.col("l_partkey").alias("entity_id")).distinct().withColumn("mention", F.lit("text"))
-    by = li.where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("doc_id"), F.col("l_suppkey").alias("entity_id")).distinct().withColumn("mention", F.lit("submitter"))
-    return text.unionByName(by)
+    entity = lambda key, mention: F.struct(F.col(key).alias("entity_id"), F.lit(mention).alias("mention"))
+    both = F.array_compact(F.array(entity("l_partkey", "text"), F.when(F.col("l_returnflag") == "R", entity("l_suppkey", "submitter"))))
+    return spread(li.select(F.col("l_orderkey").alias("doc_id"), F.explode(both).alias("e")).select("doc_id", "e.*"), li, "doc_id").distinct()
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:

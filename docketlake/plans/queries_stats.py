@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from docketlake.operators import stats
 from docketlake.plans import bindings as b
 from docketlake.plans.registry import register
-from docketlake.session import table, written
+from docketlake.session import spread, table, written
 
 WITH = f"with {b.DOCS}"
 BOTH = f"with {b.DOCS}, {b.ENTITIES}, mentions as (select distinct e.doc_id, e.entity_id, e.mention, d.agency, d.docket_id, d.date_posted, d.type from doc_entities e join docs d using (doc_id))"
@@ -37,6 +37,11 @@ def _mentions(spark, sf_dir):
     return stats.entity_documents(b.docs(spark, sf_dir), b.doc_entities(spark, sf_dir))
 
 
+def _mentions_by(spark, sf_dir, *keys):
+    """Mentions by keys that are nearly as many as themselves: counts made before the exchange would save little of it and hold them all."""
+    return spread(_mentions(spark, sf_dir), table(spark, sf_dir, "lineitem"), *keys)
+
+
 @register(f"{BOTH} select entity_id, mention, count(*) as n_docs, cast(min(date_posted) as varchar) as first_date, cast(max(date_posted) as varchar) as last_date from mentions group by entity_id, mention")
 def a4_entity_stats(spark, sf_dir):
     return text_dates(stats.entity_scalars(_mentions(spark, sf_dir)))
@@ -44,7 +49,7 @@ def a4_entity_stats(spark, sf_dir):
 
 @register(f"{BOTH} select entity_id, mention, agency, count(*) as n from mentions group by all")
 def a4_entity_agencies(spark, sf_dir):
-    return _mentions(spark, sf_dir).groupBy("entity_id", "mention", "agency").agg(F.count("*").alias("n"))
+    return _mentions_by(spark, sf_dir, "entity_id", "mention", "agency").groupBy("entity_id", "mention", "agency").agg(F.count("*").alias("n"))
 
 
 @register(f"{WITH} select doc_id, cast({b.EXPANDED} as bigint) as expanded from docs")
@@ -79,7 +84,7 @@ def a9_entity_document_frequency(spark, sf_dir):
 
 @register(f"{BOTH} select entity_id, mention, agency, strftime(date_posted, '%Y-%m') as month, count(*) as n from mentions group by all")
 def a10_entity_matrix(spark, sf_dir):
-    return stats.entity_matrix(_mentions(spark, sf_dir))
+    return stats.entity_matrix(_mentions_by(spark, sf_dir, "entity_id", "mention", "agency"))
 
 
 @register(f"{WITH} select docket_id, 'week' as metric, cast(cast(date_trunc('week', date_posted) as date) as varchar) as bucket, count(*) as n from docs group by all")
@@ -115,7 +120,7 @@ def a13_high_water_date(spark, sf_dir):
 
 @register(f"{BOTH}, c as (select docket_id, mention, entity_id, count(*) as n from mentions group by all) select docket_id, mention, string_agg(entity_id || ': ' || n, '; ' order by n desc, entity_id) as entities, count(*) as n_entities from c group by docket_id, mention")
 def a15_docket_report(spark, sf_dir):
-    return stats.entity_report(_mentions(spark, sf_dir), "docket_id")
+    return stats.entity_report(_mentions_by(spark, sf_dir, "docket_id", "mention"), "docket_id")
 
 
 @register("select conv_id as doc_id, cast(sum(n) as bigint) as n_bytes from (select conv_id, role, max(octet_length(encode(text))) as n from conversations group by all) group by conv_id")
@@ -223,4 +228,5 @@ def w15_ordered_listing(spark, sf_dir):
 def e3_grains(spark, sf_dir):
     """Two grains from each mention in one pass."""
     pairs = F.explode(F.array(F.struct(F.lit("agency").alias("grain"), F.col("agency").alias("key")), F.struct(F.lit("docket").alias("grain"), F.col("docket_id").cast("string").alias("key")))).alias("g")
-    return _mentions(spark, sf_dir).select("entity_id", pairs).groupBy("entity_id", F.col("g.grain").alias("grain"), F.col("g.key").alias("key")).agg(F.count("*").alias("n"))
+    rows = _mentions(spark, sf_dir).select("entity_id", pairs).select("entity_id", "g.grain", "g.key")
+    return spread(rows, table(spark, sf_dir, "lineitem"), "entity_id", "grain", "key").groupBy("entity_id", "grain", "key").agg(F.count("*").alias("n"))

@@ -257,3 +257,12 @@ def test_submitters_do_not_cross_parts(spark):
     docs = spark.createDataFrame([(1, {"Organization_Name": "Acme Corp"}, "x", "s", "other"), (2, {"Organization_Name": "Acme", "Last_Name": "Corp"}, "x", "s", "other"), (3, {}, "Comment from Acme Corp", "s", "rule"), (4, {}, "Acme Corp letter", "s", "other"), (5, {}, "Acme Corp letter", "t", "other"), (6, None, None, None, None)], "doc_id int, details map<string,string>, title string, source string, type string")
     aliases = spark.createDataFrame([("Acme Corp", "e1")], "alias string, entity_id string")
     assert rows(entities.submitter_matches(docs, aliases, title_source="s")) == [(1, "e1"), (3, "e1"), (4, "e1")]
+
+
+def test_partitions_of_mentions_grow_with_the_rows_not_the_setting(spark, tmp_path):
+    from docketlake import session
+
+    spark.range(1000).write.parquet(str(tmp_path / "t"))
+    read = spark.read.parquet(str(tmp_path / "t"))
+    assert session.spread(read, read, "id", rows=100).rdd.getNumPartitions() == 10
+    assert session.spread(read, read, "id").rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
