@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketlake.functions.text import DOC_TYPES, FR_TYPES, collapse_spaces, crockford_hash, detail_key, docket_year, dotted_key, full_name, is_us_date, mapped, or_null, title_with_fallback, truthy, url_type, url_without_fragment
+from docketlake.functions.text import DOC_TYPES, FR_TYPES, collapse_spaces, crockford_hash, detail_key, docket_year, dotted_key, full_name, held, is_us_date, mapped, or_null, title_with_fallback, truthy, url_type, url_without_fragment
 
 
 def deep_get(column: str, dtype: str, default: object = None) -> Column:
@@ -64,8 +64,9 @@ def normalize_v3(records: DataFrame, raw: str = "json", types: dict[str, str] |
     pairs = F.filter(F.map_entries("_top"), lambda e: F.coalesce(keys_of(e["value"]) == F.array(F.lit("label"), F.lit("value")), F.lit(False)))
     named = F.transform(pairs, lambda e: F.struct(detail_key(label(e["value"])).alias("k"), value(e["value"]).alias("v")))
     renamed = F.transform(named, lambda e: F.struct(mapped(e["k"], RENAMED).alias("n"), e["k"].alias("k"), e["v"].alias("v")))
-    last = F.transform(F.array_distinct(F.transform(renamed, lambda e: F.coalesce(e["n"], e["k"]))), lambda k: F.struct(k.alias("key"), F.element_at(F.filter(renamed, lambda e: F.coalesce(e["n"], e["k"]) == k), -1)["v"].alias("value")))
-    given = records.withColumn("_top", top).withColumn("details", F.map_from_entries(last))
+    last = F.transform(F.array_distinct(F.transform("_named", lambda e: F.coalesce(e["n"], e["k"]))), lambda k: F.struct(k.alias("key"), F.element_at(F.filter("_named", lambda e: F.coalesce(e["n"], e["k"]) == k), -1)["v"].alias("value")))
+    # held: a record is parsed once, not for every field, and its fields once, not for every detail
+    given = records.withColumn("_top", held(top)).withColumn("_named", held(renamed)).withColumn("details", F.map_from_entries(last))
 
     def plain(k: str) -> Column:
         v = F.element_at("_top", F.lit(k))
