@@ -99,9 +99,11 @@ def remove_control_chars(x: Col) -> Column:
 
 def ocr_scrub(x: Col) -> Column:
     """Lines that are at least half letters and spaces, stripped and joined by line feeds; null where less than half of the text is left."""
-    good = F.filter(F.split(_c(x), "\n"), lambda line: (F.length(strip(line)) > 0) & (2 * F.length(F.regexp_replace(line, r"[^a-zA-Z ]", "")) >= F.length(line)))
-    kept = F.array_join(F.transform(good, strip), "\n")
-    return F.when((F.length(_c(x)) > 0) & (2 * F.length(kept) >= F.length(_c(x))), kept)
+    lines = F.transform(F.split(_c(x), "\n"), lambda line: F.struct(line.alias("whole"), F.btrim(line, F.lit(" \t\x0b\f\r")).alias("kept")))
+    good = F.filter(lines, lambda line: (F.length(line["kept"]) > 0) & (2 * F.length(F.regexp_replace(line["whole"], r"[^a-zA-Z ]+", "")) >= F.length(line["whole"])))
+    kept = F.array_join(F.transform(good, lambda line: line["kept"]), "\n")
+    # a list of one, so that what is kept is made once and not anew for the condition
+    return F.get(F.filter(F.array(kept), lambda k: (F.length(_c(x)) > 0) & (2 * F.length(k) >= F.length(_c(x)))), F.lit(0))
 
 
 def html_section_text(page: Col, heading: str) -> Column:
