@@ -13,12 +13,19 @@ from docketlake.session import scratch, table
 from docketlake.streaming import incremental
 
 
-def _stream(spark: SparkSession, rows: DataFrame, files: int = 0) -> DataFrame:
-    """The rows as a stream, from a table in the shared folder; ``files`` a batch, or all at once."""
+def _stream(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """The rows as a stream, from a table in the shared folder, all at once."""
     path = scratch(spark, "feed")
     rows.write.parquet(path)
-    reader = spark.readStream.schema(rows.schema)
-    return (reader.option("maxFilesPerTrigger", files) if files else reader).parquet(path)
+    return spark.readStream.schema(rows.schema).parquet(path)
+
+
+def _batches(spark: SparkSession, rows: DataFrame, sized_by: DataFrame, least: int, per_file: int) -> DataFrame:
+    """The rows as a stream of two batches, in files by doc_id: one for every ``per_file`` rows of ``sized_by``, so that no task's share grows with the input, and
+    ``least`` at least."""
+    path, n = scratch(spark, "feed"), max(least, -(-sized_by.count() // per_file))
+    rows.repartition(n, "doc_id").write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", -(-n // 2)).parquet(path)
 
 
 def _places(spark: SparkSession) -> tuple[str, str]:
@@ -29,7 +36,7 @@ def _places(spark: SparkSession) -> tuple[str, str]:
 def t1_stream_weeks(spark, sf_dir):
     """Weekly counts in buckets, by several batches."""
     target, checkpoint = _places(spark)
-    incremental.stream_histogram(_stream(spark, b.docs(spark, sf_dir).repartition(6, "doc_id"), 3), target, checkpoint).awaitTermination()
+    incremental.stream_histogram(_batches(spark, b.docs(spark, sf_dir), table(spark, sf_dir, "orders"), 6, 500_000), target, checkpoint).awaitTermination()
     return incremental.stored(spark, target)
 
 
@@ -37,8 +44,8 @@ def t1_stream_weeks(spark, sf_dir):
 def t1_stream_recent(spark, sf_dir):
     """The recent comments of each document, five rows stored a document, by several batches."""
     target, checkpoint = _places(spark)
-    docs = b.docs(spark, sf_dir).repartition(6, "doc_id")
-    incremental.stream_recent(_stream(spark, docs, 3), target, checkpoint, 5, ("public_submission",), key="comment_on_id").awaitTermination()
+    docs = _batches(spark, b.docs(spark, sf_dir), table(spark, sf_dir, "orders"), 6, 500_000)
+    incremental.stream_recent(docs, target, checkpoint, 5, ("public_submission",), key="comment_on_id").awaitTermination()
     return text_dates(incremental.stored(spark, target))
 
 
@@ -57,8 +64,8 @@ def t2_stream_new(spark, sf_dir):
 def t3_stream_matches(spark, sf_dir):
     """Texts tagged as they come, by several batches."""
     target, checkpoint = _places(spark)
-    texts = table(spark, sf_dir, "documents").select("doc_id", "text").repartition(4, "doc_id")
-    incremental.stream_matches(_stream(spark, texts, 2), _aliases(spark, sf_dir), target, checkpoint).awaitTermination()
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
+    incremental.stream_matches(_batches(spark, texts, texts, 4, 20_000), _aliases(spark, sf_dir), target, checkpoint).awaitTermination()
     return spark.read.parquet(target).select("doc_id", "entity_id")
 
 

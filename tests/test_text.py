@@ -2,6 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from docketlake.functions import text as t
+from docketlake.operators import normalize
+from docketlake.plans import queries_streams
 
 
 def value(spark, column, **given):
@@ -63,3 +65,29 @@ def test_expanded_count(spark):
 def test_held_stops_recomputation(spark):
     df = spark.createDataFrame([("a b c",)], "t string").select(t.held(t.words("t")).alias("w")).where(F.size("w") > 2)
     assert df.first()[0] == ["a", "b", "c"]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_scrubbed_text_is_split_once(spark):
+    texts = [" ab c \t\n12\nxy1\r\n\nde fg hi", "1234\nab", "", None, "é é\nab cd ef\x0b", "ab\n" * 3]
+    df = spark.createDataFrame([(x,) for x in texts], "x string").select(F.md5(t.ocr_scrub("x")).alias("d"), t.ocr_scrub("x").alias("s"))
+    assert [r["s"] for r in df.collect()] == ["ab c\nxy1\nde fg hi", None, None, None, "ab cd ef", "ab\nab\nab"]
+    assert _plan(df.select("d")).count("split(") == 1
+
+
+def test_a_record_is_parsed_once_not_for_every_field(spark):
+    raw = '{"documentId":"A-1","a":{"label":"Posted Date","value":"1"},"b":{"label":"Date Posted","value":"2"},"c":{"label":"Title","value":"t"},"d":{"x":1},"e":"f"}'
+    df = normalize.normalize_v3(spark.createDataFrame([(raw,)], "json string"))
+    assert df.first()["details"] == {"Date_Posted": "2", "Title": "t"}
+    assert _plan(df).count("$.label") == 1
+
+
+def test_a_streams_files_follow_its_rows(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(queries_streams, "scratch", lambda spark, label: str(tmp_path / label))
+    rows = spark.range(100).withColumnRenamed("id", "doc_id")
+    queries_streams._batches(spark, rows, rows, 4, 10)
+    assert len(list((tmp_path / "feed").glob("*.parquet"))) == 10
+    assert spark.read.parquet(str(tmp_path / "feed")).distinct().count() == 100
