@@ -8,6 +8,11 @@ anchor holds them, as when slices of a passage stand in documents before it: a F
 the gap. Chains are cut at wide gaps, and aligned on the words of both documents: between matches, and outward from the
 ends. What is long and alike enough is a repeated passage; the anchor document keeps it.
 
+What that leaves is looked for once more, with every earlier document. A place is open if it was not matched with all of them and no passage found covers it.
+A chain around an open place may hold a match that is known; then its source is a known one of the document, and only has to have the open place's seed. Else
+it has two seeds that stand near each other in both texts, of which the document was matched with other sources only, with enough equal words between and beside them for a
+passage; documents meet by such pairs of seeds, and of those that meet only the ones with that many equal words are chained and aligned.
+
 Anchors alone lose a passage whose seeds have their anchors in different documents. So runs of min_words are also joined whole: winnowed
 long seeds, such that every run of min_words has one, tell where texts repeat; there every run of min_words meets its first place.
 Stretches found so that no aligned passage covers are passages of their own: no exact repetition of min_words is lost.
@@ -44,6 +49,10 @@ class Settings:
     earlier: int = 2
 
 
+#: Words between the places that stand for a stretch that repeats one seed.
+_STEP = 31
+
+
 def winnow(hashes: np.ndarray, window: int) -> np.ndarray:
     """Places of the seeds kept: the least hash (the last such) of each window; of all, where there are fewer."""
     if not len(hashes):
@@ -73,13 +82,18 @@ def _seeds(s: Settings, words: int, window: int):
     return run
 
 
-def _matches(earlier: int = 0):
+def _matches(earlier: int = 0, whole: bool = False):
     """From places sorted by seed, document and position: each place with its seed's anchor in an earlier document, and with the first place in each of
-    the last ``earlier`` documents before it that have the seed (place -1 where there are fewer). Constant memory."""
+    the last ``earlier`` documents before it that have the seed (place -1 where there are fewer). Constant memory.
+
+    With ``whole``, places in the anchor document too, as their own source, of seeds that another document has; and each row's seed, and whether earlier documents
+    other than those told have it (``lost``), and whether it is first, last or every so many words of those that follow each other within a window (``edge``), as where a text repeats
+    itself. Then one seed's places in one document are held."""
     names = ["doc_id", "source_id", "place", "source_place", *(f"earlier_{j}{x}" for j in range(earlier) for x in ("", "_place"))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.empty((0, 3), dtype=np.int64)  # of the seed that goes on: its anchor, and the first place in each of its last documents
+        told = 0  # rows of these that were given out
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -90,7 +104,8 @@ def _matches(earlier: int = 0):
             new = new_seed | np.append(True, doc[1:] != doc[:-1])
             starts, nth = np.flatnonzero(new), np.cumsum(new) - 1
             first = np.maximum.accumulate(np.where(new_seed, np.arange(len(seed)), 0))
-            at = np.flatnonzero((doc != doc[first]) & (np.arange(len(seed)) >= len(held)))
+            last = np.append(np.flatnonzero(new_seed)[1:], len(seed))[np.cumsum(new_seed) - 1] - 1
+            at = np.flatnonzero((doc[last if whole else slice(None)] != doc[first]) & (np.arange(len(seed)) >= told))
             anchor = first[at]
             cols = [doc[at], doc[anchor], place[at], place[anchor]]
             for j in range(1, earlier + 1):
@@ -98,8 +113,19 @@ def _matches(earlier: int = 0):
                 before = starts[np.where(there, nth[at] - j, 0)]
                 cols += [np.where(there, doc[before], doc[anchor]), np.where(there, place[before], -1)]
             own = starts[starts >= first[-1]]
-            held = rows[own if len(own) <= earlier + 2 else np.append(own[0], own[-(earlier + 1) :])]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if n.endswith("place") else pa.int64()) for n, c in zip(names, cols, strict=True)], names)
+            if whole and len(own) == 1:
+                held, told = rows[first[-1] :], 0
+            else:
+                kept = earlier + 1 + whole
+                held = rows[own if len(own) <= kept + 1 else np.append(own[0], own[-kept:])]
+                told = len(held)
+            out = [pa.array(c, pa.int32() if n.endswith("place") else pa.int64()) for n, c in zip(names, cols, strict=True)]
+            if whole:
+                begins = new | np.append(True, np.diff(place) > Settings.window)
+                since = place - place[np.maximum.accumulate(np.where(begins, np.arange(len(seed)), 0))]
+                edge = begins | np.append(begins[1:], True) | (since // _STEP != np.append(0, since[:-1]) // _STEP)
+            more = [pa.array(seed[at]), pa.array(nth[at] - nth[anchor] >= earlier + 2), pa.array(edge[at])] if whole else []
+            yield pa.RecordBatch.from_arrays([*out, *more], [*names, *(["seed", "lost", "edge"] if whole else [])])
 
     return run
 
@@ -183,7 +209,7 @@ def _runs(s: Settings):
 
 
 def _left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All aligned passages, and the exact ones (column 7 is 1) that the aligned ones of their document do not cover; sorted by document, column 7 and start."""
+    """All passages of one kind, and those of another (column 7 is 1) that the first ones of their document do not cover; sorted by document, column 7 and start."""
     for rows in _by_doc(batches):
         keep = np.ones(len(rows), dtype=bool)
         doc, reach = None, []  # the joined stretches of the document's aligned passages
@@ -408,8 +434,159 @@ def _aligned(s: Settings):
     return run
 
 
+def _reach(s: Settings) -> int:
+    """Words between two seeds of a chain that are looked at together: of every chain around a place two seeds within them, one on each side of it or at it, are
+    its ends or hold the words of a passage between them."""
+    return s.percent * s.min_words // 100 + s.max_gap
+
+
+def _near(at: np.ndarray, seeds: np.ndarray, s: Settings) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Indices of two places within reach, and a key of their seeds; places rise."""
+    for d in range(1, len(at)):
+        near = np.flatnonzero(at[d:] - at[:-d] <= _reach(s))
+        if not len(near):
+            return
+        yield near, near + d, mix(mix(seeds[near]) + seeds[near + d])
+
+
+def _has(doc: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    return mix(mix(doc.view(np.uint64)) + seed.view(np.uint64))
+
+
+def _having(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A hash for each document and seed that it has."""
+    for batch in batches:
+        doc, seed = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(2))
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(_has(doc, seed)).view(np.int64))], ["has"])
+
+
+def _asks(s: Settings, having):
+    """From places of whole documents (doc_id, place, seed, lost, open, then sources and places there), sorted by document, what its open places ask for. Kind 0: who has two seeds (``key``)
+    that it lost, at p and q around an open place. Kind 1: where a source that is known near an open place, and may have its seed, has a lost seed (``key``) of the place p. Kind 2: the
+    known matches (p, q) with such a source."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_doc(batches):
+            edges = np.flatnonzero(np.append(True, rows[1:, 0] != rows[:-1, 0]))
+            out: list[list[np.ndarray]] = []
+
+            def tell(kind: int, key, doc, p, q, first, second) -> None:
+                if len(p):
+                    out.append([np.full(len(p), kind), key, np.full(len(p), doc), p, q, first, second])
+
+            for a, b in zip(edges, np.append(edges[1:], len(rows)), strict=True):
+                doc = rows[a, 0]
+                there = np.unique(rows[a:b][rows[a:b, 4] == 0], axis=0)
+                open_ = np.unique(rows[a:b][rows[a:b, 4] == 1, 1])
+                if not len(open_) or not len(there):
+                    continue
+                lost = there[there[:, 3] == 1]
+                at, seeds = lost[:, 1], lost[:, 2].copy()
+                for i, j, keys in _near(at, seeds.view(np.uint64), s):
+                    good = np.searchsorted(open_, at[j], "right") > np.searchsorted(open_, at[i])
+                    i, j = i[good], j[good]
+                    tell(0, keys[good].view(np.int64), doc, at[i], at[j], seeds[i], seeds[j])
+                known = np.concatenate([np.column_stack([there[:, c], there[:, 1], there[:, c + 1]])[(there[:, c + 1] >= 0) & (there[:, c] != doc)] for c in range(5, there.shape[1], 2)])
+                known = np.unique(known, axis=0)
+                if not len(known) or not len(at):
+                    continue
+                trigger = np.flatnonzero(np.isin(at, open_))
+                x, y = np.nonzero(np.abs(known[:, 1][None, :] - at[trigger][:, None]) <= _reach(s))
+                x, y = trigger[x], y
+                hit = filters.holds(having.value, _has(known[y, 0].copy(), seeds[x]))
+                sources = np.unique(known[y[hit], 0])
+                if not len(sources):
+                    continue
+                x, y = (v.ravel() for v in np.meshgrid(np.arange(len(at)), np.arange(len(sources)), indexing="ij"))
+                hit = filters.holds(having.value, _has(sources[y], seeds[x]))
+                tell(1, seeds[x[hit]], doc, at[x[hit]], at[x[hit]], sources[y[hit]], sources[y[hit]])
+                mine = known[np.isin(known[:, 0], sources)]
+                tell(2, mine[:, 0], doc, mine[:, 1], mine[:, 2], mine[:, 0], mine[:, 0])
+            if out:
+                cols = [np.concatenate(c) for c in zip(*out, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if n in ("kind", "p", "q") else pa.int64()) for n, c in zip(_ASKS, cols, strict=True)], _ASKS)
+
+    return run
+
+
+def _offers(s: Settings, shared):
+    """From places of whole documents (doc_id, place, seed), sorted by document: pairs of seeds within reach that the filter may hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_doc(batches):
+            edges = np.flatnonzero(np.append(True, rows[1:, 0] != rows[:-1, 0]))
+            out: list[list[np.ndarray]] = []
+            for a, b in zip(edges, np.append(edges[1:], len(rows)), strict=True):
+                there = np.unique(rows[a:b, 1:3], axis=0)
+                for i, j, keys in _near(there[:, 0], there[:, 1].copy().view(np.uint64), s):
+                    held = filters.holds(shared.value, keys)
+                    if held.any():
+                        out.append([keys[held].view(np.int64), np.full(int(held.sum()), rows[a, 0]), there[i[held], 0], there[j[held], 0]])
+            if out:
+                cols = [np.concatenate(c) for c in zip(*out, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if k < 2 else pa.int32()) for k, c in enumerate(cols)], ["key", "doc_id", "p", "q"])
+
+    return run
+
+
+def _beside(s: Settings):
+    """Pairs of seeds with a byte of each word beside them: ``beyond`` before the first, as many after the second. Where the text ends, an asking row has 0, another 1."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                words = np.maximum(batch.column(1)[i].values.to_numpy().view(np.uint32) & 255, 2).astype(np.uint8)
+                pairs = batch.column(2)[i].values
+                key, p, q, asks = (pairs.field(n).to_numpy(zero_copy_only=False) for n in ("key", "p", "q", "asks"))
+                at = np.concatenate([p[:, None] - s.beyond + np.arange(s.beyond), q[:, None] + s.words + np.arange(s.beyond)], axis=1)
+                inside = (at >= 0) & (at < len(words))
+                seen = np.where(inside, words[np.where(inside, at, 0)], np.where(asks, 0, 1)[:, None]).astype(np.uint8)
+                doc = np.full(len(key), batch.column(0)[i].as_py())
+                side = pa.Array.from_buffers(pa.binary(2 * s.beyond), len(key), [None, pa.py_buffer(np.ascontiguousarray(seen).tobytes())])
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(asks), pa.array(doc, pa.int64()), pa.array(p, pa.int32()), pa.array(q, pa.int32()), side.cast(pa.binary())], ["key", "asks", "doc_id", "p", "q", "beside"])
+
+    return run
+
+
+def _alike(s: Settings):
+    """From rows sorted by key and block, those that ask first: matches (document, source, place, source place) of the asking ones with earlier documents, where a
+    chain with these two seeds as its ends, or with words enough between them, may be a passage. Holds the asking rows of a block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, asking = None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, block, asks, doc, p, q = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(6))
+            seen = np.frombuffer(b"".join(batch.column(6).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1)
+            edges = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (block[1:] != block[:-1]) | (asks[1:] != asks[:-1])))
+            out: list[np.ndarray] = []
+            for a, b in zip(edges, np.append(edges[1:], len(key)), strict=True):
+                if now != (key[a], block[a]):
+                    now, asking = (key[a], block[a]), []
+                if asks[a]:
+                    asking.append((doc[a:b], p[a:b], q[a:b], seen[a:b]))
+                elif asking:
+                    if len(asking) > 1:
+                        asking = [tuple(np.concatenate(c) for c in zip(*asking, strict=True))]
+                    docs, low, high, sides = asking[0]
+                    for i in range(a, b):
+                        equal = (sides == seen[i]).sum(axis=1, dtype=np.uint8) + np.minimum(high - low, q[i] - p[i]) + s.words
+                        good = np.flatnonzero((100 * equal >= s.percent * s.min_words) & (docs > doc[i]))
+                        if len(good):
+                            n = len(good)
+                            out.append(np.column_stack([np.tile(docs[good], 2), np.full(2 * n, doc[i]), np.append(low[good], high[good]), np.repeat([p[i], q[i]], n)]))
+            if out:
+                rows = np.unique(np.concatenate(out), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(rows[:, k], pa.int64() if k < 2 else pa.int32()) for k in range(4)], ["doc_id", "source_id", "place", "source_place"])
+
+    return run
+
+
 _NAMES = ["doc_id", "source_id", "start", "end", "source_start", "source_end", "equal_words"]
 MATCHES = "doc_id long, source_id long, place int, source_place int"
+CHAINS = "doc_id long, source_id long, places array<int>, source_places array<int>"
+_ASKS = ["kind", "key", "doc_id", "p", "q", "first", "second"]
 PASSAGES = "doc_id long, source_id long, start int, end int, source_start int, source_end int, equal_words int"
 
 
@@ -426,6 +603,60 @@ def _exact(given: DataFrame, s: Settings, parts: int) -> DataFrame:
     return whole.transform(mapped, _matches(), MATCHES).repartition(parts, "doc_id").sortWithinPartitions("doc_id", "place").transform(mapped, _runs(s), PASSAGES)
 
 
+def _aligned_chains(found: DataFrame, given: DataFrame, s: Settings) -> DataFrame:
+    """The passages that chains make (doc_id, source_id, places, source_places)."""
+    both = found.select("doc_id").unionByName(found.select(F.col("source_id").alias("doc_id"))).distinct()
+    chosen = filters.shared(both)
+    words = given.transform(mapped, _word_lists(s, chosen), "doc_id long, words array<int>").dropDuplicates(["doc_id"])
+    chain = found.withColumn("chain", F.xxhash64("doc_id", "source_id", F.col("places")[0], F.col("source_places")[0], F.element_at("places", -1), F.size("places")))
+
+    def asked(doc: str, at: str, side: int) -> DataFrame:
+        low = F.greatest(F.lit(0), F.col(at)[0] - s.beyond)
+        return chain.select("chain", F.col(doc).alias("doc_id"), F.lit(side).alias("side"), low.alias("low"), (F.element_at(at, -1) + s.words + s.beyond - low).alias("length"))
+
+    wanted = asked("doc_id", "places", 0).unionByName(asked("source_id", "source_places", 1))
+    cut = wanted.join(words, "doc_id").select("chain", "side", F.slice("words", F.col("low") + 1, F.col("length")).alias("part"))
+    own, source = cut.where("side = 0").select("chain", "part"), cut.where("side = 1").select("chain", F.col("part").alias("source_part"))
+    ready = chain.join(own, "chain").join(source, "chain").select("doc_id", "source_id", "places", "source_places", "part", "source_part")
+    return ready.transform(mapped, _aligned(s), PASSAGES).dropDuplicates()
+
+
+def _rest(given: DataFrame, placed: DataFrame, found: DataFrame, s: Settings, parts: int, block: int = 4096) -> DataFrame:
+    """Passages around the places that were not matched with every earlier document and that no passage found covers: of these all partners are looked at. Rows of a
+    pair of seeds are dealt over blocks of about ``block`` that ask, each of which meets all others, so a common pair is in no single task."""
+    placed = placed.where("edge").drop("edge")
+    spans = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    covered = F.exists("spans", lambda x: (x["start"] <= F.col("place")) & (F.col("place") + s.words <= x["end"]))
+    left = placed.where("lost").select("doc_id", "place", "seed").join(spans, "doc_id", "left").where(F.col("spans").isNull() | ~covered)
+    open_ = written(left.select("doc_id", "place", "seed"), "open")
+    hot = placed.where(filters.may_hold(F.col("seed"), filters.shared(open_.select("seed").distinct())))
+    having = filters.shared(hot.select("doc_id", "seed").transform(mapped, _having, "has long"))
+    told = [c for c in placed.columns if c not in ("doc_id", "place", "seed", "lost")]
+    near = placed.where(filters.may_hold(F.col("doc_id"), filters.shared(open_.select("doc_id").distinct()))).select("doc_id", "place", "seed", F.col("lost").cast("int").alias("lost"), F.lit(0).alias("open"), *told)
+    near = near.unionByName(open_.withColumn("lost", F.lit(1)).withColumn("open", F.lit(1)).select("*", *(F.lit(-1).cast(placed.schema[c].dataType).alias(c) for c in told)))
+    near = near.repartition(parts, "doc_id").sortWithinPartitions("doc_id")
+    every = written(near.transform(mapped, _asks(s, having), "kind int, key long, doc_id long, p int, q int, first long, second long"), "asking")
+    asking = every.where("kind = 0")
+    wanted = every.where("kind = 1").select("doc_id", F.col("p").alias("place"), F.col("first").alias("source_id"), F.col("key").alias("seed"))
+    wanted = wanted.join(hot.select(F.col("doc_id").alias("source_id"), "seed", F.col("place").alias("source_place")), ["source_id", "seed"]).select("doc_id", "source_id", "place", "source_place")
+    known = every.where("kind = 2").select("doc_id", F.col("first").alias("source_id"), F.col("p").alias("place"), F.col("q").alias("source_place"))
+    known = known.join(wanted.select("doc_id", "source_id").distinct(), ["doc_id", "source_id"], "left_semi")
+    seeds = asking.select(F.explode(F.array("first", "second")).alias("seed")).distinct()
+    others = placed.select("doc_id", "place", "seed").where(filters.may_hold(F.col("seed"), filters.shared(seeds))).repartition(parts, "doc_id").sortWithinPartitions("doc_id")
+    keys = filters.shared(asking.select("key").distinct())
+    offered = others.transform(mapped, _offers(s, keys), "key long, doc_id long, p int, q int")
+    both = asking.select("doc_id", F.struct("key", "p", "q", F.lit(True).alias("asks")).alias("pair")).unionByName(offered.select("doc_id", F.struct("key", "p", "q", F.lit(False).alias("asks")).alias("pair")))
+    both = written(both.groupBy("doc_id").agg(F.collect_list("pair").alias("pairs")), "seed-pairs")
+    words = given.transform(mapped, _word_lists(s, filters.shared(both.select("doc_id"))), "doc_id long, words array<int>").dropDuplicates(["doc_id"])
+    beside = words.join(both, "doc_id").select("doc_id", "words", "pairs").transform(mapped, _beside(s), "key long, asks boolean, doc_id long, p int, q int, beside binary")
+    blocks = asking.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("n"))
+    dealt = beside.join(blocks, "key").withColumn("block", F.explode(F.when(F.col("asks"), F.array(F.pmod(F.xxhash64("doc_id"), "n").cast("int"))).otherwise(F.sequence(F.lit(0), F.col("n") - 1))))
+    dealt = dealt.select("key", "block", "asks", "doc_id", "p", "q", "beside").repartition(parts, "key", "block").sortWithinPartitions("key", "block", F.desc("asks"))
+    matches = dealt.transform(mapped, _alike(s), MATCHES).unionByName(wanted).unionByName(known).distinct()
+    by_doc = matches.repartition(parts, "doc_id").sortWithinPartitions("doc_id", "source_id", "place", "source_place")
+    return _aligned_chains(written(by_doc.transform(mapped, _chained(s), CHAINS), "chains"), given, s)
+
+
 def repeated_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", settings: Settings | None = None) -> DataFrame:
     """A row a passage that stands in an earlier document too: doc_id, source_id (the earlier document), start and end
     (words, end excluded), the same in the source, equal_words.
@@ -442,24 +673,14 @@ def repeated_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     given = given.join(_texts(given), "doc_id", "left").where("text_hash is null or xxhash64(text) = text_hash").drop("text_hash")
     places = given.transform(mapped, _seeds(s, s.words, s.window), "seed long, doc_id long, place int")
-    matches = places.repartition(parts, "seed").sortWithinPartitions("seed", "doc_id", "place").transform(mapped, _matches(s.earlier), MATCHES + "".join(f", earlier_{j} long, earlier_{j}_place int" for j in range(s.earlier)))
-    by_doc = matches.repartition(parts, "doc_id").sortWithinPartitions("doc_id", "source_id", "place", "source_place")
-    found = written(by_doc.transform(mapped, _chained(s), "doc_id long, source_id long, places array<int>, source_places array<int>"), "chains")
-    both = found.select("doc_id").unionByName(found.select(F.col("source_id").alias("doc_id"))).distinct()
-    chosen = filters.shared(both)
-    words = given.transform(mapped, _word_lists(s, chosen), "doc_id long, words array<int>").dropDuplicates(["doc_id"])
-    chain = found.withColumn("chain", F.xxhash64("doc_id", "source_id", F.col("places")[0], F.col("source_places")[0], F.element_at("places", -1), F.size("places")))
-
-    def asked(doc: str, at: str, side: int) -> DataFrame:
-        low = F.greatest(F.lit(0), F.col(at)[0] - s.beyond)
-        return chain.select("chain", F.col(doc).alias("doc_id"), F.lit(side).alias("side"), low.alias("low"), (F.element_at(at, -1) + s.words + s.beyond - low).alias("length"))
-
-    wanted = asked("doc_id", "places", 0).unionByName(asked("source_id", "source_places", 1))
-    cut = wanted.join(words, "doc_id").select("chain", "side", F.slice("words", F.col("low") + 1, F.col("length")).alias("part"))
-    own, source = cut.where("side = 0").select("chain", "part"), cut.where("side = 1").select("chain", F.col("part").alias("source_part"))
-    ready = chain.join(own, "chain").join(source, "chain").select("doc_id", "source_id", "places", "source_places", "part", "source_part")
-    aligned = ready.transform(mapped, _aligned(s), PASSAGES).dropDuplicates()
+    kind = MATCHES + "".join(f", earlier_{j} long, earlier_{j}_place int" for j in range(s.earlier))
+    sorted_ = places.repartition(parts, "seed").sortWithinPartitions("seed", "doc_id", "place")
+    placed = written(sorted_.transform(mapped, _matches(s.earlier, True), kind + ", seed long, lost boolean, edge boolean"), "placed")
+    by_doc = placed.where("doc_id <> source_id").drop("seed", "lost", "edge").repartition(parts, "doc_id").sortWithinPartitions("doc_id", "source_id", "place", "source_place")
+    aligned = _aligned_chains(written(by_doc.transform(mapped, _chained(s), CHAINS), "chains"), given, s)
     both = aligned.withColumn("exact", F.lit(0)).unionByName(_exact(given, s, parts).withColumn("exact", F.lit(1)))
+    found = written(both.repartition(parts, "doc_id").sortWithinPartitions("doc_id", "exact", "start").transform(mapped, _left, PASSAGES), "found")
+    both = found.withColumn("exact", F.lit(0)).unionByName(_rest(given, placed, found, s, parts).withColumn("exact", F.lit(1)))
     return both.repartition(parts, "doc_id").sortWithinPartitions("doc_id", "exact", "start").transform(mapped, _left, PASSAGES)
 
 

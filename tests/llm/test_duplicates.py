@@ -205,6 +205,53 @@ def test_recall_of_edited_passages_whose_slices_recur(spark):
     assert {r["doc_id"] for r in got} <= set(pairs)
 
 
+def test_near_copies_whose_seeds_all_stand_in_many_documents_between(spark):
+    """Slices of a passage stand in two documents before it, which hold the first places, and in eight between it and its near copy: neither the anchors nor the last documents are its source."""
+    docs, want, at = {}, {}, 0
+    for k in range(20):
+        passage = prose(rnd.randint(70, 100))
+        slices = [passage[i : i + 20] for i in range(0, len(passage), 20)]
+        for j in range(11):
+            if j == 2:
+                source, docs[at] = at, prose(60) + passage + prose(60)
+                at += 1
+            for part in slices:
+                docs[at] = prose(40) + part + prose(40)
+                at += 1
+        docs[at] = prose(50) + edited(passage, len(passage) // 12) + prose(70)
+        want[at] = source
+        at += 1
+    texts = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string").repartition(5)
+    got = substring.repeated_passages(texts).collect()
+    found = {r["doc_id"] for r in got if want.get(r["doc_id"]) == r["source_id"]}
+    assert len(found) >= 0.95 * len(want) and {r["doc_id"] for r in got} <= set(want)
+
+
+def test_common_pairs_of_seeds_are_dealt_over_blocks(spark):
+    """Any number of blocks gives the same matches, and a line that many documents share with nothing alike around it gives none."""
+    s, line, body = substring.Settings(), prose(25), prose(70)
+    docs = {i: prose(50) + line + prose(50) for i in range(40)}
+    docs |= {50 + i: prose(30) + edited(body, 4) + prose(30) for i in range(12)}
+    given = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string").cache()
+    seeds = given.mapInArrow(substring._seeds(s, s.words, s.window), "seed long, doc_id long, place int").repartition(4, "seed").sortWithinPartitions("seed", "doc_id", "place")
+    kind = substring.MATCHES + ", earlier_0 long, earlier_0_place int, earlier_1 long, earlier_1_place int, seed long, lost boolean, edge boolean"
+    placed = seeds.mapInArrow(substring._matches(2, True), kind).cache()
+    none = spark.createDataFrame([], substring.PASSAGES)
+    one, many = (sorted(tuple(r) for r in substring._rest(given, placed, none, s, 4, block=n).collect()) for n in (4096, 2))
+    assert one == many and one and all(r[0] > r[1] >= 50 for r in one)
+
+
+def test_places_of_the_anchor_and_what_is_left_out():
+    """As below, with places in the anchor document, and whether more documents have the seed than are told."""
+    rows = sorted({(rnd.randrange(5), rnd.randrange(12), rnd.randrange(40)) for _ in range(150)} | {(9, 1, 1), (9, 1, 2), (10, 3, 3)})
+    docs = {s: sorted({d for t, d, _ in rows if t == s}) for s, _, _ in rows}
+    want = [(s, d, p, docs[s].index(d) >= 4) for s, d, p in rows if len(docs[s]) > 1]
+    for size in (1, 2, 7, 1000):
+        batches = (pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[i : i + size], strict=True)], ["seed", "doc_id", "place"]) for i in range(0, len(rows), size))
+        found = [(r["seed"], r["doc_id"], r["place"], r["lost"]) for b in substring._matches(2, True)(batches) for r in b.to_pylist()]
+        assert found == want
+
+
 def test_matches_name_the_last_documents_before_a_place():
     """Whatever the batches, against a plain loop."""
     rows = sorted({(rnd.randrange(4), rnd.randrange(9), rnd.randrange(40)) for _ in range(150)})
