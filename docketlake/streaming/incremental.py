@@ -1,22 +1,21 @@
 """Incremental runs with Structured Streaming: statistics, harvest, tagging and search feed from a stream of documents.
 
-A week may get documents at any later time, so statistics have no watermark: they are tables in hash buckets, of which a batch rewrites those of its keys. A harvest keeps
-the ids it has met as keyed state until its high-water date has passed them. A batch that runs again after a failure replaces its own work. Rows that
+A week may get documents at any later time, so statistics have no watermark: they are tables in hash buckets, of which a batch rewrites those of its keys. A harvest
+looks up the ids it has met in what it has written, back to its high-water date. A batch that runs again after a failure replaces its own work. Rows that
 bear their run's flag are left out, and the ids of what a batch has done are kept beside its result, for ``processed`` to flag.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from docketlake.functions.text import truthy
 from docketlake.operators import entities, stats, views
+from docketlake.session import intermediate, written
 from docketlake.sources import feed, sinks
 from docketlake.streaming.store import BucketStore
 
@@ -99,74 +98,49 @@ def stream_recent(docs: DataFrame, folder: str, checkpoint: str, k: int, types:
     return _merged(docs, checkpoint, merge_into(folder, lambda d: stats.recent_rows(d, key, k, types), lambda a, b: stats.merge_recent(a, b, key, k), key=key))
 
 
-class _FirstSeen(StatefulProcessor):
-    """Lets the first row of an id through and keeps its id until the high-water date has passed its date: then a row of that date is late anyway."""
-
-    def __init__(self, columns: list[str]):
-        self.columns = columns
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.seen = handle.getValueState("seen", "at timestamp")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator:  # noqa: N802, N803
-        every = pd.concat(list(rows)).set_axis(self.columns, axis=1)  # in this order; computed columns come without their names
-        if self.seen.exists():
-            return
-        first = every.sort_values([EVENT, *(c for c in self.columns if c != EVENT)], na_position="last", kind="stable").head(1)
-        at = first[EVENT].iloc[0]
-        self.seen.update((None if pd.isna(at) else at.to_pydatetime(),))
-        if not pd.isna(at):
-            self.handle.registerTimer(max(int(at.timestamp() * 1000), timerValues.getCurrentWatermarkInMs() + 1))
-        yield first[self.columns]
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:  # noqa: N802, N803
-        self.seen.clear()
-        return iter(())
-
-    def close(self) -> None:
-        pass
-
-
-#: The column of event times, made from date_posted.
-EVENT = "_posted"
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-
-
 def stream_new(harvest: DataFrame, target: str, checkpoint: str, known: Callable[[SparkSession], DataFrame] | None = None, days: int = 1) -> StreamingQuery:
     """A harvest: each id once, whatever files it comes in, unless it is withdrawn, stored already (``known``: doc_id, date_posted) or dated more than ``days``
-    before the high-water date: the latest one stored when the run starts, or met since.
+    before the high-water date: the latest one stored when the run starts, or met in an earlier batch.
 
-    What has been met is keyed state, so a batch reads nothing of earlier ones. The high-water date is the stream's watermark; an id's state goes when the watermark
-    passes its date, for from then on a row of that date is late. Undated rows are never late, and their ids stay. A feed without dates has no watermark. A batch
-    that runs again replaces its own rows.
+    What has been met is what was written: a batch reads of it the ids and dates that are not older than the high-water date allows, for an older row would be late anyway. Undated
+    rows are never late, and their ids stay known. A feed without dates has no high-water date. Of an id's rows in a batch the first by date, then by the
+    other columns, counts. A batch that runs again replaces its own rows.
     """
     spark = harvest.sparkSession
     usable = harvest.where(F.coalesce("status", F.lit("")) != "Withdrawn")
+    dated = "date_posted" in harvest.columns
     if known:
         there = known(spark)
         usable = usable.join(there.select("doc_id").distinct(), "doc_id", "left_anti")
-        high = there.agg(F.date_sub(F.max("date_posted"), days)).first()[0] if "date_posted" in harvest.columns else None
+        high = there.agg(F.date_sub(F.max("date_posted"), days)).first()[0] if dated else None
         usable = usable.where(F.col("date_posted").isNull() | (F.col("date_posted") >= F.lit(high))) if high else usable
-    posted = F.col("date_posted").cast("timestamp") if "date_posted" in harvest.columns else F.lit(None).cast("timestamp")
-    timed = usable.withColumn(EVENT, posted)
-    if "date_posted" in harvest.columns:
-        timed = timed.withWatermark(EVENT, f"{days} days 1 millisecond")  # a row at the watermark itself would be late
-    fields = [f for f in timed.schema.fields]
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
-    mode = "EventTime" if "date_posted" in harvest.columns else "None"
-    fresh = timed.groupBy("doc_id").transformWithStateInPandas(_FirstSeen([f.name for f in fields]), outputStructType=schema, outputMode="Append", timeMode=mode).select(*harvest.columns)
+    tops = f"{target}-high"
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(_version(target, batch_id))
-
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKS)  # a query keeps the provider that it started with
-    try:
-        return fresh.writeStream.foreachBatch(run).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    finally:
-        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
+        session = batch.sparkSession
+        earlier = [b for b in _batches(session, target) if b < batch_id]
+        marks = [b for b in _batches(session, tops) if b < batch_id]
+        top = session.read.parquet(_version(tops, marks[-1])).first()[0] if marks else None
+        oldest = F.lit(top) - F.expr(f"interval {days} days") if top is not None else None
+
+        def in_time(rows: DataFrame) -> DataFrame:
+            posted = F.col("date_posted")
+            return rows.where(posted.isNull() | (posted.cast("timestamp") >= oldest)) if oldest is not None else rows
+
+        order = [x for c in ("date_posted", *(c for c in batch.columns if c not in ("doc_id", "date_posted"))) if c in batch.columns for x in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))]
+        posted = F.max(F.col("date_posted").cast("timestamp")) if dated else F.lit(None).cast("timestamp")
+        with intermediate(session):
+            first = written(in_time(batch).groupBy("doc_id").agg(F.min(F.struct(*order)).alias("r"), posted.alias("top")), "first")
+            rows = first.select("doc_id", *(F.col(f"r.{c}") for c in batch.columns if c != "doc_id"), "top").select(*batch.columns)
+            if earlier:
+                met = in_time(session.read.parquet(*(_version(target, b) for b in earlier)))
+                rows = rows.join(met.select(F.col("doc_id").alias("met")).distinct(), F.col("doc_id").eqNullSafe(F.col("met")), "left_anti")
+            rows.write.mode("overwrite").parquet(_version(target, batch_id))
+            if dated:
+                highest = first.agg(F.greatest(F.max("top"), F.lit(top).cast("timestamp")).alias("top"))
+                highest.write.mode("overwrite").parquet(_version(tops, batch_id))  # one row
+
+    return usable.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def stream_matches(texts: DataFrame, aliases: DataFrame, target: str, checkpoint: str, flag: str = "entities_last_extracted") -> StreamingQuery:

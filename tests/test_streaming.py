@@ -77,6 +77,19 @@ def test_harvest_keeps_ids_as_state_until_the_high_water_date_has_passed(spark,
     assert feed((6, "2024-03-10", None, "late"), (1, "2024-03-01", None, "late"), (2, None, None, "v"), (7, None, None, "q"), (5, "2024-03-20", None, "again"), (8, "2024-03-19", None, "r")) == [(1, "a"), (2, "u"), (3, "x"), (4, "y"), (5, "z"), (7, "q"), (8, "r")]
 
 
+def test_harvest_calls_no_python_for_an_id(spark, tmp_path):
+    """Ids are met by joins and aggregation; a batch that runs again replaces its rows; without dates nothing is late."""
+    ids = spark.range(2000).select((F.col("id") % 1000).alias("doc_id"), F.lit(None).cast("string").alias("status"), F.col("id").alias("n"))
+    for k in range(2):
+        ids.write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(ids.schema).parquet(str(tmp_path / "in"))
+        query = incremental.stream_new(stream, str(tmp_path / "new"), str(tmp_path / "cp"))
+        query.awaitTermination()
+        assert not any(p["stateOperators"] for p in query.recentProgress)
+    got = spark.read.parquet(str(tmp_path / "new"))
+    assert rows(got.select("doc_id", "n")) == sorted(((i, i) for i in range(1000)), key=str)
+
+
 def test_counters_come_with_the_write(spark, tmp_path):
     df = spark.createDataFrame([("insert",), ("insert",), ("update",), (None,), ("odd",)], "action string")
     counted, told = stats.observed_counters(df, "action", ("insert", "update", "delete"))
