@@ -375,15 +375,15 @@ def _word_lists(s: Settings, shared):
 
 
 def _common(a: list[int], b: list[int]) -> int:
-    """Length of the longest common subsequence of two short word lists."""
-    row = [0] * (len(b) + 1)
-    for v in a:
-        left = 0
-        for j, w in enumerate(b, 1):
-            kept = row[j]
-            row[j] = left + 1 if v == w else max(row[j], row[j - 1])
-            left = kept
-    return row[-1]
+    """Length of the longest common subsequence of two short word lists: a bit a word of ``a``, a column of the table at once."""
+    at: dict[int, int] = {}
+    for i, v in enumerate(a):
+        at[v] = at.get(v, 0) | 1 << i
+    row = every = (1 << len(a)) - 1
+    for w in b:
+        both = row & at.get(w, 0)
+        row = (row + both | row - both) & every
+    return len(a) - row.bit_count()
 
 
 def _outward(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
@@ -530,7 +530,7 @@ def _offers(s: Settings, shared):
 
 
 def _beside(s: Settings):
-    """Pairs of seeds with a byte of each word beside them: ``beyond`` before the first, as many after the second. Where the text ends, an asking row has 0, another 1."""
+    """Pairs of seeds with a byte of each word from ``beyond`` before the first to as many after the second. Where the text ends, an asking row has 0, another 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -538,51 +538,139 @@ def _beside(s: Settings):
                 words = np.maximum(batch.column(1)[i].values.to_numpy().view(np.uint32) & 255, 2).astype(np.uint8)
                 pairs = batch.column(2)[i].values
                 key, p, q, asks = (pairs.field(n).to_numpy(zero_copy_only=False) for n in ("key", "p", "q", "asks"))
-                at = np.concatenate([p[:, None] - s.beyond + np.arange(s.beyond), q[:, None] + s.words + np.arange(s.beyond)], axis=1)
+                sizes = q.astype(np.int64) - p + s.words + 2 * s.beyond
+                ends = np.cumsum(sizes)
+                at = np.arange(ends[-1]) + np.repeat(p - s.beyond - (ends - sizes), sizes)
                 inside = (at >= 0) & (at < len(words))
-                seen = np.where(inside, words[np.where(inside, at, 0)], np.where(asks, 0, 1)[:, None]).astype(np.uint8)
+                seen = np.where(inside, words[np.where(inside, at, 0)], np.repeat(np.where(asks, 0, 1), sizes)).astype(np.uint8)
                 doc = np.full(len(key), batch.column(0)[i].as_py())
-                side = pa.Array.from_buffers(pa.binary(2 * s.beyond), len(key), [None, pa.py_buffer(np.ascontiguousarray(seen).tobytes())])
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(asks), pa.array(doc, pa.int64()), pa.array(p, pa.int32()), pa.array(q, pa.int32()), side.cast(pa.binary())], ["key", "asks", "doc_id", "p", "q", "beside"])
+                side = pa.Array.from_buffers(pa.binary(), len(key), [None, pa.py_buffer(np.append(0, ends).astype(np.int32).tobytes()), pa.py_buffer(seen.tobytes())])
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(asks), pa.array(doc, pa.int64()), pa.array(p, pa.int32()), pa.array(q, pa.int32()), side], ["key", "asks", "doc_id", "p", "q", "beside"])
 
     return run
 
 
+def _reached(same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``_outward`` of many rows of equal or differing words at once: words, equal words."""
+    total = np.cumsum(np.where(same, np.int16(1), np.int16(-2)), axis=1, dtype=np.int16)
+    best = total.argmax(axis=1)
+    top = total[np.arange(len(total)), best]
+    n = np.where(top > 0, best + 1, 0)
+    return n, np.where(top > 0, (top + 2 * n) // 3, 0)
+
+
+class _Asking:
+    """The asking rows of a block, and how far the passages found around each go before its first and after its second seed (-1: none). A row leaves when no
+    passage can go further."""
+
+    #: Bytes that are compared at once.
+    MOST = 1 << 20
+
+    def __init__(self, rows: tuple, s: Settings):
+        self.s = s
+        self.docs, self.p, self.q, self.sides, self.cores = rows
+        self.left, self.right = np.full(len(self.p), -1), np.full(len(self.p), -1)
+        self.ends = [(self.sides[:, : s.beyond] > 0).sum(axis=1), (self.sides[:, s.beyond :] > 0).sum(axis=1)]
+
+    def drop(self) -> None:
+        keep = (self.left < self.ends[0]) | (self.right < self.ends[1])
+        if 4 * keep.sum() <= 3 * len(keep):
+            self.docs, self.p, self.q, self.sides, self.cores, self.left, self.right = (x[keep] for x in (self.docs, self.p, self.q, self.sides, self.cores, self.left, self.right))
+            self.ends = [x[keep] for x in self.ends]
+
+    def meet(self, doc: np.ndarray, p: np.ndarray, q: np.ndarray, sides: np.ndarray, cores: np.ndarray) -> Iterator[tuple]:
+        """Of other rows, in order of their documents, those (document, source, p, q, p there, q there) around which a passage reaches words that none before did."""
+        at = 0
+        while at < len(doc) and len(self.docs):
+            n = max(1, self.MOST // (self.sides.shape[1] * len(self.docs)))
+            yield from self._part(*(x[at : at + n] for x in (doc, p, q, sides, cores)))
+            self.drop()
+            at += n
+
+    def _part(self, doc, p, q, sides, cores) -> Iterator[tuple]:
+        s, length, there = self.s, self.q - self.p, q - p
+        equal = (self.sides[:, None] == sides[None]).sum(axis=2, dtype=np.uint8)
+        a, b = np.nonzero((100 * (equal + np.minimum(length[:, None], there[None]) + s.words) >= s.percent * s.min_words) & (self.docs[:, None] > doc[None]))
+        if not len(a):
+            return
+        same = self.sides[a] == sides[b]
+        left, more = _reached(same[:, : s.beyond][:, ::-1])
+        right, other = _reached(same[:, s.beyond :])
+        core = np.minimum(length[a], there[b]) + s.words
+        level = length[a] == there[b]
+        core[level] = (self.cores[a[level]] == cores[b[level]]).sum(axis=1) - (self.cores.shape[1] - length[a[level]] - s.words)
+        size = left + right + s.words + length[a]
+        alike = (size >= s.min_words) & (100 * (core + more + other) >= s.percent * (left + right + s.words + np.maximum(length[a], there[b])))
+        for k in np.flatnonzero(alike & ((left > self.left[a]) | (right > self.right[a]))).tolist():
+            i, j = a[k], b[k]
+            if left[k] <= self.left[i] and right[k] <= self.right[i]:
+                continue
+            if not level[k]:
+                x, y = int(length[i]), int(there[j])
+                gap = _common(self.cores[i, min(s.words, x) : x].tolist(), cores[j, min(s.words, y) : y].tolist())
+                if 100 * (gap + s.words + min(s.words, x, y) + more[k] + other[k]) < s.percent * (left[k] + right[k] + s.words + max(x, y)):
+                    continue
+            self.left[i], self.right[i] = max(self.left[i], left[k]), max(self.right[i], right[k])
+            yield self.docs[i], doc[j], self.p[i], self.q[i], p[j], q[j]
+
+
 def _alike(s: Settings):
-    """From rows sorted by key and block, those that ask first: matches (document, source, place, source place) of the asking ones with earlier documents, where a
-    chain with these two seeds as its ends, or with words enough between them, may be a passage. Holds the asking rows of a block."""
+    """From rows sorted by key and block, those that ask first, then by document: chains of the two seeds of an asking row with those of an earlier document, where they make a passage that
+    goes further than those with the documents before. So a row gives as many as it has words beside it at most, and their passages cover what those of all pairs do. Holds the asking rows
+    of a block."""
+    width = _reach(s) + s.words
+
+    def read(batch: pa.RecordBatch) -> tuple:
+        doc, p, q = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3, 6))
+        column = batch.column(6)
+        first = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column)].astype(np.int64)
+        data = np.frombuffer(column.buffers()[2], dtype=np.uint8)
+        size = q - p + s.words
+        before, after = (first + x for x in (0, s.beyond + size))
+        sides = data[np.concatenate([before[:, None] + np.arange(s.beyond), after[:, None] + np.arange(s.beyond)], axis=1)]
+        inside = np.arange(width) < size[:, None]
+        return doc, p, q, sides, np.where(inside, data[np.where(inside, first[:, None] + s.beyond + np.arange(width), 0)], 0).astype(np.uint8)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, asking = None, []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key, block, asks, doc, p, q = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(6))
-            seen = np.frombuffer(b"".join(batch.column(6).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1)
-            edges = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (block[1:] != block[:-1]) | (asks[1:] != asks[:-1])))
-            out: list[np.ndarray] = []
-            for a, b in zip(edges, np.append(edges[1:], len(key)), strict=True):
-                if now != (key[a], block[a]):
-                    now, asking = (key[a], block[a]), []
-                if asks[a]:
-                    asking.append((doc[a:b], p[a:b], q[a:b], seen[a:b]))
-                elif asking:
-                    if len(asking) > 1:
-                        asking = [tuple(np.concatenate(c) for c in zip(*asking, strict=True))]
-                    docs, low, high, sides = asking[0]
-                    for i in range(a, b):
-                        equal = (sides == seen[i]).sum(axis=1, dtype=np.uint8) + np.minimum(high - low, q[i] - p[i]) + s.words
-                        good = np.flatnonzero((100 * equal >= s.percent * s.min_words) & (docs > doc[i]))
-                        if len(good):
-                            n = len(good)
-                            out.append(np.column_stack([np.tile(docs[good], 2), np.full(2 * n, doc[i]), np.append(low[good], high[good]), np.repeat([p[i], q[i]], n)]))
-            if out:
-                rows = np.unique(np.concatenate(out), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(rows[:, k], pa.int64() if k < 2 else pa.int32()) for k in range(4)], ["doc_id", "source_id", "place", "source_place"])
+        now, asking, ready = None, [], None
+        for whole in batches:
+            for low in range(0, whole.num_rows, 4096):
+                batch = whole.slice(low, 4096)
+                key, block, asks = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+                rows, out = read(batch), []
+                edges = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (block[1:] != block[:-1]) | (asks[1:] != asks[:-1])))
+                for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(key)], strict=True):
+                    if now != (key[a], block[a]):
+                        now, asking, ready = (key[a], block[a]), [], None
+                    part = tuple(x[a:b] for x in rows)
+                    if asks[a]:
+                        asking.append(part)
+                    elif asking:
+                        ready = ready or _Asking(tuple(np.concatenate(c) for c in zip(*asking, strict=True)), s)
+                        out.extend(ready.meet(*part))
+                if out:
+                    cols = np.array(out, dtype=np.int64).T
+                    ends = pa.array(np.arange(0, 2 * len(out) + 1, 2), pa.int32())
+                    lists = [pa.ListArray.from_arrays(ends, pa.array(cols[k : k + 2].T.ravel(), pa.int32())) for k in (2, 4)]
+                    yield pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1]), *lists], ["doc_id", "source_id", "places", "source_places"])
 
     return run
 
 
+def _fewest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of passages sorted by document as many as cover the same words; of equal ones that of the earliest source."""
+    for rows in _by_doc(batches):
+        rows = rows[np.lexsort((*rows[:, :3:-1].T, rows[:, 1], -rows[:, 3], rows[:, 2], rows[:, 0]))]
+        keep, doc, reach = [], None, -1
+        for i, (row_doc, end) in enumerate(rows[:, [0, 3]].tolist()):
+            if row_doc != doc or end > reach:
+                keep.append(i)
+                doc, reach = row_doc, end
+        rows = rows[keep]
+        rows = rows[_cover(rows[:, 0].tolist(), rows[:, 2].tolist(), rows[:, 3].tolist())]
+        yield pa.RecordBatch.from_arrays([pa.array(rows[:, k], pa.int64() if k < 2 else pa.int32()) for k in range(7)], _NAMES)
+
+
 _NAMES = ["doc_id", "source_id", "start", "end", "source_start", "source_end", "equal_words"]
 MATCHES = "doc_id long, source_id long, place int, source_place int"
 CHAINS = "doc_id long, source_id long, places array<int>, source_places array<int>"
@@ -651,10 +739,11 @@ def _rest(given: DataFrame, placed: DataFrame, found: DataFrame, s: Settings, pa
     beside = words.join(both, "doc_id").select("doc_id", "words", "pairs").transform(mapped, _beside(s), "key long, asks boolean, doc_id long, p int, q int, beside binary")
     blocks = asking.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("n"))
     dealt = beside.join(blocks, "key").withColumn("block", F.explode(F.when(F.col("asks"), F.array(F.pmod(F.xxhash64("doc_id"), "n").cast("int"))).otherwise(F.sequence(F.lit(0), F.col("n") - 1))))
-    dealt = dealt.select("key", "block", "asks", "doc_id", "p", "q", "beside").repartition(parts, "key", "block").sortWithinPartitions("key", "block", F.desc("asks"))
-    matches = dealt.transform(mapped, _alike(s), MATCHES).unionByName(wanted).unionByName(known).distinct()
-    by_doc = matches.repartition(parts, "doc_id").sortWithinPartitions("doc_id", "source_id", "place", "source_place")
-    return _aligned_chains(written(by_doc.transform(mapped, _chained(s), CHAINS), "chains"), given, s)
+    dealt = dealt.select("key", "block", "asks", "doc_id", "p", "q", "beside").repartition(parts, "key", "block").sortWithinPartitions("key", "block", F.desc("asks"), "doc_id", "p", "q")
+    by_doc = wanted.unionByName(known).distinct().repartition(parts, "doc_id").sortWithinPartitions("doc_id", "source_id", "place", "source_place")
+    chained = by_doc.transform(mapped, _chained(s), CHAINS).unionByName(dealt.transform(mapped, _alike(s), CHAINS))
+    passages = _aligned_chains(written(chained, "chains"), given, s)
+    return passages.repartition(parts, "doc_id").sortWithinPartitions("doc_id").transform(mapped, _fewest, PASSAGES)
 
 
 def repeated_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", settings: Settings | None = None) -> DataFrame:

@@ -241,6 +241,40 @@ def test_common_pairs_of_seeds_are_dealt_over_blocks(spark):
     assert one == many and one and all(r[0] > r[1] >= 50 for r in one)
 
 
+def test_pairs_of_seeds_give_few_rows_that_cover_as_much_as_all_pairs():
+    """A stretch of 36 words in 120 documents, which go on alike for some words, or with a word more inside: a row an asking one has few chains, and no pair of documents reaches further."""
+    s, core, before, after = substring.Settings(), prose(36), prose(40), prose(40)
+    texts = {}
+    for i in range(120):
+        low, high = rnd.randrange(41), rnd.randrange(41)
+        inner = core[:18] + prose(i % 3 == 0) + core[18:]
+        texts[i] = (prose(40 - low) + before[40 - low :] + edited(inner[5:-5], i % 5)[: len(inner) - 10] + after[:high] + prose(40 - high), len(inner) - 5)
+        body = texts[i][0]
+        body[40:40], body[40 + len(inner) - 5 : 40 + len(inner) - 5] = core[:5], core[-5:]
+    hashed = {i: np.maximum(word_hashes([" ".join(w)])[0] >> np.uint64(32) & np.uint64(255), 2).astype(np.uint8) for i, (w, _) in texts.items()}
+    rows = [(7, 0, asks, i, 40, 40 + texts[i][1], hashed[i].tobytes()) for asks in (True, False) for i in texts]
+    kinds = [pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    want = {}
+    for i in texts:
+        x = [40, 40 + texts[i][1] - 5]
+        for j in range(i):
+            got = substring.align([40, 35 + texts[i][1]], [40, 35 + texts[j][1]], hashed[i], hashed[j], s)
+            if got[1] - got[0] >= 45 and 100 * got[4] >= 80 * max(got[1] - got[0], got[3] - got[2]):
+                low, high = want.get(i, (x[0], x[0]))
+                want[i] = min(low, got[0]), max(high, got[1])
+    for size in (5, 1000):
+        cols = [[*c] for c in zip(*[(k, b, a, d, p, q - 5, side) for k, b, a, d, p, q, side in rows], strict=True)]
+        table = pa.table([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["key", "block", "asks", "doc_id", "p", "q", "beside"])
+        found = [r for b in substring._alike(s)(iter(table.to_batches(max_chunksize=size))) for r in b.to_pylist()]
+        reach = {}
+        for r in found:
+            got = substring.align(r["places"], r["source_places"], hashed[r["doc_id"]], hashed[r["source_id"]], s)
+            low, high = reach.get(r["doc_id"], (40, 40))
+            reach[r["doc_id"]] = min(low, got[0]), max(high, got[1])
+            assert r["source_id"] < r["doc_id"]
+        assert reach == want and len(want) > 100 and len(found) < 10 * len(texts)
+
+
 def test_places_of_the_anchor_and_what_is_left_out():
     """As below, with places in the anchor document, and whether more documents have the seed than are told."""
     rows = sorted({(rnd.randrange(5), rnd.randrange(12), rnd.randrange(40)) for _ in range(150)} | {(9, 1, 1), (9, 1, 2), (10, 3, 3)})
