@@ -59,8 +59,13 @@ def winnow(hashes: np.ndarray, window: int) -> np.ndarray:
         return np.empty(0, np.int64)
     if len(hashes) <= window:
         return np.array([len(hashes) - 1 - int(hashes[::-1].argmin())])
-    views = np.lib.stride_tricks.sliding_window_view(hashes, window)
-    return np.unique(np.arange(len(views)) + window - 1 - views[:, ::-1].argmin(axis=1))
+    least, at, size = hashes, np.arange(len(hashes)), 1
+    while size < window:  # of ever wider windows, each of two that overlap
+        step = min(size, window - size)
+        right = least[step:] <= least[:-step]
+        least, at = np.where(right, least[step:], least[:-step]), np.where(right, at[step:], at[:-step])
+        size += step
+    return at[np.append(True, at[1:] != at[:-1])]
 
 
 def _seeds(s: Settings, words: int, window: int):
@@ -440,6 +445,11 @@ def _reach(s: Settings) -> int:
     return s.percent * s.min_words // 100 + s.max_gap
 
 
+def _positions(doc: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A number for each place: those of one document are as far from each other as its places, those of different ones are far. Rows of a document follow each other."""
+    return np.cumsum(np.append(False, doc[1:] != doc[:-1])) << 32 | place
+
+
 def _near(at: np.ndarray, seeds: np.ndarray, s: Settings) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Indices of two places within reach, and a key of their seeds; places rise."""
     for d in range(1, len(at)):
@@ -467,41 +477,49 @@ def _asks(s: Settings, having):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _by_doc(batches):
-            edges = np.flatnonzero(np.append(True, rows[1:, 0] != rows[:-1, 0]))
             out: list[list[np.ndarray]] = []
 
             def tell(kind: int, key, doc, p, q, first, second) -> None:
                 if len(p):
-                    out.append([np.full(len(p), kind), key, np.full(len(p), doc), p, q, first, second])
-
-            for a, b in zip(edges, np.append(edges[1:], len(rows)), strict=True):
-                doc = rows[a, 0]
-                there = np.unique(rows[a:b][rows[a:b, 4] == 0], axis=0)
-                open_ = np.unique(rows[a:b][rows[a:b, 4] == 1, 1])
-                if not len(open_) or not len(there):
-                    continue
-                lost = there[there[:, 3] == 1]
-                at, seeds = lost[:, 1], lost[:, 2].copy()
-                for i, j, keys in _near(at, seeds.view(np.uint64), s):
-                    good = np.searchsorted(open_, at[j], "right") > np.searchsorted(open_, at[i])
-                    i, j = i[good], j[good]
-                    tell(0, keys[good].view(np.int64), doc, at[i], at[j], seeds[i], seeds[j])
-                known = np.concatenate([np.column_stack([there[:, c], there[:, 1], there[:, c + 1]])[(there[:, c + 1] >= 0) & (there[:, c] != doc)] for c in range(5, there.shape[1], 2)])
-                known = np.unique(known, axis=0)
-                if not len(known) or not len(at):
+                    out.append([np.full(len(p), kind), key, doc if np.ndim(doc) else np.full(len(p), doc), p, q, first, second])
+
+            at = _positions(rows[:, 0], rows[:, 1])
+            open_ = np.unique(at[rows[:, 4] == 1])
+            mine = np.flatnonzero((rows[:, 4] == 0) & np.isin(at >> 32, open_ >> 32))
+            at, first = np.unique(at[mine], return_index=True)
+            there = rows[mine[first]]
+            lost = there[:, 3] == 1
+            asks, places, seeds = there[lost, :2], at[lost], there[lost, 2].copy()
+            for i, j, keys in _near(places, seeds.view(np.uint64), s):
+                good = np.searchsorted(open_, places[j], "right") > np.searchsorted(open_, places[i])
+                i, j = i[good], j[good]
+                tell(0, keys[good].view(np.int64), asks[i, 0], asks[i, 1], asks[j, 1], seeds[i], seeds[j])
+            trigger = np.isin(places, open_)
+            edges = np.flatnonzero(np.append(True, there[1:, 0] != there[:-1, 0])) if len(there) else []
+            own = np.append(0, np.cumsum(lost))
+            for a, b in zip(edges, [*edges[1:], len(there)], strict=True):
+                doc, low, high = there[a, 0], own[a], own[b]
+                known = np.concatenate([there[a:b][:, [c, 1, c + 1]] for c in range(5, there.shape[1], 2)])
+                known = known[(known[:, 2] >= 0) & (known[:, 0] != doc)]
+                if not len(known) or not trigger[low:high].any():
                     continue
-                trigger = np.flatnonzero(np.isin(at, open_))
-                x, y = np.nonzero(np.abs(known[:, 1][None, :] - at[trigger][:, None]) <= _reach(s))
-                x, y = trigger[x], y
-                hit = filters.holds(having.value, _has(known[y, 0].copy(), seeds[x]))
-                sources = np.unique(known[y[hit], 0])
-                if not len(sources):
+                sources, code = np.unique(known[:, 0], return_inverse=True)
+                first = np.unique(known[:, 1] * len(sources) + code, return_index=True)[1]
+                known, code = known[first], code[first]
+                at, own_seeds = asks[low:high, 1], seeds[low:high]
+                asking = np.flatnonzero(trigger[low:high])
+                x, y = np.nonzero(np.abs(known[:, 1][None, :] - at[asking][:, None]) <= _reach(s))
+                pairs = np.zeros((len(asking), len(sources)), dtype=bool)
+                pairs[x, code[y]] = True
+                x, y = np.nonzero(pairs)
+                hit = np.unique(y[filters.holds(having.value, _has(sources[y], own_seeds[asking[x]]))])
+                if not len(hit):
                     continue
-                x, y = (v.ravel() for v in np.meshgrid(np.arange(len(at)), np.arange(len(sources)), indexing="ij"))
-                hit = filters.holds(having.value, _has(sources[y], seeds[x]))
-                tell(1, seeds[x[hit]], doc, at[x[hit]], at[x[hit]], sources[y[hit]], sources[y[hit]])
-                mine = known[np.isin(known[:, 0], sources)]
-                tell(2, mine[:, 0], doc, mine[:, 1], mine[:, 2], mine[:, 0], mine[:, 0])
+                x, y = np.repeat(np.arange(len(at)), len(hit)), np.tile(hit, len(at))
+                held = filters.holds(having.value, _has(sources[y], own_seeds[x]))
+                tell(1, own_seeds[x[held]], doc, at[x[held]], at[x[held]], sources[y[held]], sources[y[held]])
+                chosen = known[np.isin(code, hit)]
+                tell(2, chosen[:, 0], doc, chosen[:, 1], chosen[:, 2], chosen[:, 0], chosen[:, 0])
             if out:
                 cols = [np.concatenate(c) for c in zip(*out, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if n in ("kind", "p", "q") else pa.int64()) for n, c in zip(_ASKS, cols, strict=True)], _ASKS)
@@ -514,14 +532,13 @@ def _offers(s: Settings, shared):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _by_doc(batches):
-            edges = np.flatnonzero(np.append(True, rows[1:, 0] != rows[:-1, 0]))
             out: list[list[np.ndarray]] = []
-            for a, b in zip(edges, np.append(edges[1:], len(rows)), strict=True):
-                there = np.unique(rows[a:b, 1:3], axis=0)
-                for i, j, keys in _near(there[:, 0], there[:, 1].copy().view(np.uint64), s):
-                    held = filters.holds(shared.value, keys)
-                    if held.any():
-                        out.append([keys[held].view(np.int64), np.full(int(held.sum()), rows[a, 0]), there[i[held], 0], there[j[held], 0]])
+            at, first = np.unique(_positions(rows[:, 0], rows[:, 1]), return_index=True)
+            doc, place, seeds = rows[first].T
+            for i, j, keys in _near(at, seeds.copy().view(np.uint64), s):
+                held = filters.holds(shared.value, keys)
+                if held.any():
+                    out.append([keys[held].view(np.int64), doc[i[held]], place[i[held]], place[j[held]]])
             if out:
                 cols = [np.concatenate(c) for c in zip(*out, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if k < 2 else pa.int32()) for k, c in enumerate(cols)], ["key", "doc_id", "p", "q"])
