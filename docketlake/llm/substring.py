@@ -486,6 +486,8 @@ def _asks(s: Settings, having):
             at = _positions(rows[:, 0], rows[:, 1])
             open_ = np.unique(at[rows[:, 4] == 1])
             mine = np.flatnonzero((rows[:, 4] == 0) & np.isin(at >> 32, open_ >> 32))
+            if not len(mine):  # the filter let through documents without open places
+                continue
             at, first = np.unique(at[mine], return_index=True)
             there = rows[mine[first]]
             lost = there[:, 3] == 1
@@ -495,7 +497,7 @@ def _asks(s: Settings, having):
                 i, j = i[good], j[good]
                 tell(0, keys[good].view(np.int64), asks[i, 0], asks[i, 1], asks[j, 1], seeds[i], seeds[j])
             trigger = np.isin(places, open_)
-            edges = np.flatnonzero(np.append(True, there[1:, 0] != there[:-1, 0])) if len(there) else []
+            edges = np.flatnonzero(np.append(True, there[1:, 0] != there[:-1, 0]))
             own = np.append(0, np.cumsum(lost))
             for a, b in zip(edges, [*edges[1:], len(there)], strict=True):
                 doc, low, high = there[a, 0], own[a], own[b]

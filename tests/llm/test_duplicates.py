@@ -275,6 +275,14 @@ def test_pairs_of_seeds_give_few_rows_that_cover_as_much_as_all_pairs():
         assert reach == want and len(want) > 100 and len(found) < 10 * len(texts)
 
 
+def test_documents_without_open_places_ask_nothing():
+    """The filter may let through such documents, and batches of them alone."""
+    rows = [(i, p, 100 * i + p, 1, 0, 1, 7, 2, -1, 2, -1) for i in (5, 6) for p in (0, 9)]
+    kinds = [pa.int64()] * 11
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], [f"c{k}" for k in range(11)])
+    assert list(substring._asks(substring.Settings(), None)(iter([batch]))) == []
+
+
 def test_places_of_the_anchor_and_what_is_left_out():
     """As below, with places in the anchor document, and whether more documents have the seed than are told."""
     rows = sorted({(rnd.randrange(5), rnd.randrange(12), rnd.randrange(40)) for _ in range(150)} | {(9, 1, 1), (9, 1, 2), (10, 3, 3)})
