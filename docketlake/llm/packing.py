@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketlake.llm.memory import mapped
-from docketlake.llm.tokens import blocks, default_path, encoder
+from docketlake.llm.tokens import BLOCK, blocks, default_path, encoder
 from docketlake.session import ship
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, segment int, loss_tokens long"
@@ -173,13 +173,13 @@ def _packed(path: str, end_id: int, limits: Limits, keep_ids: bool):
 
         for batch in batches:
             texts, contexts = batch.column(1), batch.column(2)
-            for low, high in blocks(texts, contexts):
-                ids, bounds = enc.batch(texts.slice(low, high - low))
-                before, edges = enc.batch(contexts.slice(low, high - low))
-                for i, doc_id in enumerate(batch.column(0).slice(low, high - low).to_pylist()):
-                    own = np.concatenate((before[edges[i] : edges[i + 1]], ids[bounds[i] : bounds[i + 1]], end))
+            for low, high in blocks(texts, contexts, most=2 * BLOCK):
+                n = high - low
+                ids, bounds = enc.batch(pa.concat_arrays([contexts.slice(low, n), texts.slice(low, n)]))  # what both have is encoded once
+                for i, doc_id in enumerate(batch.column(0).slice(low, n).to_pylist()):
+                    own = np.concatenate((ids[bounds[i] : bounds[i + 1]], ids[bounds[n + i] : bounds[n + i + 1]], end))
                     held[serial] = [doc_id, own, 0]
-                    for sequence in packer.add(serial, len(own), int(edges[i + 1] - edges[i])):
+                    for sequence in packer.add(serial, len(own), int(bounds[i + 1] - bounds[i])):
                         put(sequence)
                     serial += 1
                     if len(rows) >= 20_000:

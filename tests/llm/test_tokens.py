@@ -219,6 +219,18 @@ def test_all_limits_bind_in_the_registered_query(spark, sf_dir):
     assert any(a == limits.tokens for a, _, _ in totals) and any(c == limits.loss_tokens for _, _, c in totals)
 
 
+def test_contexts_and_texts_of_a_block_are_encoded_together(monkeypatch):
+    import pyarrow as pa
+
+    calls, batch = [], Encoder.batch
+    monkeypatch.setattr(Encoder, "batch", lambda self, texts: calls.append(len(texts)) or batch(self, texts))
+    rows = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array(["\nb c", "", None]), pa.array(["a b", None, ""])], ["doc_id", "text", "context"])
+    got = [r for b in packing._packed(WORD, 2, packing.Limits(), True)(iter([rows])) for r in b.to_pylist()]
+    want = plain(WORD)
+    assert calls == [6] and sum(r["loss_tokens"] for r in got) == len(want("b c")) + 3
+    assert {r["doc_id"]: b"".join(x["ids"] for x in got if x["doc_id"] == r["doc_id"]) for r in got} == {i: np.array([*want(x), 2], "<u4").tobytes() for i, x in ((1, "a b\nb c"), (2, ""), (3, ""))}
+
+
 def test_pack_prompts_and_answers(spark, sf_dir):
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     asked = turns.where("role = 'user'").select("conv_id", "turn", turns["text"].alias("prompt"))
