@@ -11,7 +11,7 @@ ends. What is long and alike enough is a repeated passage; the anchor document k
 What that leaves is looked for once more, with every earlier document. A place is open if it was not matched with all of them and no passage found covers it.
 A chain around an open place may hold a match that is known; then its source is a known one of the document, and only has to have the open place's seed. Else
 it has two seeds that stand near each other in both texts, of which the document was matched with other sources only, with enough equal words between and beside them for a
-passage; documents meet by such pairs of seeds, and of those that meet only the ones with that many equal words are chained and aligned.
+passage; documents meet by such pairs of seeds, and of those that meet, earliest first, the ones between which the two seeds make a passage that reaches further are aligned.
 
 Anchors alone lose a passage whose seeds have their anchors in different documents. So runs of min_words are also joined whole: winnowed
 long seeds, such that every run of min_words has one, tell where texts repeat; there every run of min_words meets its first place.
